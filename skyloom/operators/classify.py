@@ -37,27 +37,41 @@ def features(rows: DataFrame, column: str = "features", ratios: bool = False) ->
     return rows.withColumn("_vector", array_to_vector(v))
 
 
-def fit(training: DataFrame, kind: str = "tree", label: str = "class", ratios: bool = False):
-    """A library model on the training set: "bayes", "tree" or "linear_svm"."""
-    rows = features(training, ratios=ratios).withColumn("_label", F.col(label).cast("double"))
-    common = {"featuresCol": "_vector", "labelCol": "_label"}
-    if kind == "bayes":
-        return NaiveBayes(modelType="gaussian", **common).fit(rows)
-    if kind == "tree":
-        return DecisionTreeClassifier(maxDepth=10, **common).fit(rows)
-    if kind == "linear_svm":
-        return OneVsRest(classifier=LinearSVC(regParam=1e-3, maxIter=100), **common).fit(rows)
+class Fitted:
+    """A library model and the classes that its labels 0, 1, ... stand for."""
+
+    def __init__(self, model, classes: list[int]):
+        self.model, self.classes = model, classes
+
+
+def fit(training: DataFrame, kind: str = "tree", label: str = "class", ratios: bool = False, max_classes: int = 64):
+    """A model on the training set: "bayes", "tree", "linear_svm" or "rbf_svm"."""
     if kind == "rbf_svm":
         return RbfSvm.fit(training, label)
-    raise ValueError(f"classifier {kind!r}")
+    classes = sorted(r[0] for r in training.select(label).where(F.col(label).isNotNull()).distinct().limit(max_classes + 1).collect())
+    if not 1 <= len(classes) <= max_classes:
+        raise ValueError(f"between 1 and {max_classes} classes")
+    number = F.array_position(F.array(*map(F.lit, classes)), F.col(label)) - 1
+    rows = features(training.where(F.col(label).isNotNull()), ratios=ratios).withColumn("_label", number.cast("double"))
+    common = {"featuresCol": "_vector", "labelCol": "_label"}
+    if kind == "bayes":
+        model = NaiveBayes(modelType="gaussian", **common)
+    elif kind == "tree":
+        model = DecisionTreeClassifier(maxDepth=10, **common)
+    elif kind == "linear_svm":
+        model = OneVsRest(classifier=LinearSVC(regParam=1e-3, maxIter=50, **common), **common)
+    else:
+        raise ValueError(f"classifier {kind!r}")
+    return Fitted(model.fit(rows), classes)
 
 
 def predict(pixels: DataFrame, model, column: str = "features", ratios: bool = False) -> DataFrame:
     """Adds `class`."""
     if isinstance(model, RbfSvm):
         return pixels.withColumn("class", model.predict(F.col(column)))
-    out = model.transform(features(pixels, column, ratios))
-    return out.withColumn("class", F.col("prediction").cast("int")).select(*pixels.columns, "class")
+    out = model.model.transform(features(pixels, column, ratios))
+    found = F.get(F.array(*map(F.lit, model.classes)), F.col("prediction").cast("int")).cast("int")
+    return out.withColumn("class", found).select(*pixels.columns, "class")
 
 
 # ---- Gaussian naive Bayes in closed form -----------------------------------------------------------
