@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import grid
+from ..functions import grid, keys
+from ..functions.projection import Projection, pixel_place
 from ..operators import geo, points, tiles
 from ..schema import Analytic, LayerSpec, chain
 from ..sources import codec, store
@@ -42,9 +44,6 @@ def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec]
 
 def bright_spots(scenes: DataFrame, bands: list[str], band: str, threshold: float | str, path: str, analytics: list[Analytic] = (), k: int = 10) -> DataFrame:
     """Scenes to bright pixels to clusters to points appended under `path`; returns the points."""
-    from ..functions import keys
-    from ..functions.projection import Projection, pixel_place
-
     pixels, names = analysed(codec.pixels_of(scenes), list(bands), list(analytics))
     if band not in names:
         raise ValueError(f"no band {band!r}")
@@ -53,8 +52,6 @@ def bright_spots(scenes: DataFrame, bands: list[str], band: str, threshold: floa
     placed = hot.join(meta, "scene_id")
     x, y = pixel_place(F.col("_geo"), F.col("row"), F.col("col"))
 
-    import pandas as pd
-
     @F.pandas_udf("longitude double, latitude double")
     def degrees(a: pd.Series, b: pd.Series, wkt: pd.Series) -> pd.DataFrame:
         out = pd.DataFrame({"longitude": a.astype(float), "latitude": b.astype(float)})

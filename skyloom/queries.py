@@ -147,14 +147,16 @@ def point_identifier(spark, d):
     return p.select("row_key", "identifier", "tile", "ts")
 
 
-@query(f"SELECT row_key, ts, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pk WHERE x BETWEEN 1024 AND 1027 AND row_key >= tile || '-1704067200' AND row_key < tile || '-1704240000'", (PT, PTT, PTK))
+#: Tiles with several points, and a time range whose upper bound is a point's time.
+SCANNED, FROM, TO = ("T10-00475-01948", "T10-01760-00674", "T10-00395-01174"), 1704238278, 1706392737
+TILE_LIST = "(" + ",".join(f"'{t}'" for t in SCANNED) + ")"
+
+
+@query(f"SELECT row_key, ts, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pk WHERE tile IN {TILE_LIST} AND row_key >= tile || '-{FROM}' AND row_key < tile || '-{TO}'", (PT, PTT, PTK))
 def points_tile_time_scan(spark, d):
     p = keyed_points(spark, d)
-    found = None
-    for x in range(1024, 1028):
-        part = p.where((F.col("x") == x) & (F.col("ts") >= 1704067200) & (F.col("ts") < 1704240000))
-        found = part if found is None else found.unionByName(part)
-    return found.select("row_key", "ts", r6("lon").alias("longitude"), r6("lat").alias("latitude"))
+    found = [store.scan_tile_time(p, t, FROM, TO) for t in SCANNED]
+    return found[0].unionByName(found[1]).unionByName(found[2]).select("row_key", "ts", r6("lon").alias("longitude"), r6("lat").alias("latitude"))
 
 
 @query("SELECT row_key, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pk WHERE x BETWEEN 500 AND 1500 AND y BETWEEN 400 AND 1600 AND ts BETWEEN 1704067200 AND 1704672000", (PT, PTT, PTK))
@@ -171,9 +173,9 @@ def points_first_per_coarse_tile(spark, d):
     return points.first_per_coarse_tile(keyed_points(spark, d), 4, 1704067200, 1706745600).select("tile", "row_key")
 
 
-@query("SELECT row_key FROM pk WHERE NOT (tile = 'T10-01026-00514' AND row_key >= 'T10-01026-00514-1704067200' AND row_key < 'T10-01026-00514-1709251200')", (PT, PTT, PTK))
+@query(f"SELECT row_key FROM pk WHERE NOT (tile = '{SCANNED[0]}' AND row_key >= '{SCANNED[0]}-{FROM}' AND row_key < '{SCANNED[0]}-{TO}')", (PT, PTT, PTK))
 def points_delete_range(spark, d):
-    return store.delete_range(keyed_points(spark, d), "T10-01026-00514", 1704067200, 1709251200).select("row_key")
+    return store.delete_range(keyed_points(spark, d), SCANNED[0], FROM, TO).select("row_key")
 
 
 @query("SELECT row_key, value FROM (SELECT tile AS row_key, value, row_number() OVER (PARTITION BY tile ORDER BY ts DESC, event_id DESC) AS rn FROM pk) WHERE rn=1", (PT, PTT, PTK))
@@ -784,7 +786,7 @@ def bright_lines(spark, d):
 @query("SELECT vec_id, class, round(list_sum(v[1:9]),3) AS total FROM fx_pixels", (PX,))
 def training_lines(spark, d):
     p = _labelled(spark, d)
-    lines = p.select(F.concat_ws(" ", F.array_join(F.transform(F.concat("features", F.array(F.col("vec_id").cast("double"))), lambda x: F.format_string("%-12.6f", x)), " "), F.col("class").cast("string")).alias("value"))
+    lines = p.select(F.concat_ws(" ", F.array_join(F.transform(F.concat("features", F.array(F.col("vec_id").cast("double"))), lambda x: F.format_string("%-18.9f", x)), " "), F.col("class").cast("string")).alias("value"))
     t = scenes.read_training(lines)
     nine = F.aggregate(F.slice("features", 1, 9), F.lit(0.0), lambda a, x: a + x)
     return t.select(F.element_at("features", -1).cast("bigint").alias("vec_id"), "class", r6(nine, 3).alias("total"))

@@ -184,7 +184,7 @@ def read_training(lines: DataFrame) -> DataFrame:
 
 
 def write_training(rows: DataFrame, path: str, n_features: int) -> None:
-    form = " ".join(["%-12.5f"] * n_features + ["%-d"])
+    form = " ".join(["%-12.5f"] * n_features + ["%d"])
     rows.select(F.format_string(form, *(F.col("features")[i] for i in range(n_features)), F.col("class")).alias("value")).write.text(path)
 
 
