@@ -85,7 +85,7 @@ def tile_pyramid_agg(spark, d):
 
 
 @query(
-    f"""SELECT t.x, t.y, l.layer, count(p.event_id) AS n, round(coalesce(max(p.value),0),6) AS peak
+    f"""SELECT CAST(t.x AS INTEGER) AS x, CAST(t.y AS INTEGER) AS y, l.layer, count(p.event_id) AS n, round(coalesce(max(p.value),0),6) AS peak
     FROM (SELECT unnest(generate_series(20,27)) AS x) t0, LATERAL (SELECT t0.x AS x, unnest(generate_series(16,20)) AS y) t,
       (VALUES ('click'),('view'),('purchase')) l(layer)
     LEFT JOIN (SELECT *, {V.x_sql(4)} AS tx, {V.y_sql(4)} AS ty FROM fx_points) p ON p.tx=t.x AND p.ty=t.y AND p.layer=l.layer
@@ -372,7 +372,7 @@ def band_expr(spark, d):
     return V.pixels(spark, d).select("vec_id", r6(e.column(lambda b: F.col("v")[V.BANDS.index(b)])).alias("value"))
 
 
-@query("SELECT band, round(CASE WHEN band<70.5 THEN (band-10)*10.213+446 ELSE (band-79)*10.110+930 END,4) AS nm FROM (SELECT unnest(generate_series(1,242)) AS band)")
+@query("SELECT band, CAST(round(CASE WHEN band<70.5 THEN (band-10)*10.213+446 ELSE (band-79)*10.110+930 END,4) AS DOUBLE) AS nm FROM (SELECT unnest(generate_series(1,242)) AS band)")
 def band_wavelength(spark, d):
     return spark.range(1, 243).select(F.col("id").alias("band"), r6(calib.wavelength(F.col("id")), 4).alias("nm"))
 
@@ -757,7 +757,7 @@ def acquisition_time_parse(spark, d):
     return c.select("directory", keys.acquisition_time(F.col("t")).alias("ts"), keys.day_of_year(F.col("t")).alias("day"))
 
 
-@query("SELECT directory, round(20.0+directory%60,6) AS elevation FROM fx_catalog", (CT,))
+@query("SELECT directory, CAST(round(20.0+directory%60,6) AS DOUBLE) AS elevation FROM fx_catalog", (CT,))
 def l1t_metadata(spark, d):
     text = F.format_string('{"PRODUCT_PARAMETERS": {"SUN_ELEVATION": "%s"}}', (F.lit(20.0) + F.col("directory") % 60).cast("string"))
     c = V.catalogue(spark, d).select("directory", F.create_map(F.lit("L1T"), text).alias("metadata"))
