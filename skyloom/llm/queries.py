@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licences, packing, quality, sharding, simhash, spsample, topk, wordpiece
+from . import chat, langid, licences, oracles, packing, quality, sharding, simhash, spsample, topk, wordpiece
 from .common import load
 
 
@@ -100,4 +100,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

@@ -96,9 +96,9 @@ def assign_shards(docs: DataFrame, limit: int = 64 << 20, id_col: str = "doc_id"
 
 
 def shard_name(depth: Column, prefix_: Column, page: Column) -> Column:
-    """The shard's hash bits (`-` for none) and its page."""
-    bits = F.when(depth == 0, F.lit("-")).otherwise(F.lpad(F.conv(prefix_.cast("string"), 10, 2), depth, F.lit("0")))
-    return F.concat(bits, F.lit("."), page.cast("string"))
+    """The shard's hash bits (none for the whole table) and its page, like `b0110-p0`."""
+    bits = F.when(depth == 0, F.lit("")).otherwise(F.lpad(F.conv(prefix_.cast("string"), 10, 2), depth, F.lit("0")))
+    return F.concat(F.lit("b"), bits, F.lit("-p"), page.cast("string"))
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -68,12 +68,13 @@ def best(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, x: np.ndarray, x_i
     qr, qn = q @ rot, np.sqrt(np.einsum("ij,ij->i", q, q))
     cuts = sorted({min(d, c) for c in (d // 4, d // 2, 3 * d // 4, d)} - {0})
     q_tail = [np.sqrt(np.einsum("ij,ij->i", qr[:, c:], qr[:, c:])) for c in cuts]
-    top = np.full((len(q), k), -np.inf)  # scores, falling
+    big = len(x) > 0 and np.abs(q).max() * np.abs(x).max() * d >= EXACT  # then scores are whole numbers of Python
+    top = np.full((len(q), k), -np.inf, object if big else float)  # scores, falling
     ids = np.full((len(q), k), np.iinfo(np.int64).max)
     for lo in range(0, len(x), step):
         xs, xi = x[lo : lo + step], x_ids[lo : lo + step]
         xn = np.sqrt(np.einsum("ij,ij->i", xs, xs))
-        need = np.maximum(floor, top[:, -1])
+        need = np.maximum(floor, top[:, -1].astype(float))
         slack = 1e-9 * (qn * (xn[0] + 1) + 1)
         live = np.flatnonzero(qn * xn[0] + slack >= need)  # of the rest, no item is long enough, here or later
         if not len(live):
@@ -95,16 +96,16 @@ def best(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, x: np.ndarray, x_i
         a, b = live[a], cols[b]
         own = q_ids[a] == xi[b]
         a, b = a[~own], b[~own]
-        for i, (score, item) in _merged(a, exact(q, xs, a, b), xi[b], top, ids, k):
+        for i, (score, item) in _merged(a, exact(q, xs, a, b, big), xi[b], top, ids, k):
             top[i], ids[i] = score, item
     return top, ids
 
 
-def exact(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def exact(q: np.ndarray, x: np.ndarray, a: np.ndarray, b: np.ndarray, big: bool) -> np.ndarray:
     """Integer inner products of q[a] and x[b], saturating at the bounds of a long."""
     if not len(a):
         return np.zeros(0)
-    if np.abs(q).max() * np.abs(x).max() * q.shape[1] < EXACT:
+    if not big:
         out = np.empty(len(a))
         for lo in range(0, len(a), 65536):
             out[lo : lo + 65536] = np.einsum("ij,ij->i", q[a[lo : lo + 65536]], x[b[lo : lo + 65536]])
@@ -122,11 +123,11 @@ def _merged(a, scores, items, top, ids, k):
     order = np.argsort(a, kind="stable")
     a, scores, items = a[order], scores[order], items[order]
     starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
-    for lo, hi in zip(starts, np.r_[starts[1:], len(a)], strict=True):
+    for lo, hi in zip(starts, np.append(starts[1:], len(a)), strict=True):
         i = a[lo]
-        s, t = np.r_[top[i], scores[lo:hi]], np.r_[ids[i], items[lo:hi]]
+        s, t = np.concatenate([top[i], scores[lo:hi]]), np.concatenate([ids[i], items[lo:hi]])
         pick = sorted(range(len(s)), key=lambda j: (-s[j], t[j]))[:k] if s.dtype == object else np.lexsort((t, -s))[:k]
-        yield i, (s[pick].astype(float) if s.dtype == object else s[pick], t[pick])
+        yield i, (s[pick], t[pick])
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", query_block: int = 2048, item_block: int = 8192) -> DataFrame:
@@ -160,7 +161,8 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_i
         q_ids, x_ids = (np.array(t.column("id"), np.int64) for t in (qs, xs))
         top, ids = best(flat(qs), q_ids, np.array(qs.column("floor"), float), flat(xs), x_ids, rot, k)
         a, b = np.nonzero(top > -np.inf)
-        return pa.table({"query_id": q_ids[a], "vec_id": ids[a, b], "score": top[a, b].astype(np.int64)})
+        score = pa.array([int(s) for s in top[a, b]], pa.int64())
+        return pa.table({"query_id": q_ids[a], "vec_id": ids[a, b], "score": score})
 
     def scored(qs: DataFrame, xs: DataFrame, pairs: DataFrame) -> DataFrame:
         """`pairs` (qb, ib) of blocks: each side is copied to the pairs that it is in."""
