@@ -107,6 +107,7 @@ def features(text: Column, rules: QualityRules) -> Column:
         long = lambda c, name: c.cast("long").alias(name)
         return F.struct(
             long(F.size(ws), "n_words"),
+            long(F.length(text), "n_chars"),
             long(F.length(F.array_join(ws, "")), "word_chars"),
             long(F.length(text) - F.length(F.translate(text, "#*$%&|<>", "")), "n_symbols"),
             long(_lines(text), "n_dup_lines"),
@@ -133,22 +134,16 @@ def references(measured: DataFrame, rules: QualityRules) -> dict[str, tuple[list
     return {k: v for k, v in out.items() if v[0] and v[1]}
 
 
-def js_distance(counts: Column, ref: list[float]) -> Column:
-    """Jensen-Shannon distance, base 2, of the counts' distribution from `ref`."""
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-
-    def term(p: Column, q: float, m: Column) -> Column:
-        one = F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
-        return one + (F.lit(q) * F.log(F.lit(q) / m) if q > 0 else F.lit(0.0))
-
-    def divergence(n: Column) -> Column:
-        parts = [term(counts[i] / n, q, (counts[i] / n + F.lit(q)) / 2) for i, q in enumerate(ref)]
-        total = parts[0]
-        for p in parts[1:]:
-            total = total + p
-        return F.sqrt(F.greatest(total / (2 * math.log(2)), F.lit(0.0)))
-
-    return divergence(total.cast("double"))
+def js_distance(counts: Column, n: Column, ref: list[float]) -> Column:
+    """Jensen-Shannon distance, base 2, of the distribution of counts, `n` in all, from `ref`."""
+    total, n = F.lit(0.0), F.greatest(n, F.lit(1))
+    for i, q in enumerate(ref):
+        p = counts[i] / n
+        m = (p + F.lit(q)) / 2
+        total = total + F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
+        if q > 0:
+            total = total + F.lit(q) * F.log(F.lit(q) / m)
+    return F.sqrt(F.greatest(total / (2 * math.log(2)), F.lit(0.0)))
 
 
 def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules: QualityRules) -> list[Column]:
@@ -156,7 +151,7 @@ def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules:
     distance is in units of the thresholds: a text is far if it is above 1 for all languages."""
     failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
     each = [
-        F.greatest(js_distance(q["chars"], a) / rules.max_char_distance, js_distance(q["common"], b) / rules.max_word_distance)
+        F.greatest(js_distance(q["chars"], q["n_chars"], a) / rules.max_char_distance, js_distance(q["common"], q["n_words"], b) / rules.max_word_distance)
         for _, (a, b) in sorted(refs.items())
     ]
     near = (F.least(*each) if len(each) > 1 else each[0]) if each else F.lit(None).cast("double")
