@@ -30,9 +30,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, fingerprints within
-    two bits."""
-    return simhash.drop_near_duplicates(docs, width=5, max_bits=2)
+    """One document of each group of near-duplicates: five-word shingles, similarity 0.8."""
+    return simhash.drop_near_duplicates(docs, width=5, similarity=0.8)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,7 +108,7 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     return in_arrow(rows, apply, f"id {kind}, th long, fp long")
 
 
-def _blocks(max_bits: int) -> list[tuple[int, ...]]:
+def _blocks(max_bits: int) -> list[int]:
     """Bit masks of the blocks' pairs, as signed longs."""
     n = max_bits + 2
     cuts = [BITS * i // n for i in range(n + 1)]
@@ -221,11 +221,127 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(rooted.select("fp", "root").join(least, "root"), "fp").select("id", "th", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of `docs` but for near duplicates: of each component the row with the smallest
-    id (nulls last, then the text's hash) stays, and of equal rows one."""
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many rows of `h` (rows, words of 64 bits) have each bit: eight byte lanes at once, in
+    runs short enough that no lane overflows."""
+    width = h.shape[1]
+    total = np.zeros((8, 8 * width), np.int64)
+    lane = np.uint64(0x0101010101010101)
+    for lo in range(0, len(h), 255):
+        part = h[lo : lo + 255]
+        for b in range(8):
+            total[b] += np.add.reduce((part >> np.uint64(b)) & lane, axis=0).view(np.uint8)
+    return total.T.reshape(-1)
+
+
+def widened(h: np.ndarray, words: int) -> np.ndarray:
+    """Each 64-bit hash as `words` independent ones."""
+    x = h[:, None] + np.arange(1, words + 1, dtype=np.uint64)[None] * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(text: bytes | None, width: int, long_words: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of a whole text: `long_words` x 64 bits over its shingles, repeats included,
+    and `rounds` x 64 bits over its distinct words; zeros where there are none."""
+    words = (text or b"").lower().split()
+
+    def major(counts: np.ndarray, n: int) -> np.ndarray:
+        return np.packbits((2 * counts > n).astype(np.uint8), bitorder="little").view(np.uint64)
+
+    counts, n, step = np.zeros(64 * long_words, np.int64), 0, 1 << 15
+    for lo in range(0, max(1, len(words) - width + 1), step):
+        h = shingle_hashes(words[lo : lo + step + width - 1], width)
+        if h:
+            counts += bit_counts(widened(np.array(h, np.uint64), long_words))
+            n += len(h)
+    seen = np.array([xxhash.xxh64_intdigest(w, 43) for w in sorted(set(words))], np.uint64)
+    own = np.zeros(64 * rounds, np.int64)
+    for lo in range(0, len(seen), step):
+        own += bit_counts(widened(seen[lo : lo + step], rounds))
+    return major(counts, n), major(own, len(seen))
+
+
+def bits_apart(similarity: float, bits: int) -> int:
+    """Bits by which fingerprints differ on average if two sets of one size have this share of
+    their union in common: their vectors' cosine is 2 s / (1 + s)."""
+    return int(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def _near_forest(ids: np.ndarray, v: np.ndarray, apart: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links among fingerprints `v` (rows of 64-bit words)."""
+    order = np.argsort(ids)
+    ids, v = ids[order], v[order]
+    root = np.arange(len(ids))  # labels; the smaller of two merged ones stays
+    edges = []
+    for i in range(len(ids) - 1):
+        near = i + 1 + np.flatnonzero(np.bitwise_count(v[i + 1 :] ^ v[i]).sum(1, dtype=np.int32) <= apart)
+        for j in near[root[near] != root[i]].tolist():
+            a, b = root[i], root[j]
+            if a != b:
+                root[root == max(a, b)] = min(a, b)
+                edges.append((int(ids[i]), int(ids[j])))
+    return edges
+
+
+def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, slack: float = 0.02, rounds: int = 4, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
+    """Per document: `id`, `th`, `root` (one number for each group of near duplicates) and
+    `component_id`, the group's smallest id.
+
+    Texts whose shingles overlap by `similarity` differ in some 10 of 64 shingle bits, too many for
+    blocks of a few bits to be shared and still tell texts apart.  So blocks are cut from other
+    SimHashes, `rounds` of them, over a text's distinct words, of which such texts share nearly
+    all: each round's 64 bits make five blocks, and texts with two equal blocks are compared.  What
+    verifies them is the Hamming distance of `long_words` x 64 bits over the shingles.  Equal texts
+    collapse first.  A bucket gives a spanning forest of its links.  One with more than
+    `bucket_cap` texts is dealt into parts, and every two of its parts are compared in a task of
+    their own, so it loses nothing either.  Nulls and repeated rows: see `near_duplicates`."""
+    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = rows.select("id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
+
+    def prints(batches):
+        for b in batches:
+            made = [wide_fingerprint(t.as_py(), width, long_words, rounds) for t in b.column(2)]
+            own = pa.ListArray.from_arrays(np.arange(len(made) + 1, dtype=np.int32) * rounds, np.concatenate([c for _, c in made]).view(np.int64)) if made else pa.array([], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([v.tobytes() for v, _ in made], pa.binary()), own], names=["id", "th", "v", "c"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    marked = materialise(in_arrow(rows, prints, f"id {kind}, th long, v binary, c array<long>"), "prints")
+    texts = materialise(marked.groupBy("th").agg(F.min("id").alias("least"), F.first("v").alias("v"), F.first("c").alias("c")), "texts")
+    masks = _blocks(3)  # pairs of five blocks
+    keys = F.flatten(F.transform("c", lambda c: F.array(*(c.bitwiseAND(F.lit(m).cast("long")) for m in masks))))
+    keyed = texts.select("th", F.posexplode(keys).alias("tab", "key"))
+    sizes = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialise(keyed.join(sizes, ["tab", "key"]), "shared").join(texts.select("th", "v"), "th")
+    parts = F.ceil(F.col("n") / F.lit(bucket_cap // 2)).cast("int")
+    own = F.pmod(F.col("th"), parts).cast("int")
+    pairs = F.when(F.col("n") <= bucket_cap, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.least(k, own) * parts + F.greatest(k, own)))
+    dealt = shared.withColumn("pair", F.explode(pairs)).groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v")).alias("m"))
+    # half of the pairs that are just similar enough lie above the average distance
+    apart = bits_apart(similarity - slack, 64 * long_words)
+
+    def compare(batches):
+        for b in batches:
+            found = []
+            for m in b.column(0):
+                members = m.values
+                v = np.frombuffer(b"".join(members.field("v").to_pylist()), np.uint64).reshape(-1, long_words)
+                found += _near_forest(np.array(members.field("th")), v, apart)
+            e = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["a", "b"])
+
+    linked = components(in_arrow(dealt.select("m"), compare, "a long, b long"))
+    rooted = materialise(texts.select("th", "least").join(linked.withColumnRenamed("node", "th"), "th", "left").select("th", "least", F.coalesce("root", "th").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.select("id", "th").join(rooted.select("th", "root").join(least, "root"), "th").select("id", "th", "root", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of `docs` but for near duplicates (see `similar_texts`): of each group the row with
+    the smallest id (nulls last, then the text's hash) stays, and of equal rows one."""
     columns = docs.columns
-    found = near_duplicates(docs, id_col, text_col, width, max_bits)
+    found = similar_texts(docs, id_col, text_col, width, similarity)
     kept = (
         found.groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("k"))

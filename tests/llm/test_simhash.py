@@ -120,7 +120,7 @@ def test_hot_copies_and_stage(spark):
     long = " ".join(r.choice(words, 120))
     rows = [(i, long) for i in range(10, 400)] + [(5, " ".join(r.choice(words, 120))), (6, "x y z"), (6, "x y z"), (None, "only one"), (None, "only one"), (None, long)]
     df = table(spark, rows)
-    kept = S.drop_near_duplicates(df, width=5)
+    kept = S.drop_near_duplicates(df)
     assert kept.columns == df.columns
     assert sorted((x[0] is None, x[0] or 0, x[1]) for x in kept.collect()) == sorted([(False, 10, long), (False, 5, rows[390][1]), (False, 6, "x y z"), (True, 0, "only one")])
 
@@ -134,3 +134,38 @@ def test_seed_is_sparks(spark):
     words = ["a", "b", "ü"]
     got = spark.range(1).select(F.xxhash64(F.lit("a b ü"))).first()[0] & (1 << 64) - 1
     assert S.shingle_hashes([w.encode() for w in words], 3) == [got]
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+@pytest.mark.parametrize("cap", [4096, 8])
+def test_similar_texts_are_found(spark, cap):
+    """Copies with a few words changed meet; texts that merely share a passage do not."""
+    r = np.random.default_rng(11)
+    lex = [f"k{i}" for i in range(4000)]
+    rows, family = [], {}
+    for f in range(12):
+        base = list(r.choice(lex, 300))
+        for k in range(8):
+            w = list(base)
+            for _ in range(k % 4):
+                w[int(r.integers(len(w)))] = "edit" + str(r.integers(10**6))
+            family[len(rows)] = f
+            rows.append((len(rows), " ".join(w)))
+    passage = " ".join(r.choice(lex, 60))
+    for _ in range(20):
+        family[len(rows)] = 100 + len(rows)
+        rows.append((len(rows), " ".join(r.choice(lex, 100)) + " " + passage))
+    got = {x.id: x.component_id for x in S.similar_texts(table(spark, rows), bucket_cap=cap).collect()}
+    first = {f: min(i for i in family if family[i] == f) for f in set(family.values())}
+    assert all(len(shingles(rows[i][1]) & shingles(rows[first[f]][1])) / len(shingles(rows[i][1]) | shingles(rows[first[f]][1])) >= 0.8 for i, f in family.items())
+    assert got == {i: first[f] for i, f in family.items()}
+
+
+def test_bit_counts():
+    h = np.random.default_rng(1).integers(0, 1 << 63, (1000, 3), dtype=np.uint64)
+    want = np.unpackbits(h.view(np.uint8).reshape(1000, -1), axis=1, bitorder="little").sum(0)
+    assert np.array_equal(S.bit_counts(h), want)
