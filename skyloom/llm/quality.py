@@ -136,18 +136,19 @@ def references(measured: DataFrame, rules: QualityRules) -> dict[str, tuple[list
 
 def js_distance(counts: Column, n: Column, ref: list[float]) -> Column:
     """Jensen-Shannon distance, base 2, of the distribution of counts, `n` in all, from `ref`."""
-    total, n = F.lit(0.0), F.greatest(n, F.lit(1))
-    for i, q in enumerate(ref):
-        p = counts[i] / n
-        m = (p + F.lit(q)) / 2
-        total = total + F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
-        if q > 0:
-            total = total + F.lit(q) * F.log(F.lit(q) / m)
+    whole = F.greatest(n, F.lit(1)).cast("double")
+
+    def term(c: Column, q: Column) -> Column:
+        p = c / whole
+        part = lambda x: F.when(x > 0, x * F.log(x * 2 / (p + q))).otherwise(F.lit(0.0))
+        return part(p) + part(q)
+
+    total = F.aggregate(F.zip_with(counts, F.array(*map(F.lit, ref)), term), F.lit(0.0), lambda a, x: a + x)
     return F.sqrt(F.greatest(total / (2 * math.log(2)), F.lit(0.0)))
 
 
-def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules: QualityRules) -> list[Column]:
-    """Columns base_failed, distance (null if too short or without references) and kept.  The
+def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules: QualityRules) -> Column:
+    """Struct of base_failed, distance (null if too short or without references) and kept.  The
     distance is in units of the thresholds: a text is far if it is above 1 for all languages."""
     failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
     each = [
@@ -156,7 +157,7 @@ def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules:
     ]
     near = (F.least(*each) if len(each) > 1 else each[0]) if each else F.lit(None).cast("double")
     distance = F.when(q["n_words"] >= rules.min_words, near)
-    return [failed.alias("base_failed"), distance.alias("distance"), (~failed & (F.coalesce(distance, F.lit(0.0)) <= 1)).alias("kept")]
+    return let(distance, lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -172,7 +173,8 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     rows = take(docs, id_col, text_col, lang_col).toDF("id", "text", "lang")
     measured = materialise(rows.select("id", "lang", features(F.col("text"), rules).alias("q")), "quality")
     refs = references(measured, rules)
-    return measured.select(F.col("id").alias(id_col), *(F.col(f"q.{c}") for c in COUNTS), *verdict(F.col("q"), refs, rules))
+    judged = measured.withColumn("v", verdict(F.col("q"), refs, rules))
+    return judged.select(F.col("id").alias(id_col), *(F.col(f"q.{c}") for c in COUNTS), "v.base_failed", "v.distance", "v.kept")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
@@ -180,5 +182,5 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", r
     rules = rules or QualityRules()
     rows = with_row(docs, text_col, lang_col).toDF("_row", "text", "lang")
     measured = materialise(rows.select("_row", "lang", features(F.col("text"), rules).alias("q")), "quality")
-    kept = measured.where(verdict(F.col("q"), references(measured, rules), rules)[2])
+    kept = measured.where(verdict(F.col("q"), references(measured, rules), rules)["kept"])
     return rows_of(kept, docs.columns)
