@@ -123,3 +123,10 @@ def sorted_table(points: DataFrame, key: str, numeric: bool = False, descending:
 def metadata_keys(points: DataFrame) -> DataFrame:
     """All keys that occur in points' metadata."""
     return points.select(F.explode(F.json_object_keys("metadata")).alias("key")).distinct()
+
+
+def view_counts(images: DataFrame, points: DataFrame) -> DataFrame:
+    """What a view holds: tiles, tiles with an image, and points."""
+    a = images.agg(F.count(F.lit(1)).alias("tiles"), F.count("png").alias("images")).withColumn("_k", F.lit(1))
+    b = points.agg(F.count(F.lit(1)).alias("points")).withColumn("_k", F.lit(1))
+    return a.join(b, "_k").drop("_k")  # one row each

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calib
+from ..functions import calib, grid
 from ..schema import CATALOGUE
 from . import codec
 
@@ -161,6 +161,12 @@ def read_tiles(lines: DataFrame) -> DataFrame:
     return out.where(F.col("depth").isNotNull() & (F.col("payload") != "BROKEN"))
 
 
+def tile_lines(tiles: DataFrame) -> DataFrame:
+    """The lines that `read_tiles` reads, from (depth, x, y, ts, payload); a null payload is BROKEN."""
+    key = F.concat(grid.tile_name(F.col("depth"), F.col("x"), F.col("y")), F.lit("-"), F.lpad(F.col("ts").cast("string"), 10, "0"))
+    return tiles.select(F.concat(key, F.lit("\t"), F.coalesce("payload", F.lit("BROKEN"))).alias("value"))
+
+
 def read_bright(lines: DataFrame) -> DataFrame:
     """Bright pixels from `world TAB lon lat ts intensity` lines: numbers that don't parse are
     null, and any other key is an error."""

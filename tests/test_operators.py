@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom.functions import bands as B
+from skyloom.functions import calib
 from skyloom.functions.projection import Projection
 from skyloom.operators import catalog, change, classify, explore, geo, points, tiles
 from skyloom.plans import pipelines
@@ -342,3 +343,51 @@ def test_registration_between_projections(spark):
     got = change.register(px, [float(x[0]), 30.0, 0, float(y[0]), 0, -30.0], wkt, [15.0, 0.01, 0, 45.0, 0, -0.01], "", 10**6, 10**6).orderBy("row").collect()
     assert (got[0].row1, got[0].col1) == (0, 0)
     assert abs(got[1].row1 - round((y[0] - y[1]) / 30)) <= 1 and abs(got[1].col1 - round((x[1] - x[0]) / 30)) <= 1
+
+
+# ---- images, plans ----------------------------------------------------------------------------------------
+
+
+def test_png_files(spark, tmp_path):
+    from skyloom.sources import images
+
+    px = spark.createDataFrame([(1, 0, y, 0, 0, "L", 9, 8, 7, 255) for y in range(3)], "depth int, x int, y int, row int, col int, layer string, r int, g int, b int, a int")
+    made = tiles.images(px)
+    images.write_png(made, str(tmp_path / "png"))
+    names = sorted(p.name for p in (tmp_path / "png").iterdir())
+    assert names == [f"T01-00000-0000{y}-L.png" for y in range(3)]
+    assert codec.unpng((tmp_path / "png" / names[0]).read_bytes())[0, 0].tolist() == [9, 8, 7, 255]
+    assert tuple(points.view_counts(made, px).first()) == (3, 3, 3)
+    files = images.map_bundle(str(tmp_path / "m"), b"x", {"top": (1.0, 2.0), "bottom": (3.0, 0.0)})
+    assert "center.txt" in files and (tmp_path / "m" / "center.txt").read_text() == "2.0 1.0\n"
+    cls = spark.createDataFrame([(0, 0, 1.0, 0.5, 0.0)], "row int, col int, a double, b double, c double")
+    assert codec.unpng(images.preview(cls, ("a", "b", "c"), 1, 2)).tolist() == [[[255, 127, 0], [0, 0, 0]]]
+
+
+def test_tile_lines(spark):
+    rows = spark.createDataFrame([(10, 1, 2, 3, "abc"), (10, 1, 2, 4, None)], "depth int, x int, y int, ts bigint, payload string")
+    lines = scenes.tile_lines(rows)
+    assert lines.first().value == "T10-00001-00002-0000000003\tabc"
+    assert [tuple(r) for r in scenes.read_tiles(lines).collect()] == [(10, 1, 2, 3, "abc")]
+
+
+def test_classified_scene(spark):
+    from skyloom.plans import floods
+
+    names = [f"B{b:03d}" for b in range(9, 34)]
+    meta = {"L1T": json.dumps({"PRODUCT_METADATA": {"SENSOR_ID": "HYPERION", "START_TIME": "2012 001 00:00:00"}, "PRODUCT_PARAMETERS": {"SUN_ELEVATION": "90"}})}
+    r = np.random.default_rng(2)
+    rows = [("s", i, j, 1 + i % 4, [float(x) for x in 40.0 * (1 + i % 4) + r.random(25) + (np.arange(25) * (i % 4))]) for i in range(8) for j in range(10)]
+    rows.append(("s", 9, 9, 1, [0.0] * 25))
+    px = spark.createDataFrame(rows, "scene_id string, row int, col int, class int, v array<double>")
+    table = spark.createDataFrame([("s", meta)], "scene_id string, metadata map<string,string>")
+    top = floods.calibrated(px, names, table)
+    one = top.where("row = 0 and col = 0").first().v[0]
+    assert np.isclose(one, np.pi * 0.9832**2 * rows[0][4][0] / calib.irradiance_rule(9))
+    training = floods.training_set(top, names, limit=15)
+    assert training.count() == 60
+    for output, column in (("one", "FLOOD"), ("three", "water"), ("four", "forest")):
+        got = floods.classified(top.withColumnRenamed("class", "truth"), names, training, "tree", output)
+        assert column in got.columns and got.count() == 80 and got.where("class = truth").count() >= 78
+    a = floods.load_analytic("skyloom.schema:ColumnAnalytic", name="co2", outputs=B.co2_bands, body=B.co2_analytic)
+    assert a.bands_out(["B016"]) == ["B016", "CO2"]
