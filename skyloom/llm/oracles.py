@@ -60,7 +60,7 @@ def quality_rules(rules: quality.QualityRules | None = None) -> str:
             terms.append(f"(CASE WHEN {p} > 0 THEN {p} * ln({p} / {m}) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * ln({q} / {m}) ELSE 0 END)")
         return f"sqrt(greatest(({' + '.join(terms)}) / {2 * math.log(2)!r}, 0))"
 
-    far = f"greatest({js('c', nc, 'greatest(f.n_chars, 1)')} / {rules.max_char_distance}, {js('w', nw, 'greatest(f.n_words, 1)')} / {rules.max_word_distance})"
+    far = f"greatest({js('c', nc, 'greatest(f.n_chars, 1)')} / {rules.max_char_distance}, {js('w', nw, 'greatest(f.n_words, 1)')} / ({rules.max_word_distance} + {rules.word_slack} / sqrt(greatest(f.n_words, 1))))"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
   a AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, {rest} AS rest,

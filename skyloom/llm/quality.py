@@ -4,7 +4,9 @@ Each text gives two histograms: characters by class, and its language's commones
 the rest.  A language's reference is the sum of the histograms of all documents that carry its
 label.  A text is far from a language by the larger of its two Jensen-Shannon distances (base 2,
 0 to 1), and is rejected if it is far from every language.  Texts of fewer than `min_words` words
-are too short for their histograms to mean much, and only the base rules apply to them.
+are too short for their histograms to mean much, and only the base rules apply to them.  A longer
+text's few common words are still a small sample, so the limit for words has an allowance that
+falls with the root of its length.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ class QualityRules:
     max_repeat_percent: int = 30
     min_words: int = 80
     max_char_distance: float = 0.28
-    max_word_distance: float = 0.235
+    max_word_distance: float = 0.21
+    word_slack: float = 0.5
     words: dict[str, tuple[str, ...]] = field(
         default_factory=lambda: {
             "de": ("der", "die", "und", "den", "das"),
@@ -151,8 +154,9 @@ def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules:
     """Struct of base_failed, distance (null if too short or without references) and kept.  The
     distance is in units of the thresholds: a text is far if it is above 1 for all languages."""
     failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
+    word_limit = rules.max_word_distance + rules.word_slack / F.sqrt(F.greatest(q["n_words"], F.lit(1)))
     each = [
-        F.greatest(js_distance(q["chars"], q["n_chars"], a) / rules.max_char_distance, js_distance(q["common"], q["n_words"], b) / rules.max_word_distance)
+        F.greatest(js_distance(q["chars"], q["n_chars"], a) / rules.max_char_distance, js_distance(q["common"], q["n_words"], b) / word_limit)
         for _, (a, b) in sorted(refs.items())
     ]
     near = (F.least(*each) if len(each) > 1 else each[0]) if each else F.lit(None).cast("double")
