@@ -49,6 +49,22 @@ def rows_of(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*(F.col(f"_row.c{i}") for i in range(len(columns)))).toDF(*columns)
 
 
+#: Inputs of fewer bytes may be dealt out anew before costly work.
+SMALL_INPUT = 256 << 20
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """`rows` over all cores, if they come from fewer files than there are cores and are small:
+    files of one row group cannot be split, and costly work would run in as many tasks.  Larger
+    inputs stay as they are, for their files are enough and shuffling texts is dear."""
+    sc = rows.sparkSession.sparkContext
+    files = rows.inputFiles()
+    if not files or len(files) >= sc.defaultParallelism:
+        return rows
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(sc.defaultParallelism) if size < SMALL_INPUT else rows
+
+
 def let(value: Column, body) -> Column:
     """`body(x)` with `x` bound to `value`, which is computed once however often `body` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, rows_of, take, with_row
+from .common import in_arrow, rows_of, spread, take, with_row
 from .trie import PieceTrie, codes
 
 MARK = "▁"
@@ -181,7 +181,7 @@ def train(labelled: DataFrame, text_col: str, lang_col: str, vocab_path: str, pe
 def predict(docs: DataFrame, model: LanguageModel, id_col: str, text_col: str) -> DataFrame:
     """(id, lang_pred, score): the likeliest language and its posterior probability under equal
     priors.  A null text, one without letters, or a model without languages gives `und`, 0."""
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(model)  # pieces x languages numbers
 

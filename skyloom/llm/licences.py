@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, take
+from .common import let, spread, take
 
 #: The usual wordings of public licences' notices.
 TEMPLATES = (
@@ -105,7 +105,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     have a null licence, dice 0 and no units.  Repeated rows and null ids are scanned like any
     other; an empty table gives no rows."""
     found = templates(source, threshold)
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     wide = max(t.most for t in found)
     lowered = F.lower(F.coalesce("text", F.lit("")))
     may = F.lit(False)

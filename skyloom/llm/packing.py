@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, materialise, take
+from .common import in_arrow, materialise, spread, take
 
 DIMS, HASHED, ORDER = 4, 256, 15
 #: Bytes of text tokenised at once in a worker.
@@ -95,7 +95,7 @@ def curve_keys(flat: np.ndarray, sizes: np.ndarray, proj: np.ndarray) -> np.ndar
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
     """(id, key, n, ids): ids as little-endian unsigned numbers of two or four bytes."""
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
     proj = projection()
 

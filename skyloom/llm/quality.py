@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, materialise, rows_of, take, with_row
+from .common import SPACE, let, materialise, rows_of, spread, take, with_row
 
 WINDOW = 8
 
@@ -174,7 +174,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     unlisted language are judged like the rest but feed no reference; without any reference the
     base rules decide alone.  Repeated rows are judged alike; an empty table gives no rows."""
     rules = rules or QualityRules()
-    rows = take(docs, id_col, text_col, lang_col).toDF("id", "text", "lang")
+    rows = spread(take(docs, id_col, text_col, lang_col)).toDF("id", "text", "lang")
     measured = materialise(rows.select("id", "lang", features(F.col("text"), rules).alias("q")), "quality")
     refs = references(measured, rules)
     judged = measured.withColumn("v", verdict(F.col("q"), refs, rules))
@@ -184,7 +184,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns."""
     rules = rules or QualityRules()
-    rows = with_row(docs, text_col, lang_col).toDF("_row", "text", "lang")
+    rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
     measured = materialise(rows.select("_row", "lang", features(F.col("text"), rules).alias("q")), "quality")
     kept = measured.where(verdict(F.col("q"), references(measured, rules), rules)["kept"])
     return rows_of(kept, docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_arrow, materialise, rows_of, take, with_row
+from .common import in_arrow, materialise, rows_of, spread, take, with_row
 
 BITS = 64
 #: Bytes of text that are shingled at once in a worker.
@@ -93,7 +93,7 @@ def _long_fingerprint(text: bytes, width: int) -> int:
 def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """One row per document: the id, `th` (a hash of the text) and `fp`, the fingerprint as a
     signed long.  Null, empty and wordless texts have fingerprint 0."""
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     rows = rows.select("id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
 
     def apply(batches):
@@ -297,7 +297,7 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     collapse first.  A bucket gives a spanning forest of its links.  One with more than
     `bucket_cap` texts is dealt into parts, and every two of its parts are compared in a task of
     their own, so it loses nothing either.  Nulls and repeated rows: see `near_duplicates`."""
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     rows = rows.select("id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
 
     def prints(batches):

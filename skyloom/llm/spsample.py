@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, take
+from .common import in_arrow, spread, take
 from .trie import PieceTrie, codes
 
 MARK = "▁"
@@ -235,7 +235,7 @@ def encode_sampled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     Null and empty texts have no pieces.  Rows that share a key and a text are segmented alike;
     a null key is a key.  An empty table gives no rows.  Larger `alpha` favours frequent pieces."""
-    rows = take(docs, id_col, text_col).toDF("id", "text").select("id", F.xxhash64("id").alias("key"), "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text").select("id", F.xxhash64("id").alias("key"), "text")
     kind = rows.schema["id"].dataType.simpleString()
 
     def apply(batches):

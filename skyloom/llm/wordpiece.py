@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import in_arrow, take
+from .common import in_arrow, spread, take
 
 MARK = "▁"
 #: Distinct words whose counts a worker keeps.
@@ -125,7 +125,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     Null and empty texts have none of either.  Repeated rows and null ids are counted like any
     other; an empty table gives no rows."""
-    rows = take(docs, id_col, text_col).toDF("id", "text")
+    rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
 
     class Counts(dict):
