@@ -34,16 +34,18 @@ def percentile_range(pixels: DataFrame, bands: list[str], group: list[str], low:
     bands, over values above `floor`, or over all where no band has such a value.  Equal bounds
     give the least and greatest value, and if those are equal 0 and 1."""
 
-    def of(p: float, pick) -> Column:
-        some = [F.percentile(F.when(F.col(b) > floor, F.col(b)), F.lit(p / 100)) for b in bands]
-        every = [F.percentile(F.col(b), F.lit(p / 100)) for b in bands]
-        many = lambda xs: pick(*xs) if len(xs) > 1 else xs[0]
-        return F.coalesce(many(some), many(every))
+    both = F.array(F.lit(low / 100), F.lit(high / 100))  # one pass over a group's values gives both bounds
+    some = [F.percentile(F.when(F.col(b) > floor, F.col(b)), both).alias(f"_s{i}") for i, b in enumerate(bands)]
+    every = [F.percentile(F.col(b), both).alias(f"_e{i}") for i, b in enumerate(bands)]
+
+    def of(k: int, pick) -> Column:
+        many = lambda p: pick(*(F.col(f"{p}{i}")[k] for i in range(len(bands)))) if len(bands) > 1 else F.col(f"{p}0")[k]
+        return F.coalesce(many("_s"), many("_e"))
 
     least = F.least(*(F.min(b) for b in bands)) if len(bands) > 1 else F.min(bands[0])
     most = F.greatest(*(F.max(b) for b in bands)) if len(bands) > 1 else F.max(bands[0])
-    r = pixels.groupBy(*group).agg(of(low, F.least).alias("low"), of(high, F.greatest).alias("high"), least.alias("_a"), most.alias("_b"))
-    return settled(r)
+    r = pixels.groupBy(*group).agg(*some, *every, least.alias("_a"), most.alias("_b"))
+    return settled(r.select(*group, of(0, F.least).alias("low"), of(1, F.greatest).alias("high"), "_a", "_b"))
 
 
 def settled(r: DataFrame) -> DataFrame:
