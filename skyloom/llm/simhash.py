@@ -187,7 +187,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if edges.isEmpty():
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("m")), "least")
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("m"))
         up = least.select(F.col("v").alias("m"), F.col("m").alias("mm"))
         step = materialise(least.join(up, "m", "left").select("v", F.coalesce("mm", "m").alias("p")), "step")
         maps.append(step)
