@@ -14,9 +14,12 @@ every text back.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from bisect import bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -183,29 +186,49 @@ def sample(texts: list[str], keys: np.ndarray, v: Pieces, seed: int) -> list[np.
     return [out[a:b] if not (out[a:b] == v.strange).any() else in_bytes(out[a:b], t, v) for a, b, t in zip(edges[:-1], edges[1:], texts, strict=True)]
 
 
+def _edges(unit: str, v: Pieces) -> tuple[list[int], list[int], list[int]]:
+    """The lattice of one long unit: lengths and piece numbers of all edges, by end and then by
+    length, and where each end's edges begin."""
+    n = len(unit)
+    code = codes([unit], n)[0]
+    live, node = np.arange(n), np.zeros(n, np.int32)
+    ends, sizes, ids = [], [], []
+    for size in range(1, v.longest + 1):
+        inside = live + size <= n
+        live, node = live[inside], node[inside]
+        node = v.trie.step(node, code[live + size - 1])
+        live, node = live[node >= 0], node[node >= 0]
+        number = v.trie.number[node]
+        ends.append(live[number >= 0] + size)
+        ids.append(number[number >= 0])
+        sizes.append(np.full(len(ends[-1]), size))
+    odd = np.setdiff1d(np.arange(1, n + 1), ends[0])  # characters that are not pieces
+    end, size, number = (np.concatenate(x) for x in ([*ends, odd], [*sizes, np.ones(len(odd), int)], [*ids, np.full(len(odd), v.strange)]))
+    order = np.lexsort((size, end))
+    begin = np.searchsorted(end[order], np.arange(n + 2))
+    return size[order].tolist(), number[order].tolist(), begin.tolist()
+
+
 def _alone(unit: str, state: np.ndarray, v: Pieces) -> np.ndarray:
     """The pieces of one long unit, last first; sums are kept as logarithms."""
-    n, get = len(unit), v.number.get
-    log_w = np.log(np.maximum(v.weight, 1e-300))
-    log_w[v.none] = -np.inf
-    total = np.zeros(n + 1)
-    ids = np.full((n + 1, v.longest), v.none, np.int32)
-    for j in range(1, n + 1):
-        top = min(v.longest, j)
-        ids[j, :top] = [get(unit[j - size : j], v.none) for size in range(1, top + 1)]
-        if ids[j, 0] == v.none:
-            ids[j, 0] = v.strange
-        x = total[j - top : j][::-1] + log_w[ids[j, :top]]
-        peak = x.max()
-        total[j] = peak + np.log(np.exp(x - peak).sum())
-    out, pos = [], n
+    sizes, numbers, begin = _edges(unit, v)
+    log_w = np.log(np.maximum(v.weight, 1e-300)).tolist()
+    exp, log = math.exp, math.log
+    total = [0.0] * (len(unit) + 1)
+    for j in range(1, len(unit) + 1):
+        xs = [total[j - sizes[k]] + log_w[numbers[k]] for k in range(begin[j], begin[j + 1])]
+        peak = max(xs)
+        total[j] = peak + log(sum([exp(x - peak) for x in xs])) if len(xs) > 1 else peak
+    out, pos, uniform = [], len(unit), []
     while pos:
-        top = min(v.longest, pos)
-        w = np.exp(total[pos - top : pos][::-1] + log_w[ids[pos, :top]] - total[pos])
-        cum = np.cumsum(w)
-        back = min(int(np.searchsorted(cum, draws(state, len(out))[0] * cum[-1], "right")), int(np.flatnonzero(w)[-1]))
-        out.append(ids[pos, back])
-        pos -= back + 1
+        if len(out) == len(uniform):  # as `draws`, many steps at once
+            steps = np.arange(len(out) + 1, len(out) + 1025, dtype=np.uint64)
+            uniform += ((mix(state + steps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) * 2.0**-53).tolist()
+        ks = range(begin[pos], begin[pos + 1])
+        cum = list(accumulate(exp(total[pos - sizes[k]] + log_w[numbers[k]] - total[pos]) for k in ks))
+        k = ks[min(bisect_right(cum, uniform[len(out)] * cum[-1]), len(cum) - 1)]
+        out.append(numbers[k])
+        pos -= sizes[k]
     return np.array(out, np.int32)
 
 
