@@ -33,11 +33,16 @@ def point_rows(points: DataFrame, lon: str = "longitude", lat: str = "latitude",
     )
 
 
-def latest(rows: DataFrame, order: Column | None = None) -> DataFrame:
-    """One row for each key, the last by `order` (upserts: the last write wins)."""
-    names = [c for c in rows.columns if c != "row_key"]
+#: A point's columns that its key determines.
+KEYED = ("row_key", "tile", "ts", "identifier", "x", "y")
+
+
+def latest(rows: DataFrame, order: Column | None = None, keys: tuple[str, ...] = ("row_key",)) -> DataFrame:
+    """One row for each key, the last by `order` (upserts: the last write wins).  Filters on
+    columns among `keys` reach the scan below."""
+    names = [c for c in rows.columns if c not in keys]
     best = F.max_by(F.struct(*names), order if order is not None else F.struct(*names))
-    return rows.groupBy("row_key").agg(best.alias("r")).select("row_key", *(F.col(f"r.{c}").alias(c) for c in names))
+    return rows.groupBy(*keys).agg(best.alias("r")).select(*keys, *(F.col(f"r.{c}").alias(c) for c in names))
 
 
 def write_points(rows: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -49,8 +54,10 @@ def write_points(rows: DataFrame, path: str, partitions: int | None = None) -> N
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """The table's points, each key once.  What a key determines is grouped by, so that predicates
+    on tiles and times are pushed to the files."""
     raw = spark.read.parquet(path)
-    return latest(raw, F.col("_written")).drop("_written")
+    return latest(raw, F.col("_written"), KEYED).drop("_written").select(*(c for c in raw.columns if c != "_written"))
 
 
 def scan_tile_time(points: DataFrame, tile: str, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME) -> DataFrame:

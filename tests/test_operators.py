@@ -216,8 +216,8 @@ def test_store(spark, tmp_path):
     assert points.first_per_coarse_tile(back, 10).count() == 100
     srt = points.sorted_table(back, "significance", numeric=True, descending=True).select(F.get_json_object("metadata", "$.significance").cast("double")).collect()
     assert [r[0] for r in srt] == sorted((r[0] for r in srt), reverse=True)
-    plan = spark.read.parquet(path).where((F.col("x") == 1) & (F.col("ts") > 5))._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(x)" in plan
+    plan = store.scan_box(store.read_points(spark, path), 1, 2, 3, 4, 5, 6)._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(x), IsNotNull(y), IsNotNull(ts), GreaterThanOrEqual(x,1)" in plan
     store.rewrite(spark, store.delete_range(back, tile), path)
     assert store.read_points(spark, path).count() == 100 - len(inside)
     store.drop_points(spark, path)
