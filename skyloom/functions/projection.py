@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 
 @dataclass(frozen=True)
 class Projection:
@@ -124,6 +126,7 @@ def lon_lat(x: Column, y: Column, wkt: str) -> Column:
     p = Projection.parse(wkt)
     if not p.scale:
         return F.struct(x.alias("longitude"), y.alias("latitude"))
+    ship()
 
     @F.pandas_udf("longitude double, latitude double")
     def convert(a: pd.Series, b: pd.Series) -> pd.DataFrame:

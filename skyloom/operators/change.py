@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions.projection import Projection
+from ..shipping import ship
 
 
 def cloud_filter(pixels: DataFrame, value: str = "v", group: list[str] | None = None) -> DataFrame:
@@ -108,6 +109,7 @@ def register(second: DataFrame, geo1: list[float], wkt1: str, geo2: list[float],
         col, row = (x - geo1[0]) / geo1[1], (y - geo1[3]) / geo1[5]
         out = second.withColumn("row1", F.rint(row).cast("int")).withColumn("col1", F.rint(col).cast("int"))
     else:
+        ship(second.sparkSession)
         p1, p2 = Projection.parse(wkt1), Projection.parse(wkt2)
 
         @F.pandas_udf("row1 double, col1 double")

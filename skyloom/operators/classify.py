@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
+from ..shipping import ship
 
 LAND_COVERS = ("clouds", "desert", "water", "vegetation")
 
@@ -141,6 +142,8 @@ class RbfSvm:
         return np.array(names)[votes.argmax(1)]
 
     def predict(self, column: Column) -> Column:
+        ship()
+
         @F.pandas_udf("int")
         def run(v: pd.Series) -> pd.Series:
             return pd.Series(self.classes_of(np.array(v.tolist(), float)).astype(int)) if len(v) else pd.Series([], dtype=int)

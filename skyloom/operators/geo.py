@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from ..functions.projection import Projection
+from ..shipping import in_arrow
 from ..sources import codec
 
 # ---- in SQL: sections and candidate tiles ------------------------------------------------------
@@ -197,4 +198,4 @@ def tile_scenes(scenes: DataFrame, depth: int = grid.DEEPEST, width: int = 512,
                         names=["scene_id", "ts", "depth", "x", "y", "row", "col", "mask", "v"],
                     )
 
-    return timed.select(*names, "_ts").mapInArrow(apply, "scene_id string, ts bigint, depth int, x int, y int, row int, col int, mask double, v array<double>")
+    return in_arrow(timed.select(*names, "_ts"), apply, "scene_id string, ts bigint, depth int, x int, y int, row int, col int, mask double, v array<double>")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions import calib, grid
 from ..schema import LayerSpec
+from ..shipping import ship
 from ..sources.codec import png
 
 WIDTH, HEIGHT = 512, 256
@@ -155,5 +156,6 @@ def images(pixels: DataFrame, layer: str = "layer") -> DataFrame:
         one = {c: [table.column(c)[0].as_py()] for c in (*TILE, layer)}
         return pa.table({**one, "png": [png(rgba)]}, schema=pa.schema([("depth", pa.int32()), ("x", pa.int32()), ("y", pa.int32()), (layer, pa.string()), ("png", pa.binary())]))
 
+    ship(pixels.sparkSession)
     named = pixels.select(*(F.col(c).cast("int").alias(c) for c in TILE), layer, *(F.col(c).cast("int").alias(c) for c in ("row", "col", *"rgba")))
     return named.groupBy(*TILE, layer).applyInArrow(draw, f"depth int, x int, y int, {layer} string, png binary")

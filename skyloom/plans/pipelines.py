@@ -10,6 +10,7 @@ from ..functions import grid, keys
 from ..functions.projection import Projection, pixel_place
 from ..operators import geo, points, tiles
 from ..schema import Analytic, LayerSpec, chain
+from ..shipping import ship
 from ..sources import codec, store
 
 
@@ -47,6 +48,7 @@ def bright_spots(scenes: DataFrame, bands: list[str], band: str, threshold: floa
     pixels, names = analysed(codec.pixels_of(scenes), list(bands), list(analytics))
     if band not in names:
         raise ValueError(f"no band {band!r}")
+    ship(scenes.sparkSession)
     hot = points.bright(pixels, band, threshold)
     meta = scenes.select("scene_id", keys.geo_transform(F.col("metadata")).alias("_geo"), F.col("metadata")["Projection"].alias("_wkt"), keys.acquisition_time(keys.l1t_value(F.col("metadata"), "PRODUCT_METADATA", "START_TIME")).alias("ts"))
     placed = hot.join(meta, "scene_id")

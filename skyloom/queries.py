@@ -12,6 +12,7 @@ from .functions import calib, grid, keys
 from .operators import catalog, change, classify, explore, geo, points, tiles
 from .plans import views as V
 from .schema import LayerSpec
+from .shipping import ship
 from .sources import codec, scenes, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -540,6 +541,7 @@ def _scenes(spark, d) -> DataFrame:
 
     from .schema import SCENE
 
+    ship(spark)
     schema = f"scene_id string, {SCENE}"
 
     def build(key, pdf):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import BYTE_ORDERS, SCENE
+from ..shipping import in_arrow
 
 #: numpy's number of float64, the only element type of the relational path.
 FLOAT64 = np.dtype("f8").num
@@ -211,7 +212,7 @@ def decode_lines(lines: DataFrame, column: str = "value", corrupt: str = "skip")
             for row in rows:  # scenes are large: one a batch
                 yield pa.RecordBatch.from_pylist([row], schema=arrow)
 
-    return lines.select(column).mapInArrow(apply, SCENE)
+    return in_arrow(lines.select(column), apply, SCENE)
 
 
 def encode_lines(scenes: DataFrame) -> DataFrame:
@@ -224,7 +225,7 @@ def encode_lines(scenes: DataFrame) -> DataFrame:
                 row["metadata"] = dict(row["metadata"])
                 yield pa.RecordBatch.from_arrays([pa.array([base64.b64encode(encode_avro(row)).decode()])], names=["value"])
 
-    return scenes.select(*names).mapInArrow(apply, "value string")
+    return in_arrow(scenes.select(*names), apply, "value string")
 
 
 def pixels_of(scenes: DataFrame, id_col: str = "scene_id", rows_at_once: int = 64) -> DataFrame:
@@ -247,7 +248,7 @@ def pixels_of(scenes: DataFrame, id_col: str = "scene_id", rows_at_once: int = 6
                     ids = pa.array([scene[id_col]] * len(part), b.schema.field(0).type)
                     yield pa.RecordBatch.from_arrays([ids, pa.array((at // w).astype(np.int32)), pa.array((at % w).astype(np.int32)), v], names=[id_col, "row", "col", "v"])
 
-    return scenes.select(*names).mapInArrow(apply, f"{id_col} {kind}, row int, col int, v array<double>")
+    return in_arrow(scenes.select(*names), apply, f"{id_col} {kind}, row int, col int, v array<double>")
 
 
 def valid(scene: Column | None = None) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from pyspark.sql.types import StructType
 
 from ..functions import grid
+from ..shipping import ship
 from .codec import png
 
 
@@ -54,6 +55,7 @@ class _PngWriter(DataSourceWriter):
 def write_png(images: DataFrame, path: str) -> None:
     """Tile images as files named after tile and layer."""
     spark: SparkSession = images.sparkSession
+    ship(spark)
     spark.dataSource.register(PngFiles)
     named = images.select(grid.tile_name(F.col("depth"), F.col("x"), F.col("y"), F.col("layer")).alias("name"), "png")
     named.write.format("png_files").mode("append").option("path", path).save()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calib, grid
 from ..schema import CATALOGUE
+from ..shipping import in_arrow
 from . import codec
 
 DEFAULT_BANDS = ("B029", "B023", "B016")
@@ -50,7 +51,7 @@ def read_l1t(spark: SparkSession, path: str, glob: str = "*.L1T") -> DataFrame:
             found = [parse_l1t(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([json.dumps(x, sort_keys=True) for x in found])], names=["folder", "file", "l1t_json"])
 
-    parsed = files.mapInArrow(apply, "folder string, file string, l1t_json string")
+    parsed = in_arrow(files, apply, "folder string, file string, l1t_json string")
     first = parsed.groupBy("folder").agg(F.min_by("l1t_json", "file").alias("l1t_json"))
     return first.withColumn("l1t", F.from_json("l1t_json", "map<string,map<string,string>>"))
 
@@ -102,7 +103,7 @@ def read_bands(spark: SparkSession, path: str, bands: tuple[str, ...] | None = D
                     schema=pa.schema([("folder", pa.string()), ("band", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("geo", pa.list_(pa.float64())), ("data", pa.binary())]),
                 )
 
-    return wanted.mapInArrow(apply, "folder string, band string, height int, width int, geo array<double>, data binary")
+    return in_arrow(wanted, apply, "folder string, band string, height int, width int, geo array<double>, data binary")
 
 
 def assemble(bands: DataFrame, l1t: DataFrame, projection: str = "", require_all: tuple[str, ...] | None = None, sensor: str = "hyperion") -> DataFrame:
@@ -140,7 +141,7 @@ def assemble(bands: DataFrame, l1t: DataFrame, projection: str = "", require_all
                 scene["metadata"] = list(meta.items())
                 yield pa.RecordBatch.from_pylist([{"scene_id": row["folder"], **scene}], schema=arrow)
 
-    return joined.mapInArrow(apply, ddl)
+    return in_arrow(joined, apply, ddl)
 
 
 def read_scenes(spark: SparkSession, path: str, corrupt: str = "skip") -> DataFrame:
