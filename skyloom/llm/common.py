@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import in_arrow, ship  # noqa: F401  used by the operators
+
 #: What separates words in the word-level operators.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -70,28 +68,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def ship(spark: SparkSession) -> None:
-    """Gives executors this package, once in a session, for the operators that run Python there."""
-    sc = spark.sparkContext
-    if getattr(sc, "_skyloom_shipped", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    place = os.path.realpath(tempfile.mkdtemp())  # the driver's file server reads it from here
-    atexit.register(shutil.rmtree, place, ignore_errors=True)
-    to = os.path.join(place, f"{top.name}.zip")
-    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f.relative_to(top.parent))
-    sc.addPyFile(to)
-    sc._skyloom_shipped = True
-
-
-def in_arrow(df: DataFrame, apply, schema: str) -> DataFrame:
-    """`df.mapInArrow`, with this package on the executors."""
-    ship(df.sparkSession)
-    return df.mapInArrow(apply, schema)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, where that is
     unset on a local master, a temporary folder of this machine."""
