@@ -285,9 +285,9 @@ def _near_forest(ids: np.ndarray, v: np.ndarray, apart: int) -> list[tuple[int,
     return edges
 
 
-def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, slack: float = 0.02, rounds: int = 4, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
-    """Per document: `id`, `th`, `root` (one number for each group of near duplicates) and
-    `component_id`, the group's smallest id.
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, slack: float = 0.02, rounds: int = 4, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
+    """Per document: `id`, `th` (a hash of the text) and `root`, one number for each group of near
+    duplicates.
 
     Texts whose shingles overlap by `similarity` differ in some 10 of 64 shingle bits, too many for
     blocks of a few bits to be shared and still tell texts apart.  So blocks are cut from other
@@ -308,7 +308,7 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     kind = rows.schema["id"].dataType.simpleString()
     marked = materialise(in_arrow(rows, prints, f"id {kind}, th long, v binary, c array<long>"), "prints")
-    texts = materialise(marked.groupBy("th").agg(F.min("id").alias("least"), F.first("v").alias("v"), F.first("c").alias("c")), "texts")
+    texts = materialise(marked.groupBy("th").agg(F.first("v").alias("v"), F.first("c").alias("c")), "texts")
     masks = _blocks(3)  # pairs of five blocks
     keys = F.flatten(F.transform("c", lambda c: F.array(*(c.bitwiseAND(F.lit(m).cast("long")) for m in masks))))
     keyed = texts.select("th", F.posexplode(keys).alias("tab", "key"))
@@ -332,16 +332,22 @@ def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["a", "b"])
 
     linked = components(in_arrow(dealt.select("m"), compare, "a long, b long"))
-    rooted = materialise(texts.select("th", "least").join(linked.withColumnRenamed("node", "th"), "th", "left").select("th", "least", F.coalesce("root", "th").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.select("id", "th").join(rooted.select("th", "root").join(least, "root"), "th").select("id", "th", "root", "component_id")
+    rooted = texts.select("th").join(linked.withColumnRenamed("node", "th"), "th", "left").select("th", F.coalesce("root", "th").alias("root"))
+    return marked.select("id", "th").join(rooted, "th").select("id", "th", "root")
+
+
+def similar_texts(docs: DataFrame, **options) -> DataFrame:
+    """`similar_groups` with `component_id`, the group's smallest id (null if it has none)."""
+    found = materialise(similar_groups(docs, **options), "groups")
+    least = found.groupBy("root").agg(F.min("id").alias("component_id"))
+    return found.join(least, "root").select("id", "th", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of `docs` but for near duplicates (see `similar_texts`): of each group the row with
+    """The rows of `docs` but for near duplicates (see `similar_groups`): of each group the row with
     the smallest id (nulls last, then the text's hash) stays, and of equal rows one."""
     columns = docs.columns
-    found = similar_texts(docs, id_col, text_col, width, similarity)
+    found = similar_groups(docs, id_col, text_col, width, similarity)
     kept = (
         found.groupBy("root")
         .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("k"))
