@@ -242,25 +242,37 @@ def widened(h: np.ndarray, words: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def wide_fingerprint(text: bytes | None, width: int, long_words: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two fingerprints of a whole text: `long_words` x 64 bits over its shingles, repeats included,
-    and `rounds` x 64 bits over its distinct words; zeros where there are none."""
-    words = (text or b"").lower().split()
+#: Bands of a text's shingle minima, and minima in a band: texts that share 0.8 of their shingles
+#: have an equal band in all but 0.2 % of cases.
+BANDS, IN_BAND = 16, 5
 
-    def major(counts: np.ndarray, n: int) -> np.ndarray:
-        return np.packbits((2 * counts > n).astype(np.uint8), bitorder="little").view(np.uint64)
 
-    counts, n, step = np.zeros(64 * long_words, np.int64), 0, 1 << 15
-    for lo in range(0, max(1, len(words) - width + 1), step):
-        h = shingle_hashes(words[lo : lo + step + width - 1], width)
-        if h:
-            counts += bit_counts(widened(np.array(h, np.uint64), long_words))
-            n += len(h)
-    seen = np.array([xxhash.xxh64_intdigest(w, 43) for w in sorted(set(words))], np.uint64)
-    own = np.zeros(64 * rounds, np.int64)
-    for lo in range(0, len(seen), step):
-        own += bit_counts(widened(seen[lo : lo + step], rounds))
-    return major(counts, n), major(own, len(seen))
+def shingle_set(text: bytes | None, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, in order."""
+    words, step = (text or b"").lower().split(), 1 << 15
+    parts = [np.array(shingle_hashes(words[lo : lo + step + width - 1], width), np.uint64) for lo in range(0, max(1, len(words) - width + 1), step)]
+    return np.unique(np.concatenate(parts)) if words else np.zeros(0, np.uint64)
+
+
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """A key for each band, of the minima that `IN_BAND` hash functions take over a set."""
+    odd = np.random.default_rng(5).integers(0, 1 << 63, (BANDS + 1) * IN_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    if not len(h):
+        return np.zeros(BANDS, np.uint64)
+    by, least = odd[IN_BAND:, None], np.full(BANDS * IN_BAND, np.iinfo(np.uint64).max)
+    for lo in range(0, len(h), 1024):
+        np.minimum(least, (by * h[None, lo : lo + 1024]).min(1), out=least)
+    return (least.reshape(BANDS, IN_BAND) * odd[:IN_BAND]).sum(1, dtype=np.uint64)
+
+
+def wide_fingerprint(text: bytes | None, width: int, long_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a whole text's distinct shingles, a fingerprint of `long_words` x 64 bits and the band
+    keys; zeros where there are none."""
+    h, step = shingle_set(text, width), 1 << 15
+    counts = np.zeros(64 * long_words, np.int64)
+    for lo in range(0, len(h), step):
+        counts += bit_counts(widened(h[lo : lo + step], long_words))
+    return np.packbits((2 * counts > len(h)).astype(np.uint8), bitorder="little").view(np.uint64), band_keys(h)
 
 
 def bits_apart(similarity: float, bits: int) -> int:
@@ -269,32 +281,82 @@ def bits_apart(similarity: float, bits: int) -> int:
     return int(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def _near_forest(ids: np.ndarray, v: np.ndarray, apart: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among fingerprints `v` (rows of 64-bit words)."""
-    order = np.argsort(ids)
-    ids, v = ids[order], v[order]
+def limits(similarity: float, bits: int) -> tuple[int, int]:
+    """Distances up to which sets are surely similar enough, and beyond which surely not.  The
+    cosine of similar sets is 2 s / (1 + s) at least, and that of others at most sqrt(s), where one
+    holds the other; the distance scatters by the root of its binomial variance about the mean."""
+    far, p = bits_apart(similarity, bits), np.arccos(np.sqrt(similarity)) / np.pi
+    q = far / bits
+    return max(0, int(bits * p - 4 * np.sqrt(bits * p * (1 - p)))), int(far + 5 * np.sqrt(bits * q * (1 - q)))
+
+
+def _near_forest(ids: np.ndarray, v: np.ndarray, c: np.ndarray, tab: int, sure: int, far: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Edges of a spanning forest of the sure links among fingerprints `v` (rows of 64-bit words),
+    and which rows are in a pair that is neither sure, nor far, nor joined by the forest, and has
+    its first equal band in `tab`."""
     root = np.arange(len(ids))  # labels; the smaller of two merged ones stays
+    edges, open_ = [], []
+    for i in range(len(ids) - 1):
+        d = np.bitwise_count(v[i + 1 :] ^ v[i]).sum(1, dtype=np.int32)
+        near = i + 1 + np.flatnonzero(d <= far)
+        if not len(near):
+            continue
+        is_sure = d[near - i - 1] <= sure
+        for j in near[is_sure & (root[near] != root[i])].tolist():
+            a, b = root[i], root[j]
+            if a != b:
+                root[root == max(a, b)] = min(a, b)
+                edges.append((int(ids[i]), int(ids[j])))
+        rest = near[~is_sure]
+        if len(rest):
+            open_.append((i, rest[(c[rest] == c[i]).argmax(1) == tab].astype(np.int32)))
+    border = np.zeros(len(ids), bool)
+    for i, js in open_:
+        js = js[root[js] != root[i]]
+        border[js] = True
+        border[i] |= len(js) > 0
+    return edges, border
+
+
+def _exact_forest(ids: np.ndarray, v: np.ndarray, c: np.ndarray, tab: int, sure: int, far: int, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the pairs that `_near_forest` leaves open and whose sets of
+    shingles have the similarity."""
+    size = np.array([len(x) for x in sets])
+    cuts = np.concatenate(([0], np.cumsum(size)))
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mine = np.zeros(len(number) + 1, bool)
+    root = np.arange(len(ids))
     edges = []
     for i in range(len(ids) - 1):
-        near = i + 1 + np.flatnonzero(np.bitwise_count(v[i + 1 :] ^ v[i]).sum(1, dtype=np.int32) <= apart)
+        d = np.bitwise_count(v[i + 1 :] ^ v[i]).sum(1, dtype=np.int32)
+        near = i + 1 + np.flatnonzero((d > sure) & (d <= far))
+        near = near[(c[near] == c[i]).argmax(1) == tab]
+        own = number[cuts[i] : cuts[i + 1]]
+        mine[own] = True
         for j in near[root[near] != root[i]].tolist():
             a, b = root[i], root[j]
-            if a != b:
+            if a == b:
+                continue
+            both = int(np.count_nonzero(mine[number[cuts[j] : cuts[j + 1]]]))
+            if both >= similarity * (size[i] + size[j] - both) - 1e-9:
                 root[root == max(a, b)] = min(a, b)
                 edges.append((int(ids[i]), int(ids[j])))
+        mine[own] = False
     return edges
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, slack: float = 0.02, rounds: int = 4, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
+#: Bits of the filter that picks the texts to be read again.
+FILTER = 1 << 24
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
     """Per document: `id`, `th` (a hash of the text) and `root`, one number for each group of near
-    duplicates.
-
-    Texts whose shingles overlap by `similarity` differ in some 10 of 64 shingle bits, too many for
-    blocks of a few bits to be shared and still tell texts apart.  So blocks are cut from other
-    SimHashes, `rounds` of them, over a text's distinct words, of which such texts share nearly
-    all: each round's 64 bits make five blocks, and texts with two equal blocks are compared.  What
-    verifies them is the Hamming distance of `long_words` x 64 bits over the shingles.  Equal texts
-    collapse first.  A bucket gives a spanning forest of its links.  One with more than
+    duplicates: texts linked by chains of pairs whose sets of shingles overlap by `similarity`.
+
+    Candidates share a band of minima over their shingles (see `BANDS`).  The Hamming distance of
+    `long_words` x 64 SimHash bits over the shingles settles those that are surely alike or surely
+    not; the texts of all other pairs are read again, and their sets of shingles compared.  Equal
+    texts collapse first.  A bucket gives a spanning forest of its links.  One with more than
     `bucket_cap` texts is dealt into parts, and every two of its parts are compared in a task of
     their own, so it loses nothing either.  Nulls and repeated rows: see `near_duplicates`."""
     rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
@@ -302,36 +364,75 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def prints(batches):
         for b in batches:
-            made = [wide_fingerprint(t.as_py(), width, long_words, rounds) for t in b.column(2)]
-            own = pa.ListArray.from_arrays(np.arange(len(made) + 1, dtype=np.int32) * rounds, np.concatenate([c for _, c in made]).view(np.int64)) if made else pa.array([], pa.list_(pa.int64()))
+            made = [wide_fingerprint(t.as_py(), width, long_words) for t in b.column(2)]
+            own = pa.ListArray.from_arrays(np.arange(len(made) + 1, dtype=np.int32) * BANDS, np.concatenate([c for _, c in made]).view(np.int64)) if made else pa.array([], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([v.tobytes() for v, _ in made], pa.binary()), own], names=["id", "th", "v", "c"])
 
     kind = rows.schema["id"].dataType.simpleString()
     marked = materialise(in_arrow(rows, prints, f"id {kind}, th long, v binary, c array<long>"), "prints")
     texts = materialise(marked.groupBy("th").agg(F.first("v").alias("v"), F.first("c").alias("c")), "texts")
-    masks = _blocks(3)  # pairs of five blocks
-    keys = F.flatten(F.transform("c", lambda c: F.array(*(c.bitwiseAND(F.lit(m).cast("long")) for m in masks))))
-    keyed = texts.select("th", F.posexplode(keys).alias("tab", "key"))
+    keyed = texts.select("th", F.posexplode("c").alias("tab", "key"))
     sizes = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialise(keyed.join(sizes, ["tab", "key"]), "shared").join(texts.select("th", "v"), "th")
+    shared = materialise(keyed.join(sizes, ["tab", "key"]), "shared").join(texts, "th")
     parts = F.ceil(F.col("n") / F.lit(bucket_cap // 2)).cast("int")
     own = F.pmod(F.col("th"), parts).cast("int")
     pairs = F.when(F.col("n") <= bucket_cap, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.least(k, own) * parts + F.greatest(k, own)))
-    dealt = shared.withColumn("pair", F.explode(pairs)).groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v")).alias("m"))
-    # half of the pairs that are just similar enough lie above the average distance
-    apart = bits_apart(similarity - slack, 64 * long_words)
+    dealt = shared.withColumn("pair", F.explode(pairs)).groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v", "c")).alias("m"))
+    sure, far = limits(similarity, 64 * long_words)
+
+    def members(m):
+        """A bucket's members in order of their numbers, with fingerprints and band keys."""
+        m = m.values
+        ids = m.field("th").to_numpy(zero_copy_only=False)
+        order = np.argsort(ids)
+        v = np.frombuffer(b"".join(m.field("v").to_pylist()), np.uint64).reshape(-1, long_words)
+        c = m.field("c").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+        return m, order, ids[order], v[order], c[order]
 
     def compare(batches):
+        for b in batches:
+            for tab, key, pair, ms in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
+                _, _, ids, v, c = members(ms)
+                edges, border = _near_forest(ids, v, c, tab, sure, far)
+                e, at = np.array(edges, np.int64).reshape(-1, 2), np.flatnonzero(border)
+                n, k = len(e), len(at)
+                if n + k:
+                    yield pa.RecordBatch.from_pydict({
+                        "tab": pa.array([tab] * (n + k), pa.int32()), "key": pa.array([key] * (n + k), pa.int64()), "pair": pa.array([pair] * (n + k), pa.int32()),
+                        "a": pa.array(np.concatenate((e[:, 0], ids[at]))), "b": pa.array(e[:, 1].tolist() + [None] * k, pa.int64()),
+                        "v": pa.array([None] * n + [x.tobytes() for x in v[at]], pa.binary()), "c": pa.array([None] * n + c[at].tolist(), pa.list_(pa.int64())),
+                    })
+
+    compared = materialise(in_arrow(dealt, compare, "tab int, key long, pair int, a long, b long, v binary, c array<long>"), "compared")
+    border = compared.where("b IS NULL").select("tab", "key", "pair", F.col("a").alias("th"), "v", "c")
+    # few texts are read again: a filter of fixed size spares the others a join
+    at = F.pmod(F.col("th"), F.lit(FILTER))
+    bits = np.zeros(FILTER // 8, np.uint8)
+    for r in border.groupBy((at / 32768).cast("int").alias("k")).agg(F.bitmap_construct_agg((at % 32768).cast("long")).alias("m")).collect():
+        bits[r["k"] * 4096 : r["k"] * 4096 + 4096] = np.frombuffer(r["m"], np.uint8)
+
+    def sets(batches):
+        for b in batches:
+            place = b.column(0).to_numpy() % FILTER
+            b = b.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), width).tobytes() for t in b.column(1)], pa.binary())], names=["th", "s"])
+
+    def verify(batches):
         for b in batches:
             found = []
-            for m in b.column(0):
-                members = m.values
-                v = np.frombuffer(b"".join(members.field("v").to_pylist()), np.uint64).reshape(-1, long_words)
-                found += _near_forest(np.array(members.field("th")), v, apart)
+            for tab, ms in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                m, order, ids, v, c = members(ms)
+                s = m.field("s").to_pylist()
+                found += _exact_forest(ids, v, c, tab, sure, far, [np.frombuffer(s[i], np.uint64) for i in order], similarity)
             e = np.array(found, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["a", "b"])
 
-    linked = components(in_arrow(dealt.select("m"), compare, "a long, b long"))
+    edges = compared.where("b IS NOT NULL").select("a", "b")
+    if bits.any():
+        read = in_arrow(rows.select("th", "text"), sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
+        again = border.join(read, "th").groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v", "c", "s")).alias("m"))
+        edges = edges.unionByName(in_arrow(again.select("tab", "m"), verify, "a long, b long"))
+    linked = components(edges)
     rooted = texts.select("th").join(linked.withColumnRenamed("node", "th"), "th", "left").select("th", F.coalesce("root", "th").alias("root"))
     return marked.select("id", "th").join(rooted, "th").select("id", "th", "root")
 

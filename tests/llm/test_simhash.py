@@ -169,3 +169,50 @@ def test_bit_counts():
     h = np.random.default_rng(1).integers(0, 1 << 63, (1000, 3), dtype=np.uint64)
     want = np.unpackbits(h.view(np.uint8).reshape(1000, -1), axis=1, bitorder="little").sum(0)
     assert np.array_equal(S.bit_counts(h), want)
+
+
+def overlap(a, b):
+    return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+
+@pytest.mark.parametrize("cap", [4096, 8])
+def test_passage_edits(spark, cap):
+    """Copies with a passage replaced, appended or put in front meet just if five-word similarity is 0.8."""
+    r = np.random.default_rng(3)
+    lex = np.array([f"z{i}" for i in range(20000)])
+    draw = lambda n: lex[np.minimum(r.zipf(1.2, n), len(lex)) - 1].tolist()
+    texts, alike, unlike = [], [], []
+    for k in range(240):
+        w = draw(int(r.integers(100, 800)))
+        share = r.uniform(0.02, 0.3)
+        new = draw(int(share * len(w)))
+        at = int(r.integers(0, len(w) - len(new)))
+        other = [w[:at] + new + w[at + len(new) :], w + new, new + w][k % 3]
+        a, b = " ".join(w), " ".join(other)
+        s = overlap(a, b)
+        (alike if s >= 0.8 else unlike).append((2 * k, s))
+        texts += [a, b]
+    assert sum(s < 0.87 for _, s in alike) > 30 and sum(s > 0.75 for _, s in unlike) > 10
+    got = {x.id: x.component_id for x in S.similar_texts(table(spark, list(enumerate(texts))), bucket_cap=cap).collect()}
+    assert sum(got[i + 1] == got[i] for i, _ in alike) >= len(alike) - 1
+    assert not [(i, s) for i, s in unlike if got[i + 1] == got[i]]
+
+
+def test_border_of_one_large_group(spark):
+    """Pairs near the limit within one bucket are settled by their shingles, against brute force."""
+    r = np.random.default_rng(9)
+    base = [f"q{i}" for i in range(150)]
+    texts = []
+    for _ in range(60):
+        w = list(base)
+        for _ in range(int(r.integers(0, 6))):
+            w[int(r.integers(len(w)))] = f"e{r.integers(10**6)}"
+        texts.append(" ".join(w))
+    n = len(texts)
+    root = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if overlap(texts[i], texts[j]) >= 0.8:
+                root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+    got = {x.id: x.component_id for x in S.similar_texts(table(spark, list(enumerate(texts)))).collect()}
+    assert got == dict(enumerate(root))
