@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of 1024 tokens."""
-    return packing.packed_pieces(docs, tokenizer=tokenizer_file("byte_bpe_50k.json"), end_id=0, length=1024).withColumnRenamed("id", "doc_id")
+    return packing.packed_pieces(docs, tokenizer=tokenizer_file("byte_bpe_50k.json"), end_id=0, length=1024, added=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

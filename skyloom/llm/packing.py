@@ -35,16 +35,19 @@ def _byte_of() -> dict[str, int]:
 @lru_cache(maxsize=2)
 def encoder(path: str):
     """An encoder for a byte-level BPE file of the tokenizers library, which gives that library's
-    ids at several times its speed: ids of merged pieces are their merge ranks.  Strings of
-    special tokens in a text are ordinary text."""
+    ids at several times its speed: ids of merged pieces are their merge ranks.  `encode_ordinary`
+    takes strings of added tokens as ordinary text, `encode` with all of them allowed as tokens."""
     import public_tokenizers
     import tiktoken
 
     spec = json.load(open(path, encoding="utf-8"))
-    special = {t["content"] for t in spec.get("added_tokens", [])}
+    added = spec.get("added_tokens", [])
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that match by their surroundings are not supported")
+    special = {t["content"]: t["id"] for t in added}
     byte = _byte_of()
     ranks = {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def projection(seed: int = 7) -> np.ndarray:
@@ -93,21 +96,22 @@ def curve_keys(flat: np.ndarray, sizes: np.ndarray, proj: np.ndarray) -> np.ndar
     return hilbert(np.minimum((unit * (1 << ORDER)).astype(np.int64), (1 << ORDER) - 1))
 
 
-def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
-    """(id, key, n, ids): ids as little-endian unsigned numbers of two or four bytes."""
+def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, added: bool = False) -> DataFrame:
+    """(id, key, n, ids), with strings of added tokens as tokens if `added`: ids as little-endian unsigned numbers of two or four bytes."""
     rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
     proj = projection()
 
     def apply(batches):
         enc = encoder(tokenizer)
+        encode = (lambda t: enc.encode(t, allowed_special="all")) if added else enc.encode_ordinary
         dtype = np.dtype("<u2" if max(enc.n_vocab, end_id + 1) <= 1 << 16 else "<u4")
         for b in batches:
             text, sizes = b.column(1), b.column(1).cast(pa.binary()).to_pandas().map(lambda x: len(x or b"")).to_numpy()
             lo = 0
             while lo < len(b):
                 hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), CHUNK, "right")) + lo)
-                each = [np.array(enc.encode_ordinary(t or "") + [end_id], dtype) for t in text.slice(lo, hi - lo).to_pylist()]
+                each = [np.array(encode(t or "") + [end_id], dtype) for t in text.slice(lo, hi - lo).to_pylist()]
                 n = np.array([len(x) for x in each])
                 keys = curve_keys(np.concatenate(each), n, proj)
                 yield pa.RecordBatch.from_arrays(
@@ -118,9 +122,11 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
     return in_arrow(rows, apply, f"id {kind}, key long, n long, ids binary")
 
 
-def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str, end_id: int = 0, length: int = 1024) -> DataFrame:
+def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str, end_id: int = 0, length: int = 1024, added: bool = False) -> DataFrame:
     """One row per piece: id, start, length, doc_tokens, sequence_id, offset, ids (little-endian
-    unsigned numbers of `width` bytes) and ids_crc32 (of the ids at four bytes each).
+    unsigned numbers of `width` bytes) and ids_crc32 (of the ids at four bytes each).  With `added`,
+    as in the queries, strings of the file's added tokens become those tokens, as they do by
+    default in the tokenizers library; without, they are ordinary text.
 
     Every token of every document lies in exactly one piece.  A null or empty text is its end id
     alone; rows with null or repeated ids are packed like any other; an empty table gives no rows.
@@ -128,7 +134,7 @@ def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if length & (length - 1):
         raise ValueError("length is a power of two")
     spark = docs.sparkSession
-    ids = materialise(tokenised(docs, id_col, text_col, tokenizer, end_id), "tokens")
+    ids = materialise(tokenised(docs, id_col, text_col, tokenizer, end_id, added), "tokens")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # the last two keys only order rows that share an id, so that a task run again packs alike
     order = ["key", "id", "n", F.xxhash64("ids")]

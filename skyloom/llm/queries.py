@@ -43,7 +43,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = packing.packed_pieces(load(spark, sf_dir, "documents"), tokenizer=tokenizer_file("byte_bpe_50k.json"), end_id=0, length=1024)
+    found = packing.packed_pieces(load(spark, sf_dir, "documents"), tokenizer=tokenizer_file("byte_bpe_50k.json"), end_id=0, length=1024, added=True)
     return found.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -249,6 +249,26 @@ def test_packing(spark, length):
     assert packing.packed_pieces(table(spark, []), tokenizer=BYTES).count() == 0
 
 
+def test_added_tokens_are_tokens(spark, tmp_path):
+    """The query takes the ids that the library gives by default, special tokens in a text included."""
+    from tokenizers import Tokenizer
+
+    from skyloom.llm.queries import op6_packing
+
+    t = Tokenizer.from_file(BYTES)
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext| >", " <|endoftext|>\n z", "it's <|ENDOFTEXT|>"]
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    want = [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
+    df = table(spark, texts)
+    pieces = sorted((r.id is not None, r.id or 0, r.start, r.ids) for r in packing.packed_pieces(df, tokenizer=BYTES, added=True).collect())
+    got = {}
+    for some, i, _, ids in pieces:
+        got[i if some else 3] = got.get(i if some else 3, []) + np.frombuffer(ids, "<u2").tolist()
+    assert [got[i] for i in range(len(texts))] == want
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert Counter(r.doc_tokens for r in op6_packing(spark, str(tmp_path)).collect() if r.start == 0) == Counter(map(len, want))
+
+
 def test_packing_is_repeatable(spark):
     df = table(spark, [prose(80, i) for i in range(40)] + ["copy"] * 30)
     a, b = (sorted(map(tuple, packing.packed_pieces(df, tokenizer=BYTES, length=64).select("id", "start", "sequence_id", "offset").fillna(-1).collect())) for _ in range(2))
