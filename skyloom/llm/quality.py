@@ -2,7 +2,8 @@
 
 Each text gives two histograms: characters by class, and its language's commonest words against
 the rest.  A language's reference is the sum of the histograms of all documents that carry its
-label.  A text is far from a language by the larger of its two Jensen-Shannon distances (base 2,
+label; the words of labels outside the closed list are learned from their documents.  A text is
+far from a language by the larger of its two Jensen-Shannon distances (base 2,
 0 to 1), and is rejected if it is far from every language.  Texts of fewer than `min_words` words
 are too short for their histograms to mean much, and only the base rules apply to them.  A longer
 text's few common words are still a small sample, so the limit for words has an allowance that
@@ -12,9 +13,9 @@ falls with the root of its length.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, let, materialise, rows_of, spread, take, with_row
@@ -24,7 +25,8 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Thresholds and the closed list of languages (code: its commonest words)."""
+    """Thresholds, and the languages whose commonest words are given (code: words).  `complete`
+    adds the `n_common` commonest words of every other label."""
 
     min_n_words: int = 20
     max_repeat_percent: int = 30
@@ -32,6 +34,7 @@ class QualityRules:
     max_char_distance: float = 0.28
     max_word_distance: float = 0.21
     word_slack: float = 0.5
+    n_common: int = 5
     words: dict[str, tuple[str, ...]] = field(
         default_factory=lambda: {
             "de": ("der", "die", "und", "den", "das"),
@@ -96,9 +99,13 @@ def _classes(text: Column) -> Column:
     return let(gone(text, r"[\p{L}\p{M}]+"), rest)
 
 
+def _tidy(ws: Column) -> Column:
+    return F.transform(ws, lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", "")))
+
+
 def _common(ws: Column, bins: list[str]) -> Column:
     """Counts of the common words, and of all others."""
-    found = F.filter(F.transform(ws, lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", ""))), lambda w: w.isin(bins))
+    found = F.filter(_tidy(ws), lambda w: w.isin(bins))
     return let(found, lambda c: F.array(*((F.size(c) - F.size(F.array_remove(c, b))).cast("long") for b in bins), (F.size(ws) - F.size(c)).cast("long")))
 
 
@@ -122,9 +129,25 @@ def features(text: Column, rules: QualityRules) -> Column:
     return let(_words(text), of)
 
 
+def complete(rows: DataFrame, rules: QualityRules) -> QualityRules:
+    """`rules` with the commonest words (ties to the first by name) of every label of `rows` (text,
+    lang) that they don't list.  A blank label and "und" name no language.  The labels reach the
+    driver, with `n_common` words each; texts are only read if there are such labels."""
+    other = F.col("lang").isNotNull() & ~F.col("lang").isin([*rules.words, "und"]) & (F.trim("lang") != "")
+    labels = [r["lang"] for r in rows.where(other).select("lang").distinct().collect()]
+    if not labels:
+        return rules
+    words = rows.where(other).select("lang", F.explode(_tidy(_words(F.col("text")))).alias("w")).where("w <> ''")
+    counts = words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    top = counts.withColumn("k", rank).where(F.col("k") <= rules.n_common).orderBy("lang", "k").collect()
+    found = {x: tuple(r["w"] for r in top if r["lang"] == x) for x in sorted(labels)}
+    return replace(rules, words={**rules.words, **found})
+
+
 def references(measured: DataFrame, rules: QualityRules) -> dict[str, tuple[list[float], list[float]]]:
     """Per language the two reference distributions, over all rows of `measured` (lang, q); at
-    most one row for each language in the closed list reaches the driver."""
+    most one row for each language of the rules reaches the driver."""
     sums = lambda name, n: F.array(*(F.sum(F.col(f"q.{name}")[i]) for i in range(n))).alias(name)
     rows = (
         measured.where(F.col("lang").isin(list(rules.words)))
@@ -171,10 +194,10 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """One row per document: the id, the base counts, base_failed, distance and kept.
 
     Null texts count as empty (no words, so they fail the base rules).  Rows with a null or
-    unlisted language are judged like the rest but feed no reference; without any reference the
-    base rules decide alone.  Repeated rows are judged alike; an empty table gives no rows."""
-    rules = rules or QualityRules()
+    blank language are judged like the rest but feed no reference; without any reference the base
+    rules decide alone.  Repeated rows are judged alike; an empty table gives no rows."""
     rows = spread(take(docs, id_col, text_col, lang_col)).toDF("id", "text", "lang")
+    rules = complete(rows, rules or QualityRules())
     measured = materialise(rows.select("id", "lang", features(F.col("text"), rules).alias("q")), "quality")
     refs = references(measured, rules)
     judged = measured.withColumn("v", verdict(F.col("q"), refs, rules))
@@ -183,8 +206,8 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns."""
-    rules = rules or QualityRules()
     rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
+    rules = complete(rows, rules or QualityRules())
     measured = materialise(rows.select("_row", "lang", features(F.col("text"), rules).alias("q")), "quality")
     kept = measured.where(verdict(F.col("q"), references(measured, rules), rules)["kept"])
     return rows_of(kept, docs.columns)

@@ -95,6 +95,19 @@ def test_quality_guards(spark):
     assert kept.columns == df.columns and kept.collect() == [df.first()]
 
 
+def test_every_label_has_a_reference(spark):
+    """Clean documents of a language outside the list are kept; junk is not, whatever its label."""
+    finnish = ("ja", "on", "ei", "se", "oli", "metsä", "talo.", "vanha", "kevät", "joki,", "Lumi", "kala")
+    texts = [prose(250, s, ("the", "of", "and", "tree", "house", "rain", "falls.", "Green", "to", "in", "light,", "river")) for s in range(40)]
+    texts += [prose(250, s, finnish) for s in range(40)]
+    texts += ["### $$$ @@@ ||| " * 80, "### $$$ @@@ ||| " * 80, prose(250, 7, finnish), prose(250, 8, finnish)]
+    df = table(spark, texts, ["en"] * 40 + ["fi"] * 40 + ["en", "fi", None, " "])
+    rules = quality.QualityRules(max_repeat_percent=100)
+    by = {r.doc_id: r for r in quality.assess(df, rules=rules).collect()}
+    assert [i for i in by if i is not None and not by[i].kept] == [80, 81]
+    assert quality.keep_good(df, rules=rules).count() == len(texts) - 2
+
+
 # ---- chat --------------------------------------------------------------------------------------------
 
 
