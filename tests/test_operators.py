@@ -391,3 +391,14 @@ def test_classified_scene(spark):
         assert column in got.columns and got.count() == 80 and got.where("class = truth").count() >= 78
     a = floods.load_analytic("skyloom.schema:ColumnAnalytic", name="co2", outputs=B.co2_bands, body=B.co2_analytic)
     assert a.bands_out(["B016"]) == ["B016", "CO2"]
+
+
+def test_rbf_query_takes_any_size(spark, tmp_path):
+    """The registered query trains on a balanced set, and predicts every row of a larger table."""
+    from skyloom.queries import QUERIES
+
+    n = 20100
+    rows = spark.range(n).select(F.col("id").alias("vec_id"), F.when(F.col("id") < 60, F.col("id") % 4).otherwise(0).cast("int").alias("label"))
+    rows.withColumn("embedding", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (F.col("label") + i % 3 + F.rand(1) / 10).cast("float"))).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["rbf_svm"](spark, str(tmp_path))
+    assert got.count() == n and got.where("predicted IS NULL").count() == 0
