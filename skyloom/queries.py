@@ -241,7 +241,7 @@ def cluster_assign_stats(spark, d):
 @query()
 def kmeans_weighted(spark, d):
     p = V.points(spark, d).withColumnsRenamed({"lon": "longitude", "lat": "latitude", "value": "intensity"})
-    found = points.centres(points.kmeans(p, k=10, trials=3))
+    found = points.centres(points.kmeans(p, k=10))
     return points.cluster_points(points.cluster_statistics(points.assign(p, found)), found)
 
 

@@ -402,3 +402,22 @@ def test_rbf_query_takes_any_size(spark, tmp_path):
     rows.withColumn("embedding", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (F.col("label") + i % 3 + F.rand(1) / 10).cast("float"))).write.parquet(f"{tmp_path}/embeddings.parquet")
     got = QUERIES["rbf_svm"](spark, str(tmp_path))
     assert got.count() == n and got.where("predicted IS NULL").count() == 0
+
+
+def test_kmeans_query_runs_the_whole_job(spark, monkeypatch):
+    """The registered query leaves the number of trials to the operator's default."""
+    from skyloom import queries
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def spy(rows, **options):
+        seen.append(options)
+        raise Stop
+
+    monkeypatch.setattr(queries.points, "kmeans", spy)
+    with pytest.raises(Stop):
+        queries.QUERIES["kmeans_weighted"](spark, "/root/testdata/sf0.001")
+    assert seen == [{"k": 10}]
