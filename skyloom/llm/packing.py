@@ -5,11 +5,16 @@ dimensions at random, place it in space; its Hilbert key orders documents so tha
 alike.  A range sort by that key deals the documents out evenly (the id breaks ties, so copies
 spread), and each range packs its documents one after another, cutting at `length` tokens.  What
 is left at a range's end fills sequences of falling powers of two, which need no padding.
+
+Ids are those of the tokenizers library with its defaults: strings of the file's added tokens are
+those tokens.  A second encoder gives the same ids several times faster; it fails on very long runs
+of white space, so texts that hold such a run go to the library itself.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -23,6 +28,11 @@ from .common import in_arrow, materialise, spread, take
 DIMS, HASHED, ORDER = 4, 256, 15
 #: Bytes of text tokenised at once in a worker.
 CHUNK = 1 << 21
+#: Bytes of ids in a range of the curve, about.
+RANGE_BYTES = 256 << 20
+#: A run of white space (as patterns take it) that the faster encoder is not given: its matcher's
+#: stack grows with the run, and overflows at some hundred thousand characters.
+LONG_RUN = re.compile(r"(?<!\s)\s{20000}")
 
 
 def _byte_of() -> dict[str, int]:
@@ -32,22 +42,44 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class Encoder:
+    """The ids of a byte-level BPE file of the tokenizers library, as that library gives them."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = spec.get("added_tokens", [])
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that match by their surroundings are not supported")
+        special = {t["content"]: t["id"] for t in added}
+        byte = _byte_of()
+        # ids of merged pieces are their merge ranks
+        ranks = {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
+        self.fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.size = self.fast.n_vocab
+        self._slow = None
+
+    @property
+    def slow(self):
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.path)
+        return self._slow
+
+    def __call__(self, text: str) -> list[int]:
+        if LONG_RUN.search(text):
+            return self.slow.encode(text, add_special_tokens=False).ids
+        return self.fast.encode(text, allowed_special="all")
+
+
 @lru_cache(maxsize=2)
-def encoder(path: str):
-    """An encoder for a byte-level BPE file of the tokenizers library, which gives that library's
-    ids at several times its speed: ids of merged pieces are their merge ranks.  `encode_ordinary`
-    takes strings of added tokens as ordinary text, `encode` with all of them allowed as tokens."""
-    import public_tokenizers
-    import tiktoken
-
-    spec = json.load(open(path, encoding="utf-8"))
-    added = spec.get("added_tokens", [])
-    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")):
-        raise ValueError("added tokens that match by their surroundings are not supported")
-    special = {t["content"]: t["id"] for t in added}
-    byte = _byte_of()
-    ranks = {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
-    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def projection(seed: int = 7) -> np.ndarray:
@@ -96,16 +128,15 @@ def curve_keys(flat: np.ndarray, sizes: np.ndarray, proj: np.ndarray) -> np.ndar
     return hilbert(np.minimum((unit * (1 << ORDER)).astype(np.int64), (1 << ORDER) - 1))
 
 
-def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int, added: bool = False) -> DataFrame:
-    """(id, key, n, ids), with strings of added tokens as tokens if `added`: ids as little-endian unsigned numbers of two or four bytes."""
+def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
+    """(id, key, n, ids): ids as little-endian unsigned numbers of two or four bytes."""
     rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     kind = rows.schema["id"].dataType.simpleString()
     proj = projection()
 
     def apply(batches):
-        enc = encoder(tokenizer)
-        encode = (lambda t: enc.encode(t, allowed_special="all")) if added else enc.encode_ordinary
-        dtype = np.dtype("<u2" if max(enc.n_vocab, end_id + 1) <= 1 << 16 else "<u4")
+        encode = encoder(tokenizer)
+        dtype = np.dtype("<u2" if max(encode.size, end_id + 1) <= 1 << 16 else "<u4")
         for b in batches:
             text, sizes = b.column(1), b.column(1).cast(pa.binary()).to_pandas().map(lambda x: len(x or b"")).to_numpy()
             lo = 0
@@ -122,11 +153,9 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
     return in_arrow(rows, apply, f"id {kind}, key long, n long, ids binary")
 
 
-def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str, end_id: int = 0, length: int = 1024, added: bool = False) -> DataFrame:
+def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, tokenizer: str, end_id: int = 0, length: int = 1024) -> DataFrame:
     """One row per piece: id, start, length, doc_tokens, sequence_id, offset, ids (little-endian
-    unsigned numbers of `width` bytes) and ids_crc32 (of the ids at four bytes each).  With `added`,
-    as in the queries, strings of the file's added tokens become those tokens, as they do by
-    default in the tokenizers library; without, they are ordinary text.
+    unsigned numbers of `width` bytes) and ids_crc32 (of the ids at four bytes each).
 
     Every token of every document lies in exactly one piece.  A null or empty text is its end id
     alone; rows with null or repeated ids are packed like any other; an empty table gives no rows.
@@ -134,8 +163,9 @@ def packed_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if length & (length - 1):
         raise ValueError("length is a power of two")
     spark = docs.sparkSession
-    ids = materialise(tokenised(docs, id_col, text_col, tokenizer, end_id, added), "tokens")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = materialise(tokenised(docs, id_col, text_col, tokenizer, end_id), "tokens")
+    size = 2 * (ids.agg(F.sum("n")).first()[0] or 0)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     # the last two keys only order rows that share an id, so that a task run again packs alike
     order = ["key", "id", "n", F.xxhash64("ids")]
     ranged = ids.repartitionByRange(n, *order).sortWithinPartitions(*order)

@@ -218,7 +218,6 @@ def slow_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(BYTES)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
 
 
@@ -226,8 +225,10 @@ def test_tokens_are_the_librarys():
     r = np.random.default_rng(4)
     made = ["".join(chr(int(c)) for c in r.choice([32, 32, 10, 9, 39, 65, 97, 98, 115, 116, 233, 0x4E2D, 0x1F600, 0x301, 49, 46, 0xA0, 0x2028], 200)) for _ in range(60)]
     enc = packing.encoder(BYTES)
-    texts = [*ODD, *made, "don't we'll I'VE", "a" * 3000, " " * 500 + "x"]
-    assert [enc.encode_ordinary(t or "") + [0] for t in texts] == slow_ids(texts)
+    texts = [*ODD, *made, "don't we'll I'VE", "a" * 3000, " " * 500 + "x", "hello <|endoftext|> world"]
+    texts += [" " * 1_000_000, "a" + "\n" * 300_000 + " b", "\u3000 " * 50_000 + "x", "ab" * 200_000, "a <|endoftext|>" + " " * 200_000 + "<|endoftext|> b", "1" * 100_000 + "." * 100_000]
+    for t, want in zip(texts, slow_ids(texts), strict=True):
+        assert enc(t or "") + [0] == want, (t or "")[:80]
 
 
 @pytest.mark.parametrize("length", [1024, 8])
@@ -273,7 +274,7 @@ def test_added_tokens_are_tokens(spark, tmp_path):
     assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     want = [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
     df = table(spark, texts)
-    pieces = sorted((r.id is not None, r.id or 0, r.start, r.ids) for r in packing.packed_pieces(df, tokenizer=BYTES, added=True).collect())
+    pieces = sorted((r.id is not None, r.id or 0, r.start, r.ids) for r in packing.packed_pieces(df, tokenizer=BYTES).collect())
     got = {}
     for some, i, _, ids in pieces:
         got[i if some else 3] = got.get(i if some else 3, []) + np.frombuffer(ids, "<u2").tolist()
