@@ -1,6 +1,8 @@
 """Exact top-k inner products by norm-sorted, SVD-rotated partial sums.
 
-Items lie in blocks of falling length.  Per pair of a query block and an item block, a task
+Items lie in blocks of falling length.  Both sides are cut as coarsely as a task's memory allows
+(see `block_rows`), as a vector is copied to every block of the other side that it may meet.  Per
+pair of a query block and an item block, a task
 multiplies the first few coordinates in the basis of the items' singular vectors; Cauchy-Schwarz
 bounds what the remaining coordinates can add, and items that cannot reach a query's k-th best
 score so far are dropped before the next coordinates.  Survivors are scored in exact integers.
@@ -41,18 +43,22 @@ def rotation(items: DataFrame) -> np.ndarray:
     def gram(batches):
         total = None
         for b in batches:
-            x = np.array(b.column(0).flatten()).reshape(len(b), -1) if len(b) else None
-            if x is not None:
+            if len(b):
+                x = np.array(b.column(0).flatten()).reshape(len(b), -1)
                 total = x.T @ x if total is None else total + x.T @ x
         if total is not None:
-            i, j = np.indices(total.shape)
-            yield pa.RecordBatch.from_arrays([pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)), pa.array(total.ravel())], names=["i", "j", "s"])
+            cells = pa.ListArray.from_arrays(np.arange(len(total) + 1, dtype=np.int32) * len(total), pa.array(total.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), cells], names=["i", "row"])
 
-    cells = in_arrow(items.select("v"), gram, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
-    d = 1 + max((c.i for c in cells), default=-1)
+    def added(rows: pa.Table) -> pa.Table:
+        total = np.array(rows.column("row").combine_chunks().flatten()).reshape(len(rows), -1).sum(0)
+        return pa.table({"i": rows.column("i")[:1], "row": pa.array([total], pa.list_(pa.float64()))})
+
+    rows = in_arrow(items.select("v"), gram, "i int, row array<double>").groupBy("i").applyInArrow(added, "i int, row array<double>").toArrow()
+    d = len(rows)
     g = np.zeros((d, d))
-    for c in cells:
-        g[c.i, c.j] = c.s
+    if d:
+        g[np.array(rows.column("i"))] = np.array(rows.column("row").combine_chunks().flatten()).reshape(d, d)
     if not np.isfinite(g).all():
         return np.eye(d)
     return np.linalg.eigh(g)[1][:, ::-1]
@@ -130,10 +136,22 @@ def _merged(a, scores, items, top, ids, k):
         yield i, (s[pick], t[pick])
 
 
-def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", query_block: int = 2048, item_block: int = 8192) -> DataFrame:
+#: Bytes of vectors in a block of one side.
+BLOCK_BYTES = 32 << 20
+
+
+def block_rows(n: int, d: int, at_least: int) -> int:
+    """Rows in a block of `n` vectors of length `d`: as many as fit, but for `at_least` blocks."""
+    return max(1, min(BLOCK_BYTES // (8 * max(d, 1)), -(-n // at_least)))
+
+
+def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", query_block: int | None = None, item_block: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products among the
     rows of `table` with another id; ties go to the smaller id.
 
+    Blocks hold `query_block` and `item_block` rows, by default what `block_rows` says; answers
+    don't depend on them.
+
     Fewer than k other rows give as many; an empty table or query set gives none.  Vectors that
     are unusable (see `quantised`) take no part on either side.  Repeated ids are further items.
     All vectors that take part must have one length."""
@@ -147,11 +165,12 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_i
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rot = rotation(items)
     # blocks of falling length; the id splits runs of equal length, so no block outgrows the rest
-    blocks = -(-n // item_block)
+    cores = spark.sparkContext.defaultParallelism
+    blocks = -(-n // (item_block or block_rows(n, len(rot), 2 * cores)))
     cut = items.repartitionByRange(blocks, F.desc("norm"), "id", F.xxhash64("v")).withColumn("ib", F.spark_partition_id())
     items = materialise(cut, "blocks")
     m = asked.count()
-    q_blocks = max(1, -(-m // query_block))
+    q_blocks = max(1, -(-m // (query_block or block_rows(m, len(rot), 1))))
     asked = materialise(asked.dropDuplicates(["id", "v"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int")), "queries")
 
     def task(qs: pa.Table, xs: pa.Table) -> pa.Table:
@@ -174,15 +193,16 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_i
         w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
+    # the blocks that the table really has: a range sort may give fewer or more than it was asked for
     spans = items.groupBy("ib").agg(F.max("norm").alias("longest"))
-    first = items.agg(F.min("ib")).first()[0]
+    first, last = items.agg(F.min("ib"), F.max("ib")).first()
     wide = materialise(asked.select("qb").distinct().withColumn("ib", F.lit(first).cast("int")), "first")
     head = materialise(ranked(scored(asked.withColumn("floor", F.lit(float("-inf"))), items.where(F.col("ib") == first), wide)).select("query_id", "vec_id", "score"), "head")
     floors = head.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("floor"))
     asked = materialise(asked.join(floors, asked["id"] == floors["query_id"], "left").select("id", "v", "norm", "qb", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")), "asked")
     needs = asked.groupBy("qb").agg(F.max("norm").alias("reach"), F.min("floor").alias("least"))
     # every block of queries against the blocks long enough to matter; both lists hold one row a block
-    every = needs.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(blocks)))).where(F.col("ib") != first)
+    every = needs.withColumn("ib", F.explode(F.sequence(F.lit(first), F.lit(last)))).where(F.col("ib") != first)
     pairs = every.join(spans, "ib").where(F.col("reach") * F.col("longest") * (1 + 1e-9) >= F.col("least")).select("qb", "ib")
     rest = scored(asked, items.where(F.col("ib") != first), materialise(pairs, "pairs"))
     return ranked(head.unionByName(rest)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

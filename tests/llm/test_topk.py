@@ -39,6 +39,26 @@ def test_brute_force(spark, blocks, queries):
     assert sorted(tuple(r) for r in got.collect()) == slow(rows, lambda i: i % 20 == 0, 5)
 
 
+def test_any_number_of_partitions(spark, monkeypatch):
+    """Answers hold when a range sort gives many more blocks than it was asked for, or fewer."""
+    rows = vectors(600, 8, 5)
+    df = table(spark, rows)
+    want = slow(rows, lambda i: i % 20 == 0, 5)
+    plain = type(df).repartitionByRange
+    for n in (211, 2):
+        monkeypatch.setattr(type(df), "repartitionByRange", lambda self, k, *cols, n=n: plain(self, n, *cols))
+        got = T.top_k(df, df.where("vec_id % 20 = 0"), 5, item_block=100)
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_blocks_are_as_coarse_as_memory_allows():
+    """Vectors of one length, which no bound prunes: a vector is copied once for each block of the other side."""
+    n, d = 50_000_000, 64
+    rows = T.block_rows(n, d, 16)
+    assert rows == 65536 and rows * d * 8 <= T.BLOCK_BYTES and -(-n // rows) == 763  # 6104 of the 8192 rows before
+    assert T.block_rows(1000, 64, 16) == 63 and T.block_rows(10, 10**9, 1) == 1
+
+
 def test_few_rows(spark):
     rows = vectors(3, 4, 1)
     df = table(spark, rows)
