@@ -47,35 +47,40 @@ def quality_rules(rules: quality.QualityRules | None = None) -> str:
     marks, solid = left("rest", mark), left("rest", r"[\p{S}\p{P}]+")
     chars = [f"length(text) - length(rest) - {upper}", upper, digit, space, marks, f"{solid} - {marks}", f"length(rest) - {digit} - {space} - {solid}"]
     tidy = r"list_transform(ws, lambda x: lower(regexp_replace(x, '[.,;:!?]+$', '')))"
-    common = [f"len(list_filter(tidy, lambda x: x = {_text(b)}))" for b in rules.bins]
-    nc, nw = len(chars), len(common) + 1
-    sums = ", ".join([f"sum(c{i}) AS c{i}" for i in range(nc)] + [f"sum(w{i}) AS w{i}" for i in range(nw)])
-
-    def js(kind: str, n: int, total: str) -> str:
-        all_ = " + ".join(f"r.{kind}{i}" for i in range(n))
-        terms = []
-        for i in range(n):
-            p, q = f"(f.{kind}{i} * 1.0 / {total})", f"(r.{kind}{i} * 1.0 / ({all_}))"
-            m = f"(({p} + {q}) / 2)"
-            terms.append(f"(CASE WHEN {p} > 0 THEN {p} * ln({p} / {m}) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * ln({q} / {m}) ELSE 0 END)")
+    nc, nw = len(chars), rules.n_common
+
+    def term(p: str, q: str) -> str:
+        m = f"(({p} + {q}) / 2)"
+        return f"(CASE WHEN {p} > 0 THEN {p} * ln({p} / {m}) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * ln({q} / {m}) ELSE 0 END)"
+
+    def js(terms: list[str]) -> str:
         return f"sqrt(greatest(({' + '.join(terms)}) / {2 * math.log(2)!r}, 0))"
 
-    far = f"greatest({js('c', nc, 'greatest(f.n_chars, 1)')} / {rules.max_char_distance}, {js('w', nw, 'greatest(f.n_words, 1)')} / ({rules.max_word_distance} + {rules.word_slack} / sqrt(greatest(f.n_words, 1))))"
+    all_chars = " + ".join(f"r.c{i}" for i in range(nc))
+    by_chars = js([term(f"(f.c{i} * 1.0 / greatest(f.n_chars, 1))", f"(r.c{i} * 1.0 / ({all_chars}))") for i in range(nc)])
+    own = [f"len(list_filter(f.tidy, lambda x: x = r.w[{k}]))" for k in range(1, nw + 1)]
+    counts = [(f"coalesce({c}, 0)", f"coalesce(r.n[{k}], 0)") for k, c in enumerate(own, 1)]
+    counts.append((f"(f.n_words - ({' + '.join(a for a, _ in counts)}))", "(r.n_words - list_sum(r.n))"))
+    by_words = js([term(f"({a} * 1.0 / greatest(f.n_words, 1))", f"({b} * 1.0 / r.n_words)") for a, b in counts])
+    far = f"greatest({by_chars} / {rules.max_char_distance}, {by_words} / ({rules.max_word_distance} + {rules.word_slack} / sqrt(greatest(f.n_words, 1))))"
+    label = "coalesce(trim(lang) <> '' AND lang <> 'und', false)"
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, {label} AS labelled, coalesce(text, '') AS text FROM documents),
   a AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, {rest} AS rest,
       list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
   t AS (SELECT *, {tidy} AS tidy FROM a),
   win AS (SELECT rid, i, array_to_string(ws[i:i+{w - 1}], ' ') AS g FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - {w - 1})) AS i FROM a WHERE len(ws) >= {w})),
   twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS k FROM win) WHERE k > 1),
   cover AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(generate_series(i, i + {w - 1})) AS pos FROM twice) GROUP BY rid),
-  f AS (SELECT t.rid, doc_id, lang, len(ws) AS n_words, length(text) AS n_chars, length(array_to_string(ws, '')) AS word_chars,
+  f AS (SELECT t.rid, doc_id, lang, labelled, tidy, len(ws) AS n_words, length(text) AS n_chars, length(array_to_string(ws, '')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
-      {", ".join(f"{c} AS c{i}" for i, c in enumerate(chars))},
-      {", ".join(f"{c} AS w{i}" for i, c in enumerate(common))}, len(ws) - len(list_filter(tidy, lambda x: list_contains({_list(rules.bins)}, x))) AS w{nw - 1}
+      {", ".join(f"{c} AS c{i}" for i, c in enumerate(chars))}
     FROM t LEFT JOIN cover USING (rid)),
-  r AS (SELECT lang AS ref, {sums} FROM f WHERE lang IN ({",".join(_text(x) for x in rules.words)}) GROUP BY lang),
-  far AS (SELECT f.rid, min({far}) AS distance FROM f, r WHERE f.n_words >= {rules.min_words} GROUP BY f.rid),
+  lw AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(tidy) AS w FROM f WHERE labelled) WHERE regexp_matches(w, '\p{{L}}') GROUP BY ALL),
+  top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k, sum(n) OVER (PARTITION BY lang) AS total FROM lw) WHERE k <= {nw} AND total >= {rules.min_label_words}),
+  r AS (SELECT * FROM (SELECT lang AS ref, list(w ORDER BY k) AS w, list(n ORDER BY k) AS n FROM top GROUP BY lang)
+    JOIN (SELECT lang AS ref, sum(n_words) AS n_words, {", ".join(f"sum(c{i}) AS c{i}" for i in range(nc))} FROM f WHERE labelled GROUP BY lang) USING (ref)),
+  far AS (SELECT f.rid, min({far}) AS distance FROM f, r WHERE f.n_words >= {rules.min_words} AND (NOT labelled OR lang IN (SELECT ref FROM r)) GROUP BY f.rid),
   v AS (SELECT f.*, distance, (n_words < {rules.min_n_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words) AS base_failed FROM f LEFT JOIN far USING (rid))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, round(distance, 6) AS distance, (NOT base_failed AND coalesce(distance, 0) <= 1) AS kept FROM v"""

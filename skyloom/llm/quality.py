@@ -1,19 +1,23 @@
 """Quality rules by distribution divergence, in SQL functions only.
 
-Each text gives two histograms: characters by class, and its language's commonest words against
-the rest.  A language's reference is the sum of the histograms of all documents that carry its
-label; the words of labels outside the closed list are learned from their documents.  A text is
-far from a language by the larger of its two Jensen-Shannon distances (base 2,
-0 to 1), and is rejected if it is far from every language.  Texts of fewer than `min_words` words
-are too short for their histograms to mean much, and only the base rules apply to them.  A longer
-text's few common words are still a small sample, so the limit for words has an allowance that
-falls with the root of its length.
+Each label in the documents is a language with a reference: its commonest words, counted over all
+documents that carry the label, against all its other words, and its characters by class.  No
+language is known beforehand.  A text is far from a language by the larger of two Jensen-Shannon
+distances (base 2, 0 to 1), of its character classes and of that language's common words, and is
+rejected if it is far from every language.
+
+Guards: texts of fewer than `min_words` words are too short for their histograms to mean much, and
+labels with fewer than `min_label_words` words in all too small to make a reference; such texts, and
+the documents of such labels, are judged by the base rules alone.  A longer text's few common words
+are still a small sample, so the limit for words has an allowance that falls with the root of its
+length.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,28 +29,27 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Thresholds, and the languages whose commonest words are given (code: words).  `complete`
-    adds the `n_common` commonest words of every other label."""
+    """Thresholds; `n_common` is how many of a language's commonest words its histogram tells apart."""
 
     min_n_words: int = 20
     max_repeat_percent: int = 30
     min_words: int = 80
+    min_label_words: int = 200
     max_char_distance: float = 0.28
     max_word_distance: float = 0.21
     word_slack: float = 0.5
     n_common: int = 5
-    words: dict[str, tuple[str, ...]] = field(
-        default_factory=lambda: {
-            "de": ("der", "die", "und", "den", "das"),
-            "en": ("the", "of", "and", "to", "in"),
-            "es": ("de", "que", "el", "los", "y"),
-            "fr": ("de", "le", "et", "les", "des"),
-        }
-    )
 
-    @property
-    def bins(self) -> list[str]:
-        return sorted({w for ws in self.words.values() for w in ws})
+
+@dataclass(frozen=True)
+class Reference:
+    """A language: its common words, and the shares of them (then of all others) and of characters
+    by class."""
+
+    lang: str
+    words: tuple[str, ...]
+    common: tuple[float, ...]
+    chars: tuple[float, ...]
 
 
 CLASSES = ("lower", "upper", "digit", "space", "mark", "symbol", "other")
@@ -99,18 +102,29 @@ def _classes(text: Column) -> Column:
     return let(gone(text, r"[\p{L}\p{M}]+"), rest)
 
 
-def _tidy(ws: Column) -> Column:
-    return F.transform(ws, lambda w: F.lower(F.regexp_replace(w, r"[.,;:!?]+$", "")))
+def _tidy(text: Column) -> Column:
+    """The lower-cased words without the punctuation at their ends, in order."""
+    ends = r"(?<![.,;:!?])[.,;:!?]++(?=[\x20\x09-\x0D]|\z)"
+    return _words(F.regexp_replace(F.lower(text), ends, ""))
+
+
+def _constant(value, schema: str) -> Column:
+    """A nested constant, in one expression."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
 
 
-def _common(ws: Column, bins: list[str]) -> Column:
-    """Counts of the common words, and of all others."""
-    found = F.filter(_tidy(ws), lambda w: w.isin(bins))
-    return let(found, lambda c: F.array(*((F.size(c) - F.size(F.array_remove(c, b))).cast("long") for b in bins), (F.size(ws) - F.size(c)).cast("long")))
+def _common(text: Column, refs: list[Reference]) -> Column:
+    """Counts of the languages' common words in a text, language by language."""
+    words = [w for r in refs for w in r.words]
+    if not words:
+        return F.array().cast("array<long>")
+    found = F.filter(_tidy(text), lambda w: w.isin(sorted(set(words))))
+    each = _constant(words, "array<string>")
+    return let(found, lambda c: F.transform(each, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))
 
 
-def features(text: Column, rules: QualityRules) -> Column:
-    """A struct of the base counts and the two histograms of a text; null counts as empty."""
+def features(text: Column, refs: list[Reference]) -> Column:
+    """A struct of the base counts and the histograms of a text; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
 
     def of(ws: Column) -> Column:
@@ -123,45 +137,47 @@ def features(text: Column, rules: QualityRules) -> Column:
             long(_lines(text), "n_dup_lines"),
             long(_repeat_words(ws), "n_repeat_words"),
             _classes(text).alias("chars"),
-            _common(ws, rules.bins).alias("common"),
+            _common(text, refs).alias("common"),
         )
 
     return let(_words(text), of)
 
 
-def complete(rows: DataFrame, rules: QualityRules) -> QualityRules:
-    """`rules` with the commonest words (ties to the first by name) of every label of `rows` (text,
-    lang) that they don't list.  A blank label and "und" name no language.  The labels reach the
-    driver, with `n_common` words each; texts are only read if there are such labels."""
-    other = F.col("lang").isNotNull() & ~F.col("lang").isin([*rules.words, "und"]) & (F.trim("lang") != "")
-    labels = [r["lang"] for r in rows.where(other).select("lang").distinct().collect()]
-    if not labels:
-        return rules
-    words = rows.where(other).select("lang", F.explode(_tidy(_words(F.col("text")))).alias("w")).where("w <> ''")
-    counts = words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
-    top = counts.withColumn("k", rank).where(F.col("k") <= rules.n_common).orderBy("lang", "k").collect()
-    found = {x: tuple(r["w"] for r in top if r["lang"] == x) for x in sorted(labels)}
-    return replace(rules, words={**rules.words, **found})
-
-
-def references(measured: DataFrame, rules: QualityRules) -> dict[str, tuple[list[float], list[float]]]:
-    """Per language the two reference distributions, over all rows of `measured` (lang, q); at
-    most one row for each language of the rules reaches the driver."""
-    sums = lambda name, n: F.array(*(F.sum(F.col(f"q.{name}")[i]) for i in range(n))).alias(name)
-    rows = (
-        measured.where(F.col("lang").isin(list(rules.words)))
-        .groupBy("lang")
-        .agg(sums("chars", len(CLASSES)), sums("common", len(rules.bins) + 1))
-        .collect()
-    )
-    share = lambda xs: [x / s for x in xs] if (s := sum(xs)) else None
-    out = {r["lang"]: (share(r["chars"]), share(r["common"])) for r in rows}
-    return {k: v for k, v in out.items() if v[0] and v[1]}
+def labelled(lang: Column) -> Column:
+    """Whether a label names a language: null, blank and "und" don't."""
+    return F.coalesce((F.trim(lang) != "") & (lang != "und"), F.lit(False))
 
 
-def js_distance(counts: Column, n: Column, ref: list[float]) -> Column:
+def references(rows: DataFrame, rules: QualityRules) -> list[Reference]:
+    """A reference for every label of `rows` (text, lang) with enough words, by name: words (of a
+    letter at least) ordered by count, ties to the first by name.  Counts cover all documents of the label; they are summed
+    by the cluster, and `n_common` words and a row of sums for each label reach the driver."""
+    rows = rows.where(labelled(F.col("lang")))
+    words = rows.select("lang", F.explode(F.filter(_tidy(F.col("text")), lambda w: w.rlike(r"\p{L}"))).alias("w"))
+    counts = materialise(words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "words")
+    enough = counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= rules.min_label_words)
+    # the first few of each label are cut before rows move, so a label's words never meet in one task
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    first = counts.withColumn("k", rank).where(F.col("k") <= rules.n_common)
+    top: dict[str, list] = {}
+    for r in first.join(enough, "lang").orderBy("lang", "k").collect():
+        top.setdefault(r["lang"], []).append((r["w"], r["n"]))
+    if not top:
+        return []
+    text = F.coalesce("text", F.lit(""))
+    measured = rows.where(F.col("lang").isin(list(top))).select("lang", _classes(text).alias("chars"), F.size(_words(text)).alias("n_words"))
+    sums = measured.groupBy("lang").agg(F.sum("n_words").alias("n_words"), F.array(*(F.sum(F.col("chars")[i]) for i in range(len(CLASSES)))).alias("chars")).collect()
+    out = []
+    for r in sorted(sums, key=lambda r: r["lang"]):
+        found, total, chars = top[r["lang"]], r["n_words"], sum(r["chars"])
+        n = [k for _, k in found]
+        out.append(Reference(r["lang"], tuple(w for w, _ in found), tuple(k / total for k in [*n, total - sum(n)]), tuple(c / chars for c in r["chars"])))
+    return out
+
+
+def js_distance(counts: Column, n: Column, ref: Column | list[float]) -> Column:
     """Jensen-Shannon distance, base 2, of the distribution of counts, `n` in all, from `ref`."""
+    ref = ref if isinstance(ref, Column) else F.array(*map(F.lit, ref))
     whole = F.greatest(n, F.lit(1)).cast("double")
 
     def term(c: Column, q: Column) -> Column:
@@ -169,22 +185,31 @@ def js_distance(counts: Column, n: Column, ref: list[float]) -> Column:
         part = lambda x: F.when(x > 0, x * F.log(x * 2 / (p + q))).otherwise(F.lit(0.0))
         return part(p) + part(q)
 
-    total = F.aggregate(F.zip_with(counts, F.array(*map(F.lit, ref)), term), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(F.zip_with(counts, ref, term), F.lit(0.0), lambda a, x: a + x)
     return F.sqrt(F.greatest(total / (2 * math.log(2)), F.lit(0.0)))
 
 
-def verdict(q: Column, refs: dict[str, tuple[list[float], list[float]]], rules: QualityRules) -> Column:
-    """Struct of base_failed, distance (null if too short or without references) and kept.  The
-    distance is in units of the thresholds: a text is far if it is above 1 for all languages."""
+def verdict(q: Column, lang: Column, refs: list[Reference], rules: QualityRules) -> Column:
+    """Struct of base_failed, distance and kept.  The distance is in units of the thresholds: a text
+    is far if it is above 1 for all languages; it is null where a guard holds (see above)."""
     failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
     word_limit = rules.max_word_distance + rules.word_slack / F.sqrt(F.greatest(q["n_words"], F.lit(1)))
-    each = [
-        F.greatest(js_distance(q["chars"], q["n_chars"], a) / rules.max_char_distance, js_distance(q["common"], q["n_words"], b) / word_limit)
-        for _, (a, b) in sorted(refs.items())
-    ]
-    near = (F.least(*each) if len(each) > 1 else each[0]) if each else F.lit(None).cast("double")
-    distance = F.when(q["n_words"] >= rules.min_words, near)
-    return let(distance, lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
+    at, table = 1, []
+    for r in refs:
+        table.append({"chars": r.chars, "common": r.common, "at": at, "n": len(r.words)})
+        at += len(r.words)
+
+    def far(r: Column) -> Column:
+        own = F.slice(q["common"], r["at"], r["n"])
+        rest = q["n_words"] - F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
+        words = js_distance(F.concat(own, F.array(rest)), q["n_words"], r["common"])
+        return F.greatest(js_distance(q["chars"], q["n_chars"], r["chars"]) / rules.max_char_distance, words / word_limit)
+
+    near = F.lit(None).cast("double")
+    if refs:
+        near = F.array_min(F.transform(_constant(table, "array<struct<chars:array<double>,common:array<double>,at:int,n:int>>"), far))
+    judged = (q["n_words"] >= rules.min_words) & (~labelled(lang) | F.coalesce(lang.isin([r.lang for r in refs]), F.lit(False)))
+    return let(F.when(judged, near), lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -193,21 +218,24 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """One row per document: the id, the base counts, base_failed, distance and kept.
 
-    Null texts count as empty (no words, so they fail the base rules).  Rows with a null or
-    blank language are judged like the rest but feed no reference; without any reference the base
-    rules decide alone.  Repeated rows are judged alike; an empty table gives no rows."""
+    Null texts count as empty (no words, so they fail the base rules).  Rows with a null, blank or
+    "und" language are judged like the rest but feed no reference; without any reference the base
+    rules decide alone.  Repeated rows are judged alike; an empty table gives no rows; further
+    columns, of whatever names, are not looked at."""
+    rules = rules or QualityRules()
     rows = spread(take(docs, id_col, text_col, lang_col)).toDF("id", "text", "lang")
-    rules = complete(rows, rules or QualityRules())
-    measured = materialise(rows.select("id", "lang", features(F.col("text"), rules).alias("q")), "quality")
-    refs = references(measured, rules)
-    judged = measured.withColumn("v", verdict(F.col("q"), refs, rules))
-    return judged.select(F.col("id").alias(id_col), *(F.col(f"q.{c}") for c in COUNTS), "v.base_failed", "v.distance", "v.kept")
+    refs = references(rows, rules)
+    both = let(features(F.col("text"), refs), lambda q: F.struct(q.alias("q"), verdict(q, F.col("lang"), refs, rules).alias("v")))
+    judged = rows.select("id", both.alias("j"))
+    return judged.select(F.col("id").alias(id_col), *(F.col(f"j.q.{c}") for c in COUNTS), "j.v.base_failed", "j.v.distance", "j.v.kept")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
-    """The rows of `docs` that the rules keep, with all their columns."""
+    """The rows of `docs` that the rules keep, with all their columns; see `assess` for nulls,
+    repeated rows and empty tables.  No row is written or moved on the way: the references come
+    from a pass of their own, and the rows are judged as they are read."""
+    rules = rules or QualityRules()
     rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
-    rules = complete(rows, rules or QualityRules())
-    measured = materialise(rows.select("_row", "lang", features(F.col("text"), rules).alias("q")), "quality")
-    kept = measured.where(verdict(F.col("q"), references(measured, rules), rules)["kept"])
-    return rows_of(kept, docs.columns)
+    refs = references(rows.select("text", "lang"), rules)
+    # one expression, so that the filter computes a text's features once
+    return rows_of(rows.where(let(features(F.col("text"), refs), lambda q: verdict(q, F.col("lang"), refs, rules)["kept"])), docs.columns)

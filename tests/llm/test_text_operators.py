@@ -108,6 +108,69 @@ def test_every_label_has_a_reference(spark):
     assert quality.keep_good(df, rules=rules).count() == len(texts) - 2
 
 
+def test_no_language_is_known_beforehand(spark):
+    """Documents in swapped letters, under a label of their own, are judged just as they were."""
+    r = np.random.default_rng(12)
+    lex = ["the", "of", "and", "to", "in", *("".join(r.choice(list("etaoinshrdlu"), int(r.integers(2, 9)))) for _ in range(400))]
+    share = np.array([0.07, 0.04, 0.03, 0.025, 0.02] + [1.0] * 400)
+    share[5:] *= (1 - share[:5].sum()) / 400
+    plain = [" ".join(r.choice(lex, 150, p=share)) + "." for _ in range(40)] + ["### $$$ @@@ ||| " * 80]
+    swapped = [t.translate({ord(c): 0x430 + (7 * i) % 26 for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")}) for t in plain]
+    df = table(spark, plain + swapped, ["en"] * 41 + ["zz"] * 41)
+    rules = quality.QualityRules(max_repeat_percent=100)
+    refs = quality.references(df.toDF("i", "text", "lang", *"abcde").select("text", "lang"), rules)
+    assert [x.lang for x in refs] == ["en", "zz"] and set(refs[0].words) == {"the", "of", "and", "to", "in"}
+    kept = Counter((x.doc_id is None or x.doc_id < 41, x.kept) for x in quality.assess(df, rules=rules).collect())
+    assert kept == {(True, True): 40, (True, False): 1, (False, True): 40, (False, False): 1}
+
+
+def test_small_labels_and_many(spark):
+    """A label with few words has no reference: its documents meet the base rules alone.  Hundreds
+    of labels are no obstacle."""
+    texts = [prose(250, s) for s in range(10)] + ["zz " * 3 + "### $$$ " * 60] + [prose(60, i) for i in range(300)]
+    langs = ["de"] * 10 + ["rare"] + [f"l{i % 75:03d}" for i in range(300)]
+    got = {x.doc_id: x for x in quality.assess(table(spark, texts, langs), rules=quality.QualityRules(max_repeat_percent=100)).collect()}
+    assert got[10].distance is None and got[10].kept and got[9].distance is not None
+    assert len(got) == 311 and all(x.kept for x in got.values())
+
+
+@pytest.mark.parametrize("name", ["op2_extendible_shards", "op3_exact_top_k", "op5_quality_rules", "op7_chat_format", "op10_license_scan"])
+def test_sql(spark, name):
+    """Queries equal their SQL on the small tables."""
+    import duckdb
+
+    from skyloom.llm import oracles, queries
+
+    data = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
+    want = con.execute(oracles.oracle_sql()[name])
+    names = [c[0] for c in want.description]
+    plain = lambda x: round(x, 5) + 0.0 if isinstance(x, float) else x
+    rows = Counter(tuple(map(plain, r)) for r in want.fetchall())
+    got = queries.queries()[name](spark, data)
+    assert sorted(got.columns) == sorted(names)
+    assert Counter(tuple(map(plain, r)) for r in got.select(*names).collect()) == rows
+
+
+def test_quality_sql_with_other_labels(spark, tmp_path):
+    import duckdb
+
+    from skyloom.llm import oracles, queries
+
+    texts = [*ODD, *[prose(200, s) for s in range(30)], *[prose(120, s, ("ja", "on", "ei", "metsä", "talo.", "kevät")) for s in range(20)], "x y", "### $$$ " * 90]
+    langs = ([None, "und", " ", "de"] * 9)[: len(ODD)] + ["de"] * 30 + ["fi"] * 18 + [None, " ", "tiny", "fi"]
+    spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(oracles.quality_rules())
+    names = [c[0] for c in want.description]
+    plain = lambda x: round(x, 5) + 0.0 if isinstance(x, float) else x
+    rows = Counter(tuple(map(plain, r)) for r in want.fetchall())
+    assert Counter(tuple(map(plain, r)) for r in queries.op5_quality_rules(spark, str(tmp_path)).select(*names).collect()) == rows
+
+
 # ---- chat --------------------------------------------------------------------------------------------
 
 
