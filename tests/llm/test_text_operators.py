@@ -274,6 +274,69 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(sum(e[:, s] * (j - i) for s, (i, j) in enumerate(spans)), 5)
 
 
+def test_long_words_are_scored_whole():
+    """The scaled pass equals the plain one on words that both can take, and sums up beyond."""
+    trie, longest = langid.pieces_trie(PIECES), langid.longest_piece(PIECES)
+    r = np.random.default_rng(3)
+    prob = r.dirichlet(np.ones(len(langid.vocabulary(PIECES)) + 1), 3).T
+    prob = np.vstack([prob, np.zeros((1, 3))])
+    words = ["▁" + "".join(r.choice(list("thereandagin漢ü"), 29)) for _ in range(20)]
+    plain = np.log(langid.forward(langid.piece_numbers(words, 30, trie, longest), 30, prob)[:, 30])
+    assert np.allclose(langid.log_forward(langid.codes(words, 30), trie, prob, longest), plain)
+    prior = prob[:-1, 0]
+    pieces = langid.piece_numbers(words, 30, trie, longest)
+    e, on = langid.expected_pieces(pieces, 30, prior) * np.arange(20)[:, None], pieces >= 0
+    assert np.allclose(langid.expected_in_long(words, 30, PIECES, prior, np.arange(20.0)), np.bincount(pieces[on], weights=e[on], minlength=len(prior)))
+    # a word over several blocks, against a plain loop with Python's numbers in logs
+    word, block = words[0] + "".join(r.choice(list("ther"), 500)), langid.BLOCK
+    vocab = langid.vocabulary(PIECES)
+    logs = [0.0]
+    for j in range(1, len(word) + 1):
+        terms = [logs[i] + math.log(prob[vocab.get(word[i:j], 0), 1]) for i in range(max(0, j - longest), j) if word[i:j] in vocab or j - i == 1]
+        top = max(terms)
+        logs.append(top + math.log(sum(math.exp(x - top) for x in terms)))
+    try:
+        langid.BLOCK = 64
+        assert np.allclose(langid.log_forward(langid.codes([word], len(word)), trie, prob, longest)[0, 1], logs[-1])
+        assert np.allclose(langid.log_forward(langid.codes([word], len(word)), trie, prob, longest, True)[0, :, 1], logs)
+    finally:
+        langid.BLOCK = block
+
+
+def test_letters_are_letters(spark):
+    texts, langs = tongues()
+    odd = ["²", "½ ①", "Ⅷ ⅷ", "٣ 12", "x²", "kala²pona½suli", None, "", "漢" * 200, "kala" * 5000]
+    got = {r.doc_id: r for r in langid.identify(table(spark, texts + odd, langs + [None] * len(odd)), PIECES).collect()}
+    pred = [got[len(texts) + i].lang_pred for i in range(len(odd))]
+    assert [p == "und" for p in pred] == [True] * 4 + [False] * 2 + [True] * 2 + [False] * 2
+    assert pred[5] == "aa" and pred[9] == "aa" and langid.words_of("kala²pona½_suli ①x") == ["kala", "pona", "suli", "x"]
+
+
+def test_many_labels(spark):
+    texts, langs = tongues(60)
+    many = [f"l{i:03d}" for i in range(450)]
+    got = langid.identify(table(spark, texts + ["zzq " + k for k in many], langs + many), PIECES).collect()
+    assert len(got) == 510 and sum(r.lang_pred == k for r, k in zip(sorted((r for r in got if r.doc_id is not None and r.doc_id < 60), key=lambda r: r.doc_id), [k for i, k in enumerate(langs) if i != 3], strict=True)) > 50
+
+
+def test_copies_do_not_crowd_out_distinct_texts(spark):
+    """A language of many copies and few distinct texts is learned from those texts."""
+    texts, langs = tongues(90)
+    texts, langs = texts + ["brecht sturm schloss"] * 3000, langs + ["bb"] * 3000
+    model = langid.train(table(spark, texts, langs), "text", "lang", PIECES, per_language=40)
+    assert model.languages == ("aa", "bb", "cc")
+    score = langid.word_scores(["grünt", "kala"], model)
+    assert score[1, 0] > max(score[0, 0], score[2, 0]) + 3 and score[0, 1] > max(score[1, 1], score[2, 1]) + 3
+
+
+def test_held_out_accuracy(spark):
+    """On the small tables, of whole texts that were not learned from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang_pred <> 'und'")
+    right, n = got.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int")), F.count(F.lit(1))).first()
+    assert n > 200 and right >= 0.98
+
+
 # ---- packing ---------------------------------------------------------------------------------------------
 
 
