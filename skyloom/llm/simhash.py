@@ -151,7 +151,8 @@ def links(distinct: DataFrame, max_bits: int = 2, bucket_cap: int = 2048) -> Dat
         "fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks))).alias("tab", "key")
     )
     sizes = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    both = keyed.join(sizes, ["tab", "key"])
+    # written, so that a frequent bucket's rows may be dealt out in the join and go no further together
+    both = materialise(keyed.join(sizes, ["tab", "key"]), "buckets")
     small = both.where(F.col("n") <= bucket_cap).groupBy("tab", "key").agg(F.collect_list("fp").alias("fps"))
 
     def verify(batches):
@@ -352,13 +353,22 @@ FILTER = 1 << 24
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
     """Per document: `id`, `th` (a hash of the text) and `root`, one number for each group of near
     duplicates: texts linked by chains of pairs whose sets of shingles overlap by `similarity`.
+    Nulls and repeated rows: see `near_duplicates`.  The method: see `text_groups`."""
+    marked, rooted = text_groups(docs, id_col, text_col, width, similarity, long_words, bucket_cap)
+    # a frequent text's rows are dealt out by the join, which nothing in its stage precedes or follows
+    return marked.select("id", "th").join(rooted.select("th", "root"), "th").select("id", "th", "root")
+
+
+def text_groups(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float, long_words: int, bucket_cap: int) -> tuple[DataFrame, DataFrame]:
+    """(id, th) of every document, and (th, least, root) of every text: the smallest of its
+    documents' ids (as a struct that puts nulls last) and its group.
 
     Candidates share a band of minima over their shingles (see `BANDS`).  The Hamming distance of
     `long_words` x 64 SimHash bits over the shingles settles those that are surely alike or surely
     not; the texts of all other pairs are read again, and their sets of shingles compared.  Equal
     texts collapse first.  A bucket gives a spanning forest of its links.  One with more than
-    `bucket_cap` texts is dealt into parts, and every two of its parts are compared in a task of
-    their own, so it loses nothing either.  Nulls and repeated rows: see `near_duplicates`."""
+    `bucket_cap` texts is first thinned by its pivot, and the rest dealt into parts (see
+    `_dealt_large`), so it loses nothing either."""
     rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     rows = rows.select("id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("text"))
 
@@ -370,15 +380,20 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = rows.schema["id"].dataType.simpleString()
     marked = materialise(in_arrow(rows, prints, f"id {kind}, th long, v binary, c array<long>"), "prints")
-    texts = materialise(marked.groupBy("th").agg(F.first("v").alias("v"), F.first("c").alias("c")), "texts")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
+    texts = materialise(marked.groupBy("th").agg(F.first("v").alias("v"), F.first("c").alias("c"), least), "texts")
     keyed = texts.select("th", F.posexplode("c").alias("tab", "key"))
     sizes = keyed.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialise(keyed.join(sizes, ["tab", "key"]), "shared").join(texts, "th")
-    parts = F.ceil(F.col("n") / F.lit(bucket_cap // 2)).cast("int")
-    own = F.pmod(F.col("th"), parts).cast("int")
-    pairs = F.when(F.col("n") <= bucket_cap, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda k: F.least(k, own) * parts + F.greatest(k, own)))
-    dealt = shared.withColumn("pair", F.explode(pairs)).groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v", "c")).alias("m"))
+    shared = materialise(keyed.join(sizes, ["tab", "key"]), "shared")
+    full = texts.select("th", "v", "c")
     sure, far = limits(similarity, 64 * long_words)
+    dealt = shared.where(F.col("n") <= bucket_cap).join(full, "th").select("tab", "key", F.lit(0).alias("pair"), "th", "v", "c")
+    large = shared.where(F.col("n") > bucket_cap)
+    pivoted = None
+    if not large.isEmpty():
+        more, pivoted = _dealt_large(large.join(full, "th").select("tab", "key", "th", "v", "c"), sure, far, bucket_cap)
+        dealt = dealt.unionByName(more)
+    dealt = dealt.groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v", "c")).alias("m"))
 
     def members(m):
         """A bucket's members in order of their numbers, with fingerprints and band keys."""
@@ -428,13 +443,52 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], names=["a", "b"])
 
     edges = compared.where("b IS NOT NULL").select("a", "b")
+    if pivoted is not None:
+        edges = edges.unionByName(pivoted)
     if bits.any():
         read = in_arrow(rows.select("th", "text"), sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
         again = border.join(read, "th").groupBy("tab", "key", "pair").agg(F.collect_list(F.struct("th", "v", "c", "s")).alias("m"))
         edges = edges.unionByName(in_arrow(again.select("tab", "m"), verify, "a long, b long"))
     linked = components(edges)
-    rooted = texts.select("th").join(linked.withColumnRenamed("node", "th"), "th", "left").select("th", F.coalesce("root", "th").alias("root"))
-    return marked.select("id", "th").join(rooted, "th").select("id", "th", "root")
+    rooted = texts.select("th", "least").join(linked.withColumnRenamed("node", "th"), "th", "left")
+    return marked, materialise(rooted.select("th", "least", F.coalesce("root", "th").alias("root")), "rooted")
+
+
+def _dealt_large(members: DataFrame, sure: int, far: int, cap: int) -> tuple[DataFrame, DataFrame]:
+    """Members (tab, key, th, v, c) of large buckets, dealt into `pair`s of parts that hold about
+    `cap` texts and between them every two texts that may yet have to be compared; and edges.
+
+    Texts surely alike a bucket's pivot, its smallest text, are linked to it, and so to each other.
+    They only have to meet the texts on the rim: by the triangle inequality, those beyond `far` from
+    all of them can't be alike them.  So where many texts of one origin fill a bucket, as many copies
+    with small changes do, each is compared once; only the others meet each other, part by part."""
+    pivots = members.groupBy("tab", "key").agg(F.min("th").alias("pivot"), F.min_by("v", "th").alias("pv"))
+
+    def place(batches):
+        for b in batches:
+            v, pv = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(len(b), -1) for i in (3, 6))
+            d = np.bitwise_count(v ^ pv).sum(1, dtype=np.int32)
+            zone = (d > sure).astype(np.int32) + (d > sure + far)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(6)), pa.array(zone)], names=["tab", "key", "th", "v", "c", "pivot", "zone"])
+
+    met = members.join(pivots, ["tab", "key"]).select("tab", "key", "th", "v", "c", "pivot", "pv")
+    placed = materialise(in_arrow(met, place, "tab int, key long, th long, v binary, c array<long>, pivot long, zone int"), "placed")
+    edges = placed.where("zone = 0 AND th <> pivot").select(F.col("th").alias("a"), F.col("pivot").alias("b"))
+    count = lambda c: F.count_if(c).alias
+    sizes = placed.groupBy("tab", "key").agg(count(F.col("zone") == 0)("inner"), count(F.col("zone") == 1)("rim"), count(F.col("zone") > 0)("others"))
+    known = materialise(placed.join(sizes, ["tab", "key"]), "placed")
+    half = max(1, cap // 2)
+    parts = lambda n: F.greatest(F.ceil(F.col(n) / half), F.lit(1)).cast("int")
+    own = lambda n: F.pmod(F.xxhash64("th"), parts(n)).cast("int")
+    # every two parts of the others: the smaller number, then the larger
+    among = F.transform(F.sequence(F.lit(0), parts("others") - 1), lambda k: F.least(k, own("others")) * parts("others") + F.greatest(k, own("others")))
+    # every part of the inner texts with every part of the rim, under negative numbers
+    cell = lambda i, j: -1 - (i * parts("rim") + j)
+    to_rim = F.transform(F.sequence(F.lit(0), parts("rim") - 1), lambda j: cell(own("inner"), j))
+    to_inner = F.transform(F.sequence(F.lit(0), parts("inner") - 1), lambda i: cell(i, own("rim")))
+    pairs = F.when(F.col("zone") == 0, to_rim).when(F.col("zone") == 1, F.concat(among, to_inner)).otherwise(among)
+    meeting = known.where((F.col("zone") > 0) | (F.col("rim") > 0))
+    return meeting.select("tab", "key", F.explode(pairs).alias("pair"), "th", "v", "c"), edges
 
 
 def similar_texts(docs: DataFrame, **options) -> DataFrame:
@@ -444,19 +498,20 @@ def similar_texts(docs: DataFrame, **options) -> DataFrame:
     return found.join(least, "root").select("id", "th", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of `docs` but for near duplicates (see `similar_groups`): of each group the row with
-    the smallest id (nulls last, then the text's hash) stays, and of equal rows one."""
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, long_words: int = 8, bucket_cap: int = 4096) -> DataFrame:
+    """The rows of `docs` but for near duplicates (see `text_groups`): of each group the row with
+    the smallest id (nulls last, then the text's hash) stays, and of equal rows one.
+
+    Ids are of any type that has an order.  All null, empty and wordless texts make one group.  An
+    empty table gives no rows; further columns, of whatever names, stay as they are."""
     columns = docs.columns
-    found = similar_groups(docs, id_col, text_col, width, similarity)
-    kept = (
-        found.groupBy("root")
-        .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("k"))
-        .select(F.coalesce("k.id", F.lit(-(1 << 62))).alias("k"), F.col("k.th").alias("th"))
-        .distinct()
-    )
-    rows = with_row(docs, id_col, text_col).toDF("_row", "k", "text")
-    rows = rows.select("_row", F.coalesce("k", F.lit(-(1 << 62))).alias("k"), F.xxhash64("text").alias("th"))
-    once = rows.join(kept, ["k", "th"], "left_semi")
-    first = once.withColumn("n", F.row_number().over(Window.partitionBy("k", "th").orderBy(F.xxhash64("_row")))).where("n = 1")
-    return rows_of(first, columns)
+    _, rooted = text_groups(docs, id_col, text_col, width, similarity, long_words, bucket_cap)
+    kept = rooted.groupBy("root").agg(F.min(F.struct("least.none", "least.id", "th")).alias("k"))
+    named = lambda id_: F.coalesce(id_.cast("string"), F.lit("")).alias("name")
+    kept = kept.select(F.col("k.none").alias("none"), named(F.col("k.id")), F.col("k.th").alias("th"))
+    rows = with_row(docs, id_col, text_col).toDF("_row", "id", "text")
+    rows = rows.select("_row", F.col("id").isNull().alias("none"), named(F.col("id")), F.xxhash64("text").alias("th"))
+    # equal rows are cut to one before rows move, so many of them never meet; the join follows the same keys
+    nth = F.row_number().over(Window.partitionBy("none", "name", "th").orderBy(F.xxhash64("_row")))
+    once = rows.withColumn("nth", nth).where("nth = 1")
+    return rows_of(once.join(kept, ["none", "name", "th"], "left_semi"), columns)

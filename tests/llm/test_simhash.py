@@ -216,3 +216,62 @@ def test_border_of_one_large_group(spark):
                 root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
     got = {x.id: x.component_id for x in S.similar_texts(table(spark, list(enumerate(texts)))).collect()}
     assert got == dict(enumerate(root))
+
+
+def test_ids_of_any_type(spark):
+    r = np.random.default_rng(6)
+    lex = [f"v{i}" for i in range(500)]
+    long = " ".join(r.choice(lex, 120))
+    rows = [("b", long), ("a", long + " more"), (None, long), ("", "x y"), ("", "x y"), (None, "x z"), ("c", None), ("d", ""), ("e", " \n")]
+    kept = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert sorted((x[0] is None, x[0] or "", x[1]) for x in kept.collect()) == [(False, "", "x y"), (False, "a", long + " more"), (False, "c", None), (True, "", "x z")]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and {x.component_id for x in got if x.id == "e"} == {"c"}
+
+
+@pytest.mark.parametrize("cap", [10**6, 40])
+def test_one_bucket_of_many(spark, cap):
+    """A large bucket with a crowd about its pivot, texts on the rim and strangers, by brute force."""
+    r = np.random.default_rng(21)
+    base = [f"q{i}" for i in range(400)]
+    texts = []
+    for k in range(160):
+        w = list(base)
+        for at in r.choice(400, int([1, 2, 9, 14][k % 4]), replace=False):
+            w[int(at)] = f"e{r.integers(10**6)}"
+        texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+    assert 1 < len(set(root)) < 80
+    got = {x.id: x.component_id for x in S.similar_texts(table(spark, list(enumerate(texts))), bucket_cap=cap).collect()}
+    assert got == dict(enumerate(root))
+
+
+def test_recall_by_kind_of_edit(spark):
+    """Shares of the pairs from similarity 0.8 up that meet, by kind of edit; see the README."""
+    r = np.random.default_rng(31)
+    lex = np.array([f"z{i}" for i in range(20000)])
+    draw = lambda n: lex[np.minimum(r.zipf(1.2, n), len(lex)) - 1].tolist()
+    kinds = ("words", "replaced", "appended", "in front")
+    texts, pairs = [], []
+    for k in range(800):
+        w = draw(int(r.integers(60, 600)))
+        new = draw(max(1, int(r.uniform(0.02, 0.2) * len(w))))
+        at = int(r.integers(0, len(w) - len(new)))
+        scattered = list(w)
+        for i in r.choice(len(w), max(1, len(w) // int(r.integers(40, 200))), replace=False):
+            scattered[int(i)] = f"n{r.integers(10**6)}"
+        other = [scattered, w[:at] + new + w[at + len(new) :], w + new, new + w][k % 4]
+        a, b = " ".join(w), " ".join(other)
+        if overlap(a, b) >= 0.8:
+            pairs.append((kinds[k % 4], 2 * k))
+        texts += [a, b]
+    got = {x.id: x.component_id for x in S.similar_texts(table(spark, list(enumerate(texts)))).collect()}
+    for kind in kinds:
+        met = [got[i] == got[i + 1] for x, i in pairs if x == kind]
+        print(kind, sum(met), len(met))
+        assert len(met) > 60 and sum(met) >= 0.98 * len(met)
