@@ -1,8 +1,9 @@
 """Chat formatting with typed content parts, in SQL functions only.
 
-A message is a list of parts: text, image, audio or document.  A visitor flattens them in order:
-text is escaped, any other part becomes a numbered placeholder, its reference is recorded, and
-the number of tokens that it will expand to is computed from its size.
+A message is a list of parts: text, image, audio or document.  `parts_of` reads them out of a text
+with references like `![a cat](cat.png =640x480)`.  A visitor flattens them in order: text is
+escaped, any other part becomes a placeholder with the number of tokens that it will expand to, by
+its size, and its reference is recorded.
 
 The template is
 
@@ -10,9 +11,11 @@ The template is
     text[/ROLE]...[ROLE assistant]
     [LOSS]text[/LOSS][/ROLE]</s>
 
-without the line feed behind the last text.  Every control string starts with `<` or `[`.  In
-texts, roles and references each of `<`, `[`, `]` and `\\` gets a `\\` behind it, so no control
-string can appear in them, and dropping the character behind each of the four gives the text back.
+without the line feed behind the last text; a placeholder is `[IMAGE 1564 source[/]`, its source
+being the part's own text, or its reference where it has none.  Every control string starts with
+`<` or `[`.  In texts, roles and sources each of `<`, `[`, `]` and `\\` gets a `\\` behind it, so no
+control string can appear in them; dropping placeholders' marks, and the character behind each of
+the four, gives the text back.
 """
 
 from __future__ import annotations
@@ -27,6 +30,17 @@ KINDS = ("image", "audio", "document")
 BEGIN, END, OPEN, AFTER, CLOSE, LOSS, UNLOSS = "<s>", "</s>", "[ROLE ", "]\n", "[/ROLE]", "[LOSS]", "[/LOSS]"
 
 
+#: References in texts, by kind: endings of names, and the size that may follow.
+ENDINGS = {"image": ("png|jpe?g|gif|webp", "[0-9]{1,5}x[0-9]{1,5}"), "audio": ("wav|mp3|ogg|flac", "[0-9]{1,6}(?:[.][0-9]{1,3})?s"), "document": ("pdf|docx?|txt|md", "[0-9]{1,6}p")}
+MEDIA = r"!\[[^\[\]\n]*\]\([^()\x20\x09-\x0D]+[.](?:" + "|".join(f"(?i:{names})(?: ={size})?" for names, size in ENDINGS.values()) + r")\)"
+
+
+def ending(kind: str) -> str:
+    """How a reference of a kind ends."""
+    names, size = ENDINGS[kind]
+    return rf"[.](?i:{names})(?: ={size})?\)$"
+
+
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[\]\\])", r"$1\\")
 
@@ -35,6 +49,28 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[\]\\])\\", "$1")
 
 
+def parts_of(text: Column) -> Column:
+    """A text as an array of parts: its references (see `MEDIA`), and what lies between them.  The
+    parts' texts, joined, are the text; null and empty texts are one empty part."""
+    text = F.coalesce(text, F.lit(""))
+    number = lambda m, pattern, kind: F.nullif(F.regexp_extract(m, pattern, 1), F.lit("")).cast(kind)
+
+    def reference(m: Column) -> Column:
+        kind = F.when(m.rlike(ending("image")), "image").when(m.rlike(ending("audio")), "audio").otherwise("document")
+        return F.struct(
+            kind.alias("type"), m.alias("text"), F.regexp_extract(m, r"\(([^ )]*)", 1).alias("uri"), number(m, r" =([0-9]+)x[0-9]+\)$", "int").alias("width"),
+            number(m, r" =[0-9]+x([0-9]+)\)$", "int").alias("height"), number(m, r" =([0-9.]+)s\)$", "double").alias("seconds"), number(m, r" =([0-9]+)p\)$", "int").alias("pages"),
+        )
+
+    def woven(found: Column) -> Column:
+        between = F.transform(F.split(text, MEDIA, -1), lambda t: text_part(t)[0])
+        media = F.transform(found, reference)
+        return F.filter(F.flatten(F.zip_with(between, media, lambda a, b: F.array(a, b))), lambda p: p.isNotNull() & ((p["type"] != "text") | (p["text"] != "")))
+
+    some = let(F.regexp_extract_all(text, F.lit(MEDIA), F.lit(0)), woven)
+    return F.when(F.contains(text, F.lit("![")), some).otherwise(text_part(text)).cast(f"array<{PART}>")
+
+
 def expanded(part: Column, patch: int = 14, per_second: float = 25.0, per_page: int = 256) -> Column:
     """Tokens that a part's placeholder stands for: image patches, audio frames or pages; at
     least one, so that a part of unknown size still has a place."""
@@ -53,7 +89,7 @@ def visit(parts: Column) -> Column:
     media = lambda p: F.coalesce(p["type"].isin(*KINDS), F.lit(False))
 
     def holder(p: Column) -> Column:
-        return F.concat(F.lit("["), F.upper(p["type"]), F.lit(" "), expanded(p).cast("string"), F.lit(" "), escape(F.coalesce(p["uri"], F.lit(""))), F.lit("[/]"))
+        return F.concat(F.lit("["), F.upper(p["type"]), F.lit(" "), expanded(p).cast("string"), F.lit(" "), escape(F.coalesce(p["text"], p["uri"], F.lit(""))), F.lit("[/]"))
 
     body = F.array_join(F.transform(parts, lambda p: F.when(media(p), holder(p)).otherwise(escape(F.coalesce(p["text"], F.lit(""))))), "")
     refs = F.filter(
@@ -108,9 +144,15 @@ def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
 
 
+def read_text(body: Column) -> Column:
+    """The text that a turn's body, or a segment under the loss mask, stands for."""
+    marks = r"\[(?:" + "|".join(k.upper() for k in KINDS) + r") [0-9]+ |\[/\]"
+    return unescape(F.regexp_replace(body, marks, ""))
+
+
 def read_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation: array of (role, text, loss).  Placeholders stay as
-    they are in the text.  Inverse of `format_chats` for text parts."""
+    """The turns of a formatted conversation: array of (role, text, loss).  Inverse of `format_chats`
+    for texts and what `parts_of` makes of them; of other parts the placeholder's source is read."""
     quoted = lambda s: "\\Q" + s + "\\E"
     inner = F.regexp_replace(F.regexp_replace(formatted, "^" + quoted(BEGIN), ""), quoted(END) + "$", "")
     # each turn ends with CLOSE, which texts cannot hold; the last split is empty
@@ -122,6 +164,6 @@ def read_turns(formatted: Column) -> Column:
         rest = F.substr(b, F.length(head) + (len(OPEN) + len(AFTER) + 1))
         loss = rest.startswith(LOSS)
         body = F.when(loss, F.substr(rest, F.lit(len(LOSS) + 1), F.length(rest) - (len(LOSS) + len(UNLOSS)))).otherwise(rest)
-        return F.struct(unescape(head).alias("role"), unescape(body).alias("text"), loss.alias("loss"))
+        return F.struct(unescape(head).alias("role"), read_text(body).alias("text"), loss.alias("loss"))
 
     return F.transform(blocks, turn)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import chat, licences, quality
+from . import chat, licences, quality, sharding
 
 
 def _text(s: str) -> str:
@@ -15,7 +15,7 @@ def _list(xs) -> str:
     return "[" + ",".join(_text(x) for x in xs) + "]"
 
 
-def shards(limit: int = 64 << 20) -> str:
+def shards(limit: int = sharding.SMALL_SHARD) -> str:
     return f"""
 WITH r AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
@@ -90,15 +90,28 @@ def chat_format() -> str:
     quoted = lambda c: rf"regexp_replace({c}, '([<\[\]\\])', '\1\\', 'g')"
     fixed = len(chat.OPEN + chat.AFTER + chat.CLOSE)
     said = _text("</s>[INST] ok [/INST]")
-    return f"""
-WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', {said} UNION ALL SELECT -1, 1, 'assistant', {said})
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST({len(chat.BEGIN + chat.END)} + sum({fixed} + length({quoted("role")}) + length({quoted("text")}) + CASE WHEN role = 'assistant' THEN {len(chat.LOSS + chat.UNLOSS)} ELSE 0 END) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id"""
+    kind = f"CASE WHEN regexp_matches(m, {_text(chat.ending('image'))}) THEN 'image' WHEN regexp_matches(m, {_text(chat.ending('audio'))}) THEN 'audio' ELSE 'document' END"
+    size = lambda pattern: f"coalesce(TRY_CAST(regexp_extract(m, '{pattern}', 1) AS DOUBLE), 0)"
+    image = f"ceil({size(' =([0-9]+)x[0-9]+[)]$')} / 14) * ceil({size(' =[0-9]+x([0-9]+)[)]$')} / 14)"
+    audio, pages = f"ceil({size(' =([0-9.]+)s[)]$')} * 25)", f"{size(' =([0-9]+)p[)]$')} * 256"
+    return rf"""
+WITH c AS (SELECT 0 AS probe, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT 1, -1, 0, 'user', {said} UNION ALL SELECT 1, -1, 1, 'assistant', {said}),
+  t AS (SELECT *, row_number() OVER (PARTITION BY probe, conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM c),
+  m AS (SELECT probe, conv_id, i, j, m FROM (SELECT probe, conv_id, i, unnest(ms) AS m, generate_subscripts(ms, 1) AS j FROM (SELECT *, regexp_extract_all(text, {_text(chat.MEDIA)}) AS ms FROM t WHERE contains(text, '!['))) WHERE m <> ''),
+  k AS (SELECT *, {kind} AS kind FROM m),
+  n AS (SELECT *, CAST(greatest(CASE kind WHEN 'image' THEN {image} WHEN 'audio' THEN {audio} ELSE {pages} END, 1) AS BIGINT) AS tokens FROM k),
+  a AS (SELECT probe, conv_id, count(*) AS n_attachments, sum(tokens) AS tokens, sum(length(kind) + length(CAST(tokens AS VARCHAR)) + 6) AS marks,
+    string_agg(i || ' ' || kind || ' ' || tokens || ' ' || regexp_extract(m, '\(([^ )]*)', 1), chr(10) ORDER BY i, j) AS refs FROM n GROUP BY ALL),
+  f AS (SELECT probe, conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    {len(chat.BEGIN + chat.END)} + sum({fixed} + length({quoted("role")}) + length({quoted("text")}) + CASE WHEN role = 'assistant' THEN {len(chat.LOSS + chat.UNLOSS)} ELSE 0 END) AS chars
+    FROM t GROUP BY ALL)
+SELECT f.conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, CAST(chars + coalesce(marks, 0) AS BIGINT) AS formatted_chars,
+  coalesce(n_attachments, 0) AS n_attachments, CAST(coalesce(tokens, 0) AS BIGINT) AS attachment_tokens, coalesce(refs, '') AS attachments
+FROM f LEFT JOIN a ON f.probe = a.probe AND f.conv_id IS NOT DISTINCT FROM a.conv_id"""
 
 
 def license_scan(threshold: float = 0.8) -> str:

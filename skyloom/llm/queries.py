@@ -23,7 +23,7 @@ def op1_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sharding.assign_shards(load(spark, sf_dir, "documents"))
+    found = sharding.assign_shards(load(spark, sf_dir, "documents"), sharding.SMALL_SHARD)
     return found.select(F.col("id").alias("doc_id"), F.col("bytes").alias("n_bytes"), F.col("depth").cast("int").alias("depth"), F.col("prefix").alias("prefix"), "page")
 
 
@@ -53,17 +53,26 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text")
     )
-    rows = table.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).unionByName(probe)
-    done = chat.format_chats(rows).select("conv_id", "formatted", "segments", chat.read_turns(F.col("formatted")).alias("turns"))
+    # apart, so that a stored conversation with the probe's id is not mixed with it
+    parted = lambda rows: chat.format_chats(rows.select("conv_id", "turn", "role", chat.parts_of(F.col("text")).alias("parts")), parts="parts")
+    done = parted(table).unionByName(parted(probe)).withColumn("turns", chat.read_turns(F.col("formatted")))
     said_again = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: chat.unescape(s["text"])), "")
-    return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.char_length("formatted").cast("long").alias("formatted_chars"), said_again.alias("said"), loss.alias("loss")).select(
+    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: chat.read_text(s["text"])), "")
+    references = F.array_join(F.transform("attachments", lambda a: F.concat_ws(" ", a["turn_index"].cast("string"), a["kind"], a["tokens"].cast("string"), a["uri"])), "\n")
+    done = done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.char_length("formatted").cast("long").alias("formatted_chars"), said_again.alias("said"), loss.alias("loss"),
+        F.size("attachments").cast("long").alias("n_attachments"), "attachment_tokens", references.alias("attachments"),
+    )
+    return done.select(
         "conv_id",
         "n_turns",
         F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"),
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_attachments",
+        "attachment_tokens",
+        "attachments",
     )
 
 

@@ -12,12 +12,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, take, with_row
 
 BITS = 60
+#: The limit of the query: a small shard, so that small tables too are split.
+SMALL_SHARD = 1 << 20
+#: Ways by which rows of overflowing buckets are dealt out.
+WAYS = 32
 
 
 def row_hash(id_: Column, text: Column) -> Column:
@@ -32,7 +36,7 @@ def prefix(h: Column, depth: Column | int) -> Column:
 
 def directory(rows: DataFrame, limit: int, spare_bits: int = 4, more_bits: int = 8) -> DataFrame:
     """Leaves of the split tree of `rows` (h, bytes): depth, prefix, bytes, n, whether it
-    `overflows` (over the limit though all its hashes are equal)."""
+    `overflows` (over the limit though all its hashes are equal), and `h`, its least hash."""
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     depth = min(BITS, max(0, math.ceil(math.log2(max(1.0, total / limit)))) + spare_bits)
     base, found = 0, []
@@ -60,7 +64,7 @@ def directory(rows: DataFrame, limit: int, spare_bits: int = 4, more_bits: int =
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.select("depth", "prefix", "bytes", "n", (F.col("bytes") > limit).alias("overflows"))
+    return out.select("depth", "prefix", "bytes", "n", (F.col("bytes") > limit).alias("overflows"), F.col("lo").alias("h"))
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -71,18 +75,36 @@ def _measured(rows: DataFrame) -> DataFrame:
 
 def _placed(sized: DataFrame, leaves: DataFrame, limit: int) -> DataFrame:
     """Adds depth, prefix and page to rows with `h` and `bytes`.  A row has one leaf; it is looked
-    up under its prefixes, one for each depth that leaves have.  In overflowing buckets, where
-    rows are equal, each distinct row is counted and dealt to pages that it fits."""
+    up under its prefixes, one for each depth that leaves have."""
     depths = [r[0] for r in leaves.select("depth").distinct().collect()]  # at most BITS + 1 numbers
-    own = sized.columns
-    keyed = sized.withColumn("depth", F.explode(F.array(*(F.lit(d) for d in sorted(depths))).cast("array<int>")))
-    placed = keyed.withColumn("prefix", prefix(F.col("h"), F.col("depth"))).join(leaves.select("depth", "prefix", "overflows"), ["depth", "prefix"])
-    names = [c for c in own if c != "h"] + ["depth", "prefix"]
-    plain = placed.where(~F.col("overflows")).select(*names, F.lit(0).cast("long").alias("page"))
-    groups = placed.where("overflows").groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
-    each = groups.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    names = [c for c in sized.columns if c != "h"]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn("depth", F.explode(F.array(*(F.lit(d) for d in sorted(depths))).cast("array<int>")))
+        found = keyed.withColumn("prefix", prefix(F.col("h"), F.col("depth"))).join(leaves.where(~F.col("overflows")).select("depth", "prefix"), ["depth", "prefix"])
+        return found.select(*names, "depth", "prefix", F.lit(0).cast("long").alias("page"))
+
+    over = leaves.where("overflows").select("h", F.col("depth").alias("_depth"), F.col("prefix").alias("_prefix"))
+    if over.isEmpty():
+        return plain(sized)
+    # the rows of an overflowing bucket, however many, meet its leaf by several ways
+    dealt = sized.withColumn("_part", F.spark_partition_id()).withColumn("_way", F.pmod(F.monotonically_increasing_id(), F.lit(WAYS)))
+    marked = dealt.join(over.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(WAYS - 1)).cast("array<long>"))), ["h", "_way"], "left")
+    full = marked.where("_depth IS NOT NULL").withColumn("_g", F.xxhash64("id", "bytes", "h"))
+    pages = _paged(full, limit).select(*names, F.col("_depth").alias("depth"), F.col("_prefix").alias("prefix"), "page")
+    return plain(marked.where("_depth IS NULL").select(*sized.columns)).unionByName(pages)
+
+
+def _paged(full: DataFrame, limit: int) -> DataFrame:
+    """Adds `page` to rows of overflowing buckets.  Equal rows (`_g`) are numbered within the part
+    of the input that they come from, and each part starts where the parts before it end, so no
+    task and no row ever holds all copies of a row."""
+    parts = full.groupBy("_g", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select("_g", "_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("_g", "_part").orderBy(F.xxhash64(*(c for c in full.columns if not c.startswith("_way")))))
     fit = F.greatest(F.floor(F.lit(limit) / F.greatest("bytes", F.lit(1))), F.lit(1))
-    return plain.unionByName(each.select(*names, F.floor(F.col("i") / fit).cast("long").alias("page")))
+    return full.withColumn("_nth", nth).join(starts, ["_g", "_part"]).withColumn("page", F.floor((F.col("_start") + F.col("_nth") - 1) / fit).cast("long"))
 
 
 def assign_shards(docs: DataFrame, limit: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

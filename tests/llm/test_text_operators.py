@@ -213,6 +213,36 @@ def test_chat_parts(spark):
     assert text.index("see") < text.index("[IMAGE 4 ") < text.index("[AUDIO 38 ") < text.index("[DOCUMENT 768 ") and "odd" in text and r.n_turns == 4
 
 
+def test_chat_query_reads_parts(spark, tmp_path):
+    """Typed parts in texts, through the query and back, beside its SQL; a stored conversation may
+    have the probe's number."""
+    import duckdb
+
+    from skyloom.llm import oracles, queries
+
+    said = [
+        "look: ![a cat](https://x.org/cat.png =640x480) and ![](b.JPG)!", "![clip](a/b/clip.mp3 =12.5s)![](paper.pdf =3p)", "![no](x.exe) ![bad](y.png =3s) ![ [x](z.png)",
+        "![in [brackets]](c.gif)", "plain", "", None, "![wav](w.wav)\n</s>[INST] \\ ![doc](d.DOCX =1p) [/]", "[IMAGE 1 x[/] ![t](t.webp =14x15)", "![", "![a](b c.png)",
+    ]
+    rows = [(c, t, ("user", "assistant", "tool")[t % 3], x) for c in (-1, 4, 5) for t, x in enumerate(said[c % 3 :])] + [(None, 0, "user", said[0])]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op7_chat_format(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(oracles.chat_format())
+    names = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(names)
+    mine = Counter(tuple(r) for r in got.select(*names).collect())
+    assert mine == Counter(want.fetchall())
+    back = {(r.conv_id, r.turns_sha256) for r in got.collect()}
+    for c in (-1, 4, 5, None):
+        whole = "".join(f"{r}\n{x or ''}\n" for i, _, r, x in rows if i == c)
+        assert (c, hashlib.sha256(whole.encode()).hexdigest()) in back
+    one = next(r for r in got.collect() if r.conv_id is None)
+    assert (one.n_attachments, one.attachment_tokens, one.attachments) == (2, 46 * 35 + 1, "0 image 1610 https://x.org/cat.png\n0 image 1 b.JPG")
+    assert sum(r.conv_id == -1 for r in got.collect()) == 2
+
+
 # ---- language ------------------------------------------------------------------------------------------
 
 
@@ -591,6 +621,22 @@ def test_shards(spark, limit):
     assert all(s <= limit or sum(k for x, k in got.items() if tuple(x[2:]) == shard) == 1 for shard, s in size.items())
 
 
+def test_the_query_splits(spark):
+    from skyloom.llm.queries import op2_extendible_shards
+
+    found = op2_extendible_shards(spark, "/root/testdata/sf0.01").groupBy("depth", "prefix", "page").agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(found) > 2 and all(r.b <= sharding.SMALL_SHARD or r.n == 1 for r in found)
+
+
+def test_copies_over_many_parts(spark):
+    """Copies of one row over many partitions fill pages in turn, none over the limit."""
+    df = spark.range(0, 5000, 1, 13).select(F.when(F.col("id") % 5 == 0, F.col("id")).otherwise(-1).alias("doc_id"), F.when(F.col("id") % 5 == 0, "other").otherwise("hot row").alias("text"))
+    got = sharding.assign_shards(df, 700).groupBy("depth", "prefix", "page").agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).collect()
+    assert sum(r.n for r in got) == 5000 and all(r.b <= 700 for r in got)
+    hot = sorted((r.page, r.n) for r in got if r.id == -1)
+    assert hot == [(k, 100) for k in range(40)]
+
+
 def test_write_shards(spark, tmp_path):
     rows = [(i, f"text number {i} " * 5, "k") for i in range(60)] + [(1, "same", "k")] * 20
     df = spark.createDataFrame(rows, "doc_id long, text string, Text_2 string")
