@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -68,6 +69,11 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def constant(value, schema: str) -> Column:
+    """A nested constant, in one expression."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, where that is
     unset on a local master, a temporary folder of this machine."""

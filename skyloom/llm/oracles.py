@@ -115,19 +115,29 @@ FROM f LEFT JOIN a ON f.probe = a.probe AND f.conv_id IS NOT DISTINCT FROM a.con
 
 
 def license_scan(threshold: float = 0.8) -> str:
-    rows = ",".join(f"({_text(t.name)}, {_list(t.grams)}, {t.least}, {t.most})" for t in licences.templates(threshold=threshold))
+    found = licences.templates(threshold=threshold)
+    rows = ",".join(f"({k}, {_text(t.name)}, {_list(t.grams)}, {t.least}, {t.most}, {t.n_words})" for k, t in enumerate(found))
+    starts = ",".join(f"({k}, {_text(gram)}, {at})" for k, t in enumerate(found) for gram, at in t.starts)
+    words = lambda c: f"list_filter(string_split(regexp_replace(lower({c}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
     return rf"""
-WITH t(name, grams, least, most) AS (VALUES {rows}),
+WITH t(k, name, grams, least, most, n_words) AS (VALUES {rows}),
+  st(k, gram, off) AS (VALUES {starts}),
   d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
   u AS (SELECT rid, unnest(string_split(text, chr(10))) AS unit FROM d
     UNION ALL SELECT rid, unit FROM (SELECT rid, unnest(regexp_split_to_array(text, '\n[\x20\x09\r]*\n')) AS unit FROM d) WHERE contains(unit, chr(10))),
-  w AS (SELECT row_number() OVER () AS uid, rid, list_filter(string_split(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM u),
-  g AS (SELECT uid, rid, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1])) END AS grams FROM w WHERE len(ws) BETWEEN 1 AND 400),
+  w AS (SELECT row_number() OVER () AS uid, rid, {words("unit")} AS ws FROM u),
+  g AS (SELECT uid, rid, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(generate_series(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1])) END AS grams FROM w WHERE len(ws) >= 1),
   m AS (SELECT rid, uid, name, round(2.0 * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)), 6) AS dice FROM g JOIN t ON len(g.grams) BETWEEN least AND most),
-  best AS (SELECT rid, uid, name, dice FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY dice DESC, name) AS k FROM m WHERE dice >= {threshold}) WHERE k = 1),
-  o AS (SELECT rid, count(*) AS n_units, max(dice) AS dice, array_to_string(list_sort(list_distinct(list(name))), ',') AS licences FROM best GROUP BY rid),
-  top AS (SELECT rid, name FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS k FROM best) WHERE k = 1)
-SELECT doc_id, top.name AS licence, coalesce(dice, 0.0) AS dice, coalesce(n_units, 0) AS n_units, coalesce(licences, '') AS licences
+  best AS (SELECT rid, name, dice FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY dice DESC, name) AS r FROM m WHERE dice >= {threshold}) WHERE r = 1),
+  whole AS (SELECT rid, {words("text")} AS ws FROM d),
+  b AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] AS gram FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 1)) AS i FROM whole WHERE len(ws) > 1)),
+  p AS (SELECT DISTINCT rid, k, greatest(i - off, 1) AS s FROM b JOIN st USING (gram)),
+  q AS (SELECT p.rid, name, t.grams, list_distinct(list_transform(generate_series(s, least(s + n_words - 2, len(ws) - 1)), lambda j: ws[j] || ' ' || ws[j + 1])) AS mine FROM p JOIN t USING (k) JOIN whole USING (rid)),
+  win AS (SELECT * FROM (SELECT rid, name, round(2.0 * len(list_intersect(mine, grams)) / (len(mine) + len(grams)), 6) AS dice FROM q) WHERE dice >= {threshold}),
+  hits AS (SELECT rid, name, dice, 1 AS unit FROM best UNION ALL SELECT rid, name, dice, 0 FROM win),
+  o AS (SELECT rid, sum(unit) AS n_units, count(*) - sum(unit) AS n_windows, max(dice) AS dice, array_to_string(list_sort(list_distinct(list(name))), ',') AS licences FROM hits GROUP BY rid),
+  top AS (SELECT rid, name FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY dice DESC, name) AS r FROM hits) WHERE r = 1)
+SELECT doc_id, top.name AS licence, coalesce(dice, 0.0) AS dice, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows, coalesce(licences, '') AS licences
 FROM d LEFT JOIN o USING (rid) LEFT JOIN top USING (rid)"""
 
 

@@ -15,14 +15,13 @@ length.
 
 from __future__ import annotations
 
-import json
 import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, materialise, rows_of, spread, take, with_row
+from .common import SPACE, constant, let, materialise, rows_of, spread, take, with_row
 
 WINDOW = 8
 
@@ -108,18 +107,13 @@ def _tidy(text: Column) -> Column:
     return _words(F.regexp_replace(F.lower(text), ends, ""))
 
 
-def _constant(value, schema: str) -> Column:
-    """A nested constant, in one expression."""
-    return F.from_json(F.lit(json.dumps(value)), schema)
-
-
 def _common(text: Column, refs: list[Reference]) -> Column:
     """Counts of the languages' common words in a text, language by language."""
     words = [w for r in refs for w in r.words]
     if not words:
         return F.array().cast("array<long>")
     found = F.filter(_tidy(text), lambda w: w.isin(sorted(set(words))))
-    each = _constant(words, "array<string>")
+    each = constant(words, "array<string>")
     return let(found, lambda c: F.transform(each, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))
 
 
@@ -207,7 +201,7 @@ def verdict(q: Column, lang: Column, refs: list[Reference], rules: QualityRules)
 
     near = F.lit(None).cast("double")
     if refs:
-        near = F.array_min(F.transform(_constant(table, "array<struct<chars:array<double>,common:array<double>,at:int,n:int>>"), far))
+        near = F.array_min(F.transform(constant(table, "array<struct<chars:array<double>,common:array<double>,at:int,n:int>>"), far))
     judged = (q["n_words"] >= rules.min_words) & (~labelled(lang) | F.coalesce(lang.isin([r.lang for r in refs]), F.lit(False)))
     return let(F.when(judged, near), lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
 

@@ -553,14 +553,19 @@ def test_long_units_agree_with_short(monkeypatch):
 def slow_scan(text, threshold=0.8):
     found = licences.templates(threshold=threshold)
     units = (text or "").split("\n") + [p for p in re.split(r"\n[\x20\x09\r]*\n", text or "") if "\n" in p]
+    dice = lambda g, t: -round(2 * len(g & set(t.grams)) / (len(g) + len(t.grams)), 6)
     hits = []
     for u in units:
         g = set(licences.bigrams(licences.normalised(u)))
-        best = min(((-round(2 * len(g & set(t.grams)) / (len(g) + len(t.grams)), 6), t.name) for t in found), default=(0, ""))
+        best = min(((dice(g, t), t.name) for t in found), default=(0, ""))
         if g and -best[0] >= threshold:
             hits.append(best)
-    top = min(hits, default=(0.0, None))
-    return top[1], -top[0], len(hits)
+    words = licences.normalised(text or "")
+    windows = {(k, max(0, i - at)) for i in range(len(words) - 1) for k, t in enumerate(found) for gram, at in t.starts if gram == f"{words[i]} {words[i + 1]}"}
+    near = [(dice(set(licences.bigrams(words[i : i + found[k].n_words])), found[k]), found[k].name) for k, i in windows]
+    near = [x for x in near if -x[0] >= threshold]
+    top = min(hits + near, default=(0.0, None))
+    return top[1], -top[0], len(hits), len(near)
 
 
 def test_licences(spark):
@@ -578,11 +583,43 @@ def test_licences(spark):
     texts += ["licensed", "a license to drive", "permission is hereby granted"]
     got = licences.scan(table(spark, texts)).collect()
     want = Counter((i if i != 3 else None, *slow_scan(t)) for i, t in enumerate(texts))
-    assert Counter((x.doc_id, x.licence, x.dice, x.n_units) for x in got) == want
+    assert Counter((x.doc_id, x.licence, x.dice, x.n_units, x.n_windows) for x in got) == want
     assert sum(x.licence is not None for x in got) > 60
     assert licences.scan(table(spark, [])).count() == 0
 
 
+def test_no_window_is_missed():
+    """Every stretch of a template's length that reaches the threshold has a starting bigram."""
+    r = np.random.default_rng(14)
+    for t in licences.templates():
+        words = licences.normalised(next(x for n, x in licences.TEMPLATES if n == t.name and tuple(licences.bigrams(licences.normalised(x))) == t.grams))
+        for _ in range(60):
+            w = list(words)
+            for _ in range(int(r.integers(0, 1 + len(w) // 8))):
+                w[int(r.integers(len(w)))] = "other"
+            g = set(licences.bigrams(w))
+            if 2 * len(g & set(t.grams)) / (len(g) + len(t.grams)) >= 0.8:
+                assert g & {x for x, _ in t.starts}
+
+
+def test_licences_inside_texts(spark):
+    by = {n: t for n, t in licences.TEMPLATES}
+    mit, bsd3, bsd2 = by["MIT"], by["BSD-3-Clause"], by["BSD-2-Clause"]
+    wrap = lambda t, lead, n=9: "\n".join(lead + " ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    texts = [
+        "Some words go before, and then: This work is licensed under the GNU General Public License, version 3. And a good many words follow it here.",
+        "It says that This work is licensed under CC BY-SA 4.0 somewhere inside a longer line of words.",
+        "/*\n" + wrap(mit, " * ") + "\n */\nint main;",
+        "# Copyright (c) me\n#\n" + wrap(bsd3, "# "),
+        " ".join(f"w{i}" for i in range(300)) + " " + bsd2 + " " + " ".join(f"v{i}" for i in range(300)),
+        "Copyright.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n* Redistributions of source code must retain it\n* all of it",
+        "this work is licensed to nobody under any version of a public license",
+    ]
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.licence) for x in licences.scan(table(spark, texts)).collect())
+    names = {(i if not none else 3): x for none, i, x in got}
+    assert names == {0: "GPL-3.0", 1: "CC-BY-SA-4.0", 2: "MIT", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "BSD-3-Clause", 6: None}
+
+
 # ---- shards --------------------------------------------------------------------------------------------------------
 
 
