@@ -60,8 +60,8 @@ def quality_rules(rules: quality.QualityRules | None = None) -> str:
     by_chars = js([term(f"(f.c{i} * 1.0 / greatest(f.n_chars, 1))", f"(r.c{i} * 1.0 / ({all_chars}))") for i in range(nc)])
     own = [f"len(list_filter(f.tidy, lambda x: x = r.w[{k}]))" for k in range(1, nw + 1)]
     counts = [(f"coalesce({c}, 0)", f"coalesce(r.n[{k}], 0)") for k, c in enumerate(own, 1)]
-    counts.append((f"(f.n_words - ({' + '.join(a for a, _ in counts)}))", "(r.n_words - list_sum(r.n))"))
-    by_words = js([term(f"({a} * 1.0 / greatest(f.n_words, 1))", f"({b} * 1.0 / r.n_words)") for a, b in counts])
+    counts.append((f"(f.n_tidy - ({' + '.join(a for a, _ in counts)}))", "(r.n_tidy - list_sum(r.n))"))
+    by_words = js([term(f"({a} * 1.0 / greatest(f.n_tidy, 1))", f"({b} * 1.0 / r.n_tidy)") for a, b in counts])
     far = f"greatest({by_chars} / {rules.max_char_distance}, {by_words} / ({rules.max_word_distance} + {rules.word_slack} / sqrt(greatest(f.n_words, 1))))"
     label = "coalesce(trim(lang) <> '' AND lang <> 'und', false)"
     return rf"""
@@ -72,14 +72,14 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, {label} AS labelled
   win AS (SELECT rid, i, array_to_string(ws[i:i+{w - 1}], ' ') AS g FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - {w - 1})) AS i FROM a WHERE len(ws) >= {w})),
   twice AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, g) AS k FROM win) WHERE k > 1),
   cover AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(generate_series(i, i + {w - 1})) AS pos FROM twice) GROUP BY rid),
-  f AS (SELECT t.rid, doc_id, lang, labelled, tidy, len(ws) AS n_words, length(text) AS n_chars, length(array_to_string(ws, '')) AS word_chars,
+  f AS (SELECT t.rid, doc_id, lang, labelled, tidy, len(list_filter(tidy, lambda x: x <> '')) AS n_tidy, len(ws) AS n_words, length(text) AS n_chars, length(array_to_string(ws, '')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
       {", ".join(f"{c} AS c{i}" for i, c in enumerate(chars))}
     FROM t LEFT JOIN cover USING (rid)),
   lw AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(tidy) AS w FROM f WHERE labelled) WHERE regexp_matches(w, '\p{{L}}') GROUP BY ALL),
-  top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k, sum(n) OVER (PARTITION BY lang) AS total FROM lw) WHERE k <= {nw} AND total >= {rules.min_label_words}),
+  top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM lw) WHERE k <= {nw}),
   r AS (SELECT * FROM (SELECT lang AS ref, list(w ORDER BY k) AS w, list(n ORDER BY k) AS n FROM top GROUP BY lang)
-    JOIN (SELECT lang AS ref, sum(n_words) AS n_words, {", ".join(f"sum(c{i}) AS c{i}" for i in range(nc))} FROM f WHERE labelled GROUP BY lang) USING (ref)),
+    JOIN (SELECT lang AS ref, sum(n_tidy) AS n_tidy, {", ".join(f"sum(c{i}) AS c{i}" for i in range(nc))} FROM f WHERE labelled GROUP BY lang HAVING sum(n_tidy) >= {rules.min_label_words}) USING (ref)),
   far AS (SELECT f.rid, min({far}) AS distance FROM f, r WHERE f.n_words >= {rules.min_words} AND (NOT labelled OR lang IN (SELECT ref FROM r)) GROUP BY f.rid),
   v AS (SELECT f.*, distance, (n_words < {rules.min_n_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words) AS base_failed FROM f LEFT JOIN far USING (rid))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,

@@ -6,6 +6,10 @@ language is known beforehand.  A text is far from a language by the larger of tw
 distances (base 2, 0 to 1), of its character classes and of that language's common words, and is
 rejected if it is far from every language.
 
+The words come in two steps.  A sketch of bounded size, filled as texts are read, names candidates
+for each label; it misses none whose share of a label's words is above about 1 in 15,000.  Then the
+candidates are counted exactly, over all documents, and the commonest taken.
+
 Guards: texts of fewer than `min_words` words are too short for their histograms to mean much, and
 labels with fewer than `min_label_words` words in all too small to make a reference; such texts, and
 the documents of such labels, are judged by the base rules alone.  A longer text's few common words
@@ -18,12 +22,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, constant, let, materialise, rows_of, spread, take, with_row
+from .common import SPACE, constant, let, rows_of, spread, take, with_row
 
 WINDOW = 8
+#: Words that a label's sketch keeps track of, and candidates taken from it for each common word.
+TRACKED, CANDIDATES = 20000, 4
 
 
 @dataclass(frozen=True)
@@ -42,11 +48,12 @@ class QualityRules:
 
 @dataclass(frozen=True)
 class Reference:
-    """A language: its common words, and the shares of them (then of all others) and of characters
-    by class."""
+    """A language: its common words, the place of the first among the words of all languages, and the
+    shares of them (then of all others) and of characters by class."""
 
     lang: str
     words: tuple[str, ...]
+    at: int
     common: tuple[float, ...]
     chars: tuple[float, ...]
 
@@ -61,7 +68,10 @@ def _words(text: Column) -> Column:
 def _repeat_words(ws: Column) -> Column:
     """Words within windows of eight that occur at least twice; the first occurrence counts."""
     starts = F.sequence(F.lit(1), F.size(ws) - (WINDOW - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(ws, i, WINDOW)))
+    # of words, then of pairs, fours and eights, so that a window's hash costs three steps
+    hashes = F.transform(ws, lambda w: F.xxhash64(w))
+    for reach in (1, 2, 4):
+        hashes = let(hashes, _joined(reach))
 
     def covered(s: Column) -> Column:  # s: (window, start) in order, so equal windows are neighbours
         n = F.size(s)
@@ -80,6 +90,17 @@ def _repeat_words(ws: Column) -> Column:
     )
 
 
+def _without(text: Column, c: str) -> Column:
+    """How many bytes a text loses without an ASCII character."""
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit("")))
+
+
+def _joined(reach: int):
+    """Combines each hash of an array with the one `reach` places behind it."""
+    first, second = (lambda h: F.slice(h, F.lit(1), F.size(h) - reach)), (lambda h: F.slice(h, F.lit(reach + 1), F.size(h) - reach))
+    return lambda h: F.zip_with(first(h), second(h), lambda a, b: F.xxhash64(a, b))
+
+
 def _lines(text: Column) -> Column:
     worded = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return let(worded, lambda ls: F.size(ls) - F.size(F.array_distinct(ls)))
@@ -92,33 +113,36 @@ def _classes(text: Column) -> Column:
     upper = left(text, r"\p{Lu}+")
 
     def rest(r: Column) -> Column:  # r: the text without letters, a small part of it
-        digit, space = left(r, r"\p{Nd}+"), left(r, r"\s+")
         mark, symbol = left(r, r"[.,;:'\"()?-]+"), left(r, r"[\p{S}\p{P}&&[^.,;:'\"()?-]]+")
-        letters = F.length(text) - F.length(r)
-        counts = [letters - upper, upper, digit, space, mark, symbol, F.length(r) - digit - space - mark - symbol]
-        return F.array(*(c.cast("long") for c in counts))
+        of_r = F.array(left(r, r"\p{Nd}+"), left(r, r"\s+"), mark, symbol)
+        others = lambda n: F.length(r) - n[0] - n[1] - n[2] - n[3]
+        letters = let(F.array(F.length(text) - F.length(r), upper), lambda c: F.array(c[0] - c[1], c[1]))
+        return F.concat(letters, let(of_r, lambda n: F.concat(n, F.array(others(n))))).cast("array<long>")
 
     return let(gone(text, r"[\p{L}\p{M}]+"), rest)
 
 
 def _tidy(text: Column) -> Column:
-    """The lower-cased words without the punctuation at their ends, in order."""
-    ends = r"(?<![.,;:!?])[.,;:!?]++(?=[\x20\x09-\x0D]|\z)"
-    return _words(F.regexp_replace(F.lower(text), ends, ""))
+    """The lower-cased words without the punctuation at their ends, in order.  Of two ways to match
+    punctuation, the first keeps what more follows, the second drops what ends a word."""
+    return _words(F.regexp_replace(F.lower(text), r"([.,;:!?]++[^.,;:!?\x20\x09-\x0D])|[.,;:!?]++", "$1"))
+
+
+def _counts(found: Column, words: Column) -> Column:
+    """How often each of `words` is among the words `found`, in their order."""
+    return let(found, lambda c: F.transform(words, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))
 
 
 def _common(text: Column, refs: list[Reference]) -> Column:
-    """Counts of the languages' common words in a text, language by language."""
+    """Counts of the languages' common words in a text, language by language, then of all its words."""
     words = [w for r in refs for w in r.words]
-    if not words:
-        return F.array().cast("array<long>")
-    found = F.filter(_tidy(text), lambda w: w.isin(sorted(set(words))))
-    each = constant(words, "array<string>")
-    return let(found, lambda c: F.transform(each, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))
+    found = lambda ts: F.filter(ts, lambda w: w.isin(sorted(set(words)))) if words else F.array().cast("array<string>")
+    return let(_tidy(text), lambda ts: F.concat(_counts(found(ts), constant(words, "array<string>")), F.array(F.size(ts).cast("long"))))
 
 
 def features(text: Column, refs: list[Reference]) -> Column:
-    """A struct of the base counts and the histograms of a text; null counts as empty."""
+    """A struct of the base counts of a text, its characters by class and its counts of the
+    languages' common words; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
 
     def of(ws: Column) -> Column:
@@ -127,7 +151,7 @@ def features(text: Column, refs: list[Reference]) -> Column:
             long(F.size(ws), "n_words"),
             long(F.length(text), "n_chars"),
             long(F.length(F.array_join(ws, "")), "word_chars"),
-            long(F.length(text) - F.length(F.translate(text, "#*$%&|<>", "")), "n_symbols"),
+            long(sum((_without(text, c) for c in "*$%&|<>"), _without(text, "#")), "n_symbols"),
             long(_lines(text), "n_dup_lines"),
             long(_repeat_words(ws), "n_repeat_words"),
             _classes(text).alias("chars"),
@@ -142,30 +166,39 @@ def labelled(lang: Column) -> Column:
     return F.coalesce((F.trim(lang) != "") & (lang != "und"), F.lit(False))
 
 
+def candidates(rows: DataFrame, rules: QualityRules) -> dict[str, list[str]]:
+    """For every label of `rows` (text, lang) with enough words, those that may be its commonest."""
+    k = CANDIDATES * rules.n_common
+    words = rows.where(labelled(F.col("lang"))).select("lang", F.explode(_tidy(F.col("text"))).alias("w"))
+    some = words.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k", F.col("w"), F.lit(k), F.lit(TRACKED)).alias("top"))
+    found = some.where(F.col("n") >= rules.min_label_words).select("lang", F.filter(F.transform("top", lambda t: t["item"]), lambda w: w.rlike(r"\p{L}")).alias("words"))
+    return {r["lang"]: sorted(r["words"]) for r in found.orderBy("lang").collect() if r["words"]}
+
+
 def references(rows: DataFrame, rules: QualityRules) -> list[Reference]:
-    """A reference for every label of `rows` (text, lang) with enough words, by name: words (of a
-    letter at least) ordered by count, ties to the first by name.  Counts cover all documents of the label; they are summed
-    by the cluster, and `n_common` words and a row of sums for each label reach the driver."""
-    rows = rows.where(labelled(F.col("lang")))
-    words = rows.select("lang", F.explode(F.filter(_tidy(F.col("text")), lambda w: w.rlike(r"\p{L}"))).alias("w"))
-    counts = materialise(words.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "words")
-    enough = counts.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= rules.min_label_words)
-    # the first few of each label are cut before rows move, so a label's words never meet in one task
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
-    first = counts.withColumn("k", rank).where(F.col("k") <= rules.n_common)
-    top: dict[str, list] = {}
-    for r in first.join(enough, "lang").orderBy("lang", "k").collect():
-        top.setdefault(r["lang"], []).append((r["w"], r["n"]))
-    if not top:
+    """A reference for every label of `rows` (text, lang) with enough words, by name: its commonest
+    words (of a letter at least), ties to the first by name, and its characters.  `n_common` x
+    `CANDIDATES` words and one row of sums for each label reach the driver."""
+    found = candidates(rows, rules)
+    if not found:
         return []
-    text = F.coalesce("text", F.lit(""))
-    measured = rows.where(F.col("lang").isin(list(top))).select("lang", _classes(text).alias("chars"), F.size(_words(text)).alias("n_words"))
-    sums = measured.groupBy("lang").agg(F.sum("n_words").alias("n_words"), F.array(*(F.sum(F.col("chars")[i]) for i in range(len(CLASSES)))).alias("chars")).collect()
-    out = []
+    most = max(map(len, found.values()))
+    text, every = F.coalesce("text", F.lit("")), sorted({w for words in found.values() for w in words})
+    own = constant(found, "map<string,array<string>>")[F.col("lang")]
+
+    def counts(ts: Column) -> Column:
+        return let(own, lambda o: F.concat(F.array(F.size(ts).cast("long")), _counts(F.filter(ts, lambda w: w.isin(every) & F.array_contains(o, w)), o)))
+
+    mine = rows.where(F.col("lang").isin(list(found))).select("lang", _classes(text).alias("chars"), let(_tidy(text), counts).alias("own"))
+    total = lambda c, n: F.array(*(F.sum(F.get(F.col(c), F.lit(i))) for i in range(n))).alias(c)
+    sums = mine.groupBy("lang").agg(total("chars", len(CLASSES)), total("own", most + 1)).collect()
+    out, at = [], 0
     for r in sorted(sums, key=lambda r: r["lang"]):
-        found, total, chars = top[r["lang"]], r["n_words"], sum(r["chars"])
-        n = [k for _, k in found]
-        out.append(Reference(r["lang"], tuple(w for w, _ in found), tuple(k / total for k in [*n, total - sum(n)]), tuple(c / chars for c in r["chars"])))
+        words, (all_, *own_), chars = found[r["lang"]], r["own"], sum(r["chars"])
+        best = sorted(range(len(words)), key=lambda i: (-own_[i], words[i]))[: rules.n_common]
+        n = [own_[i] for i in best]
+        out.append(Reference(r["lang"], tuple(words[i] for i in best), at, tuple(x / all_ for x in [*n, all_ - sum(n)]), tuple(c / chars for c in r["chars"])))
+        at += len(best)
     return out
 
 
@@ -188,15 +221,13 @@ def verdict(q: Column, lang: Column, refs: list[Reference], rules: QualityRules)
     is far if it is above 1 for all languages; it is null where a guard holds (see above)."""
     failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
     word_limit = rules.max_word_distance + rules.word_slack / F.sqrt(F.greatest(q["n_words"], F.lit(1)))
-    at, table = 1, []
-    for r in refs:
-        table.append({"chars": r.chars, "common": r.common, "at": at, "n": len(r.words)})
-        at += len(r.words)
+    table = [{"chars": r.chars, "common": r.common, "at": r.at + 1, "n": len(r.words)} for r in refs]
 
     def far(r: Column) -> Column:
         own = F.slice(q["common"], r["at"], r["n"])
-        rest = q["n_words"] - F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
-        words = js_distance(F.concat(own, F.array(rest)), q["n_words"], r["common"])
+        every = F.element_at(q["common"], -1)
+        rest = every - F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
+        words = js_distance(F.concat(own, F.array(rest)), every, r["common"])
         return F.greatest(js_distance(q["chars"], q["n_chars"], r["chars"]) / rules.max_char_distance, words / word_limit)
 
     near = F.lit(None).cast("double")
@@ -218,7 +249,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     columns, of whatever names, are not looked at."""
     rules = rules or QualityRules()
     rows = spread(take(docs, id_col, text_col, lang_col)).toDF("id", "text", "lang")
-    refs = references(rows, rules)
+    refs = references(rows.select("text", "lang"), rules)
     both = let(features(F.col("text"), refs), lambda q: F.struct(q.alias("q"), verdict(q, F.col("lang"), refs, rules).alias("v")))
     judged = rows.select("id", both.alias("j"))
     return judged.select(F.col("id").alias(id_col), *(F.col(f"j.q.{c}") for c in COUNTS), "j.v.base_failed", "j.v.distance", "j.v.kept")
@@ -227,7 +258,7 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns; see `assess` for nulls,
     repeated rows and empty tables.  No row is written or moved on the way: the references come
-    from a pass of their own, and the rows are judged as they are read."""
+    from passes of their own, and the rows are judged as they are read."""
     rules = rules or QualityRules()
     rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
     refs = references(rows.select("text", "lang"), rules)
