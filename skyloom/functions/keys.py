@@ -9,8 +9,9 @@ FIRST_TIME, LAST_TIME = 0, 9999999999
 
 
 def identifier(lon: Column, lat: Column, scale: int = 1000) -> Column:
-    """16 hex digits that depend on a place rounded to 1 / scale of a degree."""
-    return F.lower(F.lpad(F.hex(F.xxhash64(F.round(lon * scale).cast("bigint"), F.round(lat * scale).cast("bigint"))), 16, "0"))
+    """16 hex digits of the MD5 of a place rounded to 1 / scale of a degree."""
+    whole = lambda c: F.round(c * scale).cast("bigint").cast("string")
+    return F.substring(F.md5(F.concat(whole(lon), F.lit(","), whole(lat)).cast("binary")), 1, 16)
 
 
 def row_key(tile: Column, ts: Column, ident: Column) -> Column:

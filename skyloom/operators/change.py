@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +78,42 @@ def overlapping_pairs(left: DataFrame, right: DataFrame, exact=corner_overlap, c
     return celled(left, "a").join(celled(right, "b"), ["_cy", "_cx"]).where(first & exact(a, b)).select("a_id", "b_id")
 
 
+#: Rows and columns of a block of pixels whose windows one task sums up.
+BLOCK = 128
+
+
+def window_sums(both: DataFrame, reach: int, keys: list[str]) -> DataFrame:
+    """(keys, row, col, x2, y2, xy) for pixels (keys, row, col, g1, g2): sums of g1 g1, g2 g2 and
+    g1 g2 over the pixels within `reach` rows and columns.
+
+    Pixels go to their block, and those near its edge to its neighbours too; a block is summed as an
+    array of fixed size, so pixels move once, not once for each window that they are in."""
+    at = lambda c: F.sequence(F.floor((F.col(c) - reach) / BLOCK), F.floor((F.col(c) + reach) / BLOCK))
+    dealt = both.withColumn("_by", F.explode(at("row"))).withColumn("_bx", F.explode(at("col")))
+    kept = [f for f in both.schema.fields if f.name in (*keys, "row", "col")]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", x2 double, y2 double, xy double"
+
+    def box(a: np.ndarray) -> np.ndarray:
+        """Sums over squares; `a` has a margin of `reach`."""
+        for _ in range(2):  # along one axis, then along the other
+            a = sum(a[i : len(a) - 2 * reach + i] for i in range(2 * reach + 1)).T
+        return a
+
+    def summed(table: pa.Table) -> pa.Table:
+        row, col, g1, g2 = (np.array(table.column(c)) for c in ("row", "col", "g1", "g2"))
+        y, x = (np.array(table.column(c)[:1])[0] * BLOCK for c in ("_by", "_bx"))
+        one, two = np.zeros((2, BLOCK + 2 * reach, BLOCK + 2 * reach))
+        one[row - y + reach, col - x + reach], two[row - y + reach, col - x + reach] = np.nan_to_num(g1), np.nan_to_num(g2)
+        mine = np.flatnonzero((row >= y) & (row < y + BLOCK) & (col >= x) & (col < x + BLOCK))
+        out = {f.name: table.column(f.name).take(pa.array(mine)) for f in kept}
+        for name, a in (("x2", one * one), ("y2", two * two), ("xy", one * two)):
+            out[name] = pa.array(box(a)[row[mine] - y, col[mine] - x])
+        return pa.table(out)
+
+    ship(both.sparkSession)
+    return dealt.groupBy(*keys, "_by", "_bx").applyInArrow(summed, schema)
+
+
 def gray_window_score(first: DataFrame, second: DataFrame, window: int = 1, keys: tuple[str, ...] = (), exponent: float = 0.5) -> DataFrame:
     """(keys, row, col, score): a Gaussian of the windows' grey levels.
 
@@ -87,14 +124,11 @@ def gray_window_score(first: DataFrame, second: DataFrame, window: int = 1, keys
     g1 = first.select(*k, "row", "col", B.gray(F.col("v")).alias("g1"))
     g2 = second.select(*k, "row", "col", B.gray(F.col("v")).alias("g2"))
     both = g1.join(g2, [*k, "row", "col"])
-    near = neighbours(both, window, k, ["g1", "g2"]).groupBy(*k, "row", "col").agg(
-        F.sum(F.col("g1") * F.col("g1")).alias("x2"), F.sum(F.col("g2") * F.col("g2")).alias("y2"), F.sum(F.col("g1") * F.col("g2")).alias("xy")
-    )
+    near = window_sums(both, window, k)
     kk = k or ["_k"]
     tagged = both if k else both.withColumn("_k", F.lit(1))
     sigma = tagged.groupBy(*kk).agg(F.stddev_pop("g1").alias("sigma"))
-    own = both.select(*k, "row", "col").join(near, [*k, "row", "col"])
-    own = own if k else own.withColumn("_k", F.lit(1))
+    own = near if k else near.withColumn("_k", F.lit(1))
     s = own.join(F.broadcast(sigma) if not k else sigma, kk)
     t1, t2 = F.col("x2") * F.col("y2") - F.col("xy") * F.col("xy"), F.col("sigma") * F.col("sigma") * (F.col("x2") + F.col("y2"))
     score = F.exp(-exponent * F.try_divide(t1, t2)) / F.pow(math.sqrt(2 * math.pi) * F.col("sigma"), F.lit(window - 1))

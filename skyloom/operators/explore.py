@@ -23,15 +23,12 @@ def crop(pixels: DataFrame, x1: int, y1: int, x2: int, y2: int, width: Column |
 
 def spectrum(pixels: DataFrame, bands: list[str], log: bool = False) -> DataFrame:
     """(pos, band, value): the mean of each band's positive values, or ln(sum) - ln(count); bands
-    without any have no row.  All bands are summed in one pass, without exploding pixels."""
-    aggs = []
-    for i, _ in enumerate(bands):
-        v = F.when(F.col("v")[i] > 0, F.col("v")[i])
-        aggs += [F.sum(v).alias(f"s{i}"), F.count(v).alias(f"n{i}")]
-    sums = pixels.agg(*aggs)
-    value = lambda i: F.ln(f"s{i}") - F.ln(F.col(f"n{i}").cast("double")) if log else F.col(f"s{i}") / F.col(f"n{i}")
-    rows = F.array(*(F.struct(F.lit(i).alias("pos"), F.lit(b).alias("band"), F.when(F.col(f"n{i}") > 0, value(i)).alias("value")) for i, b in enumerate(bands)))
-    return sums.select(F.explode(rows).alias("r")).select("r.*").where("value IS NOT NULL")
+    without any have no row.  Values are summed by band before they move, so each task sends a row
+    for each band."""
+    each = pixels.select(F.posexplode("v").alias("pos", "x")).where((F.col("x") > 0) & (F.col("pos") < len(bands)))
+    sums = each.groupBy("pos").agg(F.sum("x").alias("s"), F.count(F.lit(1)).cast("double").alias("n"))
+    value = F.ln("s") - F.ln("n") if log else F.col("s") / F.col("n")
+    return sums.select("pos", F.array(*map(F.lit, bands))[F.col("pos")].alias("band"), value.alias("value"))
 
 
 def scatter(pixels: DataFrame, bands: list[str], horizontal: str, vertical: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions import grid, keys
 from ..sources import store
+from . import ranks
 
 
 def bright(pixels: DataFrame, value: str, threshold: float | str, scene: str = "scene_id") -> DataFrame:
     """Pixels above a number, or above each scene's own percentile given as "p%"."""
     if not (isinstance(threshold, str) and threshold.endswith("%")):
         return pixels.where(F.col(value) > float(threshold))
-    cut = pixels.groupBy(scene).agg(F.percentile(value, F.lit(float(threshold[:-1]) / 100)).alias("_cut"))
+    cut = ranks.percentile(pixels, [scene], value, float(threshold[:-1]) / 100, "_cut")
     return pixels.join(cut, scene).where(F.col(value) > F.col("_cut")).drop("_cut")
 
 
@@ -25,6 +27,7 @@ def kmeans(points: DataFrame, k: int = 10, trials: int = 10, tolerance: float =
     latitude, by training cost; once `converge` trials agree on the cost, no more are run."""
     rows = points.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull() & F.col("intensity").isNotNull())
     rows = rows.select(array_to_vector(F.array("longitude", "latitude")).alias("features"), B.super_intensity(F.col("intensity")).alias("w")).where("w > 0")
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # every trial goes over them many times
     best, alike = None, 0
     for t in range(trials):
         model = KMeans(k=k, weightCol="w", tol=tolerance, maxIter=max_iter, seed=seed + t, initMode="k-means||").fit(rows)
@@ -37,6 +40,7 @@ def kmeans(points: DataFrame, k: int = 10, trials: int = 10, tolerance: float =
             best = (cost, model)
         if alike >= converge:
             break
+    rows.unpersist()
     return best[1]
 
 

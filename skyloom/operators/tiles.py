@@ -15,6 +15,7 @@ from ..functions import calib, grid
 from ..schema import LayerSpec
 from ..shipping import ship
 from ..sources.codec import png
+from .ranks import at_ranks
 
 WIDTH, HEIGHT = 512, 256
 TILE = ("depth", "x", "y")
@@ -59,18 +60,11 @@ def settled(r: DataFrame) -> DataFrame:
 
 def nearest_rank_range(values: DataFrame, bands: list[str], group: list[str]) -> DataFrame:
     """Per group: the least 5 % and greatest 95 % nearest-rank values among the bands; ranks are
-    floor(0.05 n) and min(ceil(0.95 n), n - 1) from 0.  Exact, by counts of distinct values; no
-    group's values are gathered in one place."""
-    from pyspark.sql import Window
-
+    floor(0.05 n) and min(ceil(0.95 n), n - 1) from 0.  Exact, and no task holds a group's values."""
     parts = F.explode(F.array(*(F.struct(F.lit(b).alias("band"), F.col(b).alias("v")) for b in bands)))
-    counts = values.select(*group, parts.alias("p")).groupBy(*group, "p.band", "p.v").agg(F.count(F.lit(1)).alias("n")).where("v IS NOT NULL")
-    w = Window.partitionBy(*group, "band").orderBy("v")
-    run = counts.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy(*group, "band")))
-    lo = F.floor(F.col("total") * 0.05)
-    hi = F.least(F.ceil(F.col("total") * 0.95), F.col("total") - 1)
-    at = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k)
-    return run.groupBy(*group).agg(F.min(F.when(at(lo), F.col("v"))).alias("low"), F.max(F.when(at(hi), F.col("v"))).alias("high"))
+    rows = values.select(*group, parts.alias("p")).select(*group, F.col("p.band").alias("_band"), F.col("p.v").alias("_value"))
+    ends = {"low": lambda n: F.floor(n * 0.05), "high": lambda n: F.least(F.ceil(n * 0.95), n - 1)}
+    return at_ranks(rows, [*group, "_band"], "_value", ends).groupBy(*group).agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def layer_pixels(pixels: DataFrame, spec: LayerSpec, scene: str = "scene_id", mask: str = "mask", sun_elevation: str | None = None) -> DataFrame:
@@ -81,8 +75,10 @@ def layer_pixels(pixels: DataFrame, spec: LayerSpec, scene: str = "scene_id", ma
     names = list(spec.bands)
     pct = lambda s: float(s[:-1]) if isinstance(s, str) and s.endswith("%") else None
     low, high = pct(spec.min_radiance), pct(spec.max_radiance)
-    ranges = percentile_range(pixels, names, group, low if low is not None else 5, high if high is not None else 95)
-    ranged = pixels.join(ranges.withColumnsRenamed({"low": "_low", "high": "_high"}), group)
+    ranged = pixels
+    if low is not None or high is not None:  # fixed bounds need no pass over the pixels
+        ranges = percentile_range(pixels, names, group, low if low is not None else 5, high if high is not None else 95)
+        ranged = pixels.join(ranges.withColumnsRenamed({"low": "_low", "high": "_high"}), group)
     lo = F.col("_low") if low is not None else F.lit(float(spec.min_radiance))
     if spec.max_radiance == "sun":
         hi = calib.sun_max_radiance(F.col(sun_elevation))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,16 +32,21 @@ def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec]
     One shuffle overlays the scenes; levels are a filter over its result, and the pixels of a
     tile meet once more to be drawn.  Returns the written table."""
     spark = scenes.sparkSession
-    pixels, names = analysed(geo.tile_scenes(scenes, depth, **resampling), list(bands), list(analytics))
+    # resampled once, as every layer reads them, and those with percentiles twice
+    beside = f"{path.rstrip('/')}-pixels-{uuid.uuid4().hex}"
+    geo.tile_scenes(scenes, depth, **resampling).write.parquet(beside)
+    pixels, names = analysed(spark.read.parquet(beside), list(bands), list(analytics))
     drawn = None
     for spec in layers:
         if not set(spec.bands) <= set(names):
+            store.drop_points(spark, beside)
             raise ValueError(f"layer {spec.name} lacks {set(spec.bands) - set(names)}")
         colours = tiles.layer_pixels(pixels, spec)
         cells = tiles.overlay(colours, list("rgba"), ["ts", "scene_id"], [*tiles.TILE, "row", "col", "layer"])
         images = tiles.images(tiles.pyramid(cells, depth, top))
         drawn = images if drawn is None else drawn.unionByName(images)
     store.write_tiles(drawn, path)
+    store.drop_points(spark, beside)
     return spark.read.parquet(path)
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import bands as B
-from .functions import calib, grid, keys
+from .functions import calib, grid, keys, projection
 from .operators import catalog, change, classify, explore, geo, points, tiles
 from .plans import views as V
 from .schema import LayerSpec
@@ -110,9 +113,9 @@ def scene_candidate_tiles(spark, d):
     return t.select("directory", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"))
 
 
-@query("SELECT event_id, section, round(section/4.0,6) AS bottom, round((section+0.5)/4.0,6) AS middle, round((section+1)/4.0,6) AS top FROM fx_points, (VALUES (0),(1),(2),(3)) s(section) WHERE event_id < 1000", (PT,))
+@query("SELECT event_id, section, round(section/4.0,6) AS bottom, round((section+0.5)/4.0,6) AS middle, round((section+1)/4.0,6) AS top FROM fx_points, (VALUES (0),(1),(2),(3)) s(section)", (PT,))
 def latitude_sections(spark, d):
-    s = V.points(spark, d).where("event_id < 1000").select("event_id", F.explode(geo.sections(4)).alias("s"))
+    s = V.points(spark, d).select("event_id", F.explode(geo.sections(4)).alias("s"))
     return s.select("event_id", "s.section", *(r6(F.col(f"s.{k}")).alias(k) for k in ("bottom", "middle", "top")))
 
 
@@ -142,7 +145,11 @@ def tile_name_parse(spark, d):
     return keyed_points(spark, d).select("event_id", t["depth"].alias("depth"), t["x"].alias("x"), t["y"].alias("y"))
 
 
-@query()
+@query(
+    """SELECT tile || '-' || lpad(CAST(ts AS VARCHAR), 10, '0') || '-' || identifier AS row_key, identifier, tile, ts
+    FROM (SELECT *, substr(md5(CAST(CAST(round(lon*1000) AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(round(lat*1000) AS BIGINT) AS VARCHAR)),1,16) AS identifier FROM pt)""",
+    (PT, PTT),
+)
 def point_identifier(spark, d):
     p = store.point_rows(V.points(spark, d), "lon", "lat")
     return p.select("row_key", "identifier", "tile", "ts")
@@ -156,13 +163,13 @@ TILE_LIST = "(" + ",".join(f"'{t}'" for t in SCANNED) + ")"
 @query(f"SELECT row_key, ts, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pk WHERE tile IN {TILE_LIST} AND row_key >= tile || '-{FROM}' AND row_key < tile || '-{TO}'", (PT, PTT, PTK))
 def points_tile_time_scan(spark, d):
     p = keyed_points(spark, d)
-    found = [store.scan_tile_time(p, t, FROM, TO) for t in SCANNED]
+    found = [store.scan_tile_time(p, t, FROM, TO, ordered=False) for t in SCANNED]
     return found[0].unionByName(found[1]).unionByName(found[2]).select("row_key", "ts", r6("lon").alias("longitude"), r6("lat").alias("latitude"))
 
 
 @query("SELECT row_key, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pk WHERE x BETWEEN 500 AND 1500 AND y BETWEEN 400 AND 1600 AND ts BETWEEN 1704067200 AND 1704672000", (PT, PTT, PTK))
 def points_bbox_time(spark, d):
-    return store.scan_box(keyed_points(spark, d), 500, 1500, 400, 1600, 1704067200, 1704672000).select("row_key", r6("lon").alias("longitude"), r6("lat").alias("latitude"))
+    return store.scan_box(keyed_points(spark, d), 500, 1500, 400, 1600, 1704067200, 1704672000, ordered=False).select("row_key", r6("lon").alias("longitude"), r6("lat").alias("latitude"))
 
 
 @query(
@@ -514,11 +521,32 @@ def layer_rgb(spark, d):
     return tiles.layer_pixels(p, LayerSpec("RGB", ("B029", "B023", "B016"), "RGB", 2.0, 30.0)).select("vec_id", *"rgba")
 
 
-@query()
+@query("SELECT CAST(2 AS INTEGER) AS depth, x, y, 'Y' AS layer, CAST(sum(CAST(floor(value/500) AS BIGINT)) AS BIGINT) AS red, count(*) AS opaque, CAST(sum(CAST(floor(value/500) AS BIGINT)*(row*512+col)) AS BIGINT) AS moment FROM laid GROUP BY x, y", (TP, LAST))
 def tile_images(spark, d):
+    """Images as they are written, decoded again: sums of red, opaque pixels, and red by place."""
     laid = _laid(spark, d).withColumn("v", (F.col("value") / 500).cast("int"))
     px = laid.select("depth", "x", "y", "row", "col", F.lit("Y").alias("layer"), *(F.col("v").alias(c) for c in "rg"), F.lit(0).alias("b"), F.lit(255).alias("a"))
-    return tiles.images(px).select("depth", "x", "y", "layer", F.length("png").alias("bytes"))
+
+    @F.pandas_udf("red long, opaque long, moment long")
+    def read(images: pd.Series) -> pd.DataFrame:
+        found = [codec.unpng(bytes(x)) for x in images]
+        place = np.arange(tiles.HEIGHT * tiles.WIDTH).reshape(tiles.HEIGHT, tiles.WIDTH)
+        return pd.DataFrame({"red": [int(i[..., 0].sum()) for i in found], "opaque": [int((i[..., 3] == 255).sum()) for i in found], "moment": [int((i[..., 0] * place).sum()) for i in found]}, dtype="int64")
+
+    return tiles.images(px).select("depth", "x", "y", "layer", read("png").alias("r")).select("depth", "x", "y", "layer", "r.*")
+
+
+@query("SELECT 'T02-' || lpad(CAST(x AS VARCHAR),5,'0') || '-' || lpad(CAST(y AS VARCHAR),5,'0') || '-RGB' AS row_key, 'n=' || n AS image, '{\"n\": ' || n || '}' AS metadata FROM (SELECT x, y, count(*) AS n FROM fx_tilepix GROUP BY x, y) WHERE (x=3 AND y=2) OR (x=7 AND y=0)", (TP,))
+def tile_point_get(spark, d):
+    """Store rows by their keys: the image and its metadata; a missing key gives no row."""
+    n = V.tile_pixels(spark, d).groupBy("depth", "x", "y").agg(F.count(F.lit(1)).cast("string").alias("n"))
+    images = n.select("depth", "x", "y", F.lit("RGB").alias("layer"), F.concat(F.lit("n="), "n").cast("binary").alias("png"), F.concat(F.lit('{"n": '), "n", F.lit("}")).alias("metadata"))
+    rows = store.tile_rows(images)
+    found = [store.tile_at(rows, k) for k in ("T02-00003-00002-RGB", "T02-00007-00000-RGB", "T02-00007-00000-NONE", "T02-00099-00000-RGB")]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.select("row_key", F.col("l2png").cast("string").alias("image"), "metadata")
 
 
 # ---- codec -----------------------------------------------------------------------------------------------
@@ -537,16 +565,12 @@ def zero_suppress_runs(spark, d):
 
 def _scenes(spark, d) -> DataFrame:
     """One scene for every two rows of pixels, via the codec's own writer."""
-    import pandas as pd
-
     from .schema import SCENE
 
     ship(spark)
     schema = f"scene_id string, {SCENE}"
 
     def build(key, pdf):
-        import numpy as np
-
         n = len(pdf)
         pdf = pdf.sort_values("vec_id")
         s = codec.scene_of(np.array(pdf["v"].tolist()).reshape(1, n, 64), V.BANDS, {"k": str(key[0])})
@@ -637,21 +661,21 @@ def outline(spark, d):
 def _boxes(spark, d):
     c = V.catalogue(spark, d)
     box = lambda c: c.select(F.col("directory").alias("id"), F.col("lat0").alias("lat_min"), (F.col("lat0") + F.lit(2.5)).alias("lat_max"), F.col("lon0").alias("lon_min"), (F.col("lon0") + F.lit(2.5)).alias("lon_max"))
-    return box(c.where("directory % 50 = 1")), box(c.where("directory % 50 = 2"))
+    return box(c.where("directory % 100 = 0")), box(c)  # a search: every hundredth scene against all
 
 
 BOXES = "bx AS (SELECT directory AS id, lat0 AS la, lat0+2.5 AS lb, lon0 AS oa, lon0+2.5 AS ob FROM fx_catalog)"
 
 
 @query(
-    """SELECT a.id AS a_id, b.id AS b_id FROM bx a JOIN bx b ON a.id%50=1 AND b.id%50=2 WHERE ((a.la<=b.la AND b.la<a.lb) OR (a.la<b.lb AND b.lb<=a.lb)) AND ((a.oa<=b.oa AND b.oa<a.ob) OR (a.oa<b.ob AND b.ob<=a.ob))""",
+    """SELECT a.id AS a_id, b.id AS b_id FROM bx a JOIN bx b ON a.id%100=0 WHERE ((a.la<=b.la AND b.la<a.lb) OR (a.la<b.lb AND b.lb<=a.lb)) AND ((a.oa<=b.oa AND b.oa<a.ob) OR (a.oa<b.ob AND b.ob<=a.ob))""",
     (CT, BOXES),
 )
 def bbox_overlap(spark, d):
     return change.overlapping_pairs(*_boxes(spark, d), cell=2.5)
 
 
-@query("SELECT a.id AS a_id, b.id AS b_id FROM bx a JOIN bx b ON a.id%50=1 AND b.id%50=2 WHERE a.la<b.lb AND b.la<a.lb AND a.oa<b.ob AND b.oa<a.ob", (CT, BOXES))
+@query("SELECT a.id AS a_id, b.id AS b_id FROM bx a JOIN bx b ON a.id%100=0 WHERE a.la<b.lb AND b.la<a.lb AND a.oa<b.ob AND b.oa<a.ob", (CT, BOXES))
 def bbox_overlap_symmetric(spark, d):
     return change.overlapping_pairs(*_boxes(spark, d), exact=change.bbox_overlap, cell=2.5)
 
@@ -662,21 +686,43 @@ def scene_registration(spark, d):
     return r.select("vec_id", "row1", "col1")
 
 
-@query()
+FULL = f"""fx_full AS (SELECT vec_id, CAST(vec_id // {V.PIXEL_WIDTH} AS INTEGER) AS row, CAST(vec_id % {V.PIXEL_WIDTH} AS INTEGER) AS col,
+  list_transform(embedding[1:32], lambda x: CASE WHEN vec_id % 11 = 0 THEN 0.0 ELSE abs(CAST(x AS DOUBLE)) * 100.0 END) AS v1 FROM embeddings)"""
+
+
+@query(
+    """, a AS (SELECT *, list_transform(generate_series(1,32), lambda i: CASE WHEN (vec_id + i - 1) % 7 = 0 THEN v1[i]*0.5 ELSE v1[i] END) AS v2 FROM fx_full),
+    b AS (SELECT *, v1[1]>0 AND len(list_filter(v1[2:], lambda x: x=0))=0 AS on1, v2[1]>0 AND len(list_filter(v2[2:], lambda x: x=0))=0 AS on2 FROM a),
+    e AS (SELECT min(row) AS r0, max(row) AS r1, min(col) AS c0, max(col) AS c1 FROM a),
+    n AS (SELECT c.row, c.col, count(*) FILTER (m.on1) AS n1, count(*) FILTER (m.on2) AS n2 FROM b c JOIN b m ON m.row BETWEEN c.row-1 AND c.row+1 AND m.col BETWEEN c.col-1 AND c.col+1 GROUP BY 1,2),
+    o AS (SELECT b.*, row>r0 AND row<r1 AND col>c0 AND col<c1 AND n1 BETWEEN 1 AND 8 AS rim1, row>r0 AND row<r1 AND col>c0 AND col<c1 AND n2 BETWEEN 1 AND 8 AS rim2 FROM b JOIN n USING (row, col), e),
+    both_ AS (SELECT row, col, list_dot_product(v1,v1) AS s1, list_dot_product(v2,v2) AS s2, list_dot_product(v1,v2) AS xy FROM o WHERE on1 AND on2 AND row < 20),
+    k1 AS (SELECT * FROM both_ WHERE s1 <= (SELECT avg(s1)+stddev_pop(s1) FROM both_)),
+    k2 AS (SELECT * FROM k1 WHERE s2 <= (SELECT avg(s2)+stddev_pop(s2) FROM k1)),
+    p AS (SELECT row, col, CASE WHEN q<0 OR q>1 THEN 0.0 ELSE q END AS p FROM (SELECT row, col, (s1*s2-xy*xy)/(s1*s2) AS q FROM k2)),
+    z AS (SELECT o.row, o.col, CASE WHEN rim2 AND o.row < 20 THEN 1.0 ELSE (CASE WHEN both_.row IS NULL THEN 0.0 ELSE 1.0-coalesce(p.p,0.0) END) + CAST(rim1 AS INTEGER) END AS v
+      FROM o LEFT JOIN both_ USING (row, col) LEFT JOIN p USING (row, col))
+    SELECT row, col, round(v,6) AS r, round(v,6) AS g, round(v,6) AS b FROM z""".lstrip(),
+    (FULL,),
+)
 def change_detection(spark, d):
-    p = V.pixels(spark, d)
+    p = V.load(spark, d, "embeddings").select(
+        "vec_id", F.floor(F.col("vec_id") / V.PIXEL_WIDTH).cast("int").alias("row"), (F.col("vec_id") % V.PIXEL_WIDTH).cast("int").alias("col"),
+        F.transform("embedding", lambda x: F.when(F.col("vec_id") % 11 == 0, 0.0).otherwise(F.abs(x.cast("double")) * 100.0)).alias("v"),
+    )
     second = p.withColumn("v", F.transform("v", lambda x, i: F.when((F.col("vec_id") + i) % 7 == 0, x * 0.5).otherwise(x)))
     at = {"geo": [0.0, 1.0, 0, 0.0, 0, -1.0], "wkt": "", "height": 20, "width": V.PIXEL_WIDTH}
-    return change.detect(p.select("row", "col", "v"), V.BANDS, second.select("row", "col", "v"), V.BANDS[:32], at, at)
+    found = change.detect(p.select("row", "col", "v"), V.BANDS, second.select("row", "col", "v"), V.BANDS[:32], at, at)
+    return found.select("row", "col", *(r6(c).alias(c) for c in "rgb"))
 
 
 # ---- learning ------------------------------------------------------------------------------------------------
 
 
-@query("SELECT vec_id, class FROM (SELECT vec_id, class, row_number() OVER (PARTITION BY class ORDER BY md5(CAST(vec_id AS VARCHAR))) AS i FROM fx_pixels), (SELECT least(100, min(n)) AS k FROM (SELECT count(*) AS n FROM fx_pixels GROUP BY class)) WHERE i <= k", (PX,))
+@query("SELECT vec_id, class FROM (SELECT vec_id, class, row_number() OVER (PARTITION BY class ORDER BY md5(CAST(vec_id AS VARCHAR))) AS i FROM fx_pixels), (SELECT least(5000, min(n)) AS k FROM (SELECT count(*) AS n FROM fx_pixels GROUP BY class)) WHERE i <= k", (PX,))
 def training_balance(spark, d):
     p = V.pixels(spark, d).select("vec_id", "class")
-    return classify.balance(p, F.md5(F.col("vec_id").cast("string").cast("binary")), limit=100)
+    return classify.balance(p, F.md5(F.col("vec_id").cast("string").cast("binary")))
 
 
 def _labelled(spark, d):
@@ -717,9 +763,9 @@ def class_raster_3band(spark, d):
     return r.select("vec_id", *(r6(c).alias(c) for c in ("clouds", "land", "water")))
 
 
-@query("SELECT vec_id, CAST(r=1 AS INTEGER) AS cloud, CAST(r=2 AS INTEGER) AS land, CAST(r=3 AS INTEGER) AS water, CAST(r=4 AS INTEGER) AS forest FROM (SELECT vec_id, dense_rank() OVER (ORDER BY class) AS r FROM fx_pixels WHERE class<>2)", (PX,))
+@query("SELECT vec_id, CAST(r=1 AS INTEGER) AS cloud, CAST(r=2 AS INTEGER) AS land, CAST(r=3 AS INTEGER) AS water, CAST(r=4 AS INTEGER) AS forest FROM (SELECT vec_id, dense_rank() OVER (ORDER BY class) AS r FROM fx_pixels)", (PX,))
 def class_raster_4band(spark, d):
-    return classify.raster_four(V.pixels(spark, d).where("class <> 2").select("vec_id", "class")).drop("class")
+    return classify.raster_four(V.pixels(spark, d).select("vec_id", "class")).drop("class")
 
 
 @query("SELECT vec_id, round(1.0/class,6) AS flood FROM fx_pixels", (PX,))
@@ -794,3 +840,131 @@ def training_lines(spark, d):
     t = scenes.read_training(lines)
     nine = F.aggregate(F.slice("features", 1, 9), F.lit(0.0), lambda a, x: a + x)
     return t.select(F.element_at("features", -1).cast("bigint").alias("vec_id"), "class", r6(nine, 3).alias("total"))
+
+
+# ---- ingest, geometry, calibration -----------------------------------------------------------------------------
+
+L1T_TEXT = """GROUP = L1_METADATA_FILE
+  GROUP = RADIANCE_SCALING
+    SCALING_FACTOR_VNIR = 40.0
+    SCALING_FACTOR_SWIR = "80.0"
+  END_GROUP = RADIANCE_SCALING
+END_GROUP = L1_METADATA_FILE
+END
+"""
+#: Bands of the ingested scenes, and the element of a pixel that each is made of.
+INGESTED = {"B016": 16, "B029": 29, "B083": 60}
+
+
+@query("SELECT vec_id, round(v[16]/40.0,6) AS b016, round(v[29]/40.0,6) AS b029, round(v[60]/80.0,6) AS b083 FROM fx_pixels", (PX,))
+def scene_ingest(spark, d):
+    """Metadata texts and band TIFFs, one folder for every 50 pixels, to scenes and back to pixels."""
+    ship(spark)
+    px = V.pixels(spark, d).withColumn("k", F.floor(F.col("vec_id") / 50)).select("k", "vec_id", "v")
+
+    def build(key, pdf):
+        cube = np.array(pdf.sort_values("vec_id")["v"].tolist())
+        of = lambda i: scenes.tiff_bytes(cube[None, :, i - 1], [10.0, 1.0, 0.0, 20.0, 0.0, -1.0])
+        return pd.DataFrame([{"path": f"/in/{key[0]}/EO1H_{key[0]}_{b}_L1T.TIF", "content": of(i)} for b, i in {**INGESTED, "B001": 1}.items()])
+
+    files = px.groupBy("k").applyInPandas(build, "path string, content binary")
+    texts = px.select("k").distinct().select(F.concat(F.lit("/in/"), F.col("k").cast("string")).alias("folder"), F.concat(F.lit("/in/"), F.col("k").cast("string"), F.lit("/a.L1T")).alias("file"), F.lit(L1T_TEXT).alias("value"))
+    made = scenes.assemble(scenes.bands_of(files, tuple(INGESTED)), scenes.l1t_of(texts), require_all=tuple(INGESTED))
+    back = codec.pixels_of(codec.decode_lines(codec.encode_lines(made.withColumn("metadata", F.map_concat("metadata", F.create_map(F.lit("folder"), F.col("scene_id")))))).withColumn("scene_id", F.col("metadata")["folder"]))
+    number = F.substring_index("scene_id", "/", -1).cast("bigint") * 50 + F.col("col")
+    return back.select(number.alias("vec_id"), *(r6(F.col("v")[i]).alias(b.lower()) for i, b in enumerate(INGESTED)))
+
+
+@query("SELECT CAST(directory AS VARCHAR) AS directory, acquisition_start, round(radiance,4) AS radiance, round(lon0,6) AS longitude, round(lat0,6) AS latitude FROM fx_catalog", (CT,))
+def catalogue_json(spark, d):
+    """Catalogue documents written as JSON, and read."""
+    c = V.catalogue(spark, d).withColumn("directory", F.col("directory").cast("string"))
+    entry = F.struct("directory", "acquisition_start", "radiance", "corners")
+    documents = c.groupBy(F.pmod(F.xxhash64("directory"), F.lit(64))).agg(F.to_json(F.struct(F.collect_list(entry).alias("data"))).alias("value")).select("value")
+    found = scenes.catalogue_of(documents, "Hyperion")
+    return found.select("directory", "acquisition_start", r6("radiance", 4).alias("radiance"), r6(F.col("corners")[0][0]).alias("longitude"), r6(F.col("corners")[0][1]).alias("latitude"))
+
+
+def _grid_sql(zone: int = 33) -> str:
+    """Degrees of UTM coordinates: the inverse of the transverse Mercator projection, by its series."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    back = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+    lat = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    total = lambda cs, term: " + ".join(f"{c!r}*{term(2 * j)}" for j, c in enumerate(cs, 1))
+    return f""", xy AS (SELECT event_id, north/{0.9996 * radius!r} AS xi, (east-500000.0)/{0.9996 * radius!r} AS eta FROM utm),
+      a AS (SELECT event_id, xi - ({total(back, lambda j: f"sin({j}*xi)*cosh({j}*eta)")}) AS p, eta - ({total(back, lambda j: f"cos({j}*xi)*sinh({j}*eta)")}) AS q FROM xy),
+      c AS (SELECT event_id, asin(sin(p)/cosh(q)) AS chi, atan2(sinh(q), cos(p)) AS lam FROM a)
+      SELECT event_id, CAST(round(({zone * 6 - 183.0} + degrees(lam))*100000) AS BIGINT) AS longitude_e5, CAST(round(degrees(chi + {total(lat, lambda j: f"sin({j}*chi)")})*100000) AS BIGINT) AS latitude_e5 FROM c"""
+
+
+UTM33 = 'PROJCS["UTM 33",GEOGCS["WGS 84",DATUM["WGS_1984",SPHEROID["WGS 84",6378137,298.257223563]]],PROJECTION["Transverse_Mercator"],PARAMETER["latitude_of_origin",0],PARAMETER["central_meridian",15],PARAMETER["scale_factor",0.9996],PARAMETER["false_easting",500000],PARAMETER["false_northing",0]]'
+
+
+@query(_grid_sql().lstrip(), (PT, "utm AS (SELECT event_id, 250000.0 + (event_id*37)%5000*100.0 AS east, 1000.0 + (event_id*101)%90000*100.0 AS north FROM fx_points)"))
+def pixel_geographic(spark, d):
+    """Pixels of a scene in UTM to degrees, in steps of a hundred-thousandth."""
+    p = V.points(spark, d).select("event_id", ((F.col("event_id") * 37) % 5000).alias("col"), ((F.col("event_id") * 101) % 90000).alias("row"))
+    geo_ = F.array(*map(F.lit, [250000.0, 100.0, 0.0, 1000.0, 0.0, 100.0]))
+    x, y = projection.pixel_place(geo_, F.col("row"), F.col("col"))
+    out = p.select("event_id", projection.lon_lat(x, y, UTM33).alias("at"))
+    return out.select("event_id", *(F.round(F.col(f"at.{c}") * 100000).cast("bigint").alias(f"{c}_e5") for c in ("longitude", "latitude")))
+
+
+#: Scenes of 8 x 25 pixels in degrees, each at a longitude of its own, on tiles of 32 x 64 pixels at depth 8.
+RESAMPLED = """, s AS (SELECT vec_id//200 AS k, CAST((vec_id%200)//25 AS INTEGER) AS srow, CAST(vec_id%25 AS INTEGER) AS scol, v[1] AS a, v[2] AS b, CAST(v[1]>0 AND v[2]>0 AS DOUBLE) AS m FROM fx_pixels),
+  sc AS (SELECT DISTINCT k, -150.0017 + (k*7)%300 AS lft FROM s),
+  tl AS (SELECT k, lft, x, unnest(generate_series(CAST(floor((20.0033-0.4+90.0)/180.0*512) AS INTEGER), CAST(floor((20.0033+90.0)/180.0*512) AS INTEGER))) AS y
+    FROM (SELECT *, unnest(generate_series(CAST(floor((lft+180.0)/360.0*512) AS INTEGER), CAST(floor((lft+1.25+180.0)/360.0*512) AS INTEGER))) AS x FROM sc)),
+  px AS (SELECT k, x, y, i, j, ((y+1)*180.0/512-90.0 - i*180.0/512/32 - 20.0033)/(-0.05) AS ry, (x*360.0/512-180.0 + j*360.0/512/64 - lft)/0.05 AS rx
+    FROM (SELECT *, unnest(generate_series(0,63)) AS j FROM (SELECT *, unnest(generate_series(0,31)) AS i FROM tl))),
+  w AS (SELECT px.*, (1-abs(ry-srow))*(1-abs(rx-scol)) AS w, a, b, m FROM px JOIN s ON s.k=px.k AND srow BETWEEN floor(ry) AND floor(ry)+1 AND scol BETWEEN floor(rx) AND floor(rx)+1 WHERE ry BETWEEN 0 AND 7 AND rx BETWEEN 0 AND 24),
+  r AS (SELECT k, x, y, i, j, sum(w*m) AS m, sum(w*a) AS a, sum(w*b) AS b FROM w GROUP BY ALL),
+  kept AS (SELECT k, x, y FROM r GROUP BY ALL HAVING max(m) > 0.5)
+  SELECT CAST(k AS VARCHAR) AS scene_id, x, y, CAST(i AS INTEGER) AS row, CAST(j AS INTEGER) AS col, round(m,5) AS mask, round(a,5) AS b001, round(b,5) AS b002 FROM r JOIN kept USING (k, x, y) WHERE m >= 0.01"""
+
+
+@query(RESAMPLED.lstrip(), (PX,))
+def scene_resample(spark, d):
+    """Scenes laid on tiles by linear splines, with their mask as a further band."""
+    from .schema import SCENE
+
+    ship(spark)
+
+    def build(key, pdf):
+        k, cube = int(key[0]), np.zeros((200, 2))
+        cube[(pdf["vec_id"] % 200).to_numpy()] = np.array(pdf["v"].tolist())
+        meta = {"GeoTransform": json.dumps([-150.0017 + (k * 7) % 300, 0.05, 0.0, 20.0033, 0.0, -0.05]), "Projection": "", "L1T": json.dumps({"PRODUCT_METADATA": {"START_TIME": "2012 030 00:00:00"}})}
+        s = codec.scene_of(cube.reshape(8, 25, 2), ["B001", "B002"], meta)
+        return pd.DataFrame([{"scene_id": str(k), **s, "data": [{"index": i, "strip": b} for i, b in s["data"]]}])
+
+    px = V.pixels(spark, d).select(F.floor(F.col("vec_id") / 200).alias("k"), "vec_id", F.slice("v", 1, 2).alias("v"))
+    found = geo.tile_scenes(px.groupBy("k").applyInPandas(build, f"scene_id string, {SCENE}"), depth=8, width=64, height=32, order=1)
+    return found.select("scene_id", "x", "y", "row", "col", r6("mask", 5).alias("mask"), r6(F.col("v")[0], 5).alias("b001"), r6(F.col("v")[1], 5).alias("b002"))
+
+
+#: Three scenes: two hyperspectral ones and one multispectral, each with its day and sun.
+CALIBRATED = [("HYPERION", 20, 35.0), ("HYPERION", 200, 60.0), ("ALI", 330, 47.5)]
+CAL_SQL = "cal AS (SELECT * FROM (VALUES " + ",".join(f"({i},'{s}',{day},{sun})" for i, (s, day, sun) in enumerate(CALIBRATED)) + ") t(k,sensor,day,sun))"
+
+
+@query(
+    f"""SELECT vec_id, round(CASE WHEN sensor='ALI' THEN (x2*300.0*0.05-3.0)/{calib.ALI_IRRADIANCE[2]!r} ELSE x2/{calib.irradiance_rule(2)!r} END*top,5) AS b002,
+      round(CASE WHEN sensor='ALI' THEN (x3*300.0*0.04-2.0)/{calib.ALI_IRRADIANCE[3]!r} ELSE x3/{calib.irradiance_rule(3)!r} END*top,5) AS b003
+    FROM (SELECT p.vec_id, v[1] AS x2, v[2] AS x3, cal.sensor, pi()*pow(k.va + (cal.day-k.a)*(k.vb-k.va)/(k.b-k.a),2)/sin(radians(cal.sun)) AS top
+      FROM fx_pixels p JOIN cal ON p.vec_id%3=cal.k JOIN (VALUES {KNOTS}) k(a,va,b,vb) ON cal.day > k.a AND cal.day <= k.b)""",
+    (PX, CAL_SQL),
+)
+def scene_calibration(spark, d):
+    """Radiances of scenes of both sensors at the top of the atmosphere, by each scene's metadata."""
+    from .plans import floods
+
+    def l1t(sensor: str, day: int, sun: float) -> str:
+        scaling = {"BAND2_SCALING_FACTOR": "0.05", "BAND2_OFFSET": "-3.0", "BAND3_SCALING_FACTOR": "0.04", "BAND3_OFFSET": "-2.0"}
+        return json.dumps({"PRODUCT_METADATA": {"SENSOR_ID": sensor, "START_TIME": f"2012 {day:03d} 00:00:00"}, "PRODUCT_PARAMETERS": {"SUN_ELEVATION": str(sun)}, "RADIANCE_SCALING": scaling})
+
+    known = spark.createDataFrame([(str(i), {"L1T": l1t(*c)}) for i, c in enumerate(CALIBRATED)], "scene_id string, metadata map<string,string>")
+    px = V.pixels(spark, d).select("vec_id", (F.col("vec_id") % 3).cast("string").alias("scene_id"), "row", "col", F.slice("v", 1, 2).alias("v"))
+    out = floods.calibrated(px, ["B002", "B003"], known)
+    return out.select("vec_id", r6(F.col("v")[0], 5).alias("b002"), r6(F.col("v")[1], 5).alias("b003"))

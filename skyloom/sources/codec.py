@@ -49,15 +49,28 @@ def expand_zeros(strips, height: int, width: int, depth: int, dtype: np.dtype, f
     return flat.reshape((height, width, depth), order="F" if fortran else "C").astype(dtype.newbyteorder("="))
 
 
+#: Elements of a scene whose runs one task looks for.
+STRETCH = 1 << 16
+
+
 def zero_runs(cells: DataFrame, scene: str = "scene_id", index: str = "index", value: str = "value") -> DataFrame:
     """Relational form of `suppress_zeros`: (scene, start, length, values) of each run of
-    neighbouring non-zero elements."""
-    w = Window.partitionBy(scene).orderBy(index)
-    runs = cells.where(F.col(value) != 0).withColumn("_run", F.col(index) - F.row_number().over(w))
-    out = runs.groupBy(scene, "_run").agg(
+    neighbouring non-zero elements.
+
+    Runs are found within stretches of a scene; only those that touch a stretch's end, two for each
+    at most, then meet by scene to be joined."""
+    cells = cells.where(F.col(value) != 0).withColumn("_part", F.floor(F.col(index) / STRETCH))
+    w = Window.partitionBy(scene, "_part").orderBy(index)
+    runs = cells.withColumn("_run", F.col(index) - F.row_number().over(w)).groupBy(scene, "_part", "_run").agg(
         F.min(index).alias("start"), F.count(F.lit(1)).alias("length"), F.transform(F.array_sort(F.collect_list(F.struct(index, value))), lambda s: s[value]).alias("values")
     )
-    return out.drop("_run")
+    runs = runs.select(scene, "start", "length", "values")
+    ends = (F.col("start") % STRETCH == 0) | ((F.col("start") + F.col("length")) % STRETCH == 0)
+    order = Window.partitionBy(scene).orderBy("start")
+    apart = F.coalesce(F.lag(F.col("start") + F.col("length")).over(order) != F.col("start"), F.lit(True))
+    chained = runs.where(ends).withColumn("_new", apart.cast("int")).withColumn("_chain", F.sum("_new").over(order))
+    joined = chained.groupBy(scene, "_chain").agg(F.min("start").alias("start"), F.sum("length").alias("length"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "values"))), lambda s: s["values"])).alias("values"))
+    return runs.where(~ends).unionByName(joined.drop("_chain"))
 
 
 # ---- Avro -------------------------------------------------------------------------------------

@@ -44,14 +44,18 @@ def parse_l1t(text: str) -> dict[str, dict[str, str]]:
 def read_l1t(spark: SparkSession, path: str, glob: str = "*.L1T") -> DataFrame:
     """(folder, l1t map, l1t_json): the first metadata file of each folder, by name."""
     text = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path, wholetext=True)
-    files = text.select(F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1).alias("folder"), F.col("_metadata.file_path").alias("file"), "value")
+    return l1t_of(text.select(F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1).alias("folder"), F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def l1t_of(files: DataFrame) -> DataFrame:
+    """What `read_l1t` returns, from (folder, file, value) rows of metadata texts."""
 
     def apply(batches):
         for b in batches:
             found = [parse_l1t(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([json.dumps(x, sort_keys=True) for x in found])], names=["folder", "file", "l1t_json"])
 
-    parsed = in_arrow(files, apply, "folder string, file string, l1t_json string")
+    parsed = in_arrow(files.select("folder", "file", "value"), apply, "folder string, file string, l1t_json string")
     first = parsed.groupBy("folder").agg(F.min_by("l1t_json", "file").alias("l1t_json"))
     return first.withColumn("l1t", F.from_json("l1t_json", "map<string,map<string,string>>"))
 
@@ -87,10 +91,26 @@ def read_tiff(data: bytes) -> tuple[np.ndarray, list[float]]:
     return image, geo
 
 
+def tiff_bytes(image: np.ndarray, geo: list[float]) -> bytes:
+    """An uncompressed TIFF of one strip, of 64-bit floats, with its geographic transform: what
+    `read_tiff` reads."""
+    raw = np.ascontiguousarray(image, "<f8").tobytes()
+    (h, w), scale, tie = image.shape, [geo[1], -geo[5], 0.0], [0.0, 0.0, 0.0, geo[0], geo[3], 0.0]
+    start = 8 + 2 + 12 * 11 + 4  # behind the header and the list of entries
+    longs = {256: w, 257: h, 273: start + 72, 278: h, 279: len(raw)}
+    entries = [(tag, 4, 1, v) for tag, v in longs.items()] + [(tag, 3, 1, v) for tag, v in {258: 64, 259: 1, 277: 1, 339: 3}.items()] + [(33550, 12, 3, start), (33922, 12, 6, start + 24)]
+    body = b"".join(struct.pack("<HHII", *e) for e in sorted(entries))
+    return b"II" + struct.pack("<HIH", 42, 8, len(entries)) + body + struct.pack("<I9d", 0, *scale, *tie) + raw
+
+
 def read_bands(spark: SparkSession, path: str, bands: tuple[str, ...] | None = DEFAULT_BANDS, glob: str = "EO1*_B[0-9][0-9]*_L1T.TIF") -> DataFrame:
     """(folder, band, height, width, geo, data): one row for each band file; only the files of the
     bands asked for are read.  `data` holds little-endian doubles, row by row."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return bands_of(spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path), bands)
+
+
+def bands_of(files: DataFrame, bands: tuple[str, ...] | None = DEFAULT_BANDS) -> DataFrame:
+    """What `read_bands` returns, from (path, content) rows of TIFFs."""
     named = files.select(F.regexp_extract("path", FOLDER, 1).alias("folder"), calib.band_of_file(F.col("path")).alias("band"), "content")
     wanted = named.where(F.col("band").isin(list(bands)) if bands else F.col("band") != "")
 
@@ -180,7 +200,13 @@ def read_bright(lines: DataFrame) -> DataFrame:
 
 def read_catalogue(spark: SparkSession, path: str, sensor: str) -> DataFrame:
     """Catalogue rows of a JSON document with a `data` array."""
-    doc = spark.read.schema(f"data array<struct<{CATALOGUE.replace(' double', ':double').replace(' string', ':string').replace(' bigint', ':bigint').replace('corners array', 'corners:array')}>>").option("multiLine", "true").json(path)
+    return catalogue_of(spark.read.text(path, wholetext=True), sensor)
+
+
+def catalogue_of(documents: DataFrame, sensor: str) -> DataFrame:
+    """What `read_catalogue` returns, from JSON documents (value)."""
+    row = CATALOGUE.replace(" double", ":double").replace(" string", ":string").replace(" bigint", ":bigint").replace("corners array", "corners:array")
+    doc = documents.select(F.from_json("value", f"data array<struct<{row}>>").alias("d")).select("d.data")
     return doc.select(F.lit(sensor).alias("sensor"), F.explode("data").alias("d")).select("sensor", "d.*")
 
 

@@ -60,21 +60,22 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return latest(raw, F.col("_written"), KEYED).drop("_written").select(*(c for c in raw.columns if c != "_written"))
 
 
-def scan_tile_time(points: DataFrame, tile: str, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME) -> DataFrame:
-    """Points of a tile in a time range, in key order.  The upper time is exclusive, as keys at
+def scan_tile_time(points: DataFrame, tile: str, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME, ordered: bool = True) -> DataFrame:
+    """Points of a tile in a time range, in key order if `ordered`.  The upper time is exclusive, as keys at
     it sort behind the bare end key; an empty range gives nothing."""
     depth, x, y = int(tile[1:3]), int(tile[4:9]), int(tile[10:15])
     if depth != grid.DEEPEST:
         raise ValueError("points are keyed by tiles of the deepest level")
-    return points.where((F.col("x") == x) & (F.col("y") == y) & (F.col("ts") >= start) & (F.col("ts") < end)).orderBy("row_key")
+    found = points.where((F.col("x") == x) & (F.col("y") == y) & (F.col("ts") >= start) & (F.col("ts") < end))
+    return found.orderBy("row_key") if ordered else found
 
 
-def scan_box(points: DataFrame, x_min: int, x_max: int, y_min: int, y_max: int, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME) -> DataFrame:
-    """Points of a range of tiles and times, bounds included, in key order."""
+def scan_box(points: DataFrame, x_min: int, x_max: int, y_min: int, y_max: int, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME, ordered: bool = True) -> DataFrame:
+    """Points of a range of tiles and times, bounds included, in key order if `ordered`."""
     p = points.where(F.col("x").between(x_min, x_max) & F.col("y").between(y_min, y_max))
     if (start, end) != (keys.FIRST_TIME, keys.LAST_TIME):
         p = p.where(F.col("ts").between(start, end))
-    return p.orderBy("row_key")
+    return p.orderBy("row_key") if ordered else p
 
 
 def delete_range(points: DataFrame, tile: str, start: int = keys.FIRST_TIME, end: int = keys.LAST_TIME) -> DataFrame:
@@ -86,13 +87,19 @@ def delete_range(points: DataFrame, tile: str, start: int = keys.FIRST_TIME, end
 
 
 def rewrite(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Replaces a points table by `rows`, which may read it: written beside it, then swapped."""
+    """Replaces a points table by `rows`, which may read it: written beside it, then swapped.  The old
+    table is only deleted once the new one is in its place; after a crash between, both are beside
+    it, the old one under a name that ends in `-old`."""
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     write_points(rows, beside)
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, beside))
+    table, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, beside, f"{beside}-old"))
+    if fs.exists(table) and not fs.rename(table, old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(new, table):
+        fs.rename(old, table)
+        raise OSError(f"cannot move the new table to {path}")
     fs.delete(old, True)
-    fs.rename(new, old)
 
 
 def drop_points(spark: SparkSession, path: str) -> None:
@@ -100,19 +107,27 @@ def drop_points(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def tile_rows(images: DataFrame) -> DataFrame:
+    """Store rows of tile images (depth, x, y, layer, png, and maybe metadata)."""
+    meta = F.col("metadata") if "metadata" in images.columns else F.lit("{}")
+    return images.select(grid.tile_name(F.col("depth"), F.col("x"), F.col("y"), F.col("layer")).alias("row_key"), meta.alias("metadata"), F.col("png").alias("l2png"), "x", "y", "layer", "depth")
+
+
 def write_tiles(images: DataFrame, path: str) -> None:
     """Tile images (depth, x, y, layer, png, and maybe metadata); layers and depths that are
     written again replace their old files."""
-    meta = F.col("metadata") if "metadata" in images.columns else F.lit("{}")
-    rows = images.select(grid.tile_name(F.col("depth"), F.col("x"), F.col("y"), F.col("layer")).alias("row_key"), meta.alias("metadata"), F.col("png").alias("l2png"), "x", "y", "layer", "depth")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("layer", "depth").parquet(path)
+    tile_rows(images).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("layer", "depth").parquet(path)
 
 
-def get_tile(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The image row of a key like Tdd-xxxxx-yyyyy-layer; no row if there is none."""
-    t = spark.read.parquet(path)
+def tile_at(tiles: DataFrame, key: str) -> DataFrame:
+    """Of store rows, the one of a key like Tdd-xxxxx-yyyyy-layer; no row if there is none."""
     depth, layer = int(key[1:3]), key[16:]
-    return t.where((F.col("layer") == layer) & (F.col("depth") == depth) & (F.col("x") == int(key[4:9])) & (F.col("y") == int(key[10:15])))
+    return tiles.where((F.col("layer") == layer) & (F.col("depth") == depth) & (F.col("x") == int(key[4:9])) & (F.col("y") == int(key[10:15])))
+
+
+def get_tile(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The image row of a key (see `tile_at`) in the table at `path`."""
+    return tile_at(spark.read.parquet(path), key)
 
 
 def get_tile_metadata(spark: SparkSession, path: str, key: str) -> DataFrame:

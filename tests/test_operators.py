@@ -421,3 +421,75 @@ def test_kmeans_query_runs_the_whole_job(spark, monkeypatch):
     with pytest.raises(Stop):
         queries.QUERIES["kmeans_weighted"](spark, "/root/testdata/sf0.001")
     assert seen == [{"k": 10}]
+
+
+def test_ranks(spark):
+    """Values at ranks and percentiles, against sorting, with ties, signs, zeros and infinities."""
+    from skyloom.operators import ranks
+
+    r = np.random.default_rng(4)
+    groups = {
+        1: [float(x) for x in r.normal(size=900) * 10.0 ** r.integers(-8, 8, 900)], 2: [0.0, -0.0, 5.0, 5.0, 5.0, -3.0] * 20, 3: [7.0], 4: [float("inf"), float("-inf"), 1.0, -1.0, 2.5],
+        5: [float(x) for x in r.integers(-3, 4, 400)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in [*vs, None]], "g int, v double")
+    got = {x.g: x for x in ranks.at_ranks(df, ["g"], "v", {"least": lambda n: n * 0, "mid": lambda n: F.floor(n / 2), "most": lambda n: n - 1}).collect()}
+    for g, vs in groups.items():
+        s = sorted(vs)
+        assert (got[g].least, got[g].mid, got[g].most) == (s[0], s[len(s) // 2], s[-1])
+    some = df.where("g <> 4")
+    for share in (0.0, 0.05, 0.5, 0.95, 1.0):
+        p = {x.g: x.p for x in ranks.percentile(some, ["g"], "v", share, "p").collect()}
+        assert all(np.isclose(p[g], np.percentile(groups[g], 100 * share)) for g in p) and len(p) == 4
+
+
+@pytest.mark.parametrize("block", [128, 5])
+def test_windows_over_blocks(spark, monkeypatch, block):
+    """Sums over windows are the same whatever the blocks, with holes, and by two scenes at once."""
+    monkeypatch.setattr(change, "BLOCK", block)
+    r = np.random.default_rng(8)
+    cells = {(k, int(i), int(j)): (float(a), float(b)) for k in (0, 1) for i in range(-3, 17) for j in range(0, 23) for a, b in [r.normal(size=2)] if r.random() < 0.8}
+    df = spark.createDataFrame([(*at, *v) for at, v in cells.items()], "scene int, row int, col int, g1 double, g2 double")
+    got = {(x.scene, x.row, x.col): (x.x2, x.y2, x.xy) for x in change.window_sums(df, 2, ["scene"]).collect()}
+    want = {}
+    for k, i, j in cells:
+        near = [cells[k, a, b] for a in range(i - 2, i + 3) for b in range(j - 2, j + 3) if (k, a, b) in cells]
+        want[k, i, j] = (sum(a * a for a, _ in near), sum(b * b for _, b in near), sum(a * b for a, b in near))
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+
+
+@pytest.mark.parametrize("stretch", [1 << 16, 4])
+def test_runs_over_stretches(spark, monkeypatch, stretch):
+    monkeypatch.setattr(codec, "STRETCH", stretch)
+    r = np.random.default_rng(6)
+    flat = {s: r.integers(0, 3, 90).astype(float) for s in ("a", "b")} | {"c": np.ones(40), "d": np.zeros(9)}
+    df = spark.createDataFrame([(s, i, float(v)) for s, vs in flat.items() for i, v in enumerate(vs)], "scene_id string, index int, value double")
+    got = sorted((x.scene_id, x.start, x.length, tuple(x["values"])) for x in codec.zero_runs(df).collect())
+    want = []
+    for s, vs in flat.items():
+        for start, raw in codec.suppress_zeros(vs.reshape(1, 1, -1)):
+            run = np.frombuffer(raw)
+            want.append((s, start, len(run), tuple(run)))
+    assert got == sorted(want)
+
+
+def test_rewrite_keeps_the_old_table_until_the_new_one_stands(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows = spark.createDataFrame([(float(i), 10.0, 1000 + i, "{}") for i in range(5)], "longitude double, latitude double, ts long, metadata string")
+    store.write_points(store.point_rows(rows), path)
+    kept = store.read_points(spark, path).where("ts >= 1002")
+    store.rewrite(spark, kept, path)
+    assert sorted(x.ts for x in store.read_points(spark, path).collect()) == [1002, 1003, 1004]
+    assert [p.name for p in tmp_path.iterdir()] == ["points"]
+
+
+def test_tiff_bytes_are_read_back():
+    image = np.random.default_rng(2).normal(size=(3, 7))
+    back, geo_ = scenes.read_tiff(scenes.tiff_bytes(image, [5.0, 2.0, 0.0, 9.0, 0.0, -3.0]))
+    assert np.array_equal(back, image) and geo_ == [5.0, 2.0, 0.0, 9.0, 0.0, -3.0]
+
+
+def test_fixed_bounds_take_one_pass(spark):
+    px = spark.createDataFrame([(1, 0, 0, 2, 3, 1, 5.0, 1.0)], "depth int, x int, y int, row int, col int, scene_id int, B1 double, mask double")
+    plan = tiles.layer_pixels(px, LayerSpec("C", ("B1",), "yellow", 0.0, 50.0))._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
