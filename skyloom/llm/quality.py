@@ -30,6 +30,8 @@ from .common import SPACE, constant, let, rows_of, spread, take, with_row
 WINDOW = 8
 #: Words that a label's sketch keeps track of, and candidates taken from it for each common word.
 TRACKED, CANDIDATES = 20000, 4
+#: Into how many a label's sketches are merged, step by step.
+WAYS = (512, 16)
 
 
 @dataclass(frozen=True)
@@ -168,9 +170,14 @@ def labelled(lang: Column) -> Column:
 
 def candidates(rows: DataFrame, rules: QualityRules) -> dict[str, list[str]]:
     """For every label of `rows` (text, lang) with enough words, those that may be its commonest."""
-    k = CANDIDATES * rules.n_common
-    words = rows.where(labelled(F.col("lang"))).select("lang", F.explode(_tidy(F.col("text"))).alias("w"))
-    some = words.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.call_function("approx_top_k", F.col("w"), F.lit(k), F.lit(TRACKED)).alias("top"))
+    top = lambda name, c, n: F.call_function(f"approx_top_k_{name}", F.col(c), F.lit(n))
+    # sketches are merged in steps, so that no task reads all of a label's
+    way = F.pmod(F.spark_partition_id(), F.lit(WAYS[0])).alias("way")
+    words = rows.where(labelled(F.col("lang"))).select("lang", way, F.explode(_tidy(F.col("text"))).alias("w"))
+    some = words.groupBy("lang", "way").agg(F.count(F.lit(1)).alias("n"), top("accumulate", "w", TRACKED).alias("s"))
+    for ways in (*WAYS[1:], 1):
+        some = some.groupBy("lang", F.pmod("way", F.lit(ways)).alias("way")).agg(F.sum("n").alias("n"), top("combine", "s", TRACKED).alias("s"))
+    some = some.select("lang", "n", top("estimate", "s", CANDIDATES * rules.n_common).alias("top"))
     found = some.where(F.col("n") >= rules.min_label_words).select("lang", F.filter(F.transform("top", lambda t: t["item"]), lambda w: w.rlike(r"\p{L}")).alias("words"))
     return {r["lang"]: sorted(r["words"]) for r in found.orderBy("lang").collect() if r["words"]}
 
