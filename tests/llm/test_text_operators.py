@@ -488,6 +488,34 @@ def test_token_counts(spark):
     assert wordpiece.token_counts(table(spark, []), PIECES).count() == 0
 
 
+def test_counts_by_plain_greedy_matching(spark):
+    """Apart from the automaton: the longest piece that fits, again and again, from the file's own list."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    vocab = {sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    longest = max(map(len, vocab))
+
+    def greedy(word):
+        rest, n = "▁" + word, 0
+        while rest:
+            fit = next((k for k in range(min(longest, len(rest)), 0, -1) if rest[:k] in vocab), 0)
+            n += 1 if fit else len(rest[0].encode())
+            rest = rest[max(fit, 1) :]
+        return n
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()} | {10**6 + i: t for i, t in enumerate(ODD)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    seen = {}
+    for r in wordpiece.token_counts(df, PIECES).collect():
+        words = re.findall(WORD, texts[r.id] or "")
+        for w in words:
+            if w not in seen:
+                seen[w] = greedy(w)
+        assert (r.n_words, r.n_tokens) == (len(words), sum(seen[w] for w in words))
+
+
 # ---- sampling --------------------------------------------------------------------------------------------------
 
 
