@@ -14,7 +14,7 @@ from .functions import bands as B
 from .functions import calib, grid, keys, projection
 from .operators import catalog, change, classify, explore, geo, points, tiles
 from .plans import views as V
-from .schema import LayerSpec
+from .schema import ColumnAnalytic, LayerSpec, chain
 from .shipping import ship
 from .sources import codec, scenes, store
 
@@ -755,6 +755,7 @@ def _fitted(kind: str, ratios: bool = False):
 
 for _name, _kind, _ratios in (("nb_mllib", "bayes", False), ("tree_mllib", "tree", False), ("tree_ratios", "tree", True), ("linear_svm", "linear_svm", False), ("rbf_svm", "rbf_svm", False)):
     QUERIES[_name] = _fitted(_kind, _ratios)
+ORACLES["nb_mllib"] = ORACLES["gaussian_nb_sql"]  # the same model, fitted by another library
 
 
 @query("SELECT vec_id, round(CASE WHEN class=1 THEN 1.0/class ELSE 0 END,6) AS clouds, round(CASE WHEN class IN (2,4) THEN 2.0/class ELSE 0 END,6) AS land, round(CASE WHEN class=3 THEN 3.0/class ELSE 0 END,6) AS water FROM fx_pixels", (PX,))
@@ -944,6 +945,16 @@ def scene_resample(spark, d):
     return found.select("scene_id", "x", "y", "row", "col", r6("mask", 5).alias("mask"), r6(F.col("v")[0], 5).alias("b001"), r6(F.col("v")[1], 5).alias("b002"))
 
 
+@query(ORACLES["co2_index"].replace("SELECT vec_id, round(exp", "SELECT vec_id, round(v[16],6) AS b016, round(exp"))
+def analytic_chain(spark, d):
+    """A module run over wide pixels: it takes the lines' bands away and appends one of its own."""
+    bands = ["B016", "B183", "B184", "B185", "B186", "B188", "B189"]
+    px = V.pixels(spark, d).select("vec_id", F.array(F.col("v")[15], *(F.col("v")[CO2_AT[int(b[1:])] - 1] for b in bands[1:])).alias("v"))
+    wide = px.select("vec_id", *(F.col("v")[i].alias(b) for i, b in enumerate(bands)))
+    out, names = chain(wide, bands, [ColumnAnalytic("co2", B.co2_bands, B.co2_analytic)])
+    return out.select("vec_id", *(r6(F.col(n)).alias(n.lower()) for n in names))
+
+
 #: Three scenes: two hyperspectral ones and one multispectral, each with its day and sun.
 CALIBRATED = [("HYPERION", 20, 35.0), ("HYPERION", 200, 60.0), ("ALI", 330, 47.5)]
 CAL_SQL = "cal AS (SELECT * FROM (VALUES " + ",".join(f"({i},'{s}',{day},{sun})" for i, (s, day, sun) in enumerate(CALIBRATED)) + ") t(k,sensor,day,sun))"
