@@ -1,7 +1,9 @@
 """Projected coordinates to longitude and latitude, from a WKT description.
 
 Geographic descriptions pass through; transverse Mercator zones are inverted by the usual series
-in the third flattening (to the sixth order, well below a millimetre).  Others are an error.
+in the third flattening (to the sixth order, well below a millimetre).  Lambert's conformal conic,
+Albers' and Lambert's equal areas, Mercator and the polar stereographic projection follow the
+closed formulas on the ellipsoid (`Sheet`).  Others are an error.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from ..shipping import ship
 
 @dataclass(frozen=True)
 class Projection:
-    """Of a transverse Mercator grid; `scale` 0 means coordinates are degrees already."""
+    """Of a transverse Mercator grid; `scale` 0 means coordinates are degrees already.  `unit` is the
+    length of a step of the grid in metres."""
 
     a: float = 6378137.0
     inverse_flattening: float = 298.257223563
@@ -28,6 +31,7 @@ class Projection:
     scale: float = 0.0
     east: float = 0.0
     north: float = 0.0
+    unit: float = 1.0
 
     @classmethod
     def parse(cls, wkt: str) -> Projection:
@@ -35,17 +39,31 @@ class Projection:
         a, rf = map(float, ellipsoid.groups()) if ellipsoid else (6378137.0, 298.257223563)
         if wkt.lstrip().startswith(("GEOGCS", "GEOGCRS")) or not wkt.strip():
             return cls(a, rf)
-        if not re.search(r"transverse[_ ]mercator", wkt, re.I):
-            raise ValueError(f"projection not supported: {wkt[:60]!r}")
-
-        def number(*names: str) -> float:
+        def number(*names: str, default: float | None = None) -> float:
             for n in names:
                 m = re.search(rf'PARAMETER\s*\[\s*"{n}"\s*,\s*([-+\d.eE]+)', wkt, re.I)
                 if m:
                     return float(m[1])
-            raise ValueError(f"no parameter {names[0]!r}")
+            if default is None:
+                raise ValueError(f"no parameter {names[0]!r}")
+            return default
 
-        return cls(a, rf, number("central_meridian", "longitude_of_origin"), number("latitude_of_origin"), number("scale_factor"), number("false_easting"), number("false_northing"))
+        units = [float(k) for name, k in re.findall(r'UNIT\s*\[\s*"([^"]*)"\s*,\s*([-+\d.eE]+)', wkt) if not re.search("degree|radian|grad|unity", name, re.I)]
+        unit = units[-1] if units else 1.0
+        lon0 = lambda: number("central_meridian", "longitude_of_center", "longitude_of_origin")
+        east, north = (lambda: number("false_easting") * unit), (lambda: number("false_northing") * unit)
+        if re.search(r"transverse[_ ]mercator", wkt, re.I):
+            return cls(a, rf, lon0(), number("latitude_of_origin"), number("scale_factor"), east(), north(), unit)
+        named = re.search(r'PROJECTION\s*\[\s*"([^"]*)"', wkt, re.I)
+        kind = next((k for pattern, k in KINDS if named and re.search(pattern, named[1], re.I)), None)
+        if kind is None:
+            raise ValueError(f"projection not supported: {wkt[:60]!r}")
+        lat0 = number("latitude_of_origin", "latitude_of_center", default=0.0)
+        lat1 = number("standard_parallel_1", default=lat0)
+        lat2 = number("standard_parallel_2", default=lat1)
+        if re.search(r"pseudo|auxiliary_sphere|\+nadgrids", wkt, re.I):
+            rf = 0.0  # a sphere
+        return Sheet(a, rf, lon0(), lat0, number("scale_factor", default=1.0), east(), north(), unit, kind, lat1, lat2)
 
     @classmethod
     def utm(cls, zone: int, south: bool = False) -> Projection:
@@ -95,13 +113,14 @@ class Projection:
 
         x, y = raw(lon, lat)
         _, y0 = raw(np.array(self.lon0), np.array(self.lat0))
-        return self.east + self.scale * x, self.north + self.scale * (y - y0)
+        return (self.east + self.scale * x) / self.unit, (self.north + self.scale * (y - y0)) / self.unit
 
     def to_degrees(self, x, y) -> tuple[np.ndarray, np.ndarray]:
         """Longitude and latitude of eastings and northings."""
         x, y = np.asarray(x, float), np.asarray(y, float)
         if not self.scale:
             return x, y
+        x, y = x * self.unit, y * self.unit
         forward, back, radius, e = self._series()
         y0 = 0.0
         if self.lat0:
@@ -120,6 +139,130 @@ class Projection:
         return lon.reshape(x.shape), np.degrees(np.arctan(t)).reshape(x.shape)
 
 
+#: Names of projections in descriptions, by pattern; the first that fits counts.
+KINDS = (
+    ("lambert.*conformal", "lambert"), ("albers", "albers"), ("azimuthal.*equal", "azimuthal"), ("polar.*stereographic|stereographic.*(north|south).*pole", "polar"), ("^mercator", "mercator"),
+)
+
+
+@dataclass(frozen=True)
+class Sheet(Projection):
+    """Of a cone, a cylinder or a plane: `kind` is one of KINDS, `lat1` and `lat2` its parallels."""
+
+    kind: str = ""
+    lat1: float = 0.0
+    lat2: float = 0.0
+
+    @property
+    def e(self) -> float:
+        f = 1 / self.inverse_flattening if self.inverse_flattening else 0.0
+        return float(np.sqrt(f * (2 - f)))
+
+    def _m(self, lat):
+        return np.cos(lat) / np.sqrt(1 - (self.e * np.sin(lat)) ** 2)
+
+    def _t(self, lat):
+        """Of conformal projections: the tangent of half the conformal colatitude."""
+        es = self.e * np.sin(lat)
+        return np.tan(np.pi / 4 - lat / 2) / ((1 - es) / (1 + es)) ** (self.e / 2)
+
+    def _lat_of_t(self, t):
+        lat = np.pi / 2 - 2 * np.arctan(t)
+        for _ in range(12):
+            es = self.e * np.sin(lat)
+            lat = np.pi / 2 - 2 * np.arctan(t * ((1 - es) / (1 + es)) ** (self.e / 2))
+        return lat
+
+    def _q(self, lat):
+        """Of equal areas: the area between the equator and a parallel, up to a factor."""
+        e, s = self.e, np.sin(lat)
+        if not e:
+            return 2 * s
+        return (1 - e * e) * (s / (1 - (e * s) ** 2) + np.arctanh(e * s) / e)
+
+    def _lat_of_q(self, q):
+        e = self.e
+        lat = np.arcsin(np.clip(q / 2, -1, 1))
+        for _ in range(12 if e else 0):
+            s, c = np.sin(lat), np.maximum(np.cos(lat), 1e-12)
+            lat = lat + (1 - (e * s) ** 2) ** 2 / (2 * c) * (q / (1 - e * e) - s / (1 - (e * s) ** 2) - np.arctanh(e * s) / e)
+        return lat
+
+    def _cone(self):
+        """Of a cone: its constant, and the radius of a parallel and back."""
+        l0, l1, l2 = np.radians([self.lat0, self.lat1, self.lat2])
+        m1, m2 = self._m(l1), self._m(l2)
+        if self.kind == "lambert":
+            n = np.sin(l1) if l1 == l2 else np.log(m1 / m2) / np.log(self._t(l1) / self._t(l2))
+            r = self.a * self.scale * m1 / (n * self._t(l1) ** n)
+            return n, l0, lambda lat: r * self._t(lat) ** n, lambda rho: self._lat_of_t((rho / r) ** (1 / n))
+        n = np.sin(l1) if l1 == l2 else (m1**2 - m2**2) / (self._q(l2) - self._q(l1))
+        c = m1**2 + n * self._q(l1)
+        return n, l0, lambda lat: self.a * np.sqrt(np.maximum(c - n * self._q(lat), 0)) / n, lambda rho: self._lat_of_q((c - (rho * n / self.a) ** 2) / n)
+
+    def _plane(self):
+        """Of the polar plane: which pole, and the radius of a parallel and back, as of the north's."""
+        pole = 1.0 if self.lat0 >= 0 else -1.0
+        true = np.radians(abs(self.lat1 if abs(self.lat0) == 90 and self.lat1 != self.lat0 else self.lat0))
+        e = self.e
+        if np.degrees(true) >= 90 - 1e-9:
+            r = 2 * self.a * self.scale / np.sqrt((1 + e) ** (1 + e) * (1 - e) ** (1 - e))
+        else:
+            r = self.a * self.scale * self._m(true) / self._t(true)
+        return pole, lambda lat: r * self._t(lat), lambda rho: self._lat_of_t(rho / r)
+
+    def _area(self):
+        """Of the equal-area plane: the pole's q, its radius, the centre's authalic latitude, and a ratio."""
+        l0, top = np.radians(self.lat0), self._q(np.pi / 2)
+        radius, b0 = self.a * np.sqrt(top / 2), np.arcsin(self._q(l0) / top)
+        return top, radius, b0, self.a * self._m(l0) / (radius * np.cos(b0))
+
+    def _cylinder(self) -> float:
+        return self.a * (self.scale if self.lat1 == self.lat0 == 0 else self._m(np.radians(self.lat1)))
+
+    def to_grid(self, lon, lat) -> tuple[np.ndarray, np.ndarray]:
+        lat = np.radians(np.asarray(lat, float))
+        d = np.radians((np.asarray(lon, float) - self.lon0 + 180) % 360 - 180)
+        if self.kind in ("lambert", "albers"):
+            n, l0, radius, _ = self._cone()
+            rho, at = radius(lat), n * d
+            x, y = rho * np.sin(at), radius(l0) - rho * np.cos(at)
+        elif self.kind == "polar":
+            pole, radius, _ = self._plane()
+            rho = radius(pole * lat)
+            x, y = rho * np.sin(d), -pole * rho * np.cos(d)
+        elif self.kind == "azimuthal":
+            top, radius, b0, ratio = self._area()
+            b = np.arcsin(np.clip(self._q(lat) / top, -1, 1))
+            size = radius * np.sqrt(2 / (1 + np.sin(b0) * np.sin(b) + np.cos(b0) * np.cos(b) * np.cos(d)))
+            x, y = size * ratio * np.cos(b) * np.sin(d), size / ratio * (np.cos(b0) * np.sin(b) - np.sin(b0) * np.cos(b) * np.cos(d))
+        else:
+            k = self._cylinder()
+            x, y = k * d, -k * np.log(self._t(lat))
+        return (self.east + x) / self.unit, (self.north + y) / self.unit
+
+    def to_degrees(self, x, y) -> tuple[np.ndarray, np.ndarray]:
+        x, y = np.asarray(x, float) * self.unit - self.east, np.asarray(y, float) * self.unit - self.north
+        if self.kind in ("lambert", "albers"):
+            n, l0, radius, back = self._cone()
+            up = radius(l0) - y
+            d, lat = np.arctan2(np.sign(n) * x, np.sign(n) * up) / n, back(np.sign(n) * np.hypot(x, up))
+        elif self.kind == "polar":
+            pole, _, back = self._plane()
+            d, lat = np.arctan2(x, -pole * y), pole * back(np.hypot(x, y))
+        elif self.kind == "azimuthal":
+            top, radius, b0, ratio = self._area()
+            rho = np.hypot(x / ratio, ratio * y)
+            c = 2 * np.arcsin(np.clip(rho / (2 * radius), -1, 1))
+            part = np.where(rho > 0, ratio * y * np.sin(c) * np.cos(b0) / np.where(rho > 0, rho, 1), 0.0)
+            lat = self._lat_of_q(top * (np.cos(c) * np.sin(b0) + part))
+            d = np.arctan2(x * np.sin(c), ratio * rho * np.cos(b0) * np.cos(c) - ratio**2 * y * np.sin(b0) * np.sin(c))
+        else:
+            k = self._cylinder()
+            d, lat = x / k, self._lat_of_t(np.exp(-y / k))
+        return (self.lon0 + np.degrees(d) + 180) % 360 - 180, np.degrees(lat)
+
+
 def lon_lat(x: Column, y: Column, wkt: str) -> Column:
     """Struct of longitude and latitude of projected coordinates; plain columns where they are
     degrees already, else a vectorised function."""

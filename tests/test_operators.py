@@ -124,6 +124,37 @@ def test_projection_wkt(spark):
     assert np.isclose(got.longitude, 15) and np.isclose(got.latitude, 0)
 
 
+CLARKE, INTERNATIONAL = 'GEOGCS["x",DATUM["x",SPHEROID["c",6378206.4,294.9786982]],UNIT["degree",0.0174532925]]', 'GEOGCS["x",DATUM["x",SPHEROID["i",6378388,297]]]'
+
+
+def described(name, spheroid, unit="", **numbers):
+    return f'PROJCS["x",{spheroid},PROJECTION["{name}"],' + ",".join(f'PARAMETER["{k}",{v}]' for k, v in {"false_easting": 0, "false_northing": 0, **numbers}.items()) + unit + "]"
+
+
+@pytest.mark.parametrize(
+    ("wkt", "at", "want"),
+    [
+        # worked examples of a textbook on map projections, to a decimetre
+        (described("Lambert_Conformal_Conic_2SP", CLARKE, latitude_of_origin=23, central_meridian=-96, standard_parallel_1=33, standard_parallel_2=45), (-75, 35), (1894410.9, 1564649.5)),
+        (described("Albers_Conic_Equal_Area", CLARKE, latitude_of_center=23, longitude_of_center=-96, standard_parallel_1=29.5, standard_parallel_2=45.5), (-75, 35), (1885472.7, 1535925.0)),
+        (described("Polar_Stereographic", INTERNATIONAL, latitude_of_origin=-71, central_meridian=-100, scale_factor=1), (150, -75), (-1540033.6, -560526.4)),
+        (described("Mercator_1SP", CLARKE, central_meridian=-180, scale_factor=1), (-75, 35), (11688673.7, 4139145.6)),
+        (described("Lambert_Azimuthal_Equal_Area", CLARKE, latitude_of_center=40, longitude_of_center=-100), (-110, 30), (-965932.1, -1056814.9)),
+        # a degree of the web's sphere
+        (described("Mercator_Auxiliary_Sphere", 'GEOGCS["WGS 84",DATUM["x",SPHEROID["WGS 84",6378137,298.257223563]]]', central_meridian=0), (1, 0), (111319.4908, 0.0)),
+    ],
+)
+def test_other_projections(wkt, at, want):
+    p = Projection.parse(wkt)
+    assert np.allclose(p.to_grid(*at), want, atol=0.1)
+    r = np.random.default_rng(1)
+    lon, lat = p.lon0 + r.uniform(-40, 40, 50), np.sign(p.lat0 or 1) * r.uniform(15, 80, 50)
+    back = p.to_degrees(*p.to_grid(lon, lat))
+    assert np.allclose((back[0] - lon + 180) % 360 - 180, 0, atol=1e-9) and np.allclose(back[1], lat, atol=1e-9)
+    feet = Projection.parse(wkt[:-1] + ',UNIT["US survey foot",0.3048006096012192]]')
+    assert np.allclose(np.array(feet.to_grid(*at)) * 0.3048006096012192, want, atol=0.1)
+
+
 @pytest.mark.parametrize("order", range(6))
 def test_splines(order):
     r = np.random.default_rng(order)
