@@ -5,6 +5,7 @@ from __future__ import annotations
 import configparser
 import json
 import struct
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,9 +61,62 @@ def l1t_of(files: DataFrame) -> DataFrame:
     return first.withColumn("l1t", F.from_json("l1t_json", "map<string,map<string,string>>"))
 
 
+def _lzw(data: bytes) -> bytes:
+    """TIFF's LZW: codes of 9 to 12 bits, highest bit first, 256 to start anew and 257 at the end."""
+    out, table, width, bits, n, last = [], [], 9, 0, 0, None
+    for byte in data:
+        bits, n = (bits << 8) | byte, n + 8
+        if n < width:
+            continue
+        n -= width
+        code, bits = bits >> n, bits & ((1 << n) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, width, last = [bytes([i]) for i in range(256)] + [b"", b""], 9, None
+            continue
+        if last is None:
+            entry = table[code]
+        else:
+            entry = table[code] if code < len(table) else last + last[:1]
+            table.append(last + entry[:1])
+            if len(table) + 1 >= 1 << width and width < 12:
+                width += 1
+        out.append(entry)
+        last = entry
+    return b"".join(out)
+
+
+def _packbits(data: bytes) -> bytes:
+    """Runs: a count of bytes that follow, or of copies of the next."""
+    out, at = bytearray(), 0
+    while at < len(data):
+        k = data[at]
+        if k < 128:
+            out += data[at + 1 : at + 2 + k]
+            at += 2 + k
+        else:
+            out += data[at + 1 : at + 2] * (257 - k) if k > 128 else b""
+            at += 2 if k > 128 else 1
+    return bytes(out)
+
+
+#: Decoders by TIFF's number of the compression.
+UNPACK = {1: bytes, 5: _lzw, 8: zlib.decompress, 32946: zlib.decompress, 32773: _packbits}
+
+
+def _unpredicted(raw: np.ndarray, predictor: int, kind: np.dtype) -> np.ndarray:
+    """Values of a piece (rows, bytes of a row) as (rows, columns, samples are not told apart)."""
+    if predictor == 3:  # sums of bytes, which are in planes, the highest first
+        planes = np.cumsum(raw, axis=1, dtype=np.uint8).reshape(len(raw), kind.itemsize, -1)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(kind.newbyteorder(">"))[..., 0]
+    return np.ascontiguousarray(raw).view(kind)
+
+
 def read_tiff(data: bytes) -> tuple[np.ndarray, list[float]]:
-    """The first image of an uncompressed, striped TIFF of 16-bit integers or 32/64-bit floats, and
-    its geographic transform (zeros if it has none)."""
+    """The first band of the first image of a TIFF, in strips or tiles, plain or compressed (LZW,
+    deflate, runs), of 8 to 32-bit integers or 32/64-bit floats, and its geographic transform (zeros
+    if it has none)."""
     order = {b"II": "<", b"MM": ">"}[data[:2]]
     magic, at = struct.unpack(order + "HI", data[2:8])
     if magic != 42:
@@ -78,17 +132,32 @@ def read_tiff(data: bytes) -> tuple[np.ndarray, list[float]]:
         if one * n > 4:
             (where,) = struct.unpack_from(order + "I", data, where)
         tags[tag] = list(struct.unpack_from(f"{order}{n}{sizes[kind]}", data, where))
-    if tags.get(259, [1])[0] != 1 or 273 not in tags:
-        raise ValueError("only uncompressed, striped TIFFs")
-    w, h, bits, fmt = tags[256][0], tags[257][0], tags[258][0], tags.get(339, [1])[0]
-    kinds = {(16, 1): "u2", (16, 2): "i2", (32, 3): "f4", (64, 3): "f8"}
-    if (bits, fmt) not in kinds or tags.get(277, [1])[0] != 1:
+    first = lambda tag, default: tags.get(tag, [default])[0]
+    tiled = 324 in tags
+    if first(259, 1) not in UNPACK or not (tiled or 273 in tags):
+        raise ValueError(f"compression {first(259, 1)}")
+    unpack, predictor = UNPACK[first(259, 1)], first(317, 1)
+    w, h, bits, fmt = first(256, 0), first(257, 0), first(258, 1), first(339, 1)
+    kinds = {(8, 1): "u1", (16, 1): "u2", (16, 2): "i2", (32, 1): "u4", (32, 2): "i4", (32, 3): "f4", (64, 3): "f8"}
+    if (bits, fmt) not in kinds:
         raise ValueError(f"samples of {bits} bits, format {fmt}")
-    raw = b"".join(data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True))
-    image = np.frombuffer(raw, order + kinds[bits, fmt], w * h).reshape(h, w).astype(float)
+    kind = np.dtype(order + kinds[bits, fmt])
+    samples = first(277, 1) if first(284, 1) == 1 else 1  # bands in planes: the first plane's pieces come first
+    rows, cols = (first(323, 0), first(322, 0)) if tiled else (min(first(278, h), h), w)
+    across, down = -(-w // cols), -(-h // rows)
+    image = np.zeros((down * rows, across * cols))
+    pieces = list(zip(tags[324 if tiled else 273], tags[325 if tiled else 279], strict=True))
+    for k, (start, size) in enumerate(pieces[: across * down]):
+        y, x = k // across * rows, k % across * cols
+        n = rows if tiled else min(rows, h - y)
+        raw = np.frombuffer(unpack(data[start : start + size]), np.uint8, n * cols * samples * kind.itemsize).reshape(n, -1)
+        values = _unpredicted(raw, predictor, kind).reshape(n, cols, samples)
+        if predictor == 2:
+            values = np.cumsum(values, axis=1, dtype=kind.newbyteorder("="))
+        image[y : y + n, x : x + cols] = values[:, :, 0]
     scale, tie = tags.get(33550), tags.get(33922)
     geo = [tie[3] - tie[0] * scale[0], scale[0], 0.0, tie[4] + tie[1] * scale[1], 0.0, -scale[1]] if scale and tie else [0.0] * 6
-    return image, geo
+    return image[:h, :w], geo
 
 
 def tiff_bytes(image: np.ndarray, geo: list[float]) -> bytes:

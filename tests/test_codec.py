@@ -1,5 +1,7 @@
 import base64
 import json
+import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -80,8 +82,6 @@ def test_png():
 
 
 def tiff(image, dtype="<i2", geo=None):
-    import struct
-
     h, w = image.shape
     raw = image.astype(dtype).tobytes()
     fmt = {"i": 2, "u": 1, "f": 3}[np.dtype(dtype).kind]
@@ -105,6 +105,106 @@ def tiff(image, dtype="<i2", geo=None):
     return b"II" + struct.pack("<HI", 42, 8) + struct.pack("<H", len(tags)) + entries + b"\0\0\0\0" + extra + raw
 
 
+def lzw(data):
+    """A plain encoder, to be read back."""
+    out, n, bits, width, table, run = bytearray(), 0, 0, 9, {bytes([i]): i for i in range(256)}, b""
+
+    def put(code):
+        nonlocal n, bits
+        bits, n = (bits << width) | code, n + width
+        while n >= 8:
+            n -= 8
+            out.append(bits >> n)
+            bits &= (1 << n) - 1
+
+    put(256)
+    size = 258
+    for c in data:
+        nxt = run + bytes([c])
+        if nxt in table:
+            run = nxt
+            continue
+        put(table[run])
+        table[nxt], size = size, size + 1
+        run = bytes([c])
+        if size >= 1 << width and width < 12:
+            width += 1
+        if size >= 4094:
+            put(256)
+            table, size, width = {bytes([i]): i for i in range(256)}, 258, 9
+    put(table[run])
+    size += 1
+    if size >= 1 << width and width < 12:
+        width += 1
+    put(257)
+    if n:
+        out.append(bits << (8 - n) & 255)
+    return bytes(out)
+
+
+def packbits(data):
+    out = bytearray()
+    for lo in range(0, len(data), 128):
+        part = data[lo : lo + 128]
+        out += bytes([257 - len(part), part[0]]) if len(part) > 1 and len(set(part)) == 1 else bytes([len(part) - 1]) + part
+    return bytes(out)
+
+
+def packed_tiff(image, dtype, order, compression, predictor, tile=None, rows=5, samples=1):
+    """A TIFF in strips of `rows` or tiles, with further bands of noise."""
+    kind = np.dtype(order + dtype)
+    cube = np.dstack([image, *[image + k for k in range(1, samples)]]).astype(kind)
+    h, w = image.shape
+    th, tw = tile or (rows, w)
+    pack = {1: bytes, 5: lzw, 8: zlib.compress, 32773: packbits}[compression]
+    bodies = []
+    for y in range(0, h, th):
+        for x in range(0, w, tw):
+            part = cube[y : y + th, x : x + tw]
+            if tile:
+                part = np.pad(part, ((0, th - part.shape[0]), (0, tw - part.shape[1]), (0, 0)))
+            if predictor == 2:
+                part = np.concatenate([part[:, :1], np.diff(part.astype(kind.newbyteorder("=")), axis=1)], axis=1).astype(kind)
+            raw = np.ascontiguousarray(part).tobytes()
+            if predictor == 3:
+                lines = np.ascontiguousarray(part.reshape(len(part), -1).astype(kind.newbyteorder(">"))).view(np.uint8).reshape(len(part), -1, kind.itemsize)
+                planes = lines.transpose(0, 2, 1).reshape(len(part), -1)
+                raw = np.concatenate([planes[:, :1], np.diff(planes, axis=1)], axis=1).tobytes()
+            bodies.append(pack(raw))
+    o = {"<": "<", ">": ">"}[order]
+    fmt = {"i": 2, "u": 1, "f": 3}[kind.kind]
+    tags = [(256, 4, [w]), (257, 4, [h]), (258, 3, [kind.itemsize * 8]), (259, 3, [compression]), (277, 3, [samples]), (317, 3, [predictor]), (339, 3, [fmt])]
+    tags += [(322, 3, [tw]), (323, 3, [th])] if tile else [(278, 4, [rows])]
+    places = [(324 if tile else 273, 4, None), (325 if tile else 279, 4, [len(x) for x in bodies])]
+    tags = sorted(tags + places)
+    start = 8 + 2 + 12 * len(tags) + 4
+    extra_at = start
+    data_at = start + 2 * 4 * len(bodies)
+    offsets = [data_at + sum(len(x) for x in bodies[:k]) for k in range(len(bodies))]
+    entries, extra = b"", b""
+    for tag, code, vals in tags:
+        vals = offsets if vals is None else vals
+        body = struct.pack(f"{o}{len(vals)}{'H' if code == 3 else 'I'}", *vals)
+        if tag in (273, 279, 324, 325) and len(vals) > 1:
+            entries += struct.pack(f"{o}HHII", tag, code, len(vals), extra_at + len(extra))
+            extra += body
+        else:
+            entries += struct.pack(f"{o}HHI", tag, code, len(vals)) + body.ljust(4, b"\0")
+    extra = extra.ljust(2 * 4 * len(bodies), b"\0")
+    return (b"II" if o == "<" else b"MM") + struct.pack(f"{o}HIH", 42, 8, len(tags)) + entries + bytes(4) + extra + b"".join(bodies)
+
+
+@pytest.mark.parametrize("compression", [1, 5, 8, 32773])
+@pytest.mark.parametrize(("dtype", "predictor"), [("u2", 1), ("i2", 2), ("u1", 2), ("f4", 3), ("f8", 1), ("i4", 1), ("f8", 3)])
+@pytest.mark.parametrize(("order", "tile", "samples"), [("<", None, 1), (">", (16, 16), 1), ("<", (8, 32), 3)])
+def test_packed_tiffs(compression, dtype, predictor, order, tile, samples):
+    r = np.random.default_rng(3)
+    image = r.integers(0, 200, (37, 41)) // (1 if samples == 1 else 9) * (1.5 if dtype[0] == "f" else 1)
+    image[5:20] = 7
+    got, _ = scenes.read_tiff(packed_tiff(image.astype(dtype), dtype, order, compression, predictor, tile, samples=samples))
+    assert np.array_equal(got, image.astype(dtype))
+
+
 L1T = """GROUP = L1_METADATA_FILE
   GROUP = PRODUCT_METADATA
     SENSOR_ID = "HYPERION"
