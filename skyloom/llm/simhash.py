@@ -176,25 +176,46 @@ def links(distinct: DataFrame, max_bits: int = 2, bucket_cap: int = 2048) -> Dat
     return near.unionByName(far).distinct()
 
 
+#: Edges from which on nodes with many of them are told apart, and ways by which their rows are dealt.
+MANY, WAYS = 4096, 32
+
+
+def _dealt_join(left: DataFrame, right: DataFrame, key: str, hubs: list[int], how: str = "inner") -> DataFrame:
+    """`left` joined with `right`, which has one row for each key: rows of the keys among `hubs` are
+    dealt over several tasks."""
+    if not hubs:
+        return left.join(right, key, how)
+    frequent = F.col(key).isin(hubs)
+    way = F.when(frequent, F.pmod(F.monotonically_increasing_id(), F.lit(WAYS)).cast("int")).otherwise(0)
+    ways = F.when(frequent, F.sequence(F.lit(0), F.lit(WAYS - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("_way", way).join(right.withColumn("_way", F.explode(ways)), [key, "_way"], how).drop("_way")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): for every node of `edges` (a, b: longs), a root that its component shares.
 
     Every round points each node at its smallest neighbour's smallest neighbour and contracts the
-    edges; nodes without edges are done.  Only counts reach the driver."""
+    edges; nodes without edges are done.  What reaches the driver are counts, and the nodes that are
+    at more than a hundredth of all edges' ends, of which there are under a hundred."""
     spark = edges.sparkSession
     edges = materialise(edges.where("a <> b").select("a", "b").distinct(), "edges")
     maps: list[DataFrame] = []
     for _ in range(max_rounds):
-        if edges.isEmpty():
+        n = edges.count()
+        if not n:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select(F.col("a").alias("v"), F.least("a", "m").alias("m"), "n")
+        hubs = []
+        if n > MANY:
+            least = materialise(least, "least")
+            hubs = [r[0] for r in least.where(F.col("n") > n // 50).select("v").collect()]
+        least = least.drop("n")
         up = least.select(F.col("v").alias("m"), F.col("m").alias("mm"))
-        step = materialise(least.join(up, "m", "left").select("v", F.coalesce("mm", "m").alias("p")), "step")
+        step = materialise(_dealt_join(least, up, "m", hubs, "left").select("v", F.coalesce("mm", "m").alias("p")), "step")
         maps.append(step)
-        pa_, pb = step.toDF("a", "pa"), step.toDF("b", "pb")
-        edges = edges.join(pa_, "a").join(pb, "b").where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
-        edges = materialise(edges, "edges")
+        moved = _dealt_join(_dealt_join(edges, step.toDF("a", "pa"), "a", hubs), step.toDF("b", "pb"), "b", hubs)
+        edges = materialise(moved.where("pa <> pb").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
     else:
         raise RuntimeError("the components did not settle")
     if not maps:

@@ -275,3 +275,19 @@ def test_recall_by_kind_of_edit(spark):
         met = [got[i] == got[i + 1] for x, i in pairs if x == kind]
         print(kind, sum(met), len(met))
         assert len(met) > 60 and sum(met) >= 0.98 * len(met)
+
+
+@pytest.mark.parametrize("many", [4096, 10])
+def test_components_with_hubs(spark, monkeypatch, many):
+    """Stars, chains and a clique, whether or not frequent nodes are told apart."""
+    monkeypatch.setattr(S, "MANY", many)
+    r = np.random.default_rng(4)
+    edges = [(0, k) for k in range(1, 400)] + [(1000 + k, 999) for k in range(1, 200)] + [(k, k + 1) for k in range(2000, 2060)] + [(i, j) for i in range(3000, 3008) for j in range(3000, i)]
+    edges += [(399, 1199), (5000, 5000)]
+    edges = [edges[i] for i in r.permutation(len(edges))]
+    got = {x.node: x.root for x in S.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    groups = {}
+    for node, root in got.items():
+        groups.setdefault(root, set()).add(node)
+    want = [set(range(400)) | set(range(999, 1000)) | set(range(1001, 1200)), set(range(2000, 2061)), set(range(3000, 3008))]
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want))
