@@ -269,5 +269,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", r
     rules = rules or QualityRules()
     rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
     refs = references(rows.select("text", "lang"), rules)
-    # one expression, so that the filter computes a text's features once
-    return rows_of(rows.where(let(features(F.col("text"), refs), lambda q: verdict(q, F.col("lang"), refs, rules)["kept"])), docs.columns)
+    # one expression, which can't be null, so that the filter computes a text's features once: Spark
+    # would test one that can be for null first
+    kept = let(features(F.col("text"), refs), lambda q: verdict(q, F.col("lang"), refs, rules)["kept"])
+    return rows_of(rows.where(F.coalesce(kept, F.lit(False))), docs.columns)
