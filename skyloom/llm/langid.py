@@ -129,23 +129,26 @@ def _blocks(chars: np.ndarray, trie: PieceTrie, longest: int):
     n = chars.shape[1]
     for lo in range(0, n, BLOCK):
         hi, start = min(n, lo + BLOCK), max(0, lo - longest + 1)
-        out = np.full((len(chars), (hi - start) * longest), -1, np.int32)
-        trie.fill(chars[:, start:hi], longest, _Column(longest), out)
-        out = out.reshape(len(chars), hi - start, longest)[:, lo - start :]
+        out = np.full((len(chars), hi - start, longest), -1, np.int32)
+        # all starts of the block go down the trie together
+        row, at = (x.ravel() for x in np.indices((len(chars), hi - start)))
+        node = np.zeros(len(row), np.int32)
+        for size in range(longest):
+            inside = at + size < hi - start
+            row, at, node = row[inside], at[inside], node[inside]
+            node = trie.step(node, chars[row, start + at + size])
+            on = node >= 0
+            row, at, node = row[on], at[on], node[on]
+            if not len(row):
+                break
+            number = trie.number[node]
+            found = number >= 0
+            out[row[found], at[found] + size, size] = number[found]
+        out = out[:, lo - start :]
         out[:, :, 0] = np.maximum(out[:, :, 0], 0)
         yield lo + 1, out
 
 
-class _Column:
-    """Where `_blocks` puts the piece at (start, end): by end, then by length."""
-
-    def __init__(self, longest: int):
-        self.longest = longest
-
-    def __getitem__(self, span: tuple[int, int]) -> int:
-        return (span[1] - 1) * self.longest + span[1] - span[0] - 1
-
-
 def log_forward(chars: np.ndarray, trie: PieceTrie, prob: np.ndarray, longest: int, every: bool = False) -> np.ndarray:
     """Logs of what `forward` sums, for words of any one length: [w, l] at the words' ends, or [w, j, l]
     for every place j if `every`.  Sums are scaled to 1 every few characters, so none vanishes."""

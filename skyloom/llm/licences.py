@@ -9,7 +9,7 @@ found too.  Dice is twice the bigrams in common over all bigrams of both.
 Three prunings, none of which loses a match at threshold `t`.  A line or paragraph can only reach it
 for a template of m distinct bigrams if it has between m * t / (2 - t) and m * (2 - t) / t of them,
 so sizes rule out templates.  A match holds at least t / (2 - t) of the template's bigrams, so a
-text without any of a set of words that are in more of them than may lack is never cut up at all;
+text without any of a set of words and bigrams that are in more of them than may lack is never cut up;
 and windows are only tried about a set of more of the template's bigrams than may lack.
 """
 
@@ -97,19 +97,27 @@ def templates(source=TEMPLATES, threshold: float = 0.8) -> list[Template]:
     return out
 
 
-def anchors(found: list[Template], threshold: float = 0.8) -> list[str]:
-    """Words such that a unit within the threshold of any template has at least one of them: for
-    each template, words (long ones first) that cover more bigrams than a match may lack."""
-    chosen: list[str] = []
+def anchors(found: list[Template], threshold: float = 0.8) -> tuple[list[str], list[str]]:
+    """Words and bigrams such that a match within the threshold of any template has at least one of
+    them: for each template, as many as cover more bigrams than a match may lack.  Words of six
+    letters and more come first, which ordinary texts have seldom, by how many bigrams they cover
+    that are not covered yet; then words of five; then whole bigrams, as shorter words are in every
+    text.  A word also covers words that it is a part of."""
+    words: list[str] = []
+    pairs: list[str] = []
+    covers = lambda word, gram: any(word in w for w in gram.split())
     for t in found:
         may_lack = len(t.grams) * (1 - threshold / (2 - threshold))
-        covered = {g for g in t.grams if set(g.split()) & set(chosen)}
-        for w in sorted({w for g in t.grams for w in g.split()}, key=lambda w: (-len(w), w)):
-            if len(covered) > may_lack:
-                break
-            chosen.append(w)
-            covered |= {g for g in t.grams if w in g.split()}
-    return sorted(w for w in set(chosen) if not any(v != w and v in w for v in set(chosen)))
+        bare = [g for g in t.grams if g not in pairs and not any(covers(c, g) for c in words)]
+        while len(t.grams) - len(bare) <= may_lack + 1e-9:
+            gain = {w: sum(covers(w, g) for g in bare) for g in bare for w in g.split() if len(w) > 4}
+            if gain:
+                words.append(min(gain, key=lambda w: (len(w) < 6, -gain[w], -len(w), w)))
+                bare = [g for g in bare if not covers(words[-1], g)]
+            else:
+                pairs.append(max(bare, key=lambda g: (len(g), g)))
+                bare.remove(pairs[-1])
+    return sorted(w for w in set(words) if not any(v != w and v in w for v in set(words))), sorted(set(pairs))
 
 
 def _words(unit: Column) -> Column:
@@ -159,10 +167,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     found = templates(source, threshold)
     rows = spread(take(docs, id_col, text_col)).toDF("id", "text")
     wide = max(t.most for t in found)
-    lowered = F.lower(F.coalesce("text", F.lit("")))
-    may = F.lit(False)
-    for w in anchors(found, threshold):
-        may = may | F.contains(lowered, F.lit(w))
+    words, pairs = anchors(found, threshold)
+    some = lambda t: F.exists(constant(words, "array<string>"), lambda w: F.contains(t, w))
+    spaced = "|".join(p.replace(" ", "[^a-z0-9]+") for p in pairs)
+    may = let(F.lower(F.coalesce("text", F.lit(""))), lambda t: some(t) | t.rlike(spaced) if pairs else some(t))
     table = constant([{"name": t.name, "grams": t.grams, "least": t.least, "most": t.most, "n_words": t.n_words} for t in found], "array<struct<name:string,grams:array<string>,least:int,most:int,n_words:int>>")
     hit = "struct<minus:double,name:string>"
 
