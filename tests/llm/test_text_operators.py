@@ -630,6 +630,14 @@ def test_no_window_is_missed():
                 assert g & {x for x, _ in t.starts}
 
 
+def test_anchors_rule_out_no_match():
+    """Whatever bigrams a match lacks, it has an anchor."""
+    words, pairs = licences.anchors(licences.templates())
+    for t in licences.templates():
+        bare = [g for g in t.grams if g not in pairs and not any(a in w for w in g.split() for a in words)]
+        assert len(bare) < len(t.grams) * 0.8 / 1.2 - 1e-9
+
+
 def test_licences_inside_texts(spark):
     by = {n: t for n, t in licences.TEMPLATES}
     mit, bsd3, bsd2 = by["MIT"], by["BSD-3-Clause"], by["BSD-2-Clause"]
@@ -710,3 +718,27 @@ def test_write_shards(spark, tmp_path):
     sizes = out.groupBy("_shard").agg(F.sum(F.octet_length("text")).alias("b")).collect()
     assert len(sizes) > 5 and all(s.b <= 500 for s in sizes)
     assert sharding.assign_shards(df.where("false")).count() == 0
+
+
+# ---- very long texts -------------------------------------------------------------------------------------------------
+
+LONG = ["ab" * 60_000, "the word " * 20_000, " " * 300_000, "." * 200_000 + "x", "![" * 50_000, "\n" + " " * 200_000 + "\n", "漢字" * 20_000, "a. b, " * 20_000, "#$%" * 60_000, "line\n" * 20_000]
+
+
+def test_very_long_texts(spark):
+    """Every text operator takes long texts, with and without spaces, whole."""
+    df = spark.createDataFrame([(i, t, "en" if i % 2 else "de") for i, t in enumerate(LONG)], "doc_id long, text string, lang string").repartition(4)
+    words = {i: len(re.findall(WORD, t)) for i, t in enumerate(LONG)}
+    q = {r.doc_id: r for r in quality.assess(df).collect()}
+    assert {i: r.n_words for i, r in q.items()} == words and q[4].word_chars == len(LONG[4]) and q[9].n_dup_lines == 19_999
+    assert q[1].n_repeat_words == words[1] and q[8].n_symbols == len(LONG[8])
+    assert quality.keep_good(df).count() == sum(r.kept for r in q.values())
+    assert {r.id: r.n_words for r in wordpiece.token_counts(df, PIECES).collect()} == words
+    assert {r.doc_id: r.lang_pred == "und" for r in langid.identify(df, PIECES).collect()} == {i: not any(c.isalpha() for c in t) for i, t in enumerate(LONG)}
+    assert licences.scan(df).where("licence IS NOT NULL").count() == 0
+    ids = dict(zip(range(len(LONG)), map(len, slow_ids(LONG)), strict=True))
+    assert {r.id: r.n for r in packing.packed_pieces(df, tokenizer=BYTES).groupBy("id").agg(F.sum("length").alias("n")).collect()} == ids
+    chats = df.select(F.lit(1).alias("conv_id"), F.col("doc_id").alias("turn"), F.lit("user").alias("role"), chat.parts_of(F.col("text")).alias("parts"))
+    back = chat.format_chats(chats, parts="parts").select(chat.read_turns(F.col("formatted")).alias("t")).first().t
+    assert [b.text for b in back] == LONG
+    assert Counter(r.bytes for r in sharding.assign_shards(df).collect()) == Counter(len(t.encode()) for t in LONG)
