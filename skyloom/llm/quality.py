@@ -125,9 +125,11 @@ def _classes(text: Column) -> Column:
 
 
 def _tidy(text: Column) -> Column:
-    """The lower-cased words without the punctuation at their ends, in order.  Of two ways to match
-    punctuation, the first keeps what more follows, the second drops what ends a word."""
-    return _words(F.regexp_replace(F.lower(text), r"([.,;:!?]++[^.,;:!?\x20\x09-\x0D])|[.,;:!?]++", "$1"))
+    """The lower-cased words without the punctuation at their ends, in order: words end at white
+    space and the punctuation before it.  Only a run's first mark is looked at, so long runs that
+    end no word cost no more than others."""
+    end = r"(?<![.,;:!?])[.,;:!?]++[\x20\x09-\x0D]++|[\x20\x09-\x0D]++"
+    return F.filter(F.split(F.rtrim(F.lower(text), F.lit(".,;:!?")), end), lambda w: w != "")
 
 
 def _counts(found: Column, words: Column) -> Column:
