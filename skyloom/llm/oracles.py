@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from . import chat, licences, quality, sharding
+from . import chat, licences, mixing, quality, sharding
 
 
 def _text(s: str) -> str:
@@ -141,6 +141,59 @@ SELECT doc_id, top.name AS licence, coalesce(dice, 0.0) AS dice, CAST(coalesce(n
 FROM d LEFT JOIN o USING (rid) LEFT JOIN top USING (rid)"""
 
 
+def curriculum(share: float = 1.5, most: int = 2, schedules=mixing.SCHEDULES, seed: int = 11) -> str:
+    """Sources in order of size by weight: those before some place are full, and the level that shares
+    the rest among those from there on is the last one that fills none of them."""
+    weights = [mixing.integrals(k)[-1] for k in schedules]
+
+    def inverse(k: int) -> str:
+        (_, a), (_, b) = schedules[k]
+        y = f"(share * {weights[k]!r})"
+        return f"least(2 * {y} / ({a!r} + sqrt(greatest({a * a!r} + {2 * (b - a)!r} * {y}, 0))), 1)"
+
+    when = "CASE kind " + " ".join(f"WHEN {k} THEN {inverse(k)}" for k in range(len(schedules))) + " END"
+    times = [f"CASE WHEN t{i} > 0 THEN round((SELECT {when} FROM (SELECT least((base + {i} * source_size) / greatest(target, 1), 1) AS share)), 9) END" for i in range(2)]
+    taken = [f"greatest(least(base + {i} * source_size + size, floor(target)) - (base + {i} * source_size), 0)" for i in range(2)]
+    return rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h FROM documents),
+  s AS (SELECT source, sum(size) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(schedules)} AS kind FROM d GROUP BY source),
+  w AS (SELECT *, {weights!r}[kind + 1] AS weight, {float(most)!r} * source_size AS cap FROM s),
+  o AS (SELECT *, row_number() OVER (ORDER BY cap / weight, kind, source) AS k FROM w),
+  l AS (SELECT *, ({share} * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM o),
+  g AS (SELECT source, source_size, kind, least(cap, weight * (SELECT first(level ORDER BY k) FROM l AS m WHERE m.cap > m.level * m.weight)) AS target FROM l),
+  r AS (SELECT d.*, g.source_size, kind, target, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base
+    FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+  t AS (SELECT *, {taken[0]} AS t0, {taken[1]} AS t1 FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target, CAST(t0 + t1 AS BIGINT) AS taken, {times[0]} AS first_time, {times[1]} AS second_time FROM t"""
+
+
+def spelling_variants(min_length: int = 7, min_count: int = 2, ratio: int = 10, spoil: int = 31) -> str:
+    """CRC-32 by its table of 256, which is computed; near words by deleting each character in turn."""
+    step = lambda c, b: f"xor({c} >> 8, t[(xor({c}, {b}) & 255) + 1])"
+    bytes_of = "list_transform(range(strlen(k)), lambda i: CAST('0x' || substr(hex(k), 2 * i + 1, 2) AS BIGINT))"
+    return rf"""
+WITH RECURSIVE bits AS (SELECT CAST(range AS BIGINT) AS i, CAST(range AS BIGINT) AS c, 0 AS n FROM range(256)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+  tab AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE n = 8),
+  tok AS (SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS w FROM documents)),
+  own AS (SELECT doc_id, w, count(*) AS n FROM tok GROUP BY ALL),
+  crc AS (SELECT w, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_of}), lambda c, b: {step("c", "b")}), 4294967295) AS h
+    FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS k FROM own), tab),
+  said AS (SELECT CASE WHEN h % {spoil} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM crc),
+  words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM said WHERE length(word) >= {min_length} GROUP BY word HAVING sum(n) >= {min_count}),
+  cut AS (SELECT DISTINCT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+  half AS (SELECT DISTINCT a.word AS a, a.n AS na, b.word AS b, b.n AS nb FROM cut a JOIN cut b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    UNION SELECT DISTINCT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.less = b.word),
+  near AS (SELECT a, b, nb FROM half UNION SELECT b, a, na FROM half),
+  best AS (SELECT a AS word, count(*) AS n_near, max(nb) AS most FROM near GROUP BY a),
+  form AS (SELECT near.a AS word, min(b) AS form, any_value(most) AS form_n FROM near JOIN best ON near.a = best.word AND nb = most JOIN words ON words.word = near.a WHERE most >= {ratio} * n GROUP BY near.a),
+  chain AS (SELECT word, word AS root, 0 AS k FROM words UNION ALL SELECT chain.word, form, k + 1 FROM chain JOIN form ON form.word = chain.root),
+  last AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+SELECT words.word, form, root, n, coalesce(n_near, 0) AS n_near, form_n FROM words LEFT JOIN best USING (word) LEFT JOIN form USING (word) JOIN last USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_extendible_shards": shards(),
@@ -148,4 +201,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": quality_rules(),
         "op7_chat_format": chat_format(),
         "op10_license_scan": license_scan(),
+        "op11_curriculum_mix": curriculum(),
+        "op13_spelling_variants": spelling_variants(),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licences, oracles, packing, quality, sharding, simhash, spsample, topk, wordpiece
+from . import chat, langid, licences, mixing, oracles, packing, quality, sharding, simhash, spelling, spsample, topk, whitening, wordpiece
 from .common import load
 
 
@@ -90,6 +90,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("licences", F.array_join("licences", ","))
 
 
+def op11_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.by_time(mixing.mix(load(spark, sf_dir, "documents")))
+    again = F.try_element_at(F.transform("passes", lambda p: p["time"]), F.lit(2))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.round("time", 9).alias("first_time"), F.round(again, 9).alias("second_time"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(load(spark, sf_dir, "documents"), spoil=31)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -104,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_language_id,
             op9_token_counts,
             op10_license_scan,
+            op11_curriculum_mix,
+            op12_whitening,
+            op13_spelling_variants,
         )
     }
 
