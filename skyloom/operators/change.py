@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..functions.projection import Projection
 from ..shipping import ship
+from ..staging import materialise
 
 
 def cloud_filter(pixels: DataFrame, value: str = "v", group: list[str] | None = None) -> DataFrame:
@@ -26,23 +27,14 @@ def cloud_filter(pixels: DataFrame, value: str = "v", group: list[str] | None =
     return rows.join(F.broadcast(cut) if not group else cut, keys).where(F.col("_s") <= F.col("_cut")).select(*pixels.columns)
 
 
-def neighbours(cells: DataFrame, reach: int, keys: list[str], values: list[str]) -> DataFrame:
-    """Every cell's values sent to all cells within `reach` rows and columns: (keys, row, col,
-    drow, dcol, values), where (row, col) is the receiver.  A cell has (2 reach + 1)**2 of them."""
-    span = F.sequence(F.lit(-reach), F.lit(reach))
-    moves = F.flatten(F.transform(span, lambda a: F.transform(span, lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    sent = cells.withColumn("_m", F.explode(moves))
-    return sent.select(*keys, (F.col("row") + F.col("_m.a")).alias("row"), (F.col("col") + F.col("_m.b")).alias("col"), (-F.col("_m.a")).alias("drow"), (-F.col("_m.b")).alias("dcol"), *values)
-
-
 def outline(pixels: DataFrame, alpha: str = "alpha", keys: tuple[str, ...] = ("scene_id",)) -> DataFrame:
     """Adds `outline`: 1 where 1 to 8 of a pixel and its eight neighbours are valid; pixels at the
     edge of the image are 0.  Missing pixels count as invalid."""
     k = list(keys)
-    on = pixels.where(F.col(alpha)).select(*k, "row", "col")
-    counts = neighbours(on, 1, k, []).groupBy(*k, "row", "col").agg(F.count(F.lit(1)).alias("_n"))
+    on = pixels.withColumn("g1", F.coalesce(F.col(alpha), F.lit(False)).cast("double")).withColumn("g2", F.lit(0.0))
+    counted = window_sums(on, 1, k, {"_n": ("g1", "g1")}).drop("g1", "g2")
     edges = pixels.groupBy(*k).agg(F.min("row").alias("_r0"), F.max("row").alias("_r1"), F.min("col").alias("_c0"), F.max("col").alias("_c1"))
-    joined = pixels.join(counts, [*k, "row", "col"], "left").join(edges, k)
+    joined = counted.join(edges, k)
     inner = (F.col("row") > F.col("_r0")) & (F.col("row") < F.col("_r1")) & (F.col("col") > F.col("_c0")) & (F.col("col") < F.col("_c1"))
     return joined.select(*pixels.columns, F.when(inner & F.col("_n").between(1, 8), 1).otherwise(0).alias("outline"))
 
@@ -82,16 +74,20 @@ def overlapping_pairs(left: DataFrame, right: DataFrame, exact=corner_overlap, c
 BLOCK = 128
 
 
-def window_sums(both: DataFrame, reach: int, keys: list[str]) -> DataFrame:
-    """(keys, row, col, x2, y2, xy) for pixels (keys, row, col, g1, g2): sums of g1 g1, g2 g2 and
-    g1 g2 over the pixels within `reach` rows and columns.
+#: Sums over windows of two grey levels: squares of each and their products.
+PRODUCTS = {"x2": ("g1", "g1"), "y2": ("g2", "g2"), "xy": ("g1", "g2")}
+
+
+def window_sums(both: DataFrame, reach: int, keys: list[str], products: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Adds to pixels (keys, row, col, g1, g2, ...) sums over the pixels within `reach` rows and
+    columns, by default x2, y2 and xy of g1 g1, g2 g2 and g1 g2.  A place must have one pixel.
 
     Pixels go to their block, and those near its edge to its neighbours too; a block is summed as an
     array of fixed size, so pixels move once, not once for each window that they are in."""
+    products = products or PRODUCTS
     at = lambda c: F.sequence(F.floor((F.col(c) - reach) / BLOCK), F.floor((F.col(c) + reach) / BLOCK))
     dealt = both.withColumn("_by", F.explode(at("row"))).withColumn("_bx", F.explode(at("col")))
-    kept = [f for f in both.schema.fields if f.name in (*keys, "row", "col")]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", x2 double, y2 double, xy double"
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in both.schema.fields), *(f"`{name}` double" for name in products)])
 
     def box(a: np.ndarray) -> np.ndarray:
         """Sums over squares; `a` has a margin of `reach`."""
@@ -100,16 +96,19 @@ def window_sums(both: DataFrame, reach: int, keys: list[str]) -> DataFrame:
         return a
 
     def summed(table: pa.Table) -> pa.Table:
-        row, col, g1, g2 = (np.array(table.column(c)) for c in ("row", "col", "g1", "g2"))
+        row, col = (np.array(table.column(c)) for c in ("row", "col"))
         y, x = (np.array(table.column(c)[:1])[0] * BLOCK for c in ("_by", "_bx"))
-        one, two = np.zeros((2, BLOCK + 2 * reach, BLOCK + 2 * reach))
-        one[row - y + reach, col - x + reach], two[row - y + reach, col - x + reach] = np.nan_to_num(g1), np.nan_to_num(g2)
+        planes = {}
+        for name in {n for pair in products.values() for n in pair}:
+            planes[name] = np.zeros((BLOCK + 2 * reach, BLOCK + 2 * reach))
+            planes[name][row - y + reach, col - x + reach] = np.nan_to_num(np.array(table.column(name), float))
         mine = np.flatnonzero((row >= y) & (row < y + BLOCK) & (col >= x) & (col < x + BLOCK))
-        out = {f.name: table.column(f.name).take(pa.array(mine)) for f in kept}
-        for name, a in (("x2", one * one), ("y2", two * two), ("xy", one * two)):
-            out[name] = pa.array(box(a)[row[mine] - y, col[mine] - x])
+        out = {c: table.column(c).take(pa.array(mine)) for c in both_columns}
+        for name, (a, b) in products.items():
+            out[name] = pa.array(box(planes[a] * planes[b])[row[mine] - y, col[mine] - x])
         return pa.table(out)
 
+    both_columns = both.columns
     ship(both.sparkSession)
     return dealt.groupBy(*keys, "_by", "_bx").applyInArrow(summed, schema)
 
@@ -123,13 +122,14 @@ def gray_window_score(first: DataFrame, second: DataFrame, window: int = 1, keys
     k = list(keys)
     g1 = first.select(*k, "row", "col", B.gray(F.col("v")).alias("g1"))
     g2 = second.select(*k, "row", "col", B.gray(F.col("v")).alias("g2"))
-    both = g1.join(g2, [*k, "row", "col"])
+    # the pair is joined once: two numbers a pixel, which windows and deviation both read
+    both = materialise(g1.join(g2, [*k, "row", "col"]), "grey")
     near = window_sums(both, window, k)
     kk = k or ["_k"]
     tagged = both if k else both.withColumn("_k", F.lit(1))
     sigma = tagged.groupBy(*kk).agg(F.stddev_pop("g1").alias("sigma"))
     own = near if k else near.withColumn("_k", F.lit(1))
-    s = own.join(F.broadcast(sigma) if not k else sigma, kk)
+    s = own.join(F.broadcast(sigma) if not k else sigma, kk)  # without keys, one row
     t1, t2 = F.col("x2") * F.col("y2") - F.col("xy") * F.col("xy"), F.col("sigma") * F.col("sigma") * (F.col("x2") + F.col("y2"))
     score = F.exp(-exponent * F.try_divide(t1, t2)) / F.pow(math.sqrt(2 * math.pi) * F.col("sigma"), F.lit(window - 1))
     return s.select(*k, "row", "col", score.alias("score"))
@@ -169,16 +169,26 @@ def detect(first: DataFrame, bands1: list[str], second: DataFrame, bands2: list[
         v = F.array(*(F.col("v")[bands.index(b)] for b in common))
         return outline(p.select(F.lit(1).alias("scene_id"), "row", "col", v.alias("v"), B.mask_truthy(F.col("v")).alias("alpha")))
 
-    one, two = prepared(first, bands1), prepared(second, bands2)
-    two = register(two, place1["geo"], place1["wkt"], place2["geo"], place2["wkt"], place1["height"], place1["width"]).where("row1 IS NOT NULL")
-    rim2 = two.where("outline = 1").select(F.col("row1").alias("row"), F.col("col1").alias("col"), F.lit(1).alias("rim")).distinct()
+    # each side's outline is drawn once, and the pair is joined once, to four numbers a pixel
+    one = materialise(prepared(first, bands1), "first")
+    two = register(prepared(second, bands2), place1["geo"], place1["wkt"], place2["geo"], place2["wkt"], place1["height"], place1["width"])
+    two = materialise(two.where("row1 IS NOT NULL"), "second")
     # of several pixels of the second scene at one of the first, the first by row and column
-    at = two.where("alpha").groupBy(F.col("row1").alias("row"), F.col("col1").alias("col")).agg(F.min_by("v", F.struct("row", "col")).alias("v2"))
-    both = one.where("alpha").select("row", "col", F.col("v").alias("v1")).join(at, ["row", "col"])
-    clear = cloud_filter(cloud_filter(both, "v1"), "v2")
-    scored = clear.select("row", "col", F.coalesce(B.unit_range(B.change_score(F.col("v1"), F.col("v2"))), F.lit(0.0)).alias("p"))
-    cloudy = both.join(scored.select("row", "col"), ["row", "col"], "left_anti").select("row", "col", F.lit(0.0).alias("p"))
-    painted = one.select("row", "col", "outline").join(scored.unionByName(cloudy), ["row", "col"], "left").join(rim2, ["row", "col"], "left")
+    at = two.groupBy(F.col("row1").alias("row"), F.col("col1").alias("col")).agg(
+        F.min_by("v", F.when(F.col("alpha"), F.struct("row", "col"))).alias("v2")
+    )
+    met = one.where("alpha").select("row", "col", F.col("v").alias("v1")).join(at, ["row", "col"])
+    change = F.coalesce(B.unit_range(B.change_score(F.col("v1"), F.col("v2"))), F.lit(0.0))
+    square = lambda v: B.dot(F.col(v), F.col(v))
+    both = materialise(met.where("v2 IS NOT NULL").select("row", "col", square("v1").alias("s1"), square("v2").alias("s2"), change.alias("p")), "common")
+    # clouds of the first scene go, then those of the second among what is left
+    cut = lambda rows, s: rows.agg(F.avg(s) + F.stddev_pop(s)).first()[0]
+    cut1 = cut(both, "s1")
+    clear = F.col("s1") <= F.lit(cut1)
+    clear &= F.col("s2") <= F.lit(cut(both.where(clear), "s2"))
+    scored = both.select("row", "col", F.when(clear, F.col("p")).otherwise(0.0).alias("p"))
+    rim2 = two.where("outline = 1").select(F.col("row1").alias("row"), F.col("col1").alias("col"), F.lit(1).alias("rim")).distinct()
+    painted = one.select("row", "col", "outline").join(scored, ["row", "col"], "left").join(rim2, ["row", "col"], "left")
     base = F.when(F.col("p").isNull(), 0.0).otherwise(1.0 - F.col("p")) + F.col("outline")
     value = F.when(F.col("rim") == 1, 1.0).otherwise(base)
     return painted.select("row", "col", *(value.alias(c) for c in "rgb"))

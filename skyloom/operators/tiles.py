@@ -15,7 +15,7 @@ from ..functions import calib, grid
 from ..schema import LayerSpec
 from ..shipping import ship
 from ..sources.codec import png
-from .ranks import at_ranks
+from .ranks import at_ranks, between
 
 WIDTH, HEIGHT = 512, 256
 TILE = ("depth", "x", "y")
@@ -34,20 +34,26 @@ def overlay(pixels: DataFrame, values: list[str], order: list[str], cell: list[s
 def percentile_range(pixels: DataFrame, bands: list[str], group: list[str], low: float = 5, high: float = 95, floor: float = 10) -> DataFrame:
     """Per group: `low` and `high`, the least lower and the greatest upper percentile among the
     bands, over values above `floor`, or over all where no band has such a value.  Equal bounds
-    give the least and greatest value, and if those are equal 0 and 1."""
-
-    both = F.array(F.lit(low / 100), F.lit(high / 100))  # one pass over a group's values gives both bounds
-    some = [F.percentile(F.when(F.col(b) > floor, F.col(b)), both).alias(f"_s{i}") for i, b in enumerate(bands)]
-    every = [F.percentile(F.col(b), both).alias(f"_e{i}") for i, b in enumerate(bands)]
-
-    def of(k: int, pick) -> Column:
-        many = lambda p: pick(*(F.col(f"{p}{i}")[k] for i in range(len(bands)))) if len(bands) > 1 else F.col(f"{p}0")[k]
-        return F.coalesce(many("_s"), many("_e"))
-
-    least = F.least(*(F.min(b) for b in bands)) if len(bands) > 1 else F.min(bands[0])
-    most = F.greatest(*(F.max(b) for b in bands)) if len(bands) > 1 else F.max(bands[0])
-    r = pixels.groupBy(*group).agg(*some, *every, least.alias("_a"), most.alias("_b"))
-    return settled(r.select(*group, of(0, F.least).alias("low"), of(1, F.greatest).alias("high"), "_a", "_b"))
+    give the least and greatest value, and if those are equal 0 and 1.
+
+    Percentiles are exact, by ranks, and no task holds a group's values.  Values above the floor are
+    the last ones in order, so their ranks are ranks among all."""
+    shares = {"low": low / 100, "high": high / 100}
+    parts = F.explode(F.array(*(F.struct(F.lit(i).alias("band"), F.col(b).cast("double").alias("v")) for i, b in enumerate(bands))))
+    rows = pixels.select(*group, parts.alias("p")).select(*group, F.col("p.band").alias("_band"), F.col("p.v").alias("_value"))
+    some = lambda s: lambda n, k: F.when(k > 0, (n - k) + (k - 1) * F.lit(s))
+    every = lambda s: lambda n, k: (n - 1) * F.lit(s)
+    places = {f"{kind}_{end}": at(s) for kind, at in (("some", some), ("every", every)) for end, s in shares.items()}
+    ranks = {"_a": lambda n, k: F.lit(0), "_b": lambda n, k: n - 1}
+    for name, at in places.items():
+        ranks[f"{name}_0"] = lambda n, k, at=at: F.floor(at(n, k))
+        ranks[f"{name}_1"] = lambda n, k, at=at: F.ceil(at(n, k))
+    found = at_ranks(rows, [*group, "_band"], "_value", ranks, above=floor)
+    value = lambda name: between(F.col(f"{name}_0"), F.col(f"{name}_1"), places[name](F.col("_total"), F.col("_above"))).alias(name)
+    found = found.select(*group, *map(value, places), "_a", "_b")
+    r = found.groupBy(*group).agg(*((F.min if name.endswith("low") else F.max)(name).alias(name) for name in places), F.min("_a").alias("_a"), F.max("_b").alias("_b"))
+    best = lambda end: F.coalesce(F.col(f"some_{end}"), F.col(f"every_{end}")).alias(end)
+    return settled(r.select(*group, best("low"), best("high"), "_a", "_b"))
 
 
 def settled(r: DataFrame) -> DataFrame:

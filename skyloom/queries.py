@@ -696,11 +696,11 @@ FULL = f"""fx_full AS (SELECT vec_id, CAST(vec_id // {V.PIXEL_WIDTH} AS INTEGER)
     e AS (SELECT min(row) AS r0, max(row) AS r1, min(col) AS c0, max(col) AS c1 FROM a),
     n AS (SELECT c.row, c.col, count(*) FILTER (m.on1) AS n1, count(*) FILTER (m.on2) AS n2 FROM b c JOIN b m ON m.row BETWEEN c.row-1 AND c.row+1 AND m.col BETWEEN c.col-1 AND c.col+1 GROUP BY 1,2),
     o AS (SELECT b.*, row>r0 AND row<r1 AND col>c0 AND col<c1 AND n1 BETWEEN 1 AND 8 AS rim1, row>r0 AND row<r1 AND col>c0 AND col<c1 AND n2 BETWEEN 1 AND 8 AS rim2 FROM b JOIN n USING (row, col), e),
-    both_ AS (SELECT row, col, list_dot_product(v1,v1) AS s1, list_dot_product(v2,v2) AS s2, list_dot_product(v1,v2) AS xy FROM o WHERE on1 AND on2 AND row < 20),
+    both_ AS (SELECT row, col, list_dot_product(v1,v1) AS s1, list_dot_product(v2,v2) AS s2, list_dot_product(v1,v2) AS xy FROM o WHERE on1 AND on2),
     k1 AS (SELECT * FROM both_ WHERE s1 <= (SELECT avg(s1)+stddev_pop(s1) FROM both_)),
     k2 AS (SELECT * FROM k1 WHERE s2 <= (SELECT avg(s2)+stddev_pop(s2) FROM k1)),
     p AS (SELECT row, col, CASE WHEN q<0 OR q>1 THEN 0.0 ELSE q END AS p FROM (SELECT row, col, (s1*s2-xy*xy)/(s1*s2) AS q FROM k2)),
-    z AS (SELECT o.row, o.col, CASE WHEN rim2 AND o.row < 20 THEN 1.0 ELSE (CASE WHEN both_.row IS NULL THEN 0.0 ELSE 1.0-coalesce(p.p,0.0) END) + CAST(rim1 AS INTEGER) END AS v
+    z AS (SELECT o.row, o.col, CASE WHEN rim2 THEN 1.0 ELSE (CASE WHEN both_.row IS NULL THEN 0.0 ELSE 1.0-coalesce(p.p,0.0) END) + CAST(rim1 AS INTEGER) END AS v
       FROM o LEFT JOIN both_ USING (row, col) LEFT JOIN p USING (row, col))
     SELECT row, col, round(v,6) AS r, round(v,6) AS g, round(v,6) AS b FROM z""".lstrip(),
     (FULL,),
@@ -711,7 +711,8 @@ def change_detection(spark, d):
         F.transform("embedding", lambda x: F.when(F.col("vec_id") % 11 == 0, 0.0).otherwise(F.abs(x.cast("double")) * 100.0)).alias("v"),
     )
     second = p.withColumn("v", F.transform("v", lambda x, i: F.when((F.col("vec_id") + i) % 7 == 0, x * 0.5).otherwise(x)))
-    at = {"geo": [0.0, 1.0, 0, 0.0, 0, -1.0], "wkt": "", "height": 20, "width": V.PIXEL_WIDTH}
+    height = (p.agg(F.max("row")).first()[0] or 0) + 1
+    at = {"geo": [0.0, 1.0, 0, 0.0, 0, -1.0], "wkt": "", "height": height, "width": V.PIXEL_WIDTH}
     found = change.detect(p.select("row", "col", "v"), V.BANDS, second.select("row", "col", "v"), V.BANDS[:32], at, at)
     return found.select("row", "col", *(r6(c).alias(c) for c in "rgb"))
 
