@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import in_arrow, ship  # noqa: F401  used by the operators
+from ..staging import delete, materialise, released, shared_dir  # noqa: F401
 
 #: What separates words in the word-level operators.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -74,53 +70,3 @@ def let(value: Column, body) -> Column:
 def constant(value, schema: str) -> Column:
     """A nested constant, in one expression."""
     return F.from_json(F.lit(json.dumps(value)), schema)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is
-    unset on a local master, a temporary folder of this machine."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not place:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        place = os.path.join(tempfile.gettempdir(), "skyloom-shared")
-    return place.rstrip("/")
-
-
-def delete(spark: SparkSession, path: str, on_exit: bool = False) -> None:
-    """Deletes a folder of any store, now or when the JVM ends."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if on_exit:
-        files.deleteOnExit(place)
-    else:
-        files.delete(place, True)
-
-
-#: Folders of the tables that `materialise` has written and that are still there.
-_written: list[str] = []
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes `df` as a table in the shared folder and reads it back: lineage ends there, a
-    lost executor costs no recomputation, and the optimiser sees the table's real size.  The table
-    stays until the JVM ends, or the `released` block that it is written in."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    delete(spark, path, on_exit=True)
-    _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def released(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end the tables that `materialise` wrote within it.  What was derived from them
-    must have been written by then."""
-    before = len(_written)
-    try:
-        yield
-    finally:
-        for path in _written[before:]:
-            delete(spark, path)
-        del _written[before:]
