@@ -5,6 +5,8 @@ At depth d each axis has 2**(d + 1) indices; tiles are named `Tdd-xxxxx-yyyyy`.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,3 +108,68 @@ def within_degrees(lon: Column, lat: Column, lon0: float, lat0: float, radius: f
     if radius == 0:
         return F.lit(True)
     return F.sqrt((lat - lat0) * (lat - lat0) + (lon - lon0) * (lon - lon0)) < radius
+
+
+def morton(x: Num, y: Num) -> Column:
+    """The bits of x and y (below 2**16 each) taken in turn, y's above x's: tiles near each other
+    have near numbers, and a quadtree cell of any level is a range of them."""
+
+    def spread(c: Column) -> Column:
+        c = c.cast("bigint")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return c
+
+    return spread(_col(x)).bitwiseOR(F.shiftleft(spread(_col(y)), 1))
+
+
+def morton_ranges(x_min: int, x_max: int, y_min: int, y_max: int, most: int = 16, depth: int = DEEPEST) -> list[tuple[int, int]]:
+    """At most `most` ranges (both ends included) of Morton numbers that hold all tiles of a box, and
+    as few others as that allows.
+
+    Cells of the quadtree that the box crosses are split, level by level, as long as the ranges are
+    few enough; neighbouring ranges become one."""
+    side = 1 << (depth + 2)  # the index of the upper longitude edge is one past the last
+    x_min, y_min, x_max, y_max = max(x_min, 0), max(y_min, 0), min(x_max, side - 1), min(y_max, side - 1)
+    if x_min > x_max or y_min > y_max:
+        return []
+
+    def joined(cells: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        for lo, size, _ in sorted(cells):
+            if out and out[-1][1] + 1 == lo:
+                out[-1] = (out[-1][0], lo + size - 1)
+            else:
+                out.append((lo, lo + size - 1))
+        return out
+
+    def corner(z: int) -> tuple[int, int]:
+        bits = range(depth + 2)
+        return sum((z >> (2 * i) & 1) << i for i in bits), sum((z >> (2 * i + 1) & 1) << i for i in bits)
+
+    cells = [(0, side * side, False)]
+    while True:
+        finer = []
+        for lo, size, whole in cells:
+            if whole or size == 1:
+                finer.append((lo, size, True))
+                continue
+            for part in range(4):
+                at, n = lo + part * size // 4, size // 4
+                (x, y), w = corner(at), int(math.isqrt(n))
+                if x <= x_max and y <= y_max and x + w > x_min and y + w > y_min:
+                    finer.append((at, n, x >= x_min and y >= y_min and x + w - 1 <= x_max and y + w - 1 <= y_max))
+        if len(joined(finer)) > most:
+            return joined(cells)
+        if finer == cells:
+            return joined(cells)
+        cells = finer
+
+
+def in_ranges(value: Column, ranges: list[tuple[int, int]]) -> Column:
+    """Whether a number is in one of the ranges: comparisons alone, which reach the files' statistics."""
+    found = F.lit(False)
+    for k, (lo, hi) in enumerate(ranges):
+        one = (value >= lo) & (value <= hi)
+        found = one if k == 0 else found | one
+    return found

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +11,7 @@ from ..functions.projection import Projection, pixel_place
 from ..operators import geo, points, tiles
 from ..schema import Analytic, LayerSpec, chain
 from ..shipping import ship
+from ..staging import materialise, released
 from ..sources import codec, store
 
 
@@ -26,28 +25,59 @@ def analysed(pixels: DataFrame, bands: list[str], analytics: list[Analytic]) ->
     return chain(wide(pixels, bands), bands, analytics)
 
 
+#: What the store keeps of a cell: its colour, and the scene that it is from.
+CELL = ("row", "col")
+KEPT = (*"rgba", "ts", "scene_id")
+
+
+def cells_path(path: str) -> str:
+    """Where the pixels that are shown lie, beside the images at `path`."""
+    return f"{path.rstrip('/')}-cells"
+
+
+def add_cells(cells: DataFrame, path: str) -> DataFrame:
+    """Lays new cells of the deepest level's overlay (layer, depth, x, y, row, col, r, g, b, a, ts,
+    scene_id) on the store at `path`, all levels up, and redraws the tiles that they are in.
+    Returns these tiles' keys.
+
+    A level's pixel is one of the deepest level's, and of each the last scene's is shown; so every
+    level is overlaid by itself, new cells on those of the same blocks, in any order of
+    arrival.  Blocks without a new cell are neither read nor written, in cells and images alike."""
+    spark, here = cells.sparkSession, cells_path(path)
+    touched = materialise(cells.select(*tiles.TILE, "layer").distinct(), "touched")
+    with released(spark):
+        new = materialise(cells.withColumn("block", store.tile_block(F.col("x"), F.col("y"))), "cells")
+        old = store.in_blocks(new, here)
+        every = new if old is None else new.unionByName(old)
+        place = ["layer", *tiles.TILE, *CELL, "block"]
+        last = every.groupBy(*place).agg(F.max_by(F.struct(*KEPT), F.struct("ts", "scene_id")).alias("_v"))
+        store.replace_blocks(last.select(*place, *(F.col(f"_v.{c}").alias(c) for c in KEPT)), here)
+        shown = store.in_blocks(new, here).join(touched, ["layer", *tiles.TILE], "left_semi")
+        store.write_tiles(tiles.images(shown.select("layer", *tiles.TILE, *CELL, *"rgba")), path)
+    return touched
+
+
 def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec], path: str, analytics: list[Analytic] = (), depth: int = grid.DEEPEST, top: int = 1, **resampling) -> DataFrame:
-    """Scenes of common bands to images of all levels, written under `path` by layer and depth.
+    """Scenes of common bands to images of all levels at `path`, added to those that are there.
 
-    One shuffle overlays the scenes; levels are a filter over its result, and the pixels of a
-    tile meet once more to be drawn.  Returns the written table."""
+    Scenes are resampled once for all layers; one shuffle overlays them, and levels are a filter over its
+    result.  Further scenes, later or earlier ones, go on top of or under what is stored, and only
+    the tiles that they touch, up to `top`, are redrawn.  Returns the stored table."""
     spark = scenes.sparkSession
-    # resampled once, as every layer reads them, and those with percentiles twice
-    beside = f"{path.rstrip('/')}-pixels-{uuid.uuid4().hex}"
-    geo.tile_scenes(scenes, depth, **resampling).write.parquet(beside)
-    pixels, names = analysed(spark.read.parquet(beside), list(bands), list(analytics))
-    drawn = None
-    for spec in layers:
-        if not set(spec.bands) <= set(names):
-            store.drop_points(spark, beside)
-            raise ValueError(f"layer {spec.name} lacks {set(spec.bands) - set(names)}")
-        colours = tiles.layer_pixels(pixels, spec)
-        cells = tiles.overlay(colours, list("rgba"), ["ts", "scene_id"], [*tiles.TILE, "row", "col", "layer"])
-        images = tiles.images(tiles.pyramid(cells, depth, top))
-        drawn = images if drawn is None else drawn.unionByName(images)
-    store.write_tiles(drawn, path)
-    store.drop_points(spark, beside)
-    return spark.read.parquet(path)
+    with released(spark):
+        # resampled once, as every layer reads them, and those with percentiles twice
+        resampled = materialise(geo.tile_scenes(scenes, depth, **resampling), "pixels")
+        pixels, names = analysed(resampled, list(bands), list(analytics))
+        cells = None
+        for spec in layers:
+            if not set(spec.bands) <= set(names):
+                raise ValueError(f"layer {spec.name} lacks {set(spec.bands) - set(names)}")
+            colours = tiles.layer_pixels(pixels, spec)
+            one = tiles.overlay(colours, list(KEPT), ["ts", "scene_id"], [*tiles.TILE, *CELL, "layer"])
+            levels = tiles.pyramid(one, depth, top)
+            cells = levels if cells is None else cells.unionByName(levels)
+        add_cells(cells, path)
+    return store.read_tiles(spark, path)
 
 
 def bright_spots(scenes: DataFrame, bands: list[str], band: str, threshold: float | str, path: str, analytics: list[Analytic] = (), k: int = 10) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from .functions import bands as B
 from .functions import calib, grid, keys, projection
 from .operators import catalog, change, classify, explore, geo, points, tiles
+from .plans import pipelines
 from .plans import views as V
 from .schema import ColumnAnalytic, LayerSpec, chain
 from .shipping import ship
 from .sources import codec, scenes, store
+from .staging import delete, fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -455,6 +457,20 @@ def valid_corners(spark, d):
     return c.select("top_row", r6("top_col").alias("top_col"), "bottom_row", r6("bottom_col").alias("bottom_col"))
 
 
+@query("SELECT DISTINCT tile, ts, round(lon,6) AS longitude, round(lat,6) AS latitude FROM pt WHERE x BETWEEN 100 AND 1900 AND y BETWEEN 700 AND 1100 AND ts BETWEEN 1704067200 AND 1706000000", (PT, PTT))
+def points_box_store(spark, d):
+    """A wide box of the stored points, by ranges of the curve that they are sorted along; points that
+    are written again appear once."""
+    p = V.points(spark, d)
+    rows = store.point_rows(p.withColumnRenamed("lon", "longitude").withColumnRenamed("lat", "latitude"))
+    path = fresh_dir(spark, "points")
+    store.write_points(rows, path)
+    store.write_points(rows.where("longitude > 0"), path)
+    delete(spark, path, on_exit=True)
+    found = store.scan_box(store.read_points(spark, path), 100, 1900, 700, 1100, 1704067200, 1706000000, ordered=False)
+    return found.select("tile", "ts", r6("longitude").alias("longitude"), r6("latitude").alias("latitude"))
+
+
 # ---- tiles ---------------------------------------------------------------------------------------------
 
 CELL = "x, y, row, col"
@@ -521,19 +537,25 @@ def layer_rgb(spark, d):
     return tiles.layer_pixels(p, LayerSpec("RGB", ("B029", "B023", "B016"), "RGB", 2.0, 30.0)).select("vec_id", *"rgba")
 
 
-@query("SELECT CAST(2 AS INTEGER) AS depth, x, y, 'Y' AS layer, CAST(sum(CAST(floor(value/500) AS BIGINT)) AS BIGINT) AS red, count(*) AS opaque, CAST(sum(CAST(floor(value/500) AS BIGINT)*(row*512+col)) AS BIGINT) AS moment FROM laid GROUP BY x, y", (TP, LAST))
-def tile_images(spark, d):
-    """Images as they are written, decoded again: sums of red, opaque pixels, and red by place."""
-    laid = _laid(spark, d).withColumn("v", (F.col("value") / 500).cast("int"))
-    px = laid.select("depth", "x", "y", "row", "col", F.lit("Y").alias("layer"), *(F.col("v").alias(c) for c in "rg"), F.lit(0).alias("b"), F.lit(255).alias("a"))
+def _image_sums(png):
+    """Sums of red, opaque pixels, and red by place, of images that are decoded."""
 
     @F.pandas_udf("red long, opaque long, moment long")
     def read(images: pd.Series) -> pd.DataFrame:
         found = [codec.unpng(bytes(x)) for x in images]
         place = np.arange(tiles.HEIGHT * tiles.WIDTH).reshape(tiles.HEIGHT, tiles.WIDTH)
-        return pd.DataFrame({"red": [int(i[..., 0].sum()) for i in found], "opaque": [int((i[..., 3] == 255).sum()) for i in found], "moment": [int((i[..., 0] * place).sum()) for i in found]}, dtype="int64")
+        return pd.DataFrame({"red": [int(i[..., 0].sum()) for i in found], "opaque": [int((i[..., 3] > 0).sum()) for i in found], "moment": [int((i[..., 0] * place).sum()) for i in found]}, dtype="int64")
+
+    return read(png)
 
-    return tiles.images(px).select("depth", "x", "y", "layer", read("png").alias("r")).select("depth", "x", "y", "layer", "r.*")
+
+@query("SELECT CAST(2 AS INTEGER) AS depth, x, y, 'Y' AS layer, CAST(sum(CAST(floor(value/500) AS BIGINT)) AS BIGINT) AS red, count(*) AS opaque, CAST(sum(CAST(floor(value/500) AS BIGINT)*(row*512+col)) AS BIGINT) AS moment FROM laid GROUP BY x, y", (TP, LAST))
+def tile_images(spark, d):
+    """Images as they are written, decoded again: sums of red, opaque pixels, and red by place."""
+    laid = _laid(spark, d).withColumn("v", (F.col("value") / 500).cast("int"))
+    px = laid.select("depth", "x", "y", "row", "col", F.lit("Y").alias("layer"), *(F.col("v").alias(c) for c in "rg"), F.lit(0).alias("b"), F.lit(255).alias("a"))
+
+    return tiles.images(px).select("depth", "x", "y", "layer", _image_sums("png").alias("r")).select("depth", "x", "y", "layer", "r.*")
 
 
 @query("SELECT 'T02-' || lpad(CAST(x AS VARCHAR),5,'0') || '-' || lpad(CAST(y AS VARCHAR),5,'0') || '-RGB' AS row_key, 'n=' || n AS image, '{\"n\": ' || n || '}' AS metadata FROM (SELECT x, y, count(*) AS n FROM fx_tilepix GROUP BY x, y) WHERE (x=3 AND y=2) OR (x=7 AND y=0)", (TP,))
@@ -549,6 +571,30 @@ def tile_point_get(spark, d):
     return out.select("row_key", F.col("l2png").cast("string").alias("image"), "metadata")
 
 
+@query(
+    """SELECT 'T02-' || lpad(CAST(x AS VARCHAR),5,'0') || '-' || lpad(CAST(y AS VARCHAR),5,'0') || '-' || layer AS row_key, layer, 'n=' || n AS image, '{"batch": ' || batch || '}' AS metadata
+    FROM (SELECT x, y, layer, batch, n, row_number() OVER (PARTITION BY x, y, layer ORDER BY batch DESC) AS k FROM (
+      SELECT x, y, 'RGB' AS layer, 1 AS batch, count(*) AS n FROM fx_tilepix GROUP BY x, y
+      UNION ALL SELECT x, y, 'RGB', 2, count(*) FILTER (row > 2) FROM fx_tilepix WHERE (x + y) % 3 = 0 GROUP BY x, y
+      UNION ALL SELECT x, y, '007', 2, count(*) FILTER (row > 2) FROM fx_tilepix WHERE x > 5 GROUP BY x, y)) WHERE k = 1""",
+    (TP,),
+)
+def tile_store_upsert(spark, d):
+    """Tiles written, and some of them again with others: those replace themselves alone."""
+    px = V.tile_pixels(spark, d)
+    number = lambda c: c.cast("string")
+
+    def images(rows, layer: str, batch: int, n):
+        counted = rows.groupBy("depth", "x", "y").agg(n.alias("n"))
+        return counted.select("depth", "x", "y", F.lit(layer).alias("layer"), F.concat(F.lit("n="), number(F.col("n"))).cast("binary").alias("png"), F.lit(f'{{"batch": {batch}}}').alias("metadata"))
+
+    late, path = F.count_if(F.col("row") > 2), fresh_dir(spark, "tiles")
+    store.write_tiles(images(px, "RGB", 1, F.count(F.lit(1))), path)
+    store.write_tiles(images(px.where("(x + y) % 3 = 0"), "RGB", 2, late).unionByName(images(px.where("x > 5"), "007", 2, late)), path)
+    delete(spark, path, on_exit=True)
+    return store.read_tiles(spark, path).select("row_key", "layer", F.col("l2png").cast("string").alias("image"), "metadata")
+
+
 # ---- codec -----------------------------------------------------------------------------------------------
 
 
@@ -946,6 +992,48 @@ def scene_resample(spark, d):
     return found.select("scene_id", "x", "y", "row", "col", r6("mask", 5).alias("mask"), r6(F.col("v")[0], 5).alias("b001"), r6(F.col("v")[1], 5).alias("b002"))
 
 
+#: Scenes of 8 x 25 pixels in pairs that overlap, each on a day of its own, on tiles of depth 5.
+PYRAMID = """, s AS (SELECT vec_id//200 AS k, CAST((vec_id%200)//25 AS INTEGER) AS srow, CAST(vec_id%25 AS INTEGER) AS scol, v[1] AS a, CAST(v[1]>0 AND v[2]>0 AS DOUBLE) AS m FROM fx_pixels),
+  sc AS (SELECT DISTINCT k, -150.0017 + (k%2)*0.5 + ((k//2)*5)%300 AS lft, (k*37)%300 AS day FROM s),
+  tl AS (SELECT k, lft, day, x, unnest(generate_series(CAST(floor((20.0033-0.4+90.0)/180.0*64) AS INTEGER), CAST(floor((20.0033+90.0)/180.0*64) AS INTEGER))) AS y
+    FROM (SELECT *, unnest(generate_series(CAST(floor((lft+180.0)/360.0*64) AS INTEGER), CAST(floor((lft+1.25+180.0)/360.0*64) AS INTEGER))) AS x FROM sc)),
+  ys AS (SELECT *, ((y+1)*180.0/64-90.0 - i*180.0/64/256 - 20.0033)/(-0.05) AS ry FROM (SELECT *, unnest(generate_series(0,255)) AS i FROM tl)),
+  px AS (SELECT *, (x*360.0/64-180.0 + j*360.0/64/512 - lft)/0.05 AS rx FROM (SELECT *, unnest(generate_series(0,511)) AS j FROM ys WHERE ry BETWEEN 0 AND 7)),
+  w AS (SELECT px.*, (1-abs(ry-srow))*(1-abs(rx-scol)) AS w, a, m FROM px JOIN s ON s.k=px.k AND srow BETWEEN floor(ry) AND floor(ry)+1 AND scol BETWEEN floor(rx) AND floor(rx)+1 WHERE rx BETWEEN 0 AND 24),
+  r AS (SELECT k, day, x, y, i, j, sum(w*m) AS m, sum(w*a) AS a FROM w GROUP BY ALL),
+  kept AS (SELECT k, x, y FROM r GROUP BY ALL HAVING max(m) > 0.5),
+  top AS (SELECT x, y, i, j, arg_max(a, (day, CAST(k AS VARCHAR))) AS a FROM r JOIN kept USING (k, x, y) WHERE m >= 0.01 GROUP BY ALL),
+  g AS (SELECT x*512+j AS gx, (63-y)*256+i AS gy, CAST(floor(greatest(least(a/30.0*255.0,255.0),0.0)) AS BIGINT) AS red FROM top),
+  l AS (SELECT 5-u AS depth, u, gx>>u AS gx, gy>>u AS gy, red FROM (SELECT *, unnest([0,1,2]) AS u FROM g) WHERE gx%(1<<u)=0 AND gy%(1<<u)=0)
+  SELECT CAST(depth AS INTEGER) AS depth, CAST(gx//512 AS INTEGER) AS x, CAST((1<<(depth+1))-1-gy//256 AS INTEGER) AS y, CAST(sum(red) AS BIGINT) AS red, count(*) AS opaque, CAST(sum(red*((gy%256)*512+gx%512)) AS BIGINT) AS moment FROM l GROUP BY ALL"""
+
+
+@query(PYRAMID.lstrip(), (PX,))
+def scenes_to_pyramid(spark, d):
+    """Scenes in two batches to the images of three levels, the later scene on top whichever batch it
+    came in; images are decoded again."""
+    from .schema import SCENE
+
+    ship(spark)
+
+    def build(key, pdf):
+        k, cube = int(key[0]), np.zeros((200, 2))
+        cube[(pdf["vec_id"] % 200).to_numpy()] = np.array(pdf["v"].tolist())
+        left = -150.0017 + (k % 2) * 0.5 + ((k // 2) * 5) % 300
+        meta = {"GeoTransform": json.dumps([left, 0.05, 0.0, 20.0033, 0.0, -0.05]), "Projection": "", "L1T": json.dumps({"PRODUCT_METADATA": {"START_TIME": f"2012 {(k * 37) % 300 + 1:03d} 00:00:00"}})}
+        s = codec.scene_of(cube.reshape(8, 25, 2), ["B001", "B002"], meta)
+        return pd.DataFrame([{"scene_id": str(k), **s, "data": [{"index": i, "strip": b} for i, b in s["data"]]}])
+
+    px = V.pixels(spark, d).select(F.floor(F.col("vec_id") / 200).alias("k"), "vec_id", F.slice("v", 1, 2).alias("v"))
+    path, red = fresh_dir(spark, "pyramid"), LayerSpec("RED", ("B001", "B001", "B001"), "RGB", 0.0, 30.0)
+    for odd in (1, 0):
+        batch = px.where(F.col("k") % 2 == odd).groupBy("k").applyInPandas(build, f"scene_id string, {SCENE}")
+        pipelines.scenes_to_tiles(batch, ["B001", "B002"], [red], path, depth=5, top=3, order=1)
+    for written in (path, pipelines.cells_path(path)):
+        delete(spark, written, on_exit=True)
+    return store.read_tiles(spark, path).select("depth", "x", "y", _image_sums("l2png").alias("r")).select("depth", "x", "y", "r.*")
+
+
 @query(ORACLES["co2_index"].replace("SELECT vec_id, round(exp", "SELECT vec_id, round(v[16],6) AS b016, round(exp"))
 def analytic_chain(spark, d):
     """A module run over wide pixels: it takes the lines' bands away and appends one of its own."""
