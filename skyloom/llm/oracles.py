@@ -57,7 +57,9 @@ def quality_rules(rules: quality.QualityRules | None = None) -> str:
         return f"sqrt(greatest(({' + '.join(terms)}) / {2 * math.log(2)!r}, 0))"
 
     all_chars = " + ".join(f"r.c{i}" for i in range(nc))
-    by_chars = js([term(f"(f.c{i} * 1.0 / greatest(f.n_chars, 1))", f"(r.c{i} * 1.0 / ({all_chars}))") for i in range(nc)])
+    of_text = lambda i: f"(f.c{i} * 1.0 / greatest(f.n_chars, 1))"
+    by_pool = js([term(of_text(i), f"p{i}") for i in range(nc)])
+    by_chars = js([term(of_text(i), f"(r.c{i} * 1.0 / ({all_chars}))") for i in range(nc)])
     own = [f"len(list_filter(f.tidy, lambda x: x = r.w[{k}]))" for k in range(1, nw + 1)]
     counts = [(f"coalesce({c}, 0)", f"coalesce(r.n[{k}], 0)") for k, c in enumerate(own, 1)]
     counts.append((f"(f.n_tidy - ({' + '.join(a for a, _ in counts)}))", "(r.n_tidy - list_sum(r.n))"))
@@ -74,14 +76,18 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, {label} AS labelled
   cover AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(generate_series(i, i + {w - 1})) AS pos FROM twice) GROUP BY rid),
   f AS (SELECT t.rid, doc_id, lang, labelled, tidy, len(list_filter(tidy, lambda x: x <> '')) AS n_tidy, len(ws) AS n_words, length(text) AS n_chars, length(array_to_string(ws, '')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words,
-      {", ".join(f"{c} AS c{i}" for i, c in enumerate(chars))}
+      {", ".join(f"{c} AS c{i}" for i, c in enumerate(chars))},
+      (len(ws) < {rules.min_n_words} OR 100 * coalesce(cover.n, 0) > {rules.max_repeat_percent} * len(ws)) AS base_failed
     FROM t LEFT JOIN cover USING (rid)),
-  lw AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(tidy) AS w FROM f WHERE labelled) WHERE regexp_matches(w, '\p{{L}}') GROUP BY ALL),
+  pool AS (SELECT {", ".join(f"avg(c{i} * 1.0 / n_chars) AS p{i}" for i in range(nc))} FROM f WHERE NOT base_failed AND n_words >= {rules.min_words}),
+  off AS (SELECT rid, {by_pool} AS off FROM f, pool),
+  g AS (SELECT f.* FROM f JOIN off USING (rid) WHERE labelled AND NOT base_failed AND off <= {rules.max_pool_distance}),
+  lw AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(tidy) AS w FROM g) WHERE regexp_matches(w, '\p{{L}}') GROUP BY ALL),
   top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM lw) WHERE k <= {nw}),
   r AS (SELECT * FROM (SELECT lang AS ref, list(w ORDER BY k) AS w, list(n ORDER BY k) AS n FROM top GROUP BY lang)
-    JOIN (SELECT lang AS ref, sum(n_tidy) AS n_tidy, {", ".join(f"sum(c{i}) AS c{i}" for i in range(nc))} FROM f WHERE labelled GROUP BY lang HAVING sum(n_tidy) >= {rules.min_label_words}) USING (ref)),
-  far AS (SELECT f.rid, min({far}) AS distance FROM f, r WHERE f.n_words >= {rules.min_words} AND (NOT labelled OR lang IN (SELECT ref FROM r)) GROUP BY f.rid),
-  v AS (SELECT f.*, distance, (n_words < {rules.min_n_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words) AS base_failed FROM f LEFT JOIN far USING (rid))
+    JOIN (SELECT lang AS ref, sum(n_tidy) AS n_tidy, {", ".join(f"sum(c{i}) AS c{i}" for i in range(nc))} FROM g GROUP BY lang HAVING sum(n_tidy) >= {rules.min_label_words}) USING (ref)),
+  far AS (SELECT f.rid, min({far}) AS far FROM f, r WHERE lang = ref OR NOT labelled GROUP BY f.rid),
+  v AS (SELECT f.*, CASE WHEN n_words >= {rules.min_words} THEN greatest(off / {rules.max_pool_distance}, far) END AS distance FROM f JOIN off USING (rid) LEFT JOIN far USING (rid))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, round(distance, 6) AS distance, (NOT base_failed AND coalesce(distance, 0) <= 1) AS kept FROM v"""
 

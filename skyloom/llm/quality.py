@@ -1,20 +1,26 @@
 """Quality rules by distribution divergence, in SQL functions only.
 
-Each label in the documents is a language with a reference: its commonest words, counted over all
-documents that carry the label, against all its other words, and its characters by class.  No
-language is known beforehand.  A text is far from a language by the larger of two Jensen-Shannon
-distances (base 2, 0 to 1), of its character classes and of that language's common words, and is
-rejected if it is far from every language.
+A text is judged by Jensen-Shannon distances (base 2, 0 to 1) of two histograms, its characters by
+class and its language's common words, from references that are learned from the documents.
+
+The first reference is of characters alone: the mean shares of the classes over all documents that
+pass the base rules and are long enough to be judged, each counting once, however long.  Every text is held against it, whatever its
+label.  Then each label has a reference of its own, its commonest words against all its other
+words, and its characters, learned from the documents of the label that pass the base rules and lie
+near the first reference; so junk under a label of its own makes none.  A labelled text is held
+against its label's reference, if there is one, and a text without a label against the nearest.
+No language is known beforehand.
 
 The words come in two steps.  A sketch of bounded size, filled as texts are read, names candidates
 for each label; it misses none whose share of a label's words is above about 1 in 15,000.  Then the
-candidates are counted exactly, over all documents, and the commonest taken.
-
-Guards: texts of fewer than `min_words` words are too short for their histograms to mean much, and
-labels with fewer than `min_label_words` words in all too small to make a reference; such texts, and
-the documents of such labels, are judged by the base rules alone.  A longer text's few common words
-are still a small sample, so the limit for words has an allowance that falls with the root of its
-length.
+candidates are counted exactly, in the same pass over the texts that takes their base counts and
+characters; what that pass finds is written, and references and verdicts come from it.
+
+Guards: texts of fewer than `min_words` words are too short for their histograms to mean much and
+meet the base rules alone; labels with fewer than `min_label_words` words in all are too small to
+make a reference, and their documents meet the base rules and the first reference.  A longer text's
+few common words are still a small sample, so the limit for words has an allowance that falls with
+the root of its length.
 """
 
 from __future__ import annotations
@@ -25,11 +31,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, constant, let, rows_of, spread, take, with_row
+from .common import SPACE, constant, let, materialise, rows_of, spread, take, with_row
 
 WINDOW = 8
 #: Words that a label's sketch keeps track of, and candidates taken from it for each common word.
-TRACKED, CANDIDATES = 20000, 4
+TRACKED, CANDIDATES = 20000, 8
 #: Into how many a label's sketches are merged, step by step.
 WAYS = (512, 16)
 
@@ -42,6 +48,7 @@ class QualityRules:
     max_repeat_percent: int = 30
     min_words: int = 80
     min_label_words: int = 200
+    max_pool_distance: float = 0.28
     max_char_distance: float = 0.28
     max_word_distance: float = 0.21
     word_slack: float = 0.5
@@ -50,12 +57,10 @@ class QualityRules:
 
 @dataclass(frozen=True)
 class Reference:
-    """A language: its common words, the place of the first among the words of all languages, and the
-    shares of them (then of all others) and of characters by class."""
+    """A language: its common words, their shares (then that of all others), and its characters' by class."""
 
     lang: str
     words: tuple[str, ...]
-    at: int
     common: tuple[float, ...]
     chars: tuple[float, ...]
 
@@ -132,25 +137,33 @@ def _tidy(text: Column) -> Column:
     return F.filter(F.split(F.rtrim(F.lower(text), F.lit(".,;:!?")), end), lambda w: w != "")
 
 
-def _counts(found: Column, words: Column) -> Column:
-    """How often each of `words` is among the words `found`, in their order."""
-    return let(found, lambda c: F.transform(words, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long")))
+def _counts(found: Column) -> Column:
+    """How often each of the words `found` is among them, as a map."""
+
+    def of(c: Column) -> Column:
+        return let(F.array_distinct(c), lambda ws: F.map_from_arrays(ws, F.transform(ws, lambda w: (F.size(c) - F.size(F.array_remove(c, w))).cast("long"))))
 
+    return let(found, of)
 
-def _common(text: Column, refs: list[Reference]) -> Column:
-    """Counts of the languages' common words in a text, language by language, then of all its words."""
-    words = [w for r in refs for w in r.words]
-    found = lambda ts: F.filter(ts, lambda w: w.isin(sorted(set(words)))) if words else F.array().cast("array<string>")
-    return let(_tidy(text), lambda ts: F.concat(_counts(found(ts), constant(words, "array<string>")), F.array(F.size(ts).cast("long"))))
 
+def _known(ts: Column, lang: Column, words: dict[str, list[str]]) -> Column:
+    """Of a text's words, its label's candidates; of a text without such a label, those of all."""
+    if not words:
+        return F.array().cast("array<string>")
+    every = sorted({w for ws in words.values() for w in ws})
+    some = F.filter(ts, lambda w: w.isin(every))
+    own = F.try_element_at(constant(words, "map<string,array<string>>"), F.when(labelled(lang), lang))
+    return let(some, lambda ws: let(own, lambda o: F.when(o.isNull(), ws).otherwise(F.filter(ws, lambda w: F.array_contains(o, w)))))
 
-def features(text: Column, refs: list[Reference]) -> Column:
-    """A struct of the base counts of a text, its characters by class and its counts of the
-    languages' common words; null counts as empty."""
+
+def features(text: Column, lang: Column, words: dict[str, list[str]]) -> Column:
+    """A struct of the base counts of a text, its characters by class, its number of words without
+    punctuation and its counts of the labels' candidate words; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
 
     def of(ws: Column) -> Column:
         long = lambda c, name: c.cast("long").alias(name)
+        tidy = let(_tidy(text), lambda ts: F.struct(long(F.size(ts), "n"), _counts(_known(ts, lang, words)).alias("words")))
         return F.struct(
             long(F.size(ws), "n_words"),
             long(F.length(text), "n_chars"),
@@ -159,7 +172,7 @@ def features(text: Column, refs: list[Reference]) -> Column:
             long(_lines(text), "n_dup_lines"),
             long(_repeat_words(ws), "n_repeat_words"),
             _classes(text).alias("chars"),
-            _common(text, refs).alias("common"),
+            tidy.alias("tidy"),
         )
 
     return let(_words(text), of)
@@ -184,30 +197,34 @@ def candidates(rows: DataFrame, rules: QualityRules) -> dict[str, list[str]]:
     return {r["lang"]: sorted(r["words"]) for r in found.orderBy("lang").collect() if r["words"]}
 
 
-def references(rows: DataFrame, rules: QualityRules) -> list[Reference]:
-    """A reference for every label of `rows` (text, lang) with enough words, by name: its commonest
-    words (of a letter at least), ties to the first by name, and its characters.  `n_common` x
-    `CANDIDATES` words and one row of sums for each label reach the driver."""
-    found = candidates(rows, rules)
-    if not found:
+def base_failed(q: Column, rules: QualityRules) -> Column:
+    return (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
+
+
+def pooled(measured: DataFrame, rules: QualityRules) -> list[float]:
+    """The mean share of each class of characters over the documents of `measured` (lang, q) that pass
+    the base rules and are long enough to be judged; none if there is no such document."""
+    good = measured.where(~base_failed(F.col("q"), rules) & (F.col("q.n_words") >= rules.min_words))
+    shares = good.agg(*(F.avg(F.get("q.chars", F.lit(i)) / F.col("q.n_chars")) for i in range(len(CLASSES)))).first()
+    return [] if shares[0] is None else list(shares)
+
+
+def references(measured: DataFrame, words: dict[str, list[str]], pool: list[float], rules: QualityRules) -> list[Reference]:
+    """A reference for every label of `measured` (lang, q) that has enough words in documents that pass
+    the base rules and lie near the pool: of its candidates `words` the commonest, ties to the first
+    by name, and its characters.  Its candidates and one row of sums for each label reach the driver."""
+    if not words or not pool:
         return []
-    most = max(map(len, found.values()))
-    text, every = F.coalesce("text", F.lit("")), sorted({w for words in found.values() for w in words})
-    own = constant(found, "map<string,array<string>>")[F.col("lang")]
-
-    def counts(ts: Column) -> Column:
-        return let(own, lambda o: F.concat(F.array(F.size(ts).cast("long")), _counts(F.filter(ts, lambda w: w.isin(every) & F.array_contains(o, w)), o)))
-
-    mine = rows.where(F.col("lang").isin(list(found))).select("lang", _classes(text).alias("chars"), let(_tidy(text), counts).alias("own"))
-    total = lambda c, n: F.array(*(F.sum(F.get(F.col(c), F.lit(i))) for i in range(n))).alias(c)
-    sums = mine.groupBy("lang").agg(total("chars", len(CLASSES)), total("own", most + 1)).collect()
-    out, at = [], 0
-    for r in sorted(sums, key=lambda r: r["lang"]):
-        words, (all_, *own_), chars = found[r["lang"]], r["own"], sum(r["chars"])
-        best = sorted(range(len(words)), key=lambda i: (-own_[i], words[i]))[: rules.n_common]
-        n = [own_[i] for i in best]
-        out.append(Reference(r["lang"], tuple(words[i] for i in best), at, tuple(x / all_ for x in [*n, all_ - sum(n)]), tuple(c / chars for c in r["chars"])))
-        at += len(best)
+    q = F.col("q")
+    near = js_distance(q["chars"], q["n_chars"], pool) <= rules.max_pool_distance
+    mine = measured.where(F.col("lang").isin(list(words)) & ~base_failed(q, rules) & near)
+    sums = mine.groupBy("lang").agg(F.sum("q.tidy.n").alias("n"), F.array(*(F.sum(F.get("q.chars", F.lit(i))) for i in range(len(CLASSES)))).alias("chars"))
+    counts = mine.select("lang", F.explode("q.tidy.words").alias("w", "n")).groupBy("lang", "w").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "w"))).alias("words"))
+    out = []
+    for r in sums.where(F.col("n") >= rules.min_label_words).join(counts, "lang").orderBy("lang").collect():
+        best, chars = r["words"][: rules.n_common], sum(r["chars"])
+        n = [-w["n"] for w in best]
+        out.append(Reference(r["lang"], tuple(w["w"] for w in best), tuple(x / r["n"] for x in [*n, r["n"] - sum(n)]), tuple(c / chars for c in r["chars"])))
     return out
 
 
@@ -225,53 +242,60 @@ def js_distance(counts: Column, n: Column, ref: Column | list[float]) -> Column:
     return F.sqrt(F.greatest(total / (2 * math.log(2)), F.lit(0.0)))
 
 
-def verdict(q: Column, lang: Column, refs: list[Reference], rules: QualityRules) -> Column:
+def verdict(q: Column, lang: Column, pool: list[float], refs: list[Reference], rules: QualityRules) -> Column:
     """Struct of base_failed, distance and kept.  The distance is in units of the thresholds: a text
-    is far if it is above 1 for all languages; it is null where a guard holds (see above)."""
-    failed = (q["n_words"] < rules.min_n_words) | (100 * q["n_repeat_words"] > rules.max_repeat_percent * q["n_words"])
+    is far if it is above 1; it is null where it is too short to be judged (see above)."""
+    failed = base_failed(q, rules)
     word_limit = rules.max_word_distance + rules.word_slack / F.sqrt(F.greatest(q["n_words"], F.lit(1)))
-    table = [{"chars": r.chars, "common": r.common, "at": r.at + 1, "n": len(r.words)} for r in refs]
 
     def far(r: Column) -> Column:
-        own = F.slice(q["common"], r["at"], r["n"])
-        every = F.element_at(q["common"], -1)
-        rest = every - F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a + x)
-        words = js_distance(F.concat(own, F.array(rest)), every, r["common"])
+        own = F.transform(r["words"], lambda w: F.coalesce(F.try_element_at(q["tidy"]["words"], w), F.lit(0).cast("long")))
+        every = q["tidy"]["n"]
+        words = let(own, lambda o: js_distance(F.concat(o, F.array(every - F.aggregate(o, F.lit(0).cast("long"), lambda a, x: a + x))), every, r["common"]))
         return F.greatest(js_distance(q["chars"], q["n_chars"], r["chars"]) / rules.max_char_distance, words / word_limit)
 
-    near = F.lit(None).cast("double")
+    distance = F.lit(None).cast("double")
+    if pool:
+        distance = js_distance(q["chars"], q["n_chars"], pool) / rules.max_pool_distance
     if refs:
-        near = F.array_min(F.transform(constant(table, "array<struct<chars:array<double>,common:array<double>,at:int,n:int>>"), far))
-    judged = (q["n_words"] >= rules.min_words) & (~labelled(lang) | F.coalesce(lang.isin([r.lang for r in refs]), F.lit(False)))
-    return let(F.when(judged, near), lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
+        kind = "struct<words:array<string>,common:array<double>,chars:array<double>>"
+        table = [{"words": r.words, "common": r.common, "chars": r.chars} for r in refs]
+        by_label = constant({r.lang: t for r, t in zip(refs, table, strict=True)}, f"map<string,{kind}>")
+        own = let(F.try_element_at(by_label, lang), lambda r: F.when(r.isNotNull(), far(r)))
+        nearest = F.array_min(F.transform(constant(table, f"array<{kind}>"), far))
+        distance = F.greatest(distance, F.when(labelled(lang), own).otherwise(nearest))  # which leaves nulls out
+    judged = F.when(q["n_words"] >= rules.min_words, distance)
+    return let(judged, lambda d: F.struct(failed.alias("base_failed"), d.alias("distance"), (~failed & (F.coalesce(d, F.lit(0.0)) <= 1)).alias("kept")))
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def judged(rows: DataFrame, rules: QualityRules) -> DataFrame:
+    """Adds `q` and its verdict `v` to rows with a text and a label, and drops the text.  Texts are read
+    twice, for candidate words and for their features; what the second pass finds is written."""
+    words = candidates(rows.select("text", "lang"), rules)
+    measured = materialise(rows.withColumn("q", features(F.col("text"), F.col("lang"), words)).drop("text"), "measured")
+    pool = pooled(measured, rules)
+    refs = references(measured, words, pool, rules)
+    return measured.withColumn("v", verdict(F.col("q"), F.col("lang"), pool, refs, rules))
+
+
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """One row per document: the id, the base counts, base_failed, distance and kept.
 
     Null texts count as empty (no words, so they fail the base rules).  Rows with a null, blank or
-    "und" language are judged like the rest but feed no reference; without any reference the base
-    rules decide alone.  Repeated rows are judged alike; an empty table gives no rows; further
-    columns, of whatever names, are not looked at."""
-    rules = rules or QualityRules()
+    "und" language feed no label's reference and are judged by the nearest; where no document passes
+    the base rules and is long enough, they decide alone.  Repeated rows are judged alike; an empty table gives no rows;
+    further columns, of whatever names, are not looked at."""
     rows = spread(take(docs, id_col, text_col, lang_col)).toDF("id", "text", "lang")
-    refs = references(rows.select("text", "lang"), rules)
-    both = let(features(F.col("text"), refs), lambda q: F.struct(q.alias("q"), verdict(q, F.col("lang"), refs, rules).alias("v")))
-    judged = rows.select("id", both.alias("j"))
-    return judged.select(F.col("id").alias(id_col), *(F.col(f"j.q.{c}") for c in COUNTS), "j.v.base_failed", "j.v.distance", "j.v.kept")
+    found = judged(rows, rules or QualityRules())
+    return found.select(F.col("id").alias(id_col), *(F.col(f"q.{c}") for c in COUNTS), "v.base_failed", "v.distance", "v.kept")
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: QualityRules | None = None) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns; see `assess` for nulls,
-    repeated rows and empty tables.  No row is written or moved on the way: the references come
-    from passes of their own, and the rows are judged as they are read."""
-    rules = rules or QualityRules()
+    repeated rows and empty tables.  Rows are written once on the way, beside their features."""
     rows = spread(with_row(docs, text_col, lang_col)).toDF("_row", "text", "lang")
-    refs = references(rows.select("text", "lang"), rules)
-    # one expression, which can't be null, so that the filter computes a text's features once: Spark
-    # would test one that can be for null first
-    kept = let(features(F.col("text"), refs), lambda q: verdict(q, F.col("lang"), refs, rules)["kept"])
-    return rows_of(rows.where(F.coalesce(kept, F.lit(False))), docs.columns)
+    found = judged(rows, rules or QualityRules())
+    return rows_of(found.where("v.kept"), docs.columns)
