@@ -973,9 +973,8 @@ RESAMPLED = """, s AS (SELECT vec_id//200 AS k, CAST((vec_id%200)//25 AS INTEGER
   SELECT CAST(k AS VARCHAR) AS scene_id, x, y, CAST(i AS INTEGER) AS row, CAST(j AS INTEGER) AS col, round(m,5) AS mask, round(a,5) AS b001, round(b,5) AS b002 FROM r JOIN kept USING (k, x, y) WHERE m >= 0.01"""
 
 
-@query(RESAMPLED.lstrip(), (PX,))
-def scene_resample(spark, d):
-    """Scenes laid on tiles by linear splines, with their mask as a further band."""
+def _small_scenes(spark, d):
+    """The scenes of RESAMPLED, as the codec writes them."""
     from .schema import SCENE
 
     ship(spark)
@@ -988,10 +987,54 @@ def scene_resample(spark, d):
         return pd.DataFrame([{"scene_id": str(k), **s, "data": [{"index": i, "strip": b} for i, b in s["data"]]}])
 
     px = V.pixels(spark, d).select(F.floor(F.col("vec_id") / 200).alias("k"), "vec_id", F.slice("v", 1, 2).alias("v"))
-    found = geo.tile_scenes(px.groupBy("k").applyInPandas(build, f"scene_id string, {SCENE}"), depth=8, width=64, height=32, order=1)
+    return px.groupBy("k").applyInPandas(build, f"scene_id string, {SCENE}")
+
+
+def _resampled(found):
     return found.select("scene_id", "x", "y", "row", "col", r6("mask", 5).alias("mask"), r6(F.col("v")[0], 5).alias("b001"), r6(F.col("v")[1], 5).alias("b002"))
 
 
+@query(RESAMPLED.lstrip(), (PX,))
+def scene_resample(spark, d):
+    """Scenes laid on tiles by linear splines, with their mask as a further band."""
+    return _resampled(geo.tile_scenes(_small_scenes(spark, d), depth=8, width=64, height=32, order=1))
+
+
+@query(RESAMPLED.lstrip(), (PX,))
+def scene_resample_blocks(spark, d):
+    """The same by blocks of 8 x 8 pixels, as scenes of any size are resampled."""
+    return _resampled(geo.tile_blocks(geo.strips_of(_small_scenes(spark, d)), depth=8, width=64, height=32, order=1, block=8))
+
+
+def _mirror(k: str, n: int) -> str:
+    return f"(CASE WHEN abs({k}) % {2 * n - 2} >= {n} THEN {2 * n - 2} - abs({k}) % {2 * n - 2} ELSE abs({k}) % {2 * n - 2} END)"
+
+
+def _basis(t: str) -> str:
+    return f"(CASE WHEN abs({t}) < 1 THEN 2.0/3 - {t}*{t} + abs({t})*abs({t})*abs({t})/2 WHEN abs({t}) < 2 THEN (2-abs({t}))*(2-abs({t}))*(2-abs({t}))/6 ELSE 0 END)"
+
+
+#: Cubic splines of the scenes of RESAMPLED: their coefficients are sums over the mirrored image by a
+#: kernel that falls by sqrt(3) - 2 a pixel, along rows and then along columns.
+CUBIC = (
+    RESAMPLED[: RESAMPLED.index("  w AS (SELECT px.*")]
+    + f"""  q AS (SELECT unnest(generate_series(-32, 32)) AS q), h AS (SELECT q, sqrt(3.0) * pow(sqrt(3.0) - 2, abs(q)) AS h FROM q),
+  z AS (SELECT g.*, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(m, 0) AS m FROM (SELECT k, srow, CAST(unnest(generate_series(0, 24)) AS INTEGER) AS scol FROM (SELECT k, CAST(unnest(generate_series(0, 7)) AS INTEGER) AS srow FROM sc)) g LEFT JOIN s USING (k, srow, scol)),
+  c1 AS (SELECT o.k, o.srow, o.scol, sum(h*f.a) AS a, sum(h*f.b) AS b, sum(h*f.m) AS m FROM z o, h JOIN z f ON f.k=o.k AND f.scol=o.scol AND f.srow={_mirror("o.srow+q", 8)} GROUP BY ALL),
+  c2 AS (SELECT o.k, o.srow, o.scol, sum(h*f.a) AS a, sum(h*f.b) AS b, sum(h*f.m) AS m FROM c1 o, h JOIN c1 f ON f.k=o.k AND f.srow=o.srow AND f.scol={_mirror("o.scol+q", 25)} GROUP BY ALL),
+  n AS (SELECT *, {_basis("(ry-ny)")} * {_basis("(rx-nx)")} AS w FROM (SELECT *, CAST(floor(rx) AS INTEGER) + unnest([-1,0,1,2]) AS nx FROM (SELECT *, CAST(floor(ry) AS INTEGER) + unnest([-1,0,1,2]) AS ny FROM px WHERE ry BETWEEN 0 AND 7 AND rx BETWEEN 0 AND 24))),
+  w AS (SELECT n.*, a, b, m FROM n JOIN c2 ON c2.k=n.k AND c2.srow={_mirror("ny", 8)} AND c2.scol={_mirror("nx", 25)}),
+"""
+    + RESAMPLED[RESAMPLED.index("  r AS (SELECT k, x, y, i, j, sum(w*m)") :]
+)
+
+
+@query(CUBIC.lstrip(), (PX,))
+def scene_resample_cubic(spark, d):
+    """By cubic splines, the default, in blocks of 8 x 8 pixels with margins for their coefficients."""
+    return _resampled(geo.tile_blocks(geo.strips_of(_small_scenes(spark, d)), depth=8, width=64, height=32, order=3, block=8))
+
+
 #: Scenes of 8 x 25 pixels in pairs that overlap, each on a day of its own, on tiles of depth 5.
 PYRAMID = """, s AS (SELECT vec_id//200 AS k, CAST((vec_id%200)//25 AS INTEGER) AS srow, CAST(vec_id%25 AS INTEGER) AS scol, v[1] AS a, CAST(v[1]>0 AND v[2]>0 AS DOUBLE) AS m FROM fx_pixels),
   sc AS (SELECT DISTINCT k, -150.0017 + (k%2)*0.5 + ((k//2)*5)%300 AS lft, (k*37)%300 AS day FROM s),

@@ -197,6 +197,28 @@ def test_scene_lands_where_it_belongs():
     assert abs(total - (0.39 / (360 / 2048 / 64)) * (0.39 / (180 / 2048 / 32))) < 0.05 * total
 
 
+@pytest.mark.parametrize("order", range(6))
+def test_blocks_equal_whole_scenes(spark, order):
+    """Tiles by blocks with margins are those of whole scenes, with holes, sections and two scenes at once."""
+    made = []
+    for k, (lon, lat) in enumerate(((94.0, 41.0), (-33.37, -20.03))):
+        s = scene(f"s{k}", "2012 030 00:00:00", 20 + k, lon, lat, n=70 if k else 61)
+        cube = codec.cube_of(s)
+        r = np.random.default_rng(k)
+        cube *= 1 + r.random(cube.shape)
+        cube[r.random(cube.shape[:2]) < 0.1] = 0
+        cube[20:40, 5:25] = 0
+        again = codec.scene_of(cube, s["bands"], s["metadata"])
+        made.append({"scene_id": s["scene_id"], **again, "data": [{"index": i, "strip": b} for i, b in again["data"]]})
+    table = scene_table(spark, *made)
+    how = {"depth": 9, "width": 48, "height": 32, "order": order, "n_sections": 2 if order in (1, 3) else 1, "mask_bands": ["B016", "B023"]}
+    key = ["scene_id", "x", "y", "row", "col", "mask"]
+    want = sorted((*(r[c] for c in key), tuple(r["v"])) for r in geo.tile_scenes(table, **how).collect())
+    got = sorted((*(r[c] for c in key), tuple(r["v"])) for r in geo.tile_blocks(geo.strips_of(table, 500), **how, block=16).collect())
+    assert len(got) == len(want) > 300 and [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([[g[5], *g[6]] for g in got], [[w[5], *w[6]] for w in want], rtol=0, atol=1e-9)
+
+
 def test_tiles_end_to_end(spark, tmp_path):
     old, new = scene("old", "2012 030 00:00:00", 20), scene("new", "2012 031 00:00:00", 80, lon=94.2)
     table = scene_table(spark, old, new)
