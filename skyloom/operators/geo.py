@@ -249,9 +249,9 @@ def halo(order: int) -> int:
 
 
 def strips_of(scenes: DataFrame, values_at_once: int = 1 << 18) -> DataFrame:
-    """(scene_id, frame, start, values): the stored runs of scenes as pieces, so that the rest of the work
-    never sees a scene whole.  `frame` has what places a scene (metadata, bands, height, width) as
-    JSON, and `start` is the place of the first value by row, column and band."""
+    """(scene_id, frame, start, step, values): the stored runs of scenes as pieces, so that the rest of
+    the work never sees a scene whole.  `frame` has what places a scene (metadata, bands, height,
+    width) as JSON; a piece's values are `step` apart from `start` on, by row, column and band."""
     frame = F.to_json(F.struct(F.col("metadata"), F.col("bands"), F.col("height"), F.col("width"), F.col("dtype"), F.col("itemsize"), F.col("byteorder"), F.col("fortran")))
     rows = scenes.select("scene_id", frame.alias("frame"), F.explode("data").alias("s")).select("scene_id", "frame", F.col("s.index").cast("bigint").alias("index"), "s.strip")
 
@@ -263,9 +263,11 @@ def strips_of(scenes: DataFrame, values_at_once: int = 1 << 18) -> DataFrame:
                     raise ValueError("blocks take scenes that are stored row by row")
                 v = np.frombuffer(strip, codec._dtype(meta["dtype"], meta["itemsize"], meta["byteorder"])).astype("<f8")
                 for lo in range(0, len(v), values_at_once):
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([f]), pa.array([index + lo], pa.int64()), pa.array([v[lo : lo + values_at_once].tobytes()], pa.binary())], names=["scene_id", "frame", "start", "values"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name]), pa.array([f]), pa.array([index + lo], pa.int64()), pa.array([1], pa.int32()), pa.array([v[lo : lo + values_at_once].tobytes()], pa.binary())], names=["scene_id", "frame", "start", "step", "values"]
+                    )
 
-    return in_arrow(rows, apply, "scene_id string, frame string, start bigint, values binary")
+    return in_arrow(rows, apply, "scene_id string, frame string, start bigint, step int, values binary")
 
 
 def tile_blocks(strips: DataFrame, depth: int = grid.DEEPEST, width: int = 512, height: int = 256, order: int = 3, n_sections: int = 1, mask_bands: list[str] | None = None, block: int = BLOCK) -> DataFrame:
@@ -286,14 +288,14 @@ def tile_blocks(strips: DataFrame, depth: int = grid.DEEPEST, width: int = 512,
     def deal(batches):
         known: dict[str, tuple[dict, list[Section]]] = {}
         for b in batches:
-            for name, f, start, raw in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for name, f, start, step, raw in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
                 if f not in known:
                     known.clear()
                     known[f] = (m := json.loads(f), spans(m))
                 meta, sections = known[f]
                 w, d = meta["width"], len(meta["bands"])
                 v = np.frombuffer(raw, "<f8")
-                at = start + np.arange(len(v))
+                at = start + step * np.arange(len(v))
                 row, col = at // (w * d), at // d % w
                 out = []
                 for k, s in enumerate(sections):
@@ -363,7 +365,7 @@ def tile_blocks(strips: DataFrame, depth: int = grid.DEEPEST, width: int = 512,
         cols = [[one("scene_id")] * m, [one("section")] * m, [depth] * m, each(0), each(1), each(2), each(3), values[:, -1]]
         return pa.Table.from_arrays([*(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), v], names=names)
 
-    dealt = in_arrow(strips.select("scene_id", "frame", "start", "values"), deal, "scene_id string, frame string, section int, by int, bx int, at binary, values binary")
+    dealt = in_arrow(strips.select("scene_id", "frame", "start", "step", "values"), deal, "scene_id string, frame string, section int, by int, bx int, at binary, values binary")
     drawn = dealt.groupBy("scene_id", "section", "by", "bx").applyInArrow(draw, "scene_id string, section int, depth int, x int, y int, row int, col int, mask double, v array<double>")
     drawn = materialise(drawn, "drawn")
     tile = ["scene_id", "section", "x", "y"]

@@ -12,7 +12,7 @@ from ..operators import geo, points, tiles
 from ..schema import Analytic, LayerSpec, chain
 from ..shipping import ship
 from ..staging import materialise, released
-from ..sources import codec, store
+from ..sources import codec, rasters, store
 
 
 def wide(pixels: DataFrame, bands: list[str], value: str = "v") -> DataFrame:
@@ -57,17 +57,17 @@ def add_cells(cells: DataFrame, path: str) -> DataFrame:
     return touched
 
 
-def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec], path: str, analytics: list[Analytic] = (), depth: int = grid.DEEPEST, top: int = 1, **resampling) -> DataFrame:
-    """Scenes of common bands to images of all levels at `path`, added to those that are there.
+def pixels_to_tiles(pixels: DataFrame, bands: list[str], layers: list[LayerSpec], path: str, analytics: list[Analytic] = (), depth: int = grid.DEEPEST, top: int = 1) -> DataFrame:
+    """Resampled pixels of scenes (as `geo.tile_scenes` gives them) to images of all levels at `path`, added to
+    those that are there.
 
-    Scenes are resampled once for all layers; one shuffle overlays them, and levels are a filter over its
-    result.  Further scenes, later or earlier ones, go on top of or under what is stored, and only
-    the tiles that they touch, up to `top`, are redrawn.  Returns the stored table."""
-    spark = scenes.sparkSession
+    One shuffle overlays the scenes, and levels are a filter over its result.  Further scenes, later or
+    earlier ones, go on top of or under what is stored, and only the tiles that they touch, up to
+    `top`, are redrawn.  Returns the stored table."""
+    spark = pixels.sparkSession
     with released(spark):
         # resampled once, as every layer reads them, and those with percentiles twice
-        resampled = materialise(geo.tile_scenes(scenes, depth, **resampling), "pixels")
-        pixels, names = analysed(resampled, list(bands), list(analytics))
+        pixels, names = analysed(materialise(pixels, "pixels"), list(bands), list(analytics))
         cells = None
         for spec in layers:
             if not set(spec.bands) <= set(names):
@@ -80,6 +80,21 @@ def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec]
     return store.read_tiles(spark, path)
 
 
+def scenes_to_tiles(scenes: DataFrame, bands: list[str], layers: list[LayerSpec], path: str, analytics: list[Analytic] = (), depth: int = grid.DEEPEST, top: int = 1, **resampling) -> DataFrame:
+    """Scenes of common bands to images at `path` (see `pixels_to_tiles`), each resampled in one task."""
+    return pixels_to_tiles(geo.tile_scenes(scenes, depth, **resampling), bands, layers, path, analytics, depth, top)
+
+
+def rasters_to_tiles(strips: DataFrame, l1t: DataFrame, bands: tuple[str, ...], layers: list[LayerSpec], path: str, analytics: list[Analytic] = (), depth: int = grid.DEEPEST, top: int = 1, projection: str = "", **resampling) -> DataFrame:
+    """Band files, as `rasters.read_strips` reads them, to images at `path` (see `pixels_to_tiles`), by blocks: no
+    task holds a scene, of whatever size."""
+    with released(strips.sparkSession):
+        pixels = geo.tile_blocks(rasters.block_strips(strips, l1t, bands, projection), depth, **resampling)
+        start = F.col("l1t")["PRODUCT_METADATA"]["START_TIME"]
+        times = l1t.select(F.col("folder").alias("scene_id"), keys.acquisition_time(start).alias("ts"))
+        return pixels_to_tiles(pixels.join(times, "scene_id"), sorted(bands), layers, path, analytics, depth, top)
+
+
 def bright_spots(scenes: DataFrame, bands: list[str], band: str, threshold: float | str, path: str, analytics: list[Analytic] = (), k: int = 10) -> DataFrame:
     """Scenes to bright pixels to clusters to points appended under `path`; returns the points."""
     pixels, names = analysed(codec.pixels_of(scenes), list(bands), list(analytics))

@@ -17,7 +17,7 @@ from .plans import pipelines
 from .plans import views as V
 from .schema import ColumnAnalytic, LayerSpec, chain
 from .shipping import ship
-from .sources import codec, scenes, store
+from .sources import codec, rasters, scenes, store
 from .staging import delete, fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -923,6 +923,38 @@ def scene_ingest(spark, d):
     return back.select(number.alias("vec_id"), *(r6(F.col("v")[i]).alias(b.lower()) for i, b in enumerate(INGESTED)))
 
 
+@query("SELECT vec_id//1000 AS scene, 'B016' AS band, CAST((vec_id%1000)//25 AS INTEGER) AS row, col, round(v[16],6) AS value FROM fx_pixels WHERE (vec_id%1000)//25 BETWEEN 9 AND 21 AND col BETWEEN 5 AND 20", (PX,))
+def raster_crop(spark, d):
+    """A window of one band of files in strips of 4 rows, a file for every 1000 pixels and band: only
+    the strips that the window meets are read."""
+    ship(spark)
+    top = fresh_dir(spark, "rasters")
+    px = V.pixels(spark, d).select(F.floor(F.col("vec_id") / 1000).alias("k"), "vec_id", F.col("v")[15].alias("a"), F.col("v")[28].alias("b"))
+
+    def write(key, pdf):
+        import pyarrow.fs
+
+        place, root = pyarrow.fs.FileSystem.from_uri(f"{top}/{key[0]}" if "://" in top else f"file://{top}/{key[0]}")
+        place.create_dir(root, recursive=True)
+        at = (pdf["vec_id"] % 1000).to_numpy()
+        for band, column in (("B016", "a"), ("B029", "b")):
+            image = np.zeros(1000)
+            image[at] = pdf[column]
+            rows = int(at.max()) // 25 + 1
+            # under another name first, so that a task run twice leaves one whole file
+            with place.open_output_stream(f"{root}/.{band}-{at.max()}") as f:
+                f.write(scenes.tiff_bytes(image.reshape(40, 25)[:rows], [10.0, 1.0, 0.0, 20.0, 0.0, -1.0], rows=4))
+            place.move(f"{root}/.{band}-{at.max()}", f"{root}/EO1H_{key[0]}_{band}_L1T.TIF")
+        return pd.DataFrame({"k": [key[0]]})
+
+    px.groupBy("k").applyInPandas(write, "k bigint").count()
+    delete(spark, top, on_exit=True)
+    window = (9, 21, 5, 20)
+    strips = rasters.read_strips(spark, top if "://" in top else f"file://{top}", ("B016",), window)
+    found = rasters.pixels_of_strips(strips, window)
+    return found.select(F.substring_index("folder", "/", -1).cast("bigint").alias("scene"), "band", "row", "col", r6("value").alias("value"))
+
+
 @query("SELECT CAST(directory AS VARCHAR) AS directory, acquisition_start, round(radiance,4) AS radiance, round(lon0,6) AS longitude, round(lat0,6) AS latitude FROM fx_catalog", (CT,))
 def catalogue_json(spark, d):
     """Catalogue documents written as JSON, and read."""

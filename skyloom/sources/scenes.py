@@ -113,63 +113,99 @@ def _unpredicted(raw: np.ndarray, predictor: int, kind: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(raw).view(kind)
 
 
-def read_tiff(data: bytes) -> tuple[np.ndarray, list[float]]:
+#: Structs of a TIFF's field types.
+FIELDS = {1: "B", 2: "s", 3: "H", 4: "I", 11: "f", 12: "d"}
+
+
+class Tiff:
     """The first band of the first image of a TIFF, in strips or tiles, plain or compressed (LZW,
-    deflate, runs), of 8 to 32-bit integers or 32/64-bit floats, and its geographic transform (zeros
-    if it has none)."""
-    order = {b"II": "<", b"MM": ">"}[data[:2]]
-    magic, at = struct.unpack(order + "HI", data[2:8])
-    if magic != 42:
-        raise ValueError("not a TIFF")
-    sizes = {1: "B", 2: "s", 3: "H", 4: "I", 11: "f", 12: "d"}
-    tags: dict[int, list] = {}
-    for k in range(struct.unpack_from(order + "H", data, at)[0]):
-        tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-        if kind not in sizes:
-            continue
-        one = struct.calcsize(order + sizes[kind])
-        where = at + 10 + 12 * k
-        if one * n > 4:
-            (where,) = struct.unpack_from(order + "I", data, where)
-        tags[tag] = list(struct.unpack_from(f"{order}{n}{sizes[kind]}", data, where))
-    first = lambda tag, default: tags.get(tag, [default])[0]
-    tiled = 324 in tags
-    if first(259, 1) not in UNPACK or not (tiled or 273 in tags):
-        raise ValueError(f"compression {first(259, 1)}")
-    unpack, predictor = UNPACK[first(259, 1)], first(317, 1)
-    w, h, bits, fmt = first(256, 0), first(257, 0), first(258, 1), first(339, 1)
-    kinds = {(8, 1): "u1", (16, 1): "u2", (16, 2): "i2", (32, 1): "u4", (32, 2): "i4", (32, 3): "f4", (64, 3): "f8"}
-    if (bits, fmt) not in kinds:
-        raise ValueError(f"samples of {bits} bits, format {fmt}")
-    kind = np.dtype(order + kinds[bits, fmt])
-    samples = first(277, 1) if first(284, 1) == 1 else 1  # bands in planes: the first plane's pieces come first
-    rows, cols = (first(323, 0), first(322, 0)) if tiled else (min(first(278, h), h), w)
-    across, down = -(-w // cols), -(-h // rows)
-    image = np.zeros((down * rows, across * cols))
-    pieces = list(zip(tags[324 if tiled else 273], tags[325 if tiled else 279], strict=True))
-    for k, (start, size) in enumerate(pieces[: across * down]):
-        y, x = k // across * rows, k % across * cols
-        n = rows if tiled else min(rows, h - y)
-        raw = np.frombuffer(unpack(data[start : start + size]), np.uint8, n * cols * samples * kind.itemsize).reshape(n, -1)
-        values = _unpredicted(raw, predictor, kind).reshape(n, cols, samples)
-        if predictor == 2:
-            values = np.cumsum(values, axis=1, dtype=kind.newbyteorder("="))
-        image[y : y + n, x : x + cols] = values[:, :, 0]
-    scale, tie = tags.get(33550), tags.get(33922)
-    geo = [tie[3] - tie[0] * scale[0], scale[0], 0.0, tie[4] + tie[1] * scale[1], 0.0, -scale[1]] if scale and tie else [0.0] * 6
-    return image[:h, :w], geo
-
-
-def tiff_bytes(image: np.ndarray, geo: list[float]) -> bytes:
-    """An uncompressed TIFF of one strip, of 64-bit floats, with its geographic transform: what
-    `read_tiff` reads."""
+    deflate, runs), of 8 to 32-bit integers or 32/64-bit floats.
+
+    `read(at, n)` gives bytes of the file; the directory is read at once, and of the image only the
+    pieces that are asked for."""
+
+    def __init__(self, read) -> None:
+        self.read = read
+        head = read(0, 8)
+        self.order = {b"II": "<", b"MM": ">"}[head[:2]]
+        magic, at = struct.unpack(self.order + "HI", head[2:8])
+        if magic != 42:
+            raise ValueError("not a TIFF")
+        tags = self._directory(at)
+        first = lambda tag, default: tags.get(tag, [default])[0]
+        self.tiled = 324 in tags
+        if first(259, 1) not in UNPACK or not (self.tiled or 273 in tags):
+            raise ValueError(f"compression {first(259, 1)}")
+        self.unpack, self.predictor = UNPACK[first(259, 1)], first(317, 1)
+        self.width, self.height, bits, fmt = first(256, 0), first(257, 0), first(258, 1), first(339, 1)
+        kinds = {(8, 1): "u1", (16, 1): "u2", (16, 2): "i2", (32, 1): "u4", (32, 2): "i4", (32, 3): "f4", (64, 3): "f8"}
+        if (bits, fmt) not in kinds:
+            raise ValueError(f"samples of {bits} bits, format {fmt}")
+        self.kind = np.dtype(self.order + kinds[bits, fmt])
+        self.samples = first(277, 1) if first(284, 1) == 1 else 1  # bands in planes: the first plane's pieces come first
+        self.rows, self.cols = (first(323, 0), first(322, 0)) if self.tiled else (min(first(278, self.height), self.height), self.width)
+        self.across, down = -(-self.width // self.cols), -(-self.height // self.rows)
+        self.places = list(zip(tags[324 if self.tiled else 273], tags[325 if self.tiled else 279], strict=True))[: self.across * down]
+        scale, tie = tags.get(33550), tags.get(33922)
+        self.geo = [tie[3] - tie[0] * scale[0], scale[0], 0.0, tie[4] + tie[1] * scale[1], 0.0, -scale[1]] if scale and tie else [0.0] * 6
+
+    def _directory(self, at: int) -> dict[int, list]:
+        order, tags = self.order, {}
+        (n,) = struct.unpack(order + "H", self.read(at, 2))
+        entries = self.read(at + 2, 12 * n)
+        for k in range(n):
+            tag, kind, count = struct.unpack_from(order + "HHI", entries, 12 * k)
+            if kind not in FIELDS:
+                continue
+            size = struct.calcsize(order + FIELDS[kind]) * count
+            raw = entries[12 * k + 8 : 12 * k + 12]
+            if size > 4:
+                raw = self.read(struct.unpack(order + "I", raw)[0], size)
+            tags[tag] = list(struct.unpack_from(f"{order}{count}{FIELDS[kind]}", raw))
+        return tags
+
+    def box(self, k: int) -> tuple[int, int, int, int]:
+        """First row and column of piece k, and its rows and columns within the image."""
+        y, x = k // self.across * self.rows, k % self.across * self.cols
+        return y, x, min(self.rows, self.height - y), min(self.cols, self.width - x)
+
+    def piece(self, k: int) -> np.ndarray:
+        """Values of piece k, without what lies beyond the image."""
+        y, _, h, w = self.box(k)
+        n = self.rows if self.tiled else h
+        raw = np.frombuffer(self.unpack(self.read(*self.places[k])), np.uint8, n * self.cols * self.samples * self.kind.itemsize).reshape(n, -1)
+        values = _unpredicted(raw, self.predictor, self.kind).reshape(n, self.cols, self.samples)
+        if self.predictor == 2:
+            values = np.cumsum(values, axis=1, dtype=self.kind.newbyteorder("="))
+        return values[:h, :w, 0].astype(float)
+
+
+def read_tiff(data: bytes) -> tuple[np.ndarray, list[float]]:
+    """The first band of a TIFF (see `Tiff`) and its geographic transform (zeros if it has none)."""
+    tiff = Tiff(lambda at, n: data[at : at + n])
+    image = np.zeros((tiff.height, tiff.width))
+    for k in range(len(tiff.places)):
+        y, x, h, w = tiff.box(k)
+        image[y : y + h, x : x + w] = tiff.piece(k)
+    return image, tiff.geo
+
+
+def tiff_bytes(image: np.ndarray, geo: list[float], rows: int | None = None) -> bytes:
+    """An uncompressed TIFF of 64-bit floats with its geographic transform, in strips of `rows` rows, by
+    default in one: what `read_tiff` reads."""
     raw = np.ascontiguousarray(image, "<f8").tobytes()
     (h, w), scale, tie = image.shape, [geo[1], -geo[5], 0.0], [0.0, 0.0, 0.0, geo[0], geo[3], 0.0]
+    rows = min(rows or h, h)
+    n, size = -(-h // rows), rows * w * 8
+    sizes = [min(size, len(raw) - k * size) for k in range(n)]
     start = 8 + 2 + 12 * 11 + 4  # behind the header and the list of entries
-    longs = {256: w, 257: h, 273: start + 72, 278: h, 279: len(raw)}
-    entries = [(tag, 4, 1, v) for tag, v in longs.items()] + [(tag, 3, 1, v) for tag, v in {258: 64, 259: 1, 277: 1, 339: 3}.items()] + [(33550, 12, 3, start), (33922, 12, 6, start + 24)]
+    lists = start + 72 if n > 1 else 0  # places and sizes of strips, where they don't fit their entries
+    pixels = start + 72 + (8 * n if n > 1 else 0)
+    longs = {256: (1, w), 257: (1, h), 273: (n, lists or pixels), 278: (1, rows), 279: (n, lists + 4 * n if lists else sizes[0])}
+    entries = [(tag, 4, k, v) for tag, (k, v) in longs.items()] + [(tag, 3, 1, v) for tag, v in {258: 64, 259: 1, 277: 1, 339: 3}.items()] + [(33550, 12, 3, start), (33922, 12, 6, start + 24)]
     body = b"".join(struct.pack("<HHII", *e) for e in sorted(entries))
-    return b"II" + struct.pack("<HIH", 42, 8, len(entries)) + body + struct.pack("<I9d", 0, *scale, *tie) + raw
+    where = struct.pack(f"<{2 * n}I", *(pixels + k * size for k in range(n)), *sizes) if lists else b""
+    return b"II" + struct.pack("<HIH", 42, 8, len(entries)) + body + struct.pack("<I9d", 0, *scale, *tie) + where + raw
 
 
 def read_bands(spark: SparkSession, path: str, bands: tuple[str, ...] | None = DEFAULT_BANDS, glob: str = "EO1*_B[0-9][0-9]*_L1T.TIF") -> DataFrame:
