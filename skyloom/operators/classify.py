@@ -78,9 +78,11 @@ def predict(pixels: DataFrame, model, column: str = "features", ratios: bool = F
 # ---- Gaussian naive Bayes in closed form -----------------------------------------------------------
 
 
-def bayes_table(training: DataFrame, n_features: int, label: str = "class", smoothing: float = 1e-9) -> DataFrame:
-    """(class, prior, means, variances): one row for each class."""
-    each = [x for i in range(n_features) for x in (F.avg(F.col("features")[i]).alias(f"m{i}"), F.var_pop(F.col("features")[i]).alias(f"v{i}"))]
+def bayes_table(training: DataFrame, n_features: int, label: str = "class", smoothing: float = 1e-9, sample: bool = False) -> DataFrame:
+    """(class, prior, means, variances): one row for each class.  With `sample` variances are those of
+    samples, divided by one less."""
+    spread = F.var_samp if sample else F.var_pop
+    each = [x for i in range(n_features) for x in (F.avg(F.col("features")[i]).alias(f"m{i}"), spread(F.col("features")[i]).alias(f"v{i}"))]
     sums = training.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *each)
     total = training.agg(F.count(F.lit(1)).alias("_t")).withColumn("_k", F.lit(1))
     joined = sums.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
@@ -105,6 +107,31 @@ def bayes_scores(rows: DataFrame, table: DataFrame, label: str = "class", max_cl
     return rows.withColumn("class", -best["minus"])
 
 
+def bayes_posteriors(rows: DataFrame, table: DataFrame, label: str = "class", max_classes: int = 64) -> DataFrame:
+    """Adds `posteriors`, the classes' probabilities in order of class, and `rounded`: their sum, each
+    rounded (halves to even) and times its class's number from 1; 0 where none is above one half.
+
+    Densities are compared in logarithms, less the largest, so that no probability is lost to
+    numbers too small to hold."""
+    model = table.orderBy(label).limit(max_classes + 1).collect()
+    if len(model) > max_classes:
+        raise ValueError(f"more than {max_classes} classes")
+
+    def score(m) -> Column:
+        total = F.lit(math.log(m["prior"]))
+        for i, (mu, var) in enumerate(zip(m["means"], m["variances"], strict=True)):
+            d = F.col("features")[i] - mu
+            total = total - (math.log(2 * math.pi * var) + d * d / var) / 2
+        return total
+
+    scored = rows.withColumn("_s", F.array(*map(score, model)))
+    parts = F.transform("_s", lambda s: F.exp(s - F.array_max("_s")))
+    scored = scored.withColumn("_e", parts).withColumn("_t", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
+    scored = scored.withColumn("posteriors", F.transform("_e", lambda e: e / F.col("_t")))
+    number = F.aggregate(F.transform("posteriors", lambda p, i: F.rint(p) * (i + 1)), F.lit(0.0), lambda a, x: a + x).cast("int")
+    return scored.withColumn("rounded", number).drop("_s", "_e", "_t")
+
+
 # ---- RBF support vectors ----------------------------------------------------------------------------
 
 
@@ -116,7 +143,7 @@ class RbfSvm:
         self.machines, self.gamma, self.centre, self.scale = machines, gamma, centre, scale
 
     @classmethod
-    def fit(cls, training: DataFrame, label: str = "class", cost: float = 10000.0, gamma: float = 0.001, limit: int = 20000, seed: int = 1) -> RbfSvm:
+    def fit(cls, training: DataFrame, label: str = "class", cost: float = 10000.0, gamma: float = 0.001, limit: int = 20000) -> RbfSvm:
         rows = training.select("features", label).limit(limit + 1).toPandas()
         if len(rows) > limit:
             raise ValueError(f"more than {limit} training rows; balance them first")
@@ -128,7 +155,7 @@ class RbfSvm:
         for i, a in enumerate(classes):
             for b in classes[i + 1 :]:
                 on = (y == a) | (y == b)
-                machines.append((a, b, *_smo(x[on], np.where(y[on] == a, 1.0, -1.0), cost, gamma, seed)))
+                machines.append((a, b, *_smo(x[on], np.where(y[on] == a, 1.0, -1.0), cost, gamma)))
         return cls(machines, gamma, centre, scale)
 
     def classes_of(self, x: np.ndarray) -> np.ndarray:
@@ -156,10 +183,10 @@ def _rbf(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-gamma * np.maximum(d, 0))
 
 
-def _smo(x: np.ndarray, y: np.ndarray, cost: float, gamma: float, seed: int, tolerance: float = 1e-3, most: int = 20000):
-    """Support vectors, coefficients and bias: pairs of greatest violation are optimised until
-    none violates the conditions by more than the tolerance."""
-    del seed
+def _smo(x: np.ndarray, y: np.ndarray, cost: float, gamma: float, tolerance: float = 1e-3, most: int = 5_000_000):
+    """Support vectors, coefficients and bias: the greatest violation is paired with the row that gains
+    the most, until no pair violates the conditions by more than the tolerance; an error if that
+    takes too long."""
     n = len(x)
     k = _rbf(x, x, gamma) if n <= 6000 else None
     column = (lambda i: k[i]) if k is not None else (lambda i: _rbf(x[i : i + 1], x, gamma)[0])
@@ -168,10 +195,13 @@ def _smo(x: np.ndarray, y: np.ndarray, cost: float, gamma: float, seed: int, tol
         up = ((alpha < cost) & (y > 0)) | ((alpha > 0) & (y < 0))
         low = ((alpha < cost) & (y < 0)) | ((alpha > 0) & (y > 0))
         f = -y * g
-        i, j = int(np.where(up, f, -np.inf).argmax()), int(np.where(low, f, np.inf).argmin())
-        if f[i] - f[j] < tolerance:
+        i = int(np.where(up, f, -np.inf).argmax())
+        if f[i] - np.min(f[low], initial=np.inf) < tolerance:
             break
-        ki, kj = column(i), column(j)
+        ki = column(i)
+        gap = f[i] - f
+        j = int(np.where(low & (gap > 0), gap * gap / np.maximum(2 - 2 * ki, 1e-12), -np.inf).argmax())
+        kj = column(j)
         eta = max(2 - 2 * ki[j], 1e-12)
         step = (f[i] - f[j]) / eta
         top_i = cost - alpha[i] if y[i] > 0 else alpha[i]
@@ -180,6 +210,8 @@ def _smo(x: np.ndarray, y: np.ndarray, cost: float, gamma: float, seed: int, tol
         alpha[i] += y[i] * step
         alpha[j] -= y[j] * step
         g += y * step * (ki - kj)
+    else:
+        raise ArithmeticError(f"not converged after {most} steps")
     up = ((alpha < cost) & (y > 0)) | ((alpha > 0) & (y < 0))
     low = ((alpha < cost) & (y < 0)) | ((alpha > 0) & (y > 0))
     f = -y * g
@@ -195,16 +227,19 @@ def flood_band(cls: Column) -> Column:
     return B.class_intensity(cls)
 
 
-def predicted_rank(rows: DataFrame, cls: str = "class", group: list[str] | None = None, max_classes: int = 256) -> DataFrame:
+def predicted_rank(rows: DataFrame, cls: str = "class", group: list[str] | None = None, literals: int = 256) -> DataFrame:
     """Adds `rank` (from 1): the class's place among the classes that were predicted.  Distinct
-    classes are few, so they are ranked apart and joined; the pixels aren't sorted."""
+    classes are few, so they are ranked apart, and the pixels aren't sorted: up to `literals` of them
+    are looked up in place, more are joined."""
     if group:
         seen = rows.select(*group, cls).distinct()
         ranked = seen.withColumn("rank", F.dense_rank().over(Window.partitionBy(*group).orderBy(cls)))
         return rows.join(ranked, [*group, cls])
-    seen = [r[0] for r in rows.select(cls).distinct().limit(max_classes + 1).collect()]
-    if len(seen) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
+    distinct = rows.select(cls).distinct()
+    seen = [r[0] for r in distinct.limit(literals + 1).collect()]
+    if len(seen) > literals:
+        ranked = distinct.where(F.col(cls).isNotNull()).withColumn("rank", F.dense_rank().over(Window.orderBy(cls)))
+        return rows.join(ranked, cls, "left").select(*rows.columns, "rank")
     number = F.array_position(F.array(*map(F.lit, sorted(seen))), F.col(cls)) if seen else F.lit(0)
     return rows.withColumn("rank", number.cast("int"))
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
 from ..functions import grid, keys
+from ..shipping import in_arrow
 from ..sources import store
 from . import ranks
 
@@ -22,30 +25,128 @@ def bright(pixels: DataFrame, value: str, threshold: float | str, scene: str = "
     return pixels.join(cut, scene).where(F.col(value) > F.col("_cut")).drop("_cut")
 
 
-def kmeans(points: DataFrame, k: int = 10, trials: int = 10, tolerance: float = 1e-5, seed: int = 1, max_iter: int = 50, converge: int = 3):
-    """The best of several weighted k-means models (weight: intensity squared) on longitude and
-    latitude, by training cost; once `converge` trials agree on the cost, no more are run."""
-    rows = points.where(F.col("longitude").isNotNull() & F.col("latitude").isNotNull() & F.col("intensity").isNotNull())
-    rows = rows.select(array_to_vector(F.array("longitude", "latitude")).alias("features"), B.super_intensity(F.col("intensity")).alias("w")).where("w > 0")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # every trial goes over them many times
-    best, alike = None, 0
+@dataclass(frozen=True)
+class Clusters:
+    """Centres (longitude, latitude) and their cost, the weighted sum of squared distances."""
+
+    centres: np.ndarray
+    cost: float
+
+
+def weighted(points: DataFrame) -> DataFrame:
+    """(x, y, w, h): each place once, with the weight of its points, intensity squared, added up; `h` is
+    a hash of the place, which seeds are drawn by."""
+    at = [F.col(c).cast("double") for c in ("longitude", "latitude", "intensity")]
+    rows = points.select(at[0].alias("x"), at[1].alias("y"), B.super_intensity(at[2]).alias("w")).where("x IS NOT NULL AND y IS NOT NULL AND w > 0")
+    return rows.groupBy("x", "y").agg(F.sum("w").alias("w")).withColumn("h", F.xxhash64("x", "y"))
+
+
+def seeds(rows: DataFrame, k: int, trials: int, seed: int = 1) -> np.ndarray:
+    """(trials, k, 2): for each trial k places, drawn without repeats in proportion to weight.
+
+    A place's key in a trial is -log(u) / weight, u being uniform and made of the seed, the trial and
+    the place's hash; the k least keys are such a draw.  Every task names its own k of each trial, so
+    trials x k rows a task are shuffled.  Where there are fewer than k places, the last are repeated."""
+    numbers = np.arange(1, trials + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+
+    def apply(batches):
+        best: list[list] = [[] for _ in range(trials)]
+        for b in batches:
+            x, y, w = (np.array(b.column(i)) for i in range(3))
+            h = np.array(b.column(3)).astype(np.int64).view(np.uint64)
+            for t in range(trials):
+                z = h ^ numbers[t]
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # mixes all bits
+                    z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+                u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / (1 << 53)
+                key = -np.log(np.maximum(u, 1e-300)) / w
+                least = np.lexsort((y, x, key))[:k]
+                best[t] = sorted([*best[t], *zip(key[least], x[least], y[least], strict=True)])[:k]
+        found = [(t, *e) for t in range(trials) for e in best[t]]
+        yield pa.RecordBatch.from_pydict({n: pa.array([f[i] for f in found], kind) for i, (n, kind) in enumerate((("t", pa.int32()), ("key", pa.float64()), ("x", pa.float64()), ("y", pa.float64())))})
+
+    named = in_arrow(rows.select("x", "y", "w", "h"), apply, "t int, key double, x double, y double")
+    ranked = named.withColumn("i", F.row_number().over(Window.partitionBy("t").orderBy("key", "x", "y"))).where(F.col("i") <= k)
+    out = np.full((trials, k, 2), np.nan)
+    for r in ranked.collect():  # trials x k rows
+        out[r["t"], r["i"] - 1] = r["x"], r["y"]
     for t in range(trials):
-        model = KMeans(k=k, weightCol="w", tol=tolerance, maxIter=max_iter, seed=seed + t, initMode="k-means||").fit(rows)
-        cost = model.summary.trainingCost
-        if best is not None and abs(cost - best[0]) <= tolerance * max(1.0, abs(best[0])):
-            alike += 1
-        elif best is None or cost < best[0]:
-            alike = 1
-        if best is None or cost < best[0]:
-            best = (cost, model)
-        if alike >= converge:
+        n = int((~np.isnan(out[t, :, 0])).sum())
+        if not n:
+            raise ValueError("no point has a place and a weight")
+        out[t, n:] = out[t, n - 1]
+    return out
+
+
+#: Places that a trial draws for each centre.
+DRAWN = 32
+
+
+def spread_out(places: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k of the places: the first, then each with a chance that grows with its squared distance from those
+    taken.  The places were drawn by weight, so here they count alike."""
+    taken = [0]
+    d = ((places - places[0]) ** 2).sum(1)
+    while len(taken) < k:
+        i = int(rng.choice(len(places), p=d / d.sum())) if d.sum() > 0 else len(taken) % len(places)
+        taken.append(i)
+        d = np.minimum(d, ((places - places[i]) ** 2).sum(1))
+    return places[taken]
+
+
+def lloyd(rows: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(means, cost) of one round for all trials' centres (trials, k, 2): the weighted means of the points
+    nearest to each (ties to the first; a centre without points stays) and the trials' costs before.
+
+    One pass serves all trials; a task gives one row for each trial and centre."""
+    trials, k, _ = centres.shape
+
+    def apply(batches):
+        sums = np.zeros((trials, k, 4))  # weight, weight times place, cost
+        for b in batches:
+            x, y, w = (np.array(b.column(i)) for i in range(3))
+            for t in range(trials):
+                d = (x[:, None] - centres[t, :, 0]) ** 2 + (y[:, None] - centres[t, :, 1]) ** 2
+                near = d.argmin(1)
+                cost = d[np.arange(len(x)), near]
+                for i, v in enumerate((w, w * x, w * y, w * cost)):
+                    sums[t, :, i] += np.bincount(near, v, k)
+        t, c = np.divmod(np.arange(trials * k), k)
+        flat = sums.reshape(-1, 4)
+        yield pa.RecordBatch.from_pydict({"t": pa.array(t, pa.int32()), "c": pa.array(c, pa.int32()), **{n: flat[:, i] for i, n in enumerate(("w", "wx", "wy", "cost"))}})
+
+    found = in_arrow(rows.select("x", "y", "w"), apply, "t int, c int, w double, wx double, wy double, cost double")
+    means, cost = centres.copy(), np.zeros(trials)
+    for r in found.groupBy("t", "c").agg(*(F.sum(n).alias(n) for n in ("w", "wx", "wy", "cost"))).collect():  # trials x k rows
+        cost[r["t"]] += r["cost"]
+        if r["w"] > 0:
+            means[r["t"], r["c"]] = r["wx"] / r["w"], r["wy"] / r["w"]
+    return means, cost
+
+
+def kmeans(points: DataFrame, k: int = 10, trials: int = 10, tolerance: float = 1e-5, seed: int = 1, max_iter: int = 100) -> Clusters:
+    """The best of several weighted k-means runs (weight: intensity squared) on longitude and latitude,
+    by cost.  Each starts from places drawn in proportion to weight, of which `spread_out` takes k, and
+    ends when no centre moves by more than `tolerance`; all trials share every pass over the points."""
+    rows = weighted(points).persist(StorageLevel.MEMORY_AND_DISK)  # every round goes over them
+    drawn = seeds(rows, DRAWN * k, trials, seed)
+    centres = np.stack([spread_out(d, k, np.random.default_rng([seed, t])) for t, d in enumerate(drawn)])
+    moving = np.arange(trials)
+    for _ in range(max_iter):
+        means, _cost = lloyd(rows, centres[moving])
+        moved = np.abs(means - centres[moving]).max((1, 2)) > tolerance
+        centres[moving] = means
+        moving = moving[moved]
+        if not len(moving):
             break
+    _, cost = lloyd(rows, centres)
     rows.unpersist()
-    return best[1]
+    best = int(np.argmin(cost))
+    return Clusters(centres[best], float(cost[best]))
 
 
-def centres(model) -> list[tuple[str, float, float]]:
-    return [(str(i), float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
+def centres(model: Clusters) -> list[tuple[str, float, float]]:
+    return [(str(i), float(c[0]), float(c[1])) for i, c in enumerate(model.centres)]
 
 
 def assign(points: DataFrame, centres: list[tuple[str, float, float]]) -> DataFrame:

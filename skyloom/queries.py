@@ -254,6 +254,19 @@ def kmeans_weighted(spark, d):
     return points.cluster_points(points.cluster_statistics(points.assign(p, found)), found)
 
 
+@query(
+    """, nearest AS (SELECT event_id, min_by(cluster, (dist, cluster)) AS cluster FROM (SELECT event_id, cluster, (lon-cx)*(lon-cx)+(lat-cy)*(lat-cy) AS dist FROM fx_points, c) GROUP BY event_id),
+    w AS (SELECT cluster, lon, lat, value*value AS w FROM nearest JOIN fx_points USING (event_id))
+    SELECT cluster, round(sum(w*lon)/sum(w),6) AS longitude, round(sum(w*lat)/sum(w),6) AS latitude FROM w GROUP BY cluster""".lstrip(),
+    (PT, CENTRES_SQL),
+)
+def kmeans_round(spark, d):
+    """One round of weighted k-means from given centres."""
+    p = V.points(spark, d).withColumnsRenamed({"lon": "longitude", "lat": "latitude", "value": "intensity"})
+    means, _ = points.lloyd(points.weighted(p), np.array([[c[1:] for c in CENTRES]]))
+    return spark.createDataFrame([(c[0], *map(float, m)) for c, m in zip(CENTRES, means[0], strict=True)], "cluster string, longitude double, latitude double").select("cluster", r6("longitude").alias("longitude"), r6("latitude").alias("latitude"))
+
+
 # ---- pixels ------------------------------------------------------------------------------------------
 
 
@@ -394,6 +407,13 @@ def band_names(spark, d):
     return p.select(name.alias("name"), calib.band_number(name).alias("number"))
 
 
+@query("SELECT vec_id, CAST(vec_id%242+1 AS BIGINT) AS band, round(CASE WHEN vec_id%242+1<70.5 THEN (vec_id%242+1-10)*10.213+446 ELSE (vec_id%242+1-79)*10.110+930 END * v[1],3) AS weighted FROM fx_pixels", (PX,))
+def band_moment(spark, d):
+    """Radiance times the central wavelength of the band that a pixel is taken to be of."""
+    band = F.col("vec_id") % 242 + 1
+    return V.pixels(spark, d).select("vec_id", band.alias("band"), r6(calib.wavelength(band) * F.col("v")[0], 3).alias("weighted"))
+
+
 def _region(spark, d, y2: int = 15):
     return explore.crop(V.pixels(spark, d), 2, 1, 20, y2, V.PIXEL_WIDTH, 20)
 
@@ -789,6 +809,26 @@ def gaussian_nb_sql(spark, d):
     return out.select("vec_id", F.col("class").alias("predicted"))
 
 
+NB_SAMPLE = NB.replace("var_pop(", "var_samp(").replace("+1e-9", "")
+
+
+@query(
+    ", score AS (SELECT vec_id, s.class AS k, ln(prior)" + "".join(f"-(ln(2*pi()*s{i})+(v[{i}]-m{i})*(v[{i}]-m{i})/s{i})/2" for i in range(1, 10)) + """ AS s FROM fx_pixels p, stats s),
+    e AS (SELECT vec_id, k, exp(s - max(s) OVER (PARTITION BY vec_id)) AS e FROM score),
+    p AS (SELECT vec_id, k, e / sum(e) OVER (PARTITION BY vec_id) AS p, dense_rank() OVER (ORDER BY k) AS i FROM e),
+    r AS (SELECT vec_id, """.replace("    ", " ") + ", ".join(f"round(max(p) FILTER (k={k}),6) AS p{k}" for k in range(1, 5)) + """, CAST(sum(round_even(p, 0) * i) AS INTEGER) AS rounded FROM p GROUP BY vec_id)
+    SELECT *, round(CASE WHEN rounded=1 THEN 1.0 ELSE 0 END,6) AS clouds, round(CASE WHEN rounded IN (2,4) THEN 2.0/rounded ELSE 0 END,6) AS land, round(CASE WHEN rounded=3 THEN 1.0 ELSE 0 END,6) AS water FROM r""".replace("    ", " "),
+    (PX, NB_SAMPLE),
+)
+def nb_posteriors(spark, d):
+    """Classes' probabilities, their rounded sum by number, and the channels of a raster made of it."""
+    rows = _labelled(spark, d)
+    found = classify.bayes_posteriors(rows.drop("class"), classify.bayes_table(rows, 9, smoothing=0.0, sample=True))
+    out = classify.raster_three(found.withColumn("class", F.nullif("rounded", F.lit(0))), fixed_channels=True)
+    channels = (F.coalesce(r6(c), F.lit(0.0)).alias(c) for c in ("clouds", "land", "water"))
+    return out.select("vec_id", *(r6(F.col("posteriors")[k - 1]).alias(f"p{k}") for k in range(1, 5)), "rounded", *channels)
+
+
 def _fitted(kind: str, ratios: bool = False):
     def run(spark, d):
         rows = _labelled(spark, d)

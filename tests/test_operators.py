@@ -287,6 +287,36 @@ def test_kmeans_beats_one_centre(spark):
     assert sum(s.num_pixels for s in stats) == 120 and all(s.rms_distance < 1 for s in stats)
 
 
+def test_kmeans_seeds_follow_weights(spark):
+    """Draws without repeats, in proportion to weight, whatever the order of rows and however often a place occurs."""
+    rows = [(float(i), 0.0, 1.0 if i else 3.0) for i in range(10)]  # weights 9 and nine times 1
+    df = spark.createDataFrame(rows, "longitude double, latitude double, intensity double")
+    found = points.seeds(points.weighted(df), 2, 2000, seed=5)
+    assert all(len({tuple(c) for c in t}) == 2 for t in found)
+    first = np.mean(found[:, 0, 0] == 0)
+    assert 0.46 < first < 0.54
+    again = points.seeds(points.weighted(df.orderBy(F.desc("longitude")).repartition(3)), 2, 2000, seed=5)
+    assert np.array_equal(found, again)
+    few = points.seeds(points.weighted(spark.createDataFrame([(1.0, 2.0, 1.0)] * 50, df.schema)), 3, 2)
+    assert np.array_equal(few, np.broadcast_to([1.0, 2.0], (2, 3, 2)))
+
+
+def test_kmeans_is_no_worse_than_the_librarys(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    r = np.random.default_rng(9)
+    at = np.concatenate([r.normal(c, 1.5, (60, 2)) for c in r.uniform(-60, 60, (7, 2))])
+    df = spark.createDataFrame([(float(x), float(y), float(w)) for (x, y), w in zip(at, r.uniform(0.5, 2, len(at)), strict=True)], "longitude double, latitude double, intensity double")
+    model = points.kmeans(df, k=7)
+    rows = df.select(array_to_vector(F.array("longitude", "latitude")).alias("features"), (F.col("intensity") * F.col("intensity")).alias("w"))
+    library = min(KMeans(k=7, weightCol="w", seed=s, tol=1e-5, maxIter=50).fit(rows).summary.trainingCost for s in range(3))
+    assert model.cost <= library * 1.001
+    w = points.weighted(df).toPandas()
+    d = ((w[["x", "y"]].to_numpy()[:, None] - model.centres) ** 2).sum(2).min(1)
+    assert model.cost == pytest.approx(float((d * w["w"]).sum()))
+
+
 # ---- classification --------------------------------------------------------------------------------
 
 
@@ -311,6 +341,31 @@ def test_bayes_closed_form(spark):
     assert got.where("truth = class").count() > 230
 
 
+def test_posteriors_far_from_all_classes(spark):
+    """Where every density is too small to hold, probabilities still add up; no class above one half gives 0."""
+    training = spark.createDataFrame([(k, [float(k * 10 + i), float(i % 3)]) for k in (1, 2, 3) for i in range(9)], "class int, features array<double>")
+    table = classify.bayes_table(training, 2, sample=True, smoothing=0.0)
+    rows = spark.createDataFrame([(0, [1e4, 1.0]), (1, [14.0, 1.0]), (2, [19.0, 1.0])], "id int, features array<double>")
+    got = {r.id: r for r in classify.bayes_posteriors(rows, table).collect()}
+    assert all(abs(sum(r.posteriors) - 1) < 1e-12 for r in got.values())
+    assert got[0].rounded == 3 and got[1].rounded == 1 and got[2].rounded == 0 and got[2].posteriors[0] == pytest.approx(0.5)
+
+
+def test_ranks_of_many_classes(spark):
+    rows = spark.createDataFrame([(3 * (i % 20),) for i in range(100)], "class int")
+    few = sorted(r["rank"] for r in classify.predicted_rank(rows).collect())
+    assert few == sorted(r["rank"] for r in classify.predicted_rank(rows, literals=5).collect()) == sorted(i % 20 + 1 for i in range(100))
+
+
+def test_smo_converges_or_says_so():
+    r = np.random.default_rng(2)
+    x, y = r.normal(size=(60, 2)), np.where(r.random(60) < 0.5, 1.0, -1.0)
+    with pytest.raises(ArithmeticError):
+        classify._smo(x, y, 1e4, 1.0, most=5)
+    sv, coef, bias = classify._smo(x, y, 10.0, 0.5)
+    assert abs(coef.sum()) < 1e-6 and np.abs(coef).max() <= 10 + 1e-9 and len(sv) and np.isfinite(bias)
+
+
 def test_balance_and_rasters(spark):
     rows = blobs(spark, 10).unionByName(blobs(spark, 5).where("class = 1"))
     n = {r["class"]: r["count"] for r in classify.balance(rows, F.rand(1), limit=100).groupBy("class").count().collect()}
