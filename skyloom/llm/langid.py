@@ -221,18 +221,24 @@ class LanguageModel:
     prob: np.ndarray
 
 
-def train(labelled: DataFrame, text_col: str, lang_col: str, vocab_path: str, per_language: int = 3000) -> LanguageModel:
+#: Languages that a model tells apart at most: it holds a number for each and each piece of the vocabulary.
+MAX_LANGUAGES = 512
+
+
+def train(labelled: DataFrame, text_col: str, lang_col: str, vocab_path: str, per_language: int = 3000, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Fits piece probabilities on a bounded sample: about `per_language` distinct texts of each
     language at most, chosen by the text's hash (so copies count once), whole texts each.  The share
     taken of a language is `per_language` over its number of distinct texts, estimated within about 5 %.
 
     One step of expectation maximisation from a prior by vocabulary rank: expected piece counts
     over all segmentations, with add-half smoothing.  Word counts are summed by the cluster;
-    pieces x languages numbers (4 bytes each in the model) reach the driver, for any number of
-    languages.  Rows with a null text or label are left out; an empty table gives no languages."""
+    pieces x languages numbers (4 bytes each in the model) reach the driver.  So the fit is bounded to
+    the `max_languages` labels with the most distinct texts (ties to the first by name); rarer labels are
+    not learned, and their documents are scored like any other.  Rows with a null text or label are left out; an empty table gives no languages."""
     rows = take(labelled, text_col, lang_col).toDF("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     h = F.xxhash64("text")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.05).alias("n")).collect()}
+    most = rows.groupBy("lang").agg(F.approx_count_distinct(h, 0.05).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["n"] for r in most.collect()}
     languages = tuple(sorted(sizes))
     if not languages:
         return LanguageModel(vocab_path, (), np.zeros((0, 0), np.float32))

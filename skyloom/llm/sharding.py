@@ -125,10 +125,14 @@ def shard_name(depth: Column, prefix_: Column, page: Column) -> Column:
 
 def write_shards(docs: DataFrame, path: str, limit: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the rows of `docs`, with all their columns, as Parquet with a folder for each
-    shard (column `_shard`), one file each.  Returns the table as written."""
+    shard (column `_shard`, or where the table has such a column `__shard` and so on), one file each.
+    Returns the table as written."""
+    shard = "_shard"
+    while shard in {c.lower() for c in docs.columns}:
+        shard = f"_{shard}"
     rows = _measured(with_row(docs, id_col, text_col).toDF("_row", "id", "text"))
     leaves = materialise(directory(rows.select("h", "bytes"), limit), "leaves")
     placed = _placed(rows, leaves, limit).withColumn("_shard", shard_name(F.col("depth"), F.col("prefix"), F.col("page")))
-    flat = placed.select("_shard", *(F.col(f"_row.c{i}") for i in range(len(docs.columns)))).toDF("_shard", *docs.columns)
-    flat.repartition("_shard").write.partitionBy("_shard").parquet(path)
+    flat = placed.select("_shard", *(F.col(f"_row.c{i}") for i in range(len(docs.columns)))).toDF(shard, *docs.columns)
+    flat.repartition(shard).write.partitionBy(shard).parquet(path)
     return docs.sparkSession.read.parquet(path)

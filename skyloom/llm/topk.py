@@ -153,16 +153,17 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_i
     don't depend on them.
 
     Fewer than k other rows give as many; an empty table or query set gives none.  Vectors that
-    are unusable (see `quantised`) take no part on either side.  Repeated ids are further items.
-    All vectors that take part must have one length."""
+    are unusable (see `quantised`) take no part on either side, nor do those whose length is not the
+    table's commonest (of equally common ones the longest).  Repeated ids are further items."""
     spark = table.sparkSession
     ship(spark)
     items = materialise(quantised(table, id_col, vec_col), "items")
-    asked = quantised(queries, id_col, vec_col)
-    n = items.count()
     out = "query_id long, vec_id long, score long"
-    if not n:
+    common = items.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    alike, n = F.size("v") == common["d"], common["count"]
+    items, asked = items.where(alike), quantised(queries, id_col, vec_col).where(alike)
     rot = rotation(items)
     # blocks of falling length; the id splits runs of equal length, so no block outgrows the rest
     cores = spark.sparkContext.defaultParallelism

@@ -378,6 +378,17 @@ def test_many_labels(spark):
     assert len(got) == 510 and sum(r.lang_pred == k for r, k in zip(sorted((r for r in got if r.doc_id is not None and r.doc_id < 60), key=lambda r: r.doc_id), [k for i, k in enumerate(langs) if i != 3], strict=True)) > 50
 
 
+def test_labels_have_a_bound(spark):
+    """Of a hundred thousand dirty labels the model holds as many as it may, those with most texts first."""
+    texts, langs = tongues(60)
+    good = spark.createDataFrame(list(zip(texts, langs, strict=True)), "text string, lang string")
+    dirty = spark.range(100_000).select(F.concat(F.lit("zzq "), F.col("id")).alias("text"), F.concat(F.lit("dirty"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("lang"))
+    model = langid.train(good.unionByName(dirty), "text", "lang", PIECES, max_languages=20)
+    kept = {k for k in langs if k and langs.count(k) > 1}
+    assert len(model.languages) == 20 and kept <= set(model.languages) and model.prob.shape[1] == 20
+    assert max(x for x in model.languages if x.startswith("dirty")) < "dirty000020"  # ties to the first by name
+
+
 def test_copies_do_not_crowd_out_distinct_texts(spark):
     """A language of many copies and few distinct texts is learned from those texts."""
     texts, langs = tongues(90)
@@ -747,6 +758,9 @@ def test_write_shards(spark, tmp_path):
     sizes = out.groupBy("_shard").agg(F.sum(F.octet_length("text")).alias("b")).collect()
     assert len(sizes) > 5 and all(s.b <= 500 for s in sizes)
     assert sharding.assign_shards(df.where("false")).count() == 0
+    clash = df.withColumnRenamed("Text_2", "_Shard")
+    out = sharding.write_shards(clash, str(tmp_path / "c"), limit=500)
+    assert Counter(tuple(r) for r in out.select(*clash.columns).collect()) == Counter(rows) and out.select("__shard").distinct().count() == len(sizes)
 
 
 # ---- very long texts -------------------------------------------------------------------------------------------------

@@ -88,3 +88,13 @@ def test_pruning_is_exact():
         s = x @ q[k]
         want = [j for j in np.lexsort((ids, -s)) if j != i][:5]
         assert found[k].tolist() == want and np.array_equal(top[k], s[want])
+
+
+def test_lengths_differ(spark):
+    """Vectors of another length than the commonest take no part, as items or as queries."""
+    rows = [(1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [9.0, 9.0, 9.0]), (4, [2.0, -1.0]), (5, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id): r.score for r in T.top_k(df, df, k=5).collect()}
+    assert got == {(1, 2): 256 * 128, (1, 4): 256 * 512, (2, 1): 256 * 128, (2, 4): 128 * 512 - 128 * 256, (4, 1): 256 * 512, (4, 2): 128 * 512 - 128 * 256}
+    odd = spark.createDataFrame([(7, [1.0, 2.0, 3.0])], df.schema)
+    assert T.top_k(df, odd, k=5).isEmpty()
