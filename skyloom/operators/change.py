@@ -53,21 +53,43 @@ def bbox_overlap(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return one("lat") & one("lon")
 
 
-def overlapping_pairs(left: DataFrame, right: DataFrame, exact=corner_overlap, cell: float = 1.0) -> DataFrame:
-    """Pairs of scenes (id, lat_min, ...) that overlap by `exact`.
+SIDES = ("lat_min", "lat_max", "lon_min", "lon_max")
+
 
-    Boxes meet in grid cells of `cell` degrees, by an equi-join, and a pair is reported from the
-    cell of its common part's corner alone; no box is compared with all others."""
-    sides = ("lat_min", "lat_max", "lon_min", "lon_max")
+def box_cells(boxes: DataFrame, p: str, which: str, cell: float) -> DataFrame:
+    """Boxes (id and SIDES, renamed with the prefix `p`) once for each grid cell that they meet: (level, cy, cx).
 
-    def celled(df: DataFrame, p: str) -> DataFrame:
-        at = lambda c: F.floor(F.col(c) / cell)
-        d = df.select(F.col("id").alias(f"{p}_id"), *(F.col(s).alias(f"{p}_{s}") for s in sides), F.sequence(at("lat_min"), at("lat_max")).alias("_y"), F.sequence(at("lon_min"), at("lon_max")).alias("_x"))
-        return d.withColumn("_cy", F.explode("_y")).withColumn("_cx", F.explode("_x")).drop("_y", "_x")
+    Cells of level n are `cell` x 2**n degrees wide.  A box's own level is the first whose cells are as
+    wide as it, so there it meets four at most; `which` is "own", "all" (its own and every coarser
+    one) or "above" (those alone), up to cells as wide as the globe: a few dozen rows for a box of any size."""
+    top = max(0, math.ceil(math.log2(360.0 / cell)))
+    extent = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min"), F.lit(0.0))
+    own = F.least(F.greatest(F.ceil(F.log2(F.greatest(extent / cell, F.lit(1.0)))), F.lit(0)), F.lit(top)).cast("int")
+    first = own + 1 if which == "above" else own
+    levels = F.when(first <= top, F.sequence(first, own if which == "own" else F.lit(top))).otherwise(F.array().cast("array<int>"))
+    d = boxes.select(F.col("id").alias(f"{p}_id"), *(F.col(s).alias(f"{p}_{s}") for s in SIDES), F.explode(levels).alias("level"))
+    side = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("level"))
+    span = lambda axis: F.explode(F.sequence(F.floor(F.col(f"{p}_{axis}_min") / side), F.floor(F.col(f"{p}_{axis}_max") / side)))
+    return d.withColumn("cy", span("lat")).withColumn("cx", span("lon"))
 
-    a, b = ({s: F.col(f"{p}_{s}") for s in sides} for p in ("a", "b"))
-    first = (F.col("_cy") == F.floor(F.greatest(a["lat_min"], b["lat_min"]) / cell)) & (F.col("_cx") == F.floor(F.greatest(a["lon_min"], b["lon_min"]) / cell))
-    return celled(left, "a").join(celled(right, "b"), ["_cy", "_cx"]).where(first & exact(a, b)).select("a_id", "b_id")
+
+def overlapping_pairs(left: DataFrame, right: DataFrame, exact=corner_overlap, cell: float = 1.0) -> DataFrame:
+    """Pairs of scenes (id, lat_min, ...) of any sizes that overlap by `exact`.
+
+    Boxes meet in grid cells, by equi-joins, at the own level of the larger of the two; there a pair is
+    reported from the cell of its common part's corner alone.  No box is compared with all others,
+    and a continental one takes no more cells than a small one."""
+    a, b = ({s: F.col(f"{p}_{s}") for s in SIDES} for p in ("a", "b"))
+    side = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("level"))
+    corner = lambda axis: F.floor(F.greatest(a[f"{axis}_min"], b[f"{axis}_min"]) / side)
+    first = (F.col("cy") == corner("lat")) & (F.col("cx") == corner("lon"))
+
+    def met(of_left: str, of_right: str) -> DataFrame:
+        both = box_cells(left, "a", of_left, cell).join(box_cells(right, "b", of_right, cell), ["level", "cy", "cx"])
+        return both.where(first & exact(a, b)).select("a_id", "b_id")
+
+    # the right box is the larger, or as large; then the left one
+    return met("all", "own").unionByName(met("own", "above"))
 
 
 #: Rows and columns of a block of pixels whose windows one task sums up.

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, NaiveBayes, OneVsRest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
@@ -137,25 +138,42 @@ def bayes_posteriors(rows: DataFrame, table: DataFrame, label: str = "class", ma
 
 class RbfSvm:
     """One-against-one RBF machines, trained by sequential minimal optimisation on a balanced
-    training set of at most `limit` rows in one place, and scored in vectorised batches."""
+    training set of at most `limit` rows, a pair of classes in a task, and scored in vectorised batches."""
 
     def __init__(self, machines: list, gamma: float, centre: np.ndarray, scale: np.ndarray):
         self.machines, self.gamma, self.centre, self.scale = machines, gamma, centre, scale
 
     @classmethod
     def fit(cls, training: DataFrame, label: str = "class", cost: float = 10000.0, gamma: float = 0.001, limit: int = 20000) -> RbfSvm:
-        rows = training.select("features", label).limit(limit + 1).toPandas()
-        if len(rows) > limit:
+        """Each pair of classes is a task of its own: its rows meet there, and its support vectors, part of
+        the bounded training set, come back."""
+        rows = training.select(F.col("features").cast("array<double>").alias("x"), F.col(label).cast("int").alias("y"))
+        seen = rows.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d"), F.sort_array(F.collect_set("y")).alias("classes")).first()
+        if seen["n"] > limit:
             raise ValueError(f"more than {limit} training rows; balance them first")
-        x, y = np.array(rows["features"].tolist(), float), rows[label].to_numpy()
-        centre, scale = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
-        x = (x - centre) / scale
-        classes = sorted(set(y.tolist()))
-        machines = []
-        for i, a in enumerate(classes):
-            for b in classes[i + 1 :]:
-                on = (y == a) | (y == b)
-                machines.append((a, b, *_smo(x[on], np.where(y[on] == a, 1.0, -1.0), cost, gamma)))
+        at = [F.col("x")[i] for i in range(seen["d"])]
+        moments = rows.agg(*(F.avg(c) for c in at), *(F.stddev_pop(c) for c in at)).first()
+        centre, scale = np.array(moments[: seen["d"]]), np.array(moments[seen["d"] :])
+        scale = np.where(scale > 0, scale, 1.0)
+        pairs = [(a, b) for i, a in enumerate(seen["classes"]) for b in seen["classes"][i + 1 :]]
+        both = F.filter(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs)), lambda p: (p["a"] == F.col("y")) | (p["b"] == F.col("y")))
+
+        def machine(table: pa.Table) -> pa.Table:
+            a, b = (table.column(c)[0].as_py() for c in ("a", "b"))
+            # in a fixed order, so that a task run again finds the same machine
+            x = (np.array(table.column("x").combine_chunks().flatten()).reshape(len(table), -1) - centre) / scale
+            y = np.where(np.array(table.column("y")) == a, 1.0, -1.0)
+            order = np.lexsort((*x.T, y))
+            sv, coef, bias = _smo(x[order], y[order], cost, gamma)
+            vectors = pa.ListArray.from_arrays(np.arange(0, sv.size + 1, x.shape[1], dtype=np.int32), pa.array(sv.ravel()))
+            n = len(sv)
+            return pa.table({"a": pa.array([a] * n, pa.int32()), "b": pa.array([b] * n, pa.int32()), "bias": pa.array([bias] * n), "coef": pa.array(coef), "sv": vectors})
+
+        ship(training.sparkSession)
+        dealt = rows.withColumn("p", F.explode(both)).select("p.a", "p.b", "x", "y")
+        dealt = dealt.repartition(4 * max(len(pairs), 1), "a", "b")  # a fixed number, or small pairs would share a task
+        found = dealt.groupBy("a", "b").applyInArrow(machine, "a int, b int, bias double, coef double, sv array<double>").toArrow().to_pandas()
+        machines = [(int(a), int(b), np.stack(g["sv"]), g["coef"].to_numpy(), float(g["bias"].iloc[0])) for (a, b), g in found.groupby(["a", "b"])]
         return cls(machines, gamma, centre, scale)
 
     def classes_of(self, x: np.ndarray) -> np.ndarray:

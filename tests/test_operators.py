@@ -415,6 +415,28 @@ def test_outline_and_overlap(spark):
     assert {r.b_id for r in change.overlapping_pairs(one, two, change.bbox_overlap).collect()} == {1, 2, 4}
 
 
+def test_overlaps_of_any_size(spark):
+    """From points to continents: the pairs of brute force, once each, and few rows for each box."""
+    r = np.random.default_rng(6)
+
+    def boxes(n, first):
+        size = 10 ** r.uniform(-2, 2.2, (n, 2))
+        low = np.c_[r.uniform(-90, 80, n), r.uniform(-180, 170, n)]
+        size[:3] = 0, 4.0
+        rows = [(first + i, float(y), float(min(y + h, 90)), float(x), float(min(x + w, 180))) for i, ((y, x), (h, w)) in enumerate(zip(low, size, strict=True))]
+        return [*rows, (first + n, -90.0, 90.0, -180.0, 180.0)]
+
+    one, two = boxes(70, 0), boxes(90, 1000)
+    schema = "id int, lat_min double, lat_max double, lon_min double, lon_max double"
+    left, right = spark.createDataFrame(one, schema), spark.createDataFrame(two, schema)
+    meets = lambda p, q: p[1] < q[2] and q[1] < p[2] and p[3] < q[4] and q[3] < p[4]
+    want = sorted((p[0], q[0]) for p in one for q in two if meets(p, q))
+    got = sorted((x.a_id, x.b_id) for x in change.overlapping_pairs(left, right, change.bbox_overlap, cell=0.5).collect())
+    assert got == want and len(want) > 200
+    most = change.box_cells(right, "b", "all", 0.5).groupBy("b_id").count().agg(F.max("count")).first()[0]
+    assert most <= 4 * 11
+
+
 def test_catalogue(spark):
     hyp = spark.createDataFrame([("Hyperion", "h", 10, 5.0, [[0.0, 0.0], [2.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance double, corners array<array<double>>")
     ali = spark.createDataFrame([("ALI", "a", 20, 1.5, None, [[10.0, 0.0], [12.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance_B02 double, radiance_B03 double, corners array<array<double>>")
