@@ -861,6 +861,32 @@ def class_raster_1band(spark, d):
     return V.pixels(spark, d).select("vec_id", r6(classify.flood_band(F.col("class"))).alias("flood"))
 
 
+@query(
+    """SELECT vec_id, predicted, round(CASE WHEN predicted=1 THEN 1.0 ELSE 0 END,6) AS clouds, round(CASE WHEN predicted IN (2,4) THEN 2.0/predicted ELSE 0 END,6) AS land, round(CASE WHEN predicted=3 THEN 1.0 ELSE 0 END,6) AS water
+    FROM (SELECT vec_id, s.class AS predicted, row_number() OVER (PARTITION BY vec_id ORDER BY ln(prior)""" + "".join(f"-(ln(2*pi()*s{i})+(f[{i}]-m{i})*(f[{i}]-m{i})/s{i})/2" for i in range(1, 10)) + """ DESC, s.class) AS r FROM top, stats s) WHERE r=1""",
+    (
+        PX,
+        f"top AS (SELECT p.vec_id, class, list_transform(generate_series(1,9), lambda i: (v[i]+1)/([{','.join(repr(calib.irradiance_rule(i)) for i in range(2, 11))}])[i]*t) AS f FROM fx_pixels p JOIN (SELECT vec_id, pi()*pow(k.va + (20-k.a)*(k.vb-k.va)/(k.b-k.a),2)/sin(radians(35.0)) AS t FROM fx_pixels JOIN (VALUES {KNOTS}) k(a,va,b,vb) ON 20 > k.a AND 20 <= k.b) USING (vec_id))",
+        "kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY class ORDER BY md5(CAST(vec_id AS VARCHAR))) AS i FROM top), (SELECT least(5000, min(n)) AS k FROM (SELECT count(*) AS n FROM top GROUP BY class)) WHERE i <= k)",
+        "stats AS (SELECT class, count(*)*1.0/(SELECT count(*) FROM kept) AS prior, " + ", ".join(f"avg(f[{i}]) AS m{i}, var_pop(f[{i}])+1e-9 AS s{i}" for i in range(1, 10)) + " FROM kept GROUP BY class)",
+    ),
+)
+def land_cover(spark, d):
+    """Land cover end to end: calibration at the top of the atmosphere, a balanced training set, the
+    classes of all pixels, and their raster."""
+    from .plans import floods
+
+    meta = json.dumps({"PRODUCT_METADATA": {"SENSOR_ID": "HYPERION", "START_TIME": "2012 020 00:00:00"}, "PRODUCT_PARAMETERS": {"SUN_ELEVATION": "35.0"}})
+    known = spark.createDataFrame([("s", {"L1T": meta})], "scene_id string, metadata map<string,string>")
+    names = [f"B{i:03d}" for i in range(2, 11)]
+    px = V.pixels(spark, d).select("vec_id", F.lit("s").alias("scene_id"), "row", "col", "class", F.transform(F.slice("v", 1, 9), lambda x: x + 1).alias("v"))
+    top = floods.calibrated(px, names, known)
+    rows, _ = floods.multispectral(top, names)
+    training = classify.balance(rows.where(B.mask_truthy(F.col("features"))), F.md5(F.col("vec_id").cast("string").cast("binary"))).select("features", "class")
+    found = floods.classified(top.drop("class"), names, training, "bayes", "three", fixed_channels=True)
+    return found.select("vec_id", F.col("class").alias("predicted"), *(r6(c).alias(c) for c in ("clouds", "land", "water")))
+
+
 # ---- catalogue -----------------------------------------------------------------------------------------------
 
 
