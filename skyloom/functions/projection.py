@@ -4,19 +4,62 @@ Geographic descriptions pass through; transverse Mercator zones are inverted by
 in the third flattening (to the sixth order, well below a millimetre).  Lambert's conformal conic,
 Albers' and Lambert's equal areas, Mercator and the polar stereographic projection follow the
 closed formulas on the ellipsoid (`Sheet`).  Others are an error.
+
+Every formula works on numbers, arrays and Columns alike, so pixels are placed by SQL functions.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+
+def _either(of_column, of_array):
+    """A function of numbers, arrays or Columns."""
+    return lambda *v: of_column(*v) if any(isinstance(x, Column) for x in v) else of_array(*v)
+
+
+def _lit(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(float(x))
+
+
+sin, cos, tan, sqrt, exp, log = (_either(getattr(F, n), getattr(np, n)) for n in ("sin", "cos", "tan", "sqrt", "exp", "log"))
+sinh, cosh = _either(F.sinh, np.sinh), _either(F.cosh, np.cosh)
+arcsin, arctan, arctanh, arcsinh = _either(F.asin, np.arcsin), _either(F.atan, np.arctan), _either(F.atanh, np.arctanh), _either(F.asinh, np.arcsinh)
+arctan2, hypot = _either(F.atan2, np.arctan2), _either(F.hypot, np.hypot)
+degrees, radians = _either(F.degrees, np.degrees), _either(F.radians, np.radians)
+maximum = _either(lambda a, b: F.greatest(_lit(a), _lit(b)), np.maximum)
+clip = _either(lambda v, lo, hi: F.greatest(F.least(v, F.lit(float(hi))), F.lit(float(lo))), np.clip)
+where = _either(lambda c, a, b: F.when(c, a).otherwise(b), np.where)
+
+
+def turned(d):
+    """Degrees of longitude within half a turn."""
+    return F.pmod(d + 180, F.lit(360.0)) - 180 if isinstance(d, Column) else (d + 180) % 360 - 180
+
+
+def let(value, body):
+    """`body(value)`, a Column's value being computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1) if isinstance(value, Column) else body(value)
+
+
+def iterated(step, start, times: int):
+    """`step` applied to `start` again and again."""
+    if isinstance(start, Column):
+        return F.aggregate(F.sequence(F.lit(1), F.lit(times)), start, lambda v, i: step(v))
+    for _ in range(times):
+        start = step(start)
+    return start
+
+
+def plain(v):
+    """Numbers as arrays; Columns as they are."""
+    return v if isinstance(v, Column) else np.asarray(v, float)
 
 
 @dataclass(frozen=True)
@@ -93,50 +136,51 @@ class Projection:
         f = 1 / self.inverse_flattening
         return forward, back, radius, np.sqrt(f * (2 - f))
 
-    def to_grid(self, lon, lat) -> tuple[np.ndarray, np.ndarray]:
+    def to_grid(self, lon, lat):
         """Easting and northing of degrees."""
-        lon, lat = np.asarray(lon, float), np.asarray(lat, float)
+        lon, lat = plain(lon), plain(lat)
         if not self.scale:
             return lon, lat
         forward, _, radius, e = self._series()
 
         def raw(lon_, lat_):
-            s = np.sin(np.radians(lat_))
-            t = np.sinh(np.arctanh(s) - e * np.arctanh(e * s))
-            d = np.radians(lon_ - self.lon0)
-            xi, eta = np.arctan2(t, np.cos(d)), np.arcsinh(np.sin(d) / np.hypot(t, np.cos(d)))
-            k = 2 * np.arange(1, 7)[:, None]
-            xi2, eta2 = np.ravel(xi), np.ravel(eta)
-            x = eta2 + (forward[:, None] * np.cos(k * xi2) * np.sinh(k * eta2)).sum(0)
-            y = xi2 + (forward[:, None] * np.sin(k * xi2) * np.cosh(k * eta2)).sum(0)
-            return radius * x.reshape(np.shape(xi)), radius * y.reshape(np.shape(xi))
+            s = sin(radians(lat_))
+            t = sinh(arctanh(s) - e * arctanh(e * s))
+            d = radians(lon_ - self.lon0)
+            xi, eta = arctan2(t, cos(d)), arcsinh(sin(d) / hypot(t, cos(d)))
+            x = let(eta, lambda v: v + sum(float(c) * cos(2 * k * xi) * sinh(2 * k * v) for k, c in enumerate(forward, 1)))
+            y = let(xi, lambda v: v + sum(float(c) * sin(2 * k * v) * cosh(2 * k * eta) for k, c in enumerate(forward, 1)))
+            return radius * x, radius * y
 
         x, y = raw(lon, lat)
-        _, y0 = raw(np.array(self.lon0), np.array(self.lat0))
+        y0 = float(raw(np.array(self.lon0), np.array(self.lat0))[1])
         return (self.east + self.scale * x) / self.unit, (self.north + self.scale * (y - y0)) / self.unit
 
-    def to_degrees(self, x, y) -> tuple[np.ndarray, np.ndarray]:
+    def to_degrees(self, x, y):
         """Longitude and latitude of eastings and northings."""
-        x, y = np.asarray(x, float), np.asarray(y, float)
+        x, y = plain(x), plain(y)
         if not self.scale:
             return x, y
         x, y = x * self.unit, y * self.unit
         forward, back, radius, e = self._series()
-        y0 = 0.0
+        e, y0 = float(e), 0.0
         if self.lat0:
-            _, y0 = Projection(self.a, self.inverse_flattening, self.lon0, 0.0, 1.0).to_grid(np.array(self.lon0), np.array(self.lat0))
-        eta, xi = np.ravel((x - self.east) / (self.scale * radius)), np.ravel(((y - self.north) / self.scale + y0) / radius)
-        k = 2 * np.arange(1, 7)[:, None]
-        eta1 = eta - (back[:, None] * np.cos(k * xi) * np.sinh(k * eta)).sum(0)
-        xi1 = xi - (back[:, None] * np.sin(k * xi) * np.cosh(k * eta)).sum(0)
-        tau = np.sin(xi1) / np.hypot(np.sinh(eta1), np.cos(xi1))
-        t = tau.copy()
-        for _ in range(4):  # Newton on the isometric latitude
-            sigma = np.sinh(e * np.arctanh(e * t / np.hypot(1, t)))
-            ti = t * np.hypot(1, sigma) - sigma * np.hypot(1, t)
-            t = t + (tau - ti) / np.hypot(1, ti) * (1 + (1 - e * e) * t * t) / ((1 - e * e) * np.hypot(1, t))
-        lon = self.lon0 + np.degrees(np.arctan2(np.sinh(eta1), np.cos(xi1)))
-        return lon.reshape(x.shape), np.degrees(np.arctan(t)).reshape(x.shape)
+            y0 = float(Projection(self.a, self.inverse_flattening, self.lon0, 0.0, 1.0).to_grid(np.array(self.lon0), np.array(self.lat0))[1])
+        eta, xi = (x - self.east) / (self.scale * radius), ((y - self.north) / self.scale + y0) / radius
+        eta1 = eta - sum(float(c) * cos(2 * k * xi) * sinh(2 * k * eta) for k, c in enumerate(back, 1))
+        xi1 = xi - sum(float(c) * sin(2 * k * xi) * cosh(2 * k * eta) for k, c in enumerate(back, 1))
+        tau = sin(xi1) / hypot(sinh(eta1), cos(xi1))
+
+        def latitude(tau):
+            def step(t):  # Newton on the isometric latitude
+                sigma = sinh(e * arctanh(e * t / hypot(1.0, t)))
+                ti = t * hypot(1.0, sigma) - sigma * hypot(1.0, t)
+                return t + (tau - ti) / hypot(1.0, ti) * (1 + (1 - e * e) * t * t) / ((1 - e * e) * hypot(1.0, t))
+
+            return iterated(step, tau, 4)
+
+        lon = self.lon0 + degrees(arctan2(sinh(eta1), cos(xi1)))
+        return lon, degrees(arctan(let(tau, latitude)))
 
 
 #: Names of projections in descriptions, by pattern; the first that fits counts.
@@ -156,127 +200,126 @@ class Sheet(Projection):
     @property
     def e(self) -> float:
         f = 1 / self.inverse_flattening if self.inverse_flattening else 0.0
-        return float(np.sqrt(f * (2 - f)))
+        return float(sqrt(f * (2 - f)))
 
     def _m(self, lat):
-        return np.cos(lat) / np.sqrt(1 - (self.e * np.sin(lat)) ** 2)
+        return cos(lat) / sqrt(1 - (self.e * sin(lat)) ** 2)
 
     def _t(self, lat):
         """Of conformal projections: the tangent of half the conformal colatitude."""
-        es = self.e * np.sin(lat)
-        return np.tan(np.pi / 4 - lat / 2) / ((1 - es) / (1 + es)) ** (self.e / 2)
+        es = self.e * sin(lat)
+        return tan(np.pi / 4 - lat / 2) / ((1 - es) / (1 + es)) ** (self.e / 2)
 
     def _lat_of_t(self, t):
-        lat = np.pi / 2 - 2 * np.arctan(t)
-        for _ in range(12):
-            es = self.e * np.sin(lat)
-            lat = np.pi / 2 - 2 * np.arctan(t * ((1 - es) / (1 + es)) ** (self.e / 2))
-        return lat
+        def step(lat):
+            es = self.e * sin(lat)
+            return np.pi / 2 - 2 * arctan(t * ((1 - es) / (1 + es)) ** (self.e / 2))
+
+        return iterated(step, np.pi / 2 - 2 * arctan(t), 12)
 
     def _q(self, lat):
         """Of equal areas: the area between the equator and a parallel, up to a factor."""
-        e, s = self.e, np.sin(lat)
+        e, s = self.e, sin(lat)
         if not e:
             return 2 * s
-        return (1 - e * e) * (s / (1 - (e * s) ** 2) + np.arctanh(e * s) / e)
+        return (1 - e * e) * (s / (1 - (e * s) ** 2) + arctanh(e * s) / e)
 
     def _lat_of_q(self, q):
         e = self.e
-        lat = np.arcsin(np.clip(q / 2, -1, 1))
-        for _ in range(12 if e else 0):
-            s, c = np.sin(lat), np.maximum(np.cos(lat), 1e-12)
-            lat = lat + (1 - (e * s) ** 2) ** 2 / (2 * c) * (q / (1 - e * e) - s / (1 - (e * s) ** 2) - np.arctanh(e * s) / e)
-        return lat
+
+        def step(lat):
+            s, c = sin(lat), maximum(cos(lat), 1e-12)
+            return lat + (1 - (e * s) ** 2) ** 2 / (2 * c) * (q / (1 - e * e) - s / (1 - (e * s) ** 2) - arctanh(e * s) / e)
+
+        start = arcsin(clip(q / 2, -1, 1))
+        return iterated(step, start, 12) if e else start
 
     def _cone(self):
         """Of a cone: its constant, and the radius of a parallel and back."""
-        l0, l1, l2 = np.radians([self.lat0, self.lat1, self.lat2])
-        m1, m2 = self._m(l1), self._m(l2)
+        l0, l1, l2 = (math.radians(v) for v in (self.lat0, self.lat1, self.lat2))
+        m1, m2 = float(self._m(l1)), float(self._m(l2))
         if self.kind == "lambert":
-            n = np.sin(l1) if l1 == l2 else np.log(m1 / m2) / np.log(self._t(l1) / self._t(l2))
-            r = self.a * self.scale * m1 / (n * self._t(l1) ** n)
+            n = float(sin(l1) if l1 == l2 else log(m1 / m2) / log(self._t(l1) / self._t(l2)))
+            r = float(self.a * self.scale * m1 / (n * self._t(l1) ** n))
             return n, l0, lambda lat: r * self._t(lat) ** n, lambda rho: self._lat_of_t((rho / r) ** (1 / n))
-        n = np.sin(l1) if l1 == l2 else (m1**2 - m2**2) / (self._q(l2) - self._q(l1))
-        c = m1**2 + n * self._q(l1)
-        return n, l0, lambda lat: self.a * np.sqrt(np.maximum(c - n * self._q(lat), 0)) / n, lambda rho: self._lat_of_q((c - (rho * n / self.a) ** 2) / n)
+        n = float(sin(l1) if l1 == l2 else (m1**2 - m2**2) / (self._q(l2) - self._q(l1)))
+        c = float(m1**2 + n * self._q(l1))
+        return n, l0, lambda lat: self.a * sqrt(maximum(c - n * self._q(lat), 0)) / n, lambda rho: self._lat_of_q((c - (rho * n / self.a) ** 2) / n)
 
     def _plane(self):
         """Of the polar plane: which pole, and the radius of a parallel and back, as of the north's."""
         pole = 1.0 if self.lat0 >= 0 else -1.0
-        true = np.radians(abs(self.lat1 if abs(self.lat0) == 90 and self.lat1 != self.lat0 else self.lat0))
+        true = math.radians(abs(self.lat1 if abs(self.lat0) == 90 and self.lat1 != self.lat0 else self.lat0))
         e = self.e
-        if np.degrees(true) >= 90 - 1e-9:
-            r = 2 * self.a * self.scale / np.sqrt((1 + e) ** (1 + e) * (1 - e) ** (1 - e))
+        if math.degrees(true) >= 90 - 1e-9:
+            r = 2 * self.a * self.scale / sqrt((1 + e) ** (1 + e) * (1 - e) ** (1 - e))
         else:
             r = self.a * self.scale * self._m(true) / self._t(true)
+        r = float(r)
         return pole, lambda lat: r * self._t(lat), lambda rho: self._lat_of_t(rho / r)
 
     def _area(self):
         """Of the equal-area plane: the pole's q, its radius, the centre's authalic latitude, and a ratio."""
-        l0, top = np.radians(self.lat0), self._q(np.pi / 2)
-        radius, b0 = self.a * np.sqrt(top / 2), np.arcsin(self._q(l0) / top)
-        return top, radius, b0, self.a * self._m(l0) / (radius * np.cos(b0))
+        l0, top = math.radians(self.lat0), float(self._q(np.pi / 2))
+        radius, b0 = float(self.a * sqrt(top / 2)), float(arcsin(self._q(l0) / top))
+        return top, radius, b0, float(self.a * self._m(l0) / (radius * cos(b0)))
 
     def _cylinder(self) -> float:
-        return self.a * (self.scale if self.lat1 == self.lat0 == 0 else self._m(np.radians(self.lat1)))
+        return self.a * (self.scale if self.lat1 == self.lat0 == 0 else float(self._m(math.radians(self.lat1))))
 
-    def to_grid(self, lon, lat) -> tuple[np.ndarray, np.ndarray]:
-        lat = np.radians(np.asarray(lat, float))
-        d = np.radians((np.asarray(lon, float) - self.lon0 + 180) % 360 - 180)
+    def to_grid(self, lon, lat):
+        lat = radians(plain(lat))
+        d = radians(turned(plain(lon) - self.lon0))
         if self.kind in ("lambert", "albers"):
             n, l0, radius, _ = self._cone()
             rho, at = radius(lat), n * d
-            x, y = rho * np.sin(at), radius(l0) - rho * np.cos(at)
+            x, y = rho * sin(at), float(radius(l0)) - rho * cos(at)
         elif self.kind == "polar":
             pole, radius, _ = self._plane()
             rho = radius(pole * lat)
-            x, y = rho * np.sin(d), -pole * rho * np.cos(d)
+            x, y = rho * sin(d), -pole * rho * cos(d)
         elif self.kind == "azimuthal":
             top, radius, b0, ratio = self._area()
-            b = np.arcsin(np.clip(self._q(lat) / top, -1, 1))
-            size = radius * np.sqrt(2 / (1 + np.sin(b0) * np.sin(b) + np.cos(b0) * np.cos(b) * np.cos(d)))
-            x, y = size * ratio * np.cos(b) * np.sin(d), size / ratio * (np.cos(b0) * np.sin(b) - np.sin(b0) * np.cos(b) * np.cos(d))
+            b = arcsin(clip(self._q(lat) / top, -1, 1))
+            size = radius * sqrt(2 / (1 + math.sin(b0) * sin(b) + math.cos(b0) * cos(b) * cos(d)))
+            x, y = size * ratio * cos(b) * sin(d), size / ratio * (math.cos(b0) * sin(b) - math.sin(b0) * cos(b) * cos(d))
         else:
             k = self._cylinder()
-            x, y = k * d, -k * np.log(self._t(lat))
+            x, y = k * d, -k * log(self._t(lat))
         return (self.east + x) / self.unit, (self.north + y) / self.unit
 
-    def to_degrees(self, x, y) -> tuple[np.ndarray, np.ndarray]:
-        x, y = np.asarray(x, float) * self.unit - self.east, np.asarray(y, float) * self.unit - self.north
+    def to_degrees(self, x, y):
+        x, y = plain(x) * self.unit - self.east, plain(y) * self.unit - self.north
         if self.kind in ("lambert", "albers"):
             n, l0, radius, back = self._cone()
-            up = radius(l0) - y
-            d, lat = np.arctan2(np.sign(n) * x, np.sign(n) * up) / n, back(np.sign(n) * np.hypot(x, up))
+            up = float(radius(l0)) - y
+            side = math.copysign(1.0, n)
+            d, lat = arctan2(side * x, side * up) / n, back(side * hypot(x, up))
         elif self.kind == "polar":
             pole, _, back = self._plane()
-            d, lat = np.arctan2(x, -pole * y), pole * back(np.hypot(x, y))
+            d, lat = arctan2(x, -pole * y), pole * back(hypot(x, y))
         elif self.kind == "azimuthal":
             top, radius, b0, ratio = self._area()
-            rho = np.hypot(x / ratio, ratio * y)
-            c = 2 * np.arcsin(np.clip(rho / (2 * radius), -1, 1))
-            part = np.where(rho > 0, ratio * y * np.sin(c) * np.cos(b0) / np.where(rho > 0, rho, 1), 0.0)
-            lat = self._lat_of_q(top * (np.cos(c) * np.sin(b0) + part))
-            d = np.arctan2(x * np.sin(c), ratio * rho * np.cos(b0) * np.cos(c) - ratio**2 * y * np.sin(b0) * np.sin(c))
+            rho = hypot(x / ratio, ratio * y)
+            c = 2 * arcsin(clip(rho / (2 * radius), -1, 1))
+            part = where(rho > 0, ratio * y * sin(c) * math.cos(b0) / where(rho > 0, rho, 1), 0.0)
+            lat = self._lat_of_q(top * (cos(c) * math.sin(b0) + part))
+            d = arctan2(x * sin(c), ratio * rho * math.cos(b0) * cos(c) - ratio**2 * y * math.sin(b0) * sin(c))
         else:
             k = self._cylinder()
-            d, lat = x / k, self._lat_of_t(np.exp(-y / k))
-        return (self.lon0 + np.degrees(d) + 180) % 360 - 180, np.degrees(lat)
+            d, lat = x / k, self._lat_of_t(exp(-y / k))
+        return turned(self.lon0 + degrees(d)), degrees(lat)
 
 
 def lon_lat(x: Column, y: Column, wkt: str) -> Column:
-    """Struct of longitude and latitude of projected coordinates; plain columns where they are
-    degrees already, else a vectorised function."""
-    p = Projection.parse(wkt)
-    if not p.scale:
-        return F.struct(x.alias("longitude"), y.alias("latitude"))
-    ship()
-
-    @F.pandas_udf("longitude double, latitude double")
-    def convert(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        lon, lat = p.to_degrees(a.to_numpy(), b.to_numpy())
-        return pd.DataFrame({"longitude": lon, "latitude": lat})
-
-    return convert(x, y)
+    """Struct of longitude and latitude of projected coordinates, by SQL functions."""
+    at = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    def place(p: Column) -> Column:
+        lon, lat = Projection.parse(wkt).to_degrees(p["x"], p["y"])
+        return F.struct(lon.alias("longitude"), lat.alias("latitude"))
+
+    return let(at, place)
 
 
 def pixel_place(geo: Column, row: Column, col: Column) -> tuple[Column, Column]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,21 +158,14 @@ def gray_window_score(first: DataFrame, second: DataFrame, window: int = 1, keys
 
 def register(second: DataFrame, geo1: list[float], wkt1: str, geo2: list[float], wkt2: str, height1: int, width1: int) -> DataFrame:
     """Adds row1 and col1: the first scene's pixel at each of the second's, by inverting the
-    first scene's transform; null outside it.  Scenes in one projection need no functions."""
+    first scene's transform; null outside it.  Projections are SQL functions, too."""
     x, y = geo2[0] + geo2[1] * F.col("col"), geo2[3] + geo2[5] * F.col("row")
     if wkt1 == wkt2:
         col, row = (x - geo1[0]) / geo1[1], (y - geo1[3]) / geo1[5]
         out = second.withColumn("row1", F.rint(row).cast("int")).withColumn("col1", F.rint(col).cast("int"))
     else:
-        ship(second.sparkSession)
-        p1, p2 = Projection.parse(wkt1), Projection.parse(wkt2)
-
-        @F.pandas_udf("row1 double, col1 double")
-        def place(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-            px, py = p1.to_grid(*p2.to_degrees(a.to_numpy(), b.to_numpy()))
-            return pd.DataFrame({"row1": np.rint((py - geo1[3]) / geo1[5]), "col1": np.rint((px - geo1[0]) / geo1[1])})
-
-        out = second.withColumn("_p", place(x, y)).withColumn("row1", F.col("_p.row1").cast("int")).withColumn("col1", F.col("_p.col1").cast("int")).drop("_p")
+        px, py = Projection.parse(wkt1).to_grid(*Projection.parse(wkt2).to_degrees(x, y))
+        out = second.withColumn("row1", F.rint((py - geo1[3]) / geo1[5]).cast("int")).withColumn("col1", F.rint((px - geo1[0]) / geo1[1]).cast("int"))
     inside = F.col("row1").between(0, height1 - 1) & F.col("col1").between(0, width1 - 1)
     return out.withColumn("row1", F.when(inside, F.col("row1"))).withColumn("col1", F.when(inside, F.col("col1")))
 

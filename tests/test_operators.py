@@ -155,6 +155,40 @@ def test_other_projections(wkt, at, want):
     assert np.allclose(np.array(feet.to_grid(*at)) * 0.3048006096012192, want, atol=0.1)
 
 
+@pytest.mark.parametrize("kind", ["utm", "tm", "lambert", "albers", "polar", "mercator", "azimuthal", "sphere"])
+def test_projections_as_columns(spark, kind):
+    """SQL functions place points as arrays do, both ways, and no Python runs."""
+    wkt = {
+        "tm": described("Transverse_Mercator", CLARKE, latitude_of_origin=40, central_meridian=9, scale_factor=0.9999),
+        "lambert": described("Lambert_Conformal_Conic_2SP", CLARKE, latitude_of_origin=23, central_meridian=-96, standard_parallel_1=33, standard_parallel_2=45),
+        "albers": described("Albers_Conic_Equal_Area", CLARKE, latitude_of_center=23, longitude_of_center=-96, standard_parallel_1=29.5, standard_parallel_2=45.5),
+        "polar": described("Polar_Stereographic", INTERNATIONAL, latitude_of_origin=-71, central_meridian=-100, scale_factor=1),
+        "mercator": described("Mercator_1SP", CLARKE, central_meridian=-180, scale_factor=1),
+        "azimuthal": described("Lambert_Azimuthal_Equal_Area", CLARKE, latitude_of_center=40, longitude_of_center=-100),
+        "sphere": described("Mercator_Auxiliary_Sphere", CLARKE, central_meridian=0),
+    }.get(kind)
+    from skyloom.functions.projection import lon_lat
+
+    p = Projection.parse(wkt) if wkt else Projection.utm(33)
+    r = np.random.default_rng(3)
+    reach = 3 if kind in ("utm", "tm") else 40
+    lon, lat = p.lon0 + r.uniform(-reach, reach, 40), (-1 if kind == "polar" else 1) * r.uniform(15, 80, 40)
+    x, y = p.to_grid(lon, lat)
+    df = spark.createDataFrame([tuple(map(float, t)) for t in zip(lon, lat, x, y, strict=True)], "lon double, lat double, x double, y double")
+    there = p.to_grid(F.col("lon"), F.col("lat"))
+    if wkt:
+        df = df.withColumn("back", lon_lat(F.col("x"), F.col("y"), wkt))
+    else:
+        a, b = p.to_degrees(F.col("x"), F.col("y"))
+        df = df.withColumn("back", F.struct(a.alias("longitude"), b.alias("latitude")))
+    found = df.select(there[0].alias("px"), there[1].alias("py"), "x", "y", "back", "lon", "lat")
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    got = found.collect()
+    assert np.allclose([(g.px, g.py) for g in got], [(g.x, g.y) for g in got], rtol=1e-12, atol=1e-5)
+    want = p.to_degrees(x, y)
+    assert np.allclose([((g.back.longitude - w + 180) % 360 - 180, g.back.latitude) for g, w in zip(got, want[0], strict=True)], [(0, w) for w in want[1]], atol=1e-10)
+
+
 @pytest.mark.parametrize("order", range(6))
 def test_splines(order):
     r = np.random.default_rng(order)
