@@ -126,8 +126,9 @@ def keys_of(word: str, place: int, hashed) -> set[int]:
 
 
 def grams_of(words: DataFrame) -> DataFrame:
-    """(word, n, last, pivots, prefix): the rank of the last bigram of a word's prefix, the keys of its
-    two pivots, and those of its prefix.
+    """(word, n, last, keys, pivots): the rank of the last bigram of a word's prefix, the keys of the
+    prefix, and how many of them, the first ones, are the two pivots'.  Keys are hashes of 48 bits; where
+    two meet by chance, the verification parts them.
 
     Bigrams of one kind are ordered by place.  An edit may put two new bigrams before those that two
     words share, so a prefix goes on with bigrams of its last kind, up to five in all."""
@@ -137,21 +138,22 @@ def grams_of(words: DataFrame) -> DataFrame:
     def apply(batches):
         import xxhash
 
-        hashed = lambda s: xxhash.xxh64_intdigest(s) - (1 << 63)
+        hashed = lambda s: xxhash.xxh64_intdigest(s) >> 16
         cost = dict(ranks.values())
         for b in batches:
-            last, piv, pre = [], [], []
+            last, keys, n_pivots = [], [], []
             for w in b.column(0).to_pylist():
                 grams = sorted((ranks[w[i : i + Q]][0], i) for i in range(len(w) - 1))
                 end = grams[shared - 1][0]
                 last.append(end)
-                piv.append(list(set().union(*(keys_of(w, p, hashed) for p in pivots(grams[:shared], cost)))))
+                first = set().union(*(keys_of(w, p, hashed) for p in pivots(grams[:shared], cost)))
                 more = [g for g in grams[shared : shared + Q * EDITS] if g[0] == end]
-                pre.append(list(set().union(*(keys_of(w, p, hashed) for _, p in grams[:shared] + more))))
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(last, pa.int32()), pa.array(piv, longs), pa.array(pre, longs)], names=["word", "n", "last", "pivots", "prefix"])
+                others = set().union(*(keys_of(w, p, hashed) for _, p in grams[:shared] + more)) - first
+                keys.append([*first, *others])
+                n_pivots.append(len(first))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(last, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(n_pivots, pa.int32())], names=["word", "n", "last", "keys", "pivots"])
 
-    return in_arrow(words.select("word", "n"), apply, "word string, n long, last int, pivots array<long>, prefix array<long>")
+    return in_arrow(words.select("word", "n"), apply, "word string, n long, last int, keys array<long>, pivots int")
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -159,8 +161,8 @@ def near_words(words: DataFrame) -> DataFrame:
     character parts.  `words` (word, n) holds distinct words of four characters or more, so that
     three bigrams can be had."""
     grams = materialise(grams_of(words), "grams")
-    left = grams.select(F.explode("pivots").alias("key"), F.col("word").alias("p"), F.col("n").alias("n_p"), F.col("last").alias("last_p"))
-    right = grams.select(F.explode("prefix").alias("at"), F.col("word").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q"))
+    left = grams.select(F.explode(F.slice("keys", F.lit(1), F.col("pivots"))).alias("key"), F.col("word").alias("p"), F.col("n").alias("n_p"), F.col("last").alias("last_p"))
+    right = grams.select(F.explode("keys").alias("at"), F.col("word").alias("q"), F.col("n").alias("n_q"), F.col("last").alias("last_q"))
     close = (F.col("last_p") <= F.col("last_q")) & (F.abs(F.char_length("p") - F.char_length("q")) <= EDITS) & (F.col("p") != F.col("q"))
     found = left.join(right, (F.col("key") == F.col("at")) & close & (F.levenshtein("p", "q", EDITS) == EDITS))
     first = F.col("p") < F.col("q")
