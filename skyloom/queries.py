@@ -809,6 +809,28 @@ def gaussian_nb_sql(spark, d):
     return out.select("vec_id", F.col("class").alias("predicted"))
 
 
+#: Planes between four classes, by nine features each.
+PLANES = classify.PairMachines((1, 2, 3, 4), tuple((a, b, tuple(float((7 * a + 3 * b + 5 * i) % 11 - 5) for i in range(9)), float(4 * a - 3 * b)) for a in range(1, 5) for b in range(a + 1, 5)))
+
+
+@query(
+    "SELECT vec_id, CAST(class AS INTEGER) AS predicted FROM (SELECT vec_id, c AS class, row_number() OVER (PARTITION BY vec_id ORDER BY sum(CAST(won = c AS INTEGER)) DESC, c) AS r FROM (SELECT vec_id, unnest(["
+    + ",".join(f"CASE WHEN {bias!r}" + "".join(f"+({w!r})*v[{i}]" for i, w in enumerate(ws, 1)) + f" > 0 THEN {a} ELSE {b} END" for a, b, ws, bias in PLANES.planes)
+    + "]) AS won FROM fx_pixels), (SELECT unnest([1,2,3,4]) AS c) GROUP BY vec_id, c) WHERE r = 1",
+    (PX,),
+)
+def linear_votes(spark, d):
+    """Classes by the votes of given planes between each two of them."""
+    return classify.vote(_labelled(spark, d).drop("class"), PLANES).select("vec_id", F.col("class").alias("predicted"))
+
+
+@query()
+def linear_svm_pairs(spark, d):
+    """Linear machines, one class against one, trained on all rows."""
+    rows = _labelled(spark, d)
+    return classify.vote(rows.drop("class"), classify.fit_pairs(rows)).select("vec_id", F.col("class").alias("predicted"))
+
+
 NB_SAMPLE = NB.replace("var_pop(", "var_samp(").replace("+1e-9", "")
 
 
@@ -861,6 +883,24 @@ def class_raster_1band(spark, d):
     return V.pixels(spark, d).select("vec_id", r6(classify.flood_band(F.col("class"))).alias("flood"))
 
 
+@query(
+    f"""SELECT vec_id, round(v[1]/b2.p_retailprice*t,6) AS b002, round(v[2]/b3.p_retailprice*t,6) AS b003 FROM fx_pixels,
+    (SELECT p_retailprice FROM part WHERE p_partkey = 2) b2, (SELECT p_retailprice FROM part WHERE p_partkey = 3) b3,
+    (SELECT pi()*pow(k.va + (200-k.a)*(k.vb-k.va)/(k.b-k.a),2)/sin(radians(60.0)) AS t FROM (VALUES {KNOTS}) k(a,va,b,vb) WHERE 200 > k.a AND 200 <= k.b)""",
+    (PX,),
+)
+def scene_calibration_given(spark, d):
+    """Calibration by a caller's table of solar irradiances, here the prices of the parts of bands' numbers."""
+    from .plans import floods
+
+    given = {r[0]: r[1] for r in V.load(spark, d, "part").where(F.col("p_partkey").between(1, 242)).select("p_partkey", "p_retailprice").collect()}  # one a band
+    meta = json.dumps({"PRODUCT_METADATA": {"SENSOR_ID": "HYPERION", "START_TIME": "2012 200 00:00:00"}, "PRODUCT_PARAMETERS": {"SUN_ELEVATION": "60.0"}})
+    known = spark.createDataFrame([("s", {"L1T": meta})], "scene_id string, metadata map<string,string>")
+    px = V.pixels(spark, d).select("vec_id", F.lit("s").alias("scene_id"), "row", "col", F.slice("v", 1, 2).alias("v"))
+    out = floods.calibrated(px, ["B002", "B003"], known, irradiance=given)
+    return out.select("vec_id", r6(F.col("v")[0]).alias("b002"), r6(F.col("v")[1]).alias("b003"))
+
+
 @query(
     """SELECT vec_id, predicted, round(CASE WHEN predicted=1 THEN 1.0 ELSE 0 END,6) AS clouds, round(CASE WHEN predicted IN (2,4) THEN 2.0/predicted ELSE 0 END,6) AS land, round(CASE WHEN predicted=3 THEN 1.0 ELSE 0 END,6) AS water
     FROM (SELECT vec_id, s.class AS predicted, row_number() OVER (PARTITION BY vec_id ORDER BY ln(prior)""" + "".join(f"-(ln(2*pi()*s{i})+(f[{i}]-m{i})*(f[{i}]-m{i})/s{i})/2" for i in range(1, 10)) + """ DESC, s.class) AS r FROM top, stats s) WHERE r=1""",

@@ -391,6 +391,30 @@ def test_ranks_of_many_classes(spark):
     assert few == sorted(r["rank"] for r in classify.predicted_rank(rows, literals=5).collect()) == sorted(i % 20 + 1 for i in range(100))
 
 
+def test_pairs_of_classes(spark):
+    """Planes are where the objective's gradient is zero, found in one pass for all pairs; votes pick the class."""
+    r = np.random.default_rng(7)
+    at = {1: (0, 0, 5), 2: (4, 0, 0), 3: (0, 5, 0)}
+    rows = [(k, [float(v) for v in r.normal(c, 1.3) * (1, 10, 1)]) for k, c in at.items() for _ in range(50)]
+    df = spark.createDataFrame([*rows, (None, [1.0, 1.0, 1.0])], "class int, features array<double>")
+    machines = classify.fit_pairs(df.repartition(3), cost=10.0)
+    x, y = np.array([v for _, v in rows]), np.array([k for k, _ in rows])
+    z = (x - x.mean(0)) / x.std(0)
+    assert [(a, b) for a, b, _, _ in machines.planes] == [(1, 2), (1, 3), (2, 3)] and machines.classes == (1, 2, 3)
+    for a, b, w, bias in machines.planes:
+        on = (y == a) | (y == b)
+        side = np.where(y[on] == a, 1.0, -1.0)
+        plane = np.array(w) * x.std(0)
+        free = bias + np.array(w) @ x.mean(0)
+        lack = np.maximum(1 - side * (z[on] @ plane + free), 0)
+        gradient = plane - 2 * 10.0 / on.sum() * ((lack * side) @ z[on])
+        assert np.abs(gradient).max() < 1e-6 and abs((lack * side).sum()) < 1e-5
+    found = classify.vote(df.where("class IS NOT NULL").withColumnRenamed("class", "truth"), machines)
+    assert found.where("class = truth").count() > 140
+    tied = classify.PairMachines((1, 2, 3), ((1, 2, (1.0,), 0.0), (1, 3, (-1.0,), 0.0), (2, 3, (1.0,), 0.0)))
+    assert classify.vote(spark.createDataFrame([([2.0],)], "features array<double>"), tied).first()["class"] == 1
+
+
 def test_smo_converges_or_says_so():
     r = np.random.default_rng(2)
     x, y = r.normal(size=(60, 2)), np.where(r.random(60) < 0.5, 1.0, -1.0)
