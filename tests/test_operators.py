@@ -495,6 +495,18 @@ def test_overlaps_of_any_size(spark):
     assert most <= 4 * 11
 
 
+def joins_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overlap_query_broadcasts_no_table(spark):
+    """The whole catalogue's cells meet in a shuffle, however small its files are."""
+    from skyloom.queries import QUERIES
+
+    plan = joins_of(QUERIES["bbox_overlap"](spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_catalogue(spark):
     hyp = spark.createDataFrame([("Hyperion", "h", 10, 5.0, [[0.0, 0.0], [2.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance double, corners array<array<double>>")
     ali = spark.createDataFrame([("ALI", "a", 20, 1.5, None, [[10.0, 0.0], [12.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance_B02 double, radiance_B03 double, corners array<array<double>>")
