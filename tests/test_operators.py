@@ -507,6 +507,14 @@ def test_overlap_query_broadcasts_no_table(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_symmetric_overlap_query_broadcasts_no_table(spark):
+    """Nor do boxes of one size go to levels that no box is of."""
+    from skyloom.queries import QUERIES
+
+    plan = joins_of(QUERIES["bbox_overlap_symmetric"](spark, "/root/testdata/sf0.001"))
+    assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan and "Union" not in plan
+
+
 def test_catalogue(spark):
     hyp = spark.createDataFrame([("Hyperion", "h", 10, 5.0, [[0.0, 0.0], [2.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance double, corners array<array<double>>")
     ali = spark.createDataFrame([("ALI", "a", 20, 1.5, None, [[10.0, 0.0], [12.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance_B02 double, radiance_B03 double, corners array<array<double>>")
