@@ -14,6 +14,7 @@ from ..functions import bands as B
 from ..functions import grid, keys
 from ..shipping import in_arrow
 from ..sources import store
+from ..staging import materialise, released
 from . import ranks
 
 
@@ -41,6 +42,17 @@ def weighted(points: DataFrame) -> DataFrame:
     return rows.groupBy("x", "y").agg(F.sum("w").alias("w")).withColumn("h", F.xxhash64("x", "y"))
 
 
+#: Places that a task of a round goes over.
+SHARE = 1 << 14
+
+
+def places(points: DataFrame) -> DataFrame:
+    """`weighted` points, kept, in as many parts as their number asks for: a round is over in a moment, and a
+    part costs a start of Python, so parts as the shuffle left them would take longer to start than to run."""
+    rows = materialise(weighted(points), "places")
+    return rows.repartition(max(1, -(-rows.count() // SHARE))).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def seeds(rows: DataFrame, k: int, trials: int, seed: int = 1) -> np.ndarray:
     """(trials, k, 2): for each trial k places, drawn without repeats in proportion to weight.
 
@@ -128,19 +140,20 @@ def kmeans(points: DataFrame, k: int = 10, trials: int = 10, tolerance: float =
     """The best of several weighted k-means runs (weight: intensity squared) on longitude and latitude,
     by cost.  Each starts from places drawn in proportion to weight, of which `spread_out` takes k, and
     ends when no centre moves by more than `tolerance`; all trials share every pass over the points."""
-    rows = weighted(points).persist(StorageLevel.MEMORY_AND_DISK)  # every round goes over them
-    drawn = seeds(rows, DRAWN * k, trials, seed)
-    centres = np.stack([spread_out(d, k, np.random.default_rng([seed, t])) for t, d in enumerate(drawn)])
-    moving = np.arange(trials)
-    for _ in range(max_iter):
-        means, _cost = lloyd(rows, centres[moving])
-        moved = np.abs(means - centres[moving]).max((1, 2)) > tolerance
-        centres[moving] = means
-        moving = moving[moved]
-        if not len(moving):
-            break
-    _, cost = lloyd(rows, centres)
-    rows.unpersist()
+    with released(points.sparkSession):
+        rows = places(points)  # every round goes over them
+        drawn = seeds(rows, DRAWN * k, trials, seed)
+        centres = np.stack([spread_out(d, k, np.random.default_rng([seed, t])) for t, d in enumerate(drawn)])
+        moving = np.arange(trials)
+        for _ in range(max_iter):
+            means, _cost = lloyd(rows, centres[moving])
+            moved = np.abs(means - centres[moving]).max((1, 2)) > tolerance
+            centres[moving] = means
+            moving = moving[moved]
+            if not len(moving):
+                break
+        _, cost = lloyd(rows, centres)
+        rows.unpersist()
     best = int(np.argmin(cost))
     return Clusters(centres[best], float(cost[best]))
 

@@ -631,6 +631,23 @@ def test_kmeans_query_runs_the_whole_job(spark, monkeypatch):
     assert seen == [{"k": 10}]
 
 
+def test_kmeans_rounds_take_few_tasks(spark, monkeypatch):
+    """Parts are by the number of places, whatever the number of shuffle partitions."""
+    parts = []
+    lloyd = points.lloyd
+    monkeypatch.setattr(points, "lloyd", lambda rows, centres: parts.append(rows.rdd.getNumPartitions()) or lloyd(rows, centres))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        p = spark.range(300).selectExpr("double(id % 20) AS longitude", "double(id) AS latitude", "1.0D + id % 3 AS intensity")
+        points.kmeans(p, k=3, trials=2, max_iter=2)
+        monkeypatch.setattr(points, "SHARE", 100)
+        points.kmeans(p, k=3, trials=2, max_iter=1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert set(parts[:2]) == {1} and set(parts[-2:]) == {3}
+
+
 def test_ranks(spark):
     """Values at ranks and percentiles, against sorting, with ties, signs, zeros and infinities."""
     from skyloom.operators import ranks
