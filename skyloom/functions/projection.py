@@ -112,6 +112,29 @@ class Projection:
     def utm(cls, zone: int, south: bool = False) -> Projection:
         return cls(lon0=zone * 6 - 183.0, scale=0.9996, east=500000.0, north=1e7 if south else 0.0)
 
+    def to_degrees_by_series(self, x, y):
+        """As `to_degrees`, by series to the third order in the third flattening, the latitude's too: within
+        a ten-millionth of a degree over the width of a zone, and with nothing to iterate."""
+        x, y = plain(x), plain(y)
+        if not self.scale:
+            return x, y
+        f = 1 / self.inverse_flattening
+        n = f / (2 - f)
+        radius = self.a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+        back = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+        conformal = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+        xi, eta = (y * self.unit - self.north + self.scale * self._origin()) / (self.scale * radius), (x * self.unit - self.east) / (self.scale * radius)
+        p = xi - sum(c * sin(2 * j * xi) * cosh(2 * j * eta) for j, c in enumerate(back, 1))
+        q = eta - sum(c * cos(2 * j * xi) * sinh(2 * j * eta) for j, c in enumerate(back, 1))
+        lat = let(arcsin(sin(p) / cosh(q)), lambda chi: chi + sum(c * sin(2 * j * chi) for j, c in enumerate(conformal, 1)))
+        return self.lon0 + degrees(arctan2(sinh(q), cos(p))), degrees(lat)
+
+    def _origin(self) -> float:
+        """Metres from the equator to the latitude of origin, without scale."""
+        if not self.lat0:
+            return 0.0
+        return float(Projection(self.a, self.inverse_flattening, self.lon0, 0.0, 1.0).to_grid(np.array(self.lon0), np.array(self.lat0))[1])
+
     # coefficients of the two series, and the radius of the rectifying sphere
     def _series(self) -> tuple[np.ndarray, np.ndarray, float, float]:
         n = 1 / (2 * self.inverse_flattening - 1)
@@ -163,9 +186,7 @@ class Projection:
             return x, y
         x, y = x * self.unit, y * self.unit
         forward, back, radius, e = self._series()
-        e, y0 = float(e), 0.0
-        if self.lat0:
-            y0 = float(Projection(self.a, self.inverse_flattening, self.lon0, 0.0, 1.0).to_grid(np.array(self.lon0), np.array(self.lat0))[1])
+        e, y0 = float(e), self._origin()
         eta, xi = (x - self.east) / (self.scale * radius), ((y - self.north) / self.scale + y0) / radius
         eta1 = eta - sum(float(c) * cos(2 * k * xi) * sinh(2 * k * eta) for k, c in enumerate(back, 1))
         xi1 = xi - sum(float(c) * sin(2 * k * xi) * cosh(2 * k * eta) for k, c in enumerate(back, 1))
@@ -311,12 +332,15 @@ class Sheet(Projection):
         return turned(self.lon0 + degrees(d)), degrees(lat)
 
 
-def lon_lat(x: Column, y: Column, wkt: str) -> Column:
-    """Struct of longitude and latitude of projected coordinates, by SQL functions."""
+def lon_lat(x: Column, y: Column, wkt: str, series: bool = False) -> Column:
+    """Struct of longitude and latitude of projected coordinates, by SQL functions; with `series`, of
+    transverse Mercator grids, by `to_degrees_by_series`."""
     at = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
     def place(p: Column) -> Column:
-        lon, lat = Projection.parse(wkt).to_degrees(p["x"], p["y"])
+        projection = Projection.parse(wkt)
+        place_of = projection.to_degrees_by_series if series and type(projection) is Projection else projection.to_degrees
+        lon, lat = place_of(p["x"], p["y"])
         return F.struct(lon.alias("longitude"), lat.alias("latitude"))
 
     return let(at, place)

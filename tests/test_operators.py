@@ -648,6 +648,30 @@ def test_kmeans_rounds_take_few_tasks(spark, monkeypatch):
     assert set(parts[:2]) == {1} and set(parts[-2:]) == {3}
 
 
+def test_pixels_close_to_a_rounding_step(spark, tmp_path):
+    """Degrees by the SQL's own series, where a longer one rounds to the next step."""
+    import duckdb
+
+    from skyloom.queries import ORACLES, QUERIES
+
+    events = [11012, 13035, 13206, 14062, 21066, 22113, 23835, 24357, *range(50)]
+    rows = spark.createDataFrame([(i,) for i in events], "event_id long")
+    rows = rows.selectExpr("event_id", "1L AS user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props", "timestamp'2024-01-01' AS ts")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(tuple, QUERIES["pixel_geographic"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLES["pixel_geographic"]).fetchall())
+
+
+def test_series_of_degrees():
+    """The short series against the long one, over a zone's width, and with an origin off the equator."""
+    for p in (Projection.utm(33), Projection.utm(56, south=True), Projection(lon0=9.0, lat0=40.0, scale=0.9999, east=1e5, north=2e5)):
+        lon, lat = np.meshgrid(p.lon0 + np.linspace(-3.5, 3.5, 9), np.linspace(-84.0, 84.0, 43))
+        at = p.to_degrees_by_series(*p.to_grid(lon, lat))
+        assert np.allclose(at[0], lon, rtol=0, atol=1e-7) and np.allclose(at[1], lat, rtol=0, atol=1e-8)
+
+
 def test_ranks(spark):
     """Values at ranks and percentiles, against sorting, with ties, signs, zeros and infinities."""
     from skyloom.operators import ranks
