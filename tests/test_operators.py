@@ -612,6 +612,24 @@ def test_rbf_query_takes_any_size(spark, tmp_path):
     assert got.count() == n and got.where("predicted IS NULL").count() == 0
 
 
+def test_large_machines_end_soon(monkeypatch):
+    """Rows that no kernel parts well: few steps are left from the interior point, and they end at the same machine."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(2400, 5))
+    x[:200] = x[200:400]
+    y = np.where(x[:, 0] * x[:, 1] + r.normal(size=len(x)) > 0.2, 1.0, -1.0)
+    sv, coef, bias = classify._smo(x, y, 10000.0, 0.001, most=2000)
+    assert abs(coef.sum()) < 1e-3 and np.abs(coef).max() <= 10000.0 and len(coef) == len(sv)
+    few, sides = x[:500], y[:500]
+    slow = classify._smo(few, sides, 100.0, 0.01)
+    monkeypatch.setattr(classify, "LARGE", 100)
+    fast = classify._smo(few, sides, 100.0, 0.01, most=2000)
+    score = lambda m: classify._scores(x, m[0], m[1], 0.01) + m[2]
+    assert np.allclose(score(slow), score(fast), atol=0.01)
+    monkeypatch.setattr(classify, "RANK", 3)  # no small factor: the long way
+    assert np.allclose(score(classify._smo(few, sides, 100.0, 0.01)), score(slow), atol=1e-9)
+
+
 def test_kmeans_query_runs_the_whole_job(spark, monkeypatch):
     """The registered query leaves the number of trials to the operator's default."""
     from skyloom import queries
