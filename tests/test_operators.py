@@ -515,6 +515,21 @@ def test_symmetric_overlap_query_broadcasts_no_table(spark):
     assert plan.count("SortMergeJoin") == 1 and "Broadcast" not in plan and "Union" not in plan
 
 
+def test_symmetric_overlap_query_as_it_ran(spark, tmp_path):
+    """Orders whose files look small, as they repeat: nothing was broadcast when the plan had run, and no pair is lost."""
+    from skyloom.queries import QUERIES
+
+    n = 3000
+    spark.sql(f"SELECT id AS o_orderkey, id % 700 AS o_custkey, timestamp'1995-01-01' AS o_orderdate, 1.0D AS o_totalprice FROM range({n})").write.parquet(f"{tmp_path}/orders.parquet")
+    df = QUERIES["bbox_overlap_symmetric"](spark, str(tmp_path))
+    got = sorted((x.a_id, x.b_id) for x in df.collect())
+    la, oa = np.arange(n) % 700 * 5 % 160, np.arange(n) % 700 * 13 % 340
+    want = [(a, int(b)) for a in range(0, n, 100) for b in np.flatnonzero((abs(la - la[a]) < 2.5) & (abs(oa - oa[a]) < 2.5))]
+    assert got == want and len(want) > 100
+    plan = joins_of(df)
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_catalogue(spark):
     hyp = spark.createDataFrame([("Hyperion", "h", 10, 5.0, [[0.0, 0.0], [2.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance double, corners array<array<double>>")
     ali = spark.createDataFrame([("ALI", "a", 20, 1.5, None, [[10.0, 0.0], [12.0, 2.0]])], "sensor string, directory string, acquisition_start long, radiance_B02 double, radiance_B03 double, corners array<array<double>>")
